@@ -1,0 +1,319 @@
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+from samples import BRONZE_DDL, BRONZE_ROWS, SILVER_DDL, SILVER_GOLD, SILVER_ROWS, day
+
+from tristrata.metrics import metrics_frame, observed_write
+from tristrata.operators import (
+    SideSize,
+    agg_metrics,
+    by_group,
+    cached_view,
+    cap_partitions,
+    distinct_keys,
+    global_rank,
+    latest_per_key,
+    measure_side,
+    monthly_trend,
+    null_audit,
+    sized_join,
+    sized_write,
+    write_partitions,
+)
+from tristrata.plans import clean
+
+
+def tuples(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+# --- dedup
+
+
+def test_latest_visit_survives(spark):
+    kept = latest_per_key(clean(spark.createDataFrame(BRONZE_ROWS, BRONZE_DDL))).collect()
+    assert sorted(r.patient_id for r in kept) == [1, 2, 3, 4, 5]
+    assert {r.ingestion_timestamp for r in kept if r.patient_id == 2} == {"2024-01-01 11:00:00"}
+
+
+def test_null_keys_form_one_group_and_null_dates_lose(spark):
+    rows = [(None, day(1)), (None, day(2)), (1, None), (1, day(1)), (2, None)]
+    kept = latest_per_key(spark.createDataFrame(rows, "patient_id int, visit_date date"))
+    assert tuples(kept) == tuples(
+        spark.createDataFrame([(None, day(2)), (1, day(1)), (2, None)], kept.schema)
+    )
+
+
+def test_survivor_does_not_depend_on_input_order(spark):
+    rows = [(i % 5, day(1), f"n{i % 7}", float(i % 11)) for i in range(200)]
+    ddl = "patient_id int, visit_date date, name string, billing_amount double"
+    results = []
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        df = spark.createDataFrame(rows, ddl).repartition(seed + 2)
+        results.append(tuples(latest_per_key(df)))
+    assert results[0] == results[1] == results[2]
+
+
+def test_dedup_with_a_key_holding_a_third_of_the_rows(spark):
+    rng = random.Random(3)
+    rows = [
+        (None if i % 3 == 0 else rng.randrange(50), day(rng.randrange(1, 28)), i)
+        for i in range(3000)
+    ]
+    expected = {}
+    for r in rows:
+        expected[r[0]] = max(expected.get(r[0], r), r, key=lambda x: (x[1], x[2]))
+    df = spark.createDataFrame(rows, "patient_id int, visit_date date, visit_id int")
+    kept = latest_per_key(df, latest=("visit_date", "visit_id"), unique=True)
+    assert tuples(kept) == sorted(expected.values(), key=repr)
+    assert tuples(distinct_keys(df)) == sorted(((k,) for k in expected), key=repr)
+
+
+def test_dedup_by_several_keys(spark):
+    df = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (1, "a", 3)], "k int, g string, v int")
+    assert tuples(latest_per_key(df, ("k", "g"), ("v",))) == [(1, "a", 3), (1, "b", 2)]
+
+
+# --- audit and aggregates
+
+
+def test_null_audit_counts_each_field_and_keeps_zeroes(spark):
+    rows = [(None, "a", None, None), (None, None, "d", day(1)), (1, "b", "d", day(1))]
+    df = spark.createDataFrame(
+        rows, "patient_id int, name string, diagnosis string, visit_date date"
+    )
+    assert tuples(null_audit(df)) == [
+        ("diagnosis", 1),
+        ("name", 1),
+        ("patient_id", 2),
+        ("visit_date", 1),
+    ]
+    assert {r.null_count for r in null_audit(df.limit(0)).collect()} == {0}
+
+
+def test_by_group_sample(spark):
+    gold = by_group(spark.createDataFrame(SILVER_ROWS, SILVER_DDL))
+    got = {r.diagnosis: (r.total_billing, r.avg_billing, r.patient_count) for r in gold.collect()}
+    assert got == {d: v[:3] for d, v in SILVER_GOLD.items()}
+    assert dict(gold.dtypes) == {
+        "diagnosis": "string",
+        "total_billing": "double",
+        "avg_billing": "double",
+        "patient_count": "bigint",
+        "min_age": "int",
+        "max_age": "int",
+        "avg_age": "double",
+        "first_visit": "date",
+        "last_visit": "date",
+    }
+
+
+def test_by_group_rounds_and_counts_known_ids_only(spark):
+    rows = [(1, 1, "D", day(1), 1.0), (None, 1, "D", day(2), 1.0), (2, 2, "D", day(3), 2.0)]
+    df = spark.createDataFrame(
+        rows, "patient_id int, age int, diagnosis string, visit_date date, billing_amount double"
+    )
+    assert tuple(by_group(df).first()) == ("D", 4.0, 1.33, 2, 1, 2, 1.3, day(1), day(3))
+
+
+def test_by_group_on_other_columns(spark):
+    df = spark.createDataFrame([("x", 1, 2.0, 3, day(1))], "g string, k int, a double, n int, d date")
+    row = by_group(df, "g", "k", "a", "n", "d").first()
+    assert (row.g, row.total_billing, row.min_age) == ("x", 2.0, 3)
+
+
+def test_agg_metrics_drops_a_row_null_in_any_metric(spark):
+    rows = [("a", 1.0, 10.0), ("a", None, 20.0), ("a", 3.0, None), ("b", 5.0, 7.0), ("c", None, 1.0)]
+    result = agg_metrics(spark.createDataFrame(rows, "g string, x double, y double"), ["g"], ["x", "y"])
+    assert result.columns == ["g", "total_x", "avg_x", "count_x", "total_y", "avg_y", "count_y"]
+    assert tuples(result) == [("a", 1.0, 1.0, 1, 10.0, 10.0, 1), ("b", 5.0, 5.0, 1, 7.0, 7.0, 1)]
+    with pytest.raises(ValueError):
+        agg_metrics(result, ["g"], [])
+
+
+def test_monthly_trend(spark):
+    rows = [("d", day(3), 1.0), ("d", day(20), 2.0), ("e", day(1), 4.0)]
+    df = spark.createDataFrame(rows, "diagnosis string, visit_date date, billing_amount double")
+    assert tuples(monthly_trend(df)) == [(day(1), "d", 2, 3.0), (day(1), "e", 1, 4.0)]
+
+
+# --- rank
+
+
+def brute_rank(values):
+    """Competition rank, NULL after everything and NaN before."""
+
+    def key(v):
+        return (0, 0) if v is None else (2, 0) if v != v else (1, v)
+
+    return [1 + sum(key(o) > key(v) for o in values) for v in values]
+
+
+@pytest.mark.parametrize("single_task_rows", [1_000_000, 40])
+def test_rank_matches_brute_force(spark, single_task_rows):
+    rng = random.Random(11)
+    # A third of the rows tie on one amount.
+    values = [0.0 if i % 3 == 0 else float(rng.randrange(200)) for i in range(600)]
+    values += [None, None, float("nan"), -0.0]
+    rows = list(zip(range(len(values)), values, strict=True))
+    df = spark.createDataFrame(rows, "diagnosis int, total_billing double").repartition(7)
+    ranked = global_rank(df, single_task_rows=single_task_rows)
+    assert dict(ranked.dtypes)["billing_rank"] == "int"
+    got = {r.diagnosis: r.billing_rank for r in ranked.collect()}
+    assert got == dict(enumerate(brute_rank(values)))
+
+
+def test_ties_share_a_rank_and_the_next_skips(spark):
+    df = spark.createDataFrame([("a", 5.0), ("b", 5.0), ("c", 1.0)], "d string, total_billing double")
+    assert sorted(r.billing_rank for r in global_rank(df).collect()) == [1, 1, 3]
+
+
+def test_rank_of_nothing(spark):
+    assert global_rank(spark.createDataFrame([], "d string, total_billing double")).count() == 0
+
+
+def test_range_rank_has_no_global_window_over_the_rows(spark, plan):
+    df = spark.range(500).select(F.col("id").alias("d"), (F.col("id") % 90 * 1.0).alias("v"))
+    text = plan(global_rank(df, "v", "r", single_task_rows=50))
+    # The only single-partition step adds up the slice sizes.
+    assert text.count("SinglePartition") == 1
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+# --- join
+
+
+@pytest.fixture
+def sides(spark):
+    large = spark.range(1000).select((F.col("id") % 20).alias("k"), F.col("id").alias("v"))
+    small = spark.range(25).select("id", F.col("id").alias("k"), F.lit("name").alias("n"))
+    return large, small
+
+
+def test_join_results_do_not_depend_on_the_strategy(sides, spark):
+    large, small = sides
+    joined = sized_join(large, small, "k")
+    assert joined.columns == ["k", "v", "id", "n"]
+    by_hand = Counter(v % 20 for v in range(1000))
+    assert Counter(r.k for r in joined.collect()) == by_hand
+    for other in (
+        sized_join(large, small, "k", max_broadcast_bytes=0),
+        sized_join(large, small, "k", large_rows=30),
+        sized_join(large, small, "k", measure=False),
+    ):
+        assert tuples(other) == tuples(joined)
+
+
+def test_join_broadcasts_only_within_the_bounds(sides, spark, plan):
+    large, small = sides
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+
+        def broadcasts(**options):
+            return "BroadcastHashJoin" in plan(sized_join(large, small, "k", **options))
+
+        assert broadcasts()
+        assert broadcasts(large_rows=1000)
+        assert not broadcasts(large_rows=250)  # 25 rows are not under a tenth of 250
+        assert not broadcasts(max_broadcast_bytes=1000)
+        assert not broadcasts(small_size=SideSize(25, 10**12))
+        assert broadcasts(small_size=SideSize(25, 1000), large_rows=1000)
+        assert not broadcasts(measure=False)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_measured_size_grows_with_rows_and_text(spark):
+    one = measure_side(spark.createDataFrame([(1, "ab", None)], "k int, s string, t string"))
+    long = measure_side(spark.createDataFrame([(1, "é" * 50, "x")], "k int, s string, t string"))
+    assert one.rows == 1 and long.bytes == one.bytes + 99
+    assert measure_side(spark.range(10)).bytes == 10 * measure_side(spark.range(1)).bytes
+    assert measure_side(spark.range(0)) == SideSize(0, 0)
+    assert measure_side(spark.range(1).select(F.array("id"))) is None
+
+
+def test_join_drops_null_keys_and_multiplies_matches(spark):
+    left = spark.createDataFrame([(None, 1), (1, 2), (1, 3)], "k int, l int")
+    right = spark.createDataFrame([(None, "n"), (1, "a"), (1, "b")], "k int, r string")
+    assert tuples(sized_join(left, right, "k")) == [
+        (1, 2, "a"),
+        (1, 2, "b"),
+        (1, 3, "a"),
+        (1, 3, "b"),
+    ]
+
+
+# --- layout
+
+
+def test_partitions_are_capped_and_never_raised(spark):
+    assert cap_partitions(spark.range(0, 500, 1, 250)).rdd.getNumPartitions() == 100
+    assert cap_partitions(spark.range(0, 500, 1, 3)).rdd.getNumPartitions() == 3
+    assert cap_partitions(spark.range(0, 500, 1, 30), 7).rdd.getNumPartitions() == 7
+
+
+def test_cached_view(spark):
+    cached = cached_view(spark.range(10).withColumn("noise", F.rand()), "noise_view")
+    try:
+        assert cached.is_cached
+        total = "SELECT sum(noise) FROM noise_view"
+        assert spark.sql(total).first() == spark.sql(total).first()
+    finally:
+        cached.unpersist()
+
+
+def test_write_partition_formula():
+    assert [write_partitions(n) for n in (0, 999_999, 2_500_000, 10**12)] == [1, 1, 2, 200]
+    assert write_partitions(10**9, most=5000) == 1000
+
+
+@pytest.mark.parametrize("rows", [None, 4000])
+def test_sized_write(spark, tmp_path, rows):
+    path = tmp_path / "out"
+    path.mkdir()
+    (path / "old.parquet").write_text("replaced")
+    # One value holds most rows.
+    kind = F.when(F.col("id") % 10 < 7, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 10))
+    df = spark.range(0, 4000, 1, 16).select("id", kind.alias("kind"))
+    metric = sized_write(df, "kind", str(path), rows)
+    assert metric.row_count == 4000
+    back = spark.read.parquet(str(path))
+    expected = defaultdict(int)
+    for i in range(4000):
+        expected["hot" if i % 10 < 7 else f"k{i % 10}"] += 1
+    assert {r[0]: r[1] for r in back.groupBy("kind").count().collect()} == expected
+    assert len(list(path.rglob("part-*.parquet"))) == 4
+
+
+def test_a_hot_value_is_split_into_several_files(spark, tmp_path):
+    path = tmp_path / "out"
+    kind = F.when(F.col("id") % 3 == 0, "rare").otherwise("hot")
+    df = spark.range(0, 200_000, 1, 16).select("id", F.rand(1).alias("x"), kind.alias("kind"))
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        sized_write(df, "kind", str(path))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    assert len(list((path / "kind=hot").glob("part-*.parquet"))) > 2
+    assert spark.read.parquet(str(path)).count() == 200_000
+
+
+# --- metrics
+
+
+def test_observed_write_counts_rows_and_extras(spark, tmp_path):
+    path = str(tmp_path / "m")
+    metric = observed_write(
+        "numbers", spark.range(50), lambda d: d.write.parquet(path), [F.max("id").alias("top")]
+    )
+    assert (metric.operation, metric.row_count, metric.observed) == ("numbers", 50, {"top": 49})
+    assert metric.duration_seconds > 0
+    assert metric.rows_per_second == pytest.approx(50 / metric.duration_seconds)
+    row = metrics_frame(spark, [metric]).first()
+    assert (row.operation, row.row_count) == ("numbers", 50)
+    assert row.throughput_rows_per_sec == pytest.approx(metric.rows_per_second)

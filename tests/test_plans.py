@@ -1,0 +1,218 @@
+import logging
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+from samples import (
+    BRONZE_DDL,
+    BRONZE_ROWS,
+    CORRUPT,
+    FOUR_VISITS,
+    SILVER_DDL,
+    SILVER_GOLD,
+    SILVER_ROWS,
+    SIX_VISITS,
+    TEN_VISITS,
+    TEN_VISITS_GOLD,
+    day,
+)
+
+from tristrata.plans import (
+    build_gold,
+    build_silver,
+    distribution,
+    incremental_run,
+    ingest_bronze,
+    insight_dict,
+    insight_record,
+    run,
+    summary,
+    top_group,
+    total_revenue,
+)
+from tristrata.plans.catalogue import GOLD_COLUMNS
+from tristrata.schema import GOLD_AT, SILVER_AT, SILVER_SCHEMA
+from tristrata.sources import write_silver
+
+EMPTY = "patient_id,name,age,diagnosis,visit_date,billing_amount\n"
+
+
+def test_ten_visit_sample(spark, csv_file, tmp_path):
+    result = run(spark, csv_file(TEN_VISITS), str(tmp_path / "out"))
+    gold = result.gold.orderBy("billing_rank")
+    assert [tuple(r) for r in gold.select(*GOLD_COLUMNS, "billing_rank").collect()] == TEN_VISITS_GOLD
+    assert GOLD_AT in gold.columns
+    insights = result.insights()
+    assert insights["top_diagnosis"] == "CARDIAC" and insights["top_billing"] == 1650.0
+    assert insights["total_revenue"] == 3300.0
+    assert dict(insights["patient_distribution"]) == {"CARDIAC": 4, "DIABETES": 4, "HYPERTENSION": 2}
+
+
+def test_six_visit_sample(spark, csv_file, tmp_path):
+    result = run(spark, csv_file(SIX_VISITS), str(tmp_path / "out"))
+    assert result.ok
+    totals = {r.diagnosis: (r.total_billing, r.patient_count) for r in result.gold.collect()}
+    assert totals == {"DIABETES": (900.0, 3), "CARDIAC": (500.0, 2), "HYPERTENSION": (150.0, 1)}
+    insights = result.insights()
+    assert insights["total_revenue"] == 1550.0
+    assert len(insights["patient_distribution"]) == 3
+    report = [tuple(r) for r in result.report().collect()]
+    assert report == [("bronze", "success", 6), ("silver", "success", 6), ("gold", "success", 3)]
+
+
+def test_incremental_run_takes_only_later_visits(spark, csv_file, tmp_path):
+    result = run(spark, csv_file(SIX_VISITS), str(tmp_path / "out"), since="2024-01-01")
+    assert result.insights()["total_revenue"] == 850.0
+
+
+def test_incremental_load_recomputes_over_all_history(spark, csv_file, tmp_path):
+    root = str(tmp_path / "out")
+    run(spark, csv_file(FOUR_VISITS), root)
+    later = run(spark, csv_file(SIX_VISITS, "next.csv"), root, since="2024-01-03")
+    assert later.metrics[0].row_count == 2
+    assert later.insights()["total_revenue"] == 1550.0
+
+
+def test_days_back_run_is_empty_for_old_visits(spark, csv_file, tmp_path):
+    result = incremental_run(spark, csv_file(SIX_VISITS), str(tmp_path / "out"), days=1)
+    assert [m.row_count for m in result.metrics] == [0, 0, 0]
+    assert result.insights() == {
+        "top_diagnosis": None,
+        "top_billing": 0.0,
+        "total_revenue": 0.0,
+        "patient_distribution": [],
+    }
+
+
+def test_empty_input_goes_through_all_layers(spark, csv_file, tmp_path):
+    result = run(spark, csv_file(EMPTY), str(tmp_path / "out"))
+    assert result.ok and result.gold.count() == 0
+
+
+def test_a_failure_is_raised_or_returned(spark, tmp_path):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        run(spark, "/tmp/no-such-file.csv", str(tmp_path / "out"))
+    result = run(spark, "/tmp/no-such-file.csv", str(tmp_path / "out"), raise_errors=False)
+    assert (result.ok, result.insights()) == (False, None)
+    assert "PATH_NOT_FOUND" in str(result.error)
+    assert [tuple(r) for r in result.report().collect()] == [
+        ("bronze", "failed", None),
+        ("silver", "not run", None),
+        ("gold", "not run", None),
+    ]
+    assert spark.range(1).count() == 1  # the session lives on
+
+
+def test_bad_mark_fails_the_run(spark, csv_file, tmp_path):
+    with pytest.raises(ValueError):
+        run(spark, csv_file(SIX_VISITS), str(tmp_path / "out"), since="yesterday")
+
+
+@pytest.mark.parametrize("options", [{}, {"mode": "replace"}, {"load_id": "one"}])
+def test_reruns_give_equal_insights(spark, csv_file, tmp_path, options):
+    source, root = csv_file(SIX_VISITS), str(tmp_path / "out")
+    first, second = (run(spark, source, root, **options).insights() for _ in range(2))
+    for i in (first, second):
+        i["patient_distribution"].sort()
+    assert first == second
+
+
+def test_corrupt_input(spark, csv_file, tmp_path):
+    root = tmp_path / "out"
+    result = run(spark, csv_file(CORRUPT), str(root))
+    assert result.metrics[1].row_count == 3
+    assert result.metrics[1].observed["null_visit_date"] == 1
+    silver = {r.patient_id: r for r in spark.read.parquet(str(root / "silver")).collect()}
+    assert (silver[2].age, silver[2].billing_amount) == (0, 0.0)
+    assert (silver[3].age, silver[3].visit_date) == (0, None)
+
+
+def test_silver_build(spark, tmp_path, caplog):
+    bronze, silver, rejected = (str(tmp_path / n) for n in ("b", "s", "q"))
+    rows = BRONZE_ROWS + [(None, "N", 1, "D", None, 1.0, None)]
+    spark.createDataFrame(rows, BRONZE_DDL).write.parquet(bronze)
+    with caplog.at_level(logging.WARNING):
+        built, metric = build_silver(spark, bronze, silver, quarantine_path=rejected)
+    assert SILVER_AT in built.columns
+    assert metric.row_count == built.count() == 6
+    assert metric.observed == {
+        "null_patient_id": 1,
+        "null_name": 0,
+        "null_diagnosis": 0,
+        "null_visit_date": 1,
+    }
+    assert "null_patient_id" in caplog.text and "null_name" not in caplog.text
+    assert sorted(r.patient_id for r in spark.read.parquet(rejected).collect()) == [6, 7]
+    assert {p.name for p in Path(silver).iterdir() if p.is_dir()} == {
+        f"diagnosis={d}" for d in ("CARDIAC", "D", "DIABETES", "HYPERTENSION")
+    }
+
+
+def test_gold_build_and_insights(spark, tmp_path):
+    silver, path = str(tmp_path / "s"), str(tmp_path / "g")
+    spark.createDataFrame(SILVER_ROWS, SILVER_DDL).write.parquet(silver)
+    gold, metric = build_gold(spark, silver, path)
+    assert metric.row_count == 3
+    assert {r.diagnosis: r.billing_rank for r in gold.collect()} == {
+        d: v[3] for d, v in SILVER_GOLD.items()
+    }
+    assert tuple(top_group(gold).first()) == ("CARDIAC", 2100.0)
+    assert total_revenue(gold).first()[0] == 3750.0
+    assert tuple(summary(gold).first()) == ("CARDIAC", 2100.0, 3750.0)
+    patients = {"DIABETES": 4, "CARDIAC": 4, "HYPERTENSION": 2}
+    assert dict(map(tuple, distribution(gold).collect())) == patients
+    assert insight_dict(gold) | {"patient_distribution": None} == {
+        "top_diagnosis": "CARDIAC",
+        "top_billing": 2100.0,
+        "total_revenue": 3750.0,
+        "patient_distribution": None,
+    }
+    assert {tuple(r) for r in insight_record(gold).collect()} == {
+        ("top_diagnosis", "CARDIAC", 2100.0),
+        ("total_revenue", None, 3750.0),
+        *(("patient_count", d, float(n)) for d, n in patients.items()),
+    }
+
+
+def test_gold_of_empty_silver_is_empty(spark, tmp_path):
+    silver, path = str(tmp_path / "s"), str(tmp_path / "g")
+    write_silver(spark.createDataFrame([], SILVER_SCHEMA), silver)
+    gold, _ = build_gold(spark, silver, path)
+    assert gold.count() == 0
+    assert total_revenue(gold).first()[0] == 0.0
+    assert top_group(gold).count() == 0
+
+
+def test_insight_ties_and_nulls(spark):
+    gold = spark.createDataFrame(
+        [("b", 5.0, 1), ("a", 5.0, 2), ("n", None, 3)],
+        "diagnosis string, total_billing double, patient_count long",
+    )
+    assert top_group(gold).first().diagnosis == summary(gold).first().top_diagnosis == "a"
+
+
+def test_insight_dict_refuses_too_many_groups(spark):
+    gold = spark.range(5).select(
+        F.col("id").cast("string").alias("diagnosis"),
+        F.lit(1.0).alias("total_billing"),
+        F.lit(1).alias("patient_count"),
+    )
+    assert len(insight_dict(gold, max_groups=5)["patient_distribution"]) == 5
+    with pytest.raises(ValueError, match="distribution"):
+        insight_dict(gold, max_groups=4)
+
+
+def test_ingest_returns_the_frame_and_what_was_written(spark, csv_file, tmp_path):
+    visits, metric = ingest_bronze(spark, csv_file(FOUR_VISITS), str(tmp_path / "b"))
+    assert visits.count() == metric.row_count == 4
+    assert {"ingestion_timestamp", "source_file"} <= set(visits.columns)
+    assert spark.read.parquet(str(tmp_path / "b")).count() == 4
+
+
+def test_nan_billing_becomes_zero(spark, tmp_path):
+    bronze = str(tmp_path / "b")
+    spark.createDataFrame(
+        [(1, "A", 1, "d", day(1), float("nan"))], SILVER_DDL
+    ).write.parquet(bronze)
+    silver, _ = build_silver(spark, bronze, str(tmp_path / "s"))
+    assert silver.first().billing_amount == 0.0

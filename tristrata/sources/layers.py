@@ -1,5 +1,6 @@
 """Read and write the bronze, silver and gold Parquet layers."""
 
+import re
 from collections.abc import Iterable
 from functools import reduce
 
@@ -92,6 +93,8 @@ def write_bronze(
     if mode == "replace":
         mode, options = "overwrite", {"partitionOverwriteMode": "dynamic"}
     if load_id is not None:
+        if not re.fullmatch(r"[\w.-]+", load_id):
+            raise ValueError(f"load id may hold letters, digits, '_', '.', '-', got {load_id!r}")
         path, mode = f"{path.rstrip('/')}/{LOAD}={load_id}", "overwrite"
     if layout == "month":
         df = df.withColumn(MONTH, F.date_format("visit_date", "yyyy-MM"))

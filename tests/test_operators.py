@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from samples import BRONZE_DDL, BRONZE_ROWS, SILVER_DDL, SILVER_GOLD, SILVER_ROWS, day
 
-from tristrata.metrics import metrics_frame, observed_write
+from tristrata.metrics import measure_evaluation, metrics_frame, observed_write
 from tristrata.operators import (
     SideSize,
     agg_metrics,
@@ -120,14 +120,22 @@ def test_by_group_rounds_and_counts_known_ids_only(spark):
 
 
 def test_by_group_on_other_columns(spark):
-    df = spark.createDataFrame([("x", 1, 2.0, 3, day(1))], "g string, k int, a double, n int, d date")
+    ddl = "g string, k int, a double, n int, d date"
+    df = spark.createDataFrame([("x", 1, 2.0, 3, day(1))], ddl)
     row = by_group(df, "g", "k", "a", "n", "d").first()
     assert (row.g, row.total_billing, row.min_age) == ("x", 2.0, 3)
 
 
 def test_agg_metrics_drops_a_row_null_in_any_metric(spark):
-    rows = [("a", 1.0, 10.0), ("a", None, 20.0), ("a", 3.0, None), ("b", 5.0, 7.0), ("c", None, 1.0)]
-    result = agg_metrics(spark.createDataFrame(rows, "g string, x double, y double"), ["g"], ["x", "y"])
+    rows = [
+        ("a", 1.0, 10.0),
+        ("a", None, 20.0),
+        ("a", 3.0, None),
+        ("b", 5.0, 7.0),
+        ("c", None, 1.0),
+    ]
+    df = spark.createDataFrame(rows, "g string, x double, y double")
+    result = agg_metrics(df, ["g"], ["x", "y"])
     assert result.columns == ["g", "total_x", "avg_x", "count_x", "total_y", "avg_y", "count_y"]
     assert tuples(result) == [("a", 1.0, 1.0, 1, 10.0, 10.0, 1), ("b", 5.0, 5.0, 1, 7.0, 7.0, 1)]
     with pytest.raises(ValueError):
@@ -167,7 +175,8 @@ def test_rank_matches_brute_force(spark, single_task_rows):
 
 
 def test_ties_share_a_rank_and_the_next_skips(spark):
-    df = spark.createDataFrame([("a", 5.0), ("b", 5.0), ("c", 1.0)], "d string, total_billing double")
+    rows = [("a", 5.0), ("b", 5.0), ("c", 1.0)]
+    df = spark.createDataFrame(rows, "d string, total_billing double")
     assert sorted(r.billing_rank for r in global_rank(df).collect()) == [1, 1, 3]
 
 
@@ -256,6 +265,13 @@ def test_partitions_are_capped_and_never_raised(spark):
     assert cap_partitions(spark.range(0, 500, 1, 30), 7).rdd.getNumPartitions() == 7
 
 
+def test_capped_frame_can_be_cached(spark):
+    assert not cap_partitions(spark.range(3)).is_cached
+    cached = cap_partitions(spark.range(7), cache=True)
+    assert cached.is_cached
+    cached.unpersist()
+
+
 def test_cached_view(spark):
     cached = cached_view(spark.range(10).withColumn("noise", F.rand()), "noise_view")
     try:
@@ -314,6 +330,8 @@ def test_observed_write_counts_rows_and_extras(spark, tmp_path):
     assert (metric.operation, metric.row_count, metric.observed) == ("numbers", 50, {"top": 49})
     assert metric.duration_seconds > 0
     assert metric.rows_per_second == pytest.approx(50 / metric.duration_seconds)
+    evaluated = measure_evaluation("all", spark.range(20))
+    assert (evaluated.operation, evaluated.row_count) == ("all", 20)
     row = metrics_frame(spark, [metric]).first()
     assert (row.operation, row.row_count) == ("numbers", 50)
     assert row.throughput_rows_per_sec == pytest.approx(metric.rows_per_second)

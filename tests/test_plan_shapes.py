@@ -1,8 +1,10 @@
 """The physical plans the queries rely on at scale."""
 
+import contextlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from tristrata.operators import sized_join
@@ -33,6 +35,20 @@ LAZY = [
 ]
 
 
+@contextlib.contextmanager
+def conf(spark, **settings):
+    """Session settings for one block; ``__`` stands for a dot."""
+    keys = {f"spark.sql.{k.replace('__', '.')}": v for k, v in settings.items()}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize("name", LAZY)
 def test_no_python_workers_and_no_products(spark, plan, name):
     text = plan(contract.queries()[name](spark, SF_DIR))
@@ -55,11 +71,13 @@ def test_gold_is_aggregated_before_its_shuffle(spark, plan):
 
 
 def test_top_group_is_a_top_k(spark, plan):
-    assert "TakeOrderedAndProject" in plan(contract.queries()["insight_top_diagnosis"](spark, SF_DIR))
+    top = contract.queries()["insight_top_diagnosis"](spark, SF_DIR)
+    assert "TakeOrderedAndProject" in plan(top)
 
 
 def test_null_audit_is_one_pass(spark, plan):
-    assert plan(contract.queries()["silver_null_audit"](spark, SF_DIR), "simple").count("FileScan") == 2
+    audit = contract.queries()["silver_null_audit"](spark, SF_DIR)
+    assert plan(audit, "simple").count("FileScan") == 2
 
 
 def test_scans_read_only_the_columns_needed(spark, plan):
@@ -86,13 +104,32 @@ def test_date_range_prunes_folders(spark, plan, layout):
 
 
 def test_the_regular_join_is_not_forced(spark, plan):
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    try:
+    with conf(spark, autoBroadcastJoinThreshold=-1):
         assert "SortMergeJoin" in plan(contract.queries()["join_regular"](spark, SF_DIR))
         assert "BroadcastHashJoin" in plan(contract.queries()["join_broadcast"](spark, SF_DIR))
-        # Large nested sides are never proven small.
+        # Nested columns have no simple width, so such a side is never proven small.
         docs = table(spark, SF_DIR, "embeddings")
         assert "SortMergeJoin" in plan(sized_join(docs.select("vec_id"), docs, "vec_id"))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_a_hot_customer_is_split_over_join_tasks(spark, plan, tmp_path):
+    """One customer has a third of the orders and the customers are not broadcast."""
+    hot = F.when(F.col("o_orderkey") % 3 == 0, 7).otherwise(F.col("o_custkey"))
+    orders = table(spark, "/root/testdata/sf0.01", "orders").withColumn("o_custkey", hot)
+    orders.repartition(16).write.parquet(f"{tmp_path}/orders.parquet")
+    table(spark, "/root/testdata/sf0.01", "customer").write.parquet(f"{tmp_path}/customer.parquet")
+    expected = sorted(map(repr, silver_visits(spark, str(tmp_path)).collect()))
+    with conf(
+        spark,
+        shuffle__partitions=32,
+        autoBroadcastJoinThreshold=-1,
+        adaptive__autoBroadcastJoinThreshold=-1,
+        adaptive__advisoryPartitionSizeInBytes="8k",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="8k",
+    ):
+        silver = silver_visits(spark, str(tmp_path))
+        assert sorted(map(repr, silver.collect())) == expected
+        text = plan(silver, "simple")
+    final = text[: text.index("Initial Plan")]
+    assert "SortMergeJoin(skew=true)" in final
+    assert final.count("WindowGroupLimit") == 2

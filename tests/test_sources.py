@@ -199,12 +199,20 @@ def test_empty_layers_read_as_empty(spark, tmp_path):
         read_silver(spark, str(tmp_path / "never-written"))
 
 
+def test_a_known_schema_replaces_merging(spark, csv_file, tmp_path):
+    path, visits = str(tmp_path / "b"), read_visits(spark, csv_file(FOUR_VISITS))
+    write_bronze(visits, path)
+    narrow = T.StructType([BRONZE_SCHEMA["patient_id"], BRONZE_SCHEMA["visit_date"]])
+    df = read_bronze(spark, path, start="2024-01-02", schema=narrow)
+    assert df.columns == ["patient_id", "visit_date"]
+    assert sorted(r.patient_id for r in df.collect()) == [3, 4]
+
+
 def test_few_files_per_partition_value(spark, tmp_path):
     """Rows of a value spread over all tasks end in one file, not one per task."""
     path = tmp_path / "b"
-    df = spark.range(0, 4000, 1, 16).select(
-        "id", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 4).cast("int")).alias("visit_date")
-    )
+    date = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 4).cast("int"))
+    df = spark.range(0, 4000, 1, 16).select("id", date.alias("visit_date"))
     write_bronze(df, str(path))
     assert len(list(path.rglob("*.parquet"))) == 4
 

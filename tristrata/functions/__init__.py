@@ -6,7 +6,13 @@ from tristrata.functions.cleaning import (
     rejects,
     standardize,
 )
-from tristrata.functions.marks import after, between_dates, days_back, mark_before_latest, parse_mark
+from tristrata.functions.marks import (
+    after,
+    between_dates,
+    days_back,
+    mark_before_latest,
+    parse_mark,
+)
 
 __all__ = [
     "after",

@@ -41,6 +41,13 @@ def observed_write(
     return StepMetric(operation, values.pop("row_count", 0), seconds, values)
 
 
+def measure_evaluation(operation: str, df: DataFrame) -> StepMetric:
+    """Rows and time of evaluating every column of ``df``, keeping nothing."""
+    return observed_write(
+        operation, df, lambda d: d.write.format("noop").mode("overwrite").save()
+    )
+
+
 def metrics_frame(spark: SparkSession, metrics: list[StepMetric]) -> DataFrame:
     """One row per step: operation, row count, seconds, rows per second."""
     return spark.createDataFrame(

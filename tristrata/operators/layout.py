@@ -9,14 +9,16 @@ ROWS_PER_PARTITION = 1_000_000  # fixed value
 MAX_WRITE_PARTITIONS = 200  # fixed value
 
 
-def cap_partitions(df: DataFrame, cap: int | None = None) -> DataFrame:
+def cap_partitions(df: DataFrame, cap: int | None = None, cache: bool = False) -> DataFrame:
     """Reduce to ``cap`` partitions when there are more, without a shuffle.
 
-    The default is 100 or, on a larger cluster, one partition per core.
+    The default is 100 or, on a larger cluster, one partition per core. ``cache`` keeps
+    the result from its first use until the caller unpersists it.
     """
     if cap is None:
         cap = max(PARTITION_CAP, df.sparkSession.sparkContext.defaultParallelism)
-    return df.coalesce(cap)
+    capped = df.coalesce(cap)
+    return capped.persist() if cache else capped
 
 
 def cached_view(df: DataFrame, view: str, cap: int | None = None) -> DataFrame:
@@ -24,7 +26,7 @@ def cached_view(df: DataFrame, view: str, cap: int | None = None) -> DataFrame:
 
     Returns the cached frame, which the caller unpersists.
     """
-    cached = cap_partitions(df, cap).persist()
+    cached = cap_partitions(df, cap, cache=True)
     cached.createOrReplaceTempView(view)
     return cached
 

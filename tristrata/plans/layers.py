@@ -81,7 +81,7 @@ def build_silver(
         checked = bronze.transform(fill_defaults).transform(standardize)
         rejected = write_layer(rejects(checked), quarantine_path, "quarantine")
         log.info("quarantined %d rows", rejected.row_count)
-    return read_silver(spark, silver_path), metric
+    return read_silver(spark, silver_path, schema=silver.schema), metric
 
 
 def rank_groups(grouped: DataFrame) -> DataFrame:
@@ -90,10 +90,16 @@ def rank_groups(grouped: DataFrame) -> DataFrame:
 
 
 def build_gold(
-    spark: SparkSession, silver_path: str, gold_path: str
+    spark: SparkSession,
+    silver_path: str,
+    gold_path: str,
+    silver_schema: T.StructType | None = None,
 ) -> tuple[DataFrame, StepMetric]:
-    """Aggregate silver by diagnosis and rank the groups, replacing gold."""
-    grouped = by_group(read_silver(spark, silver_path))
+    """Aggregate silver by diagnosis and rank the groups, replacing gold.
+
+    ``silver_schema`` spares merging the schemas of silver's files.
+    """
+    grouped = by_group(read_silver(spark, silver_path, schema=silver_schema))
     gold = rank_groups(grouped).withColumn(GOLD_AT, F.current_timestamp())
     metric = write_gold(gold, gold_path)
     return read_gold(spark, gold_path), metric

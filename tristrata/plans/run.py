@@ -67,7 +67,7 @@ def run(
     try:
         _, metric = ingest_bronze(spark, source, bronze_path, since, **ingest_options)
         metrics.append(metric)
-        _, metric = build_silver(
+        silver, metric = build_silver(
             spark,
             bronze_path,
             silver_path,
@@ -77,7 +77,7 @@ def run(
             quarantine_path=f"{root.rstrip('/')}/quarantine" if quarantine else None,
         )
         metrics.append(metric)
-        gold, metric = build_gold(spark, silver_path, gold_path)
+        gold, metric = build_gold(spark, silver_path, gold_path, silver.schema)
         metrics.append(metric)
     except Exception as e:
         if raise_errors:

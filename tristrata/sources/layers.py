@@ -22,14 +22,18 @@ def read_layer(
     path: str,
     partition_types: dict[str, T.DataType] | None = None,
     when_empty: T.StructType | None = None,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """Read a layer with the schemas of all its files merged.
 
-    Values of partition folders are guessed from their text (``042`` would turn into the
-    number 42); ``partition_types`` puts the declared types back. A layer that was
-    written without any row has no data file; ``when_empty`` is its schema then. A path
-    that does not exist raises.
+    Merging opens the footer of every file; a caller that knows the ``schema`` passes it
+    and spares that. Values of partition folders are guessed from their text (``042``
+    would turn into the number 42); ``partition_types`` puts the declared types back. A
+    layer that was written without any row has no data file; ``when_empty`` is its
+    schema then. A path that does not exist raises.
     """
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
     try:
         merged = spark.read.option("mergeSchema", True).parquet(path)
     except AnalysisException as e:
@@ -72,6 +76,15 @@ def write_layer(
     return observed_write(operation, df, save, observe)
 
 
+def by_date_layout(df: DataFrame, layout: str) -> tuple[DataFrame, str]:
+    """The frame and its partition column for a ``day`` or ``month`` layout."""
+    if layout == "day":
+        return df, "visit_date"
+    if layout == "month":
+        return df.withColumn(MONTH, F.date_format("visit_date", "yyyy-MM")), MONTH
+    raise ValueError(f"layout is 'day' or 'month', got {layout!r}")
+
+
 def write_bronze(
     df: DataFrame,
     path: str,
@@ -96,12 +109,8 @@ def write_bronze(
         if not re.fullmatch(r"[\w.-]+", load_id):
             raise ValueError(f"load id may hold letters, digits, '_', '.', '-', got {load_id!r}")
         path, mode = f"{path.rstrip('/')}/{LOAD}={load_id}", "overwrite"
-    if layout == "month":
-        df = df.withColumn(MONTH, F.date_format("visit_date", "yyyy-MM"))
-    elif layout != "day":
-        raise ValueError(f"layout is 'day' or 'month', got {layout!r}")
-    partition = MONTH if layout == "month" else "visit_date"
-    return write_layer(df, path, "bronze", partition, mode, rebalance, options)
+    rows, partition = by_date_layout(df, layout)
+    return write_layer(rows, path, "bronze", partition, mode, rebalance, options)
 
 
 def read_bronze(
@@ -109,10 +118,11 @@ def read_bronze(
     path: str,
     start: Mark | None = None,
     end: Mark | None = None,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """Read bronze, optionally an inclusive date range, which prunes folders."""
     types = {"visit_date": T.DateType(), MONTH: T.StringType(), LOAD: T.StringType()}
-    df = read_layer(spark, path, types, BRONZE_SCHEMA)
+    df = read_layer(spark, path, types, BRONZE_SCHEMA, schema)
     for mark, keep in ((start, Column.__ge__), (end, Column.__le__)):
         if given(mark):
             bound = parse_mark(mark)
@@ -132,9 +142,14 @@ def write_silver(
     return write_layer(df, path, "silver", partition_by, observe=observe)
 
 
-def read_silver(spark: SparkSession, path: str, partition_by: str = "diagnosis") -> DataFrame:
+def read_silver(
+    spark: SparkSession,
+    path: str,
+    partition_by: str = "diagnosis",
+    schema: T.StructType | None = None,
+) -> DataFrame:
     """Read silver; the partition value stays text."""
-    return read_layer(spark, path, {partition_by: T.StringType()}, SILVER_SCHEMA)
+    return read_layer(spark, path, {partition_by: T.StringType()}, SILVER_SCHEMA, schema)
 
 
 def write_gold(df: DataFrame, path: str) -> StepMetric:

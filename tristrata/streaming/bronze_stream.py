@@ -1,14 +1,15 @@
 """Ingest only files that have not been ingested yet."""
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tristrata.schema import VISIT_SCHEMA
-from tristrata.sources.layers import MONTH
+from tristrata.sources.layers import by_date_layout
 from tristrata.sources.visits_csv import with_lineage
 
+MAX_FILES_PER_BATCH = 10_000
+
 
 def stream_bronze(
     spark: SparkSession,
@@ -18,25 +19,20 @@ def stream_bronze(
     *,
     schema: T.StructType = VISIT_SCHEMA,
     layout: str = "day",
-    max_files: int | None = None,
+    max_files: int = MAX_FILES_PER_BATCH,
 ) -> StreamingQuery:
     """Start a run over the files that arrived since the last one, then stop.
 
     The checkpoint remembers which files were taken and the sink's log which output
-    counts, so reruns and lost executors neither repeat nor drop rows. ``max_files``
-    bounds one micro-batch. A bronze path is fed by this stream or by batch writes, not
-    both: readers of a streamed path see only files in its log.
+    counts, so reruns and lost executors neither repeat nor drop rows. A backlog is
+    worked off in micro-batches of ``max_files``. A bronze path is fed by this stream or
+    by batch writes, not both: readers of a streamed path see only files in its log.
     """
     reader = spark.readStream.schema(schema).option("header", True)
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    visits = with_lineage(reader.csv(source_dir))
-    partition = "visit_date"
-    if layout == "month":
-        partition = MONTH
-        visits = visits.withColumn(MONTH, F.date_format("visit_date", "yyyy-MM"))
+    visits = with_lineage(reader.option("maxFilesPerTrigger", max_files).csv(source_dir))
+    rows, partition = by_date_layout(visits, layout)
     return (
-        visits.writeStream.format("parquet")
+        rows.writeStream.format("parquet")
         .option("path", bronze_path)
         .option("checkpointLocation", checkpoint)
         .partitionBy(partition)

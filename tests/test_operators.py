@@ -72,6 +72,12 @@ def test_dedup_with_a_key_holding_a_third_of_the_rows(spark):
     assert tuples(distinct_keys(df)) == sorted(((k,) for k in expected), key=repr)
 
 
+def test_survivor_among_rows_that_differ_in_a_map(spark):
+    df = spark.createDataFrame([(1, {"a": 1}), (1, {"a": 2})], "patient_id int, m map<string,int>")
+    assert latest_per_key(df).first().m == {"a": 2}
+    assert latest_per_key(df.orderBy(F.col("m")["a"].desc())).first().m == {"a": 2}
+
+
 def test_dedup_by_several_keys(spark):
     df = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (1, "a", 3)], "k int, g string, v int")
     assert tuples(latest_per_key(df, ("k", "g"), ("v",))) == [(1, "a", 3), (1, "b", 2)]
@@ -174,6 +180,12 @@ def test_rank_matches_brute_force(spark, single_task_rows):
     assert got == dict(enumerate(brute_rank(values)))
 
 
+def test_range_rank_of_nothing_but_ties(spark):
+    df = spark.range(300).select("id", F.lit(5.0).alias("total_billing"))
+    ranked = global_rank(df, single_task_rows=50)
+    assert ranked.groupBy("billing_rank").count().collect() == [(1, 300)]
+
+
 def test_ties_share_a_rank_and_the_next_skips(spark):
     rows = [("a", 5.0), ("b", 5.0), ("c", 1.0)]
     df = spark.createDataFrame(rows, "d string, total_billing double")

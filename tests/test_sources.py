@@ -1,5 +1,6 @@
 import datetime as dt
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -135,13 +136,33 @@ def test_replace_touches_only_the_dates_present(spark, csv_file, tmp_path):
     assert ages == {1: 99, 2: 99, 3: None, 4: 50}
 
 
+def test_months_are_not_replaced_for_a_single_date(spark, csv_file, tmp_path):
+    visits = read_visits(spark, csv_file(FOUR_VISITS))
+    with pytest.raises(ValueError, match="day"):
+        write_bronze(visits, str(tmp_path / "b"), mode="replace", layout="month")
+
+
+def test_overwriting_does_not_depend_on_the_session_default(spark, tmp_path):
+    path = str(tmp_path / "s")
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        for kinds in ("AB", "A"):
+            rows = [(i, kind) for i, kind in enumerate(kinds)]
+            write_silver(spark.createDataFrame(rows, "id int, diagnosis string"), path)
+    finally:
+        spark.conf.set(key, before)
+    assert [r.diagnosis for r in read_silver(spark, path).collect()] == ["A"]
+
+
 def test_a_load_id_makes_reruns_idempotent(spark, csv_file, tmp_path):
     path, visits = str(tmp_path / "b"), read_visits(spark, csv_file(FOUR_VISITS))
     write_bronze(visits, path, load_id="007")
     write_bronze(visits.filter("patient_id > 2"), path, load_id="008")
     write_bronze(visits.filter("patient_id > 2"), path, load_id="008")
     # A rerun with fewer dates leaves nothing of the first run behind.
-    write_bronze(visits.filter("patient_id > 3"), path, load_id="008")
+    write_bronze(visits.filter("patient_id > 3"), path, load_id="008", mode="replace")
     loads = read_bronze(spark, path).groupBy("load_id").count().collect()
     assert {tuple(r) for r in loads} == {("007", 4), ("008", 1)}
     with pytest.raises(ValueError, match="load id"):
@@ -217,6 +238,18 @@ def test_few_files_per_partition_value(spark, tmp_path):
     assert len(list(path.rglob("*.parquet"))) == 4
 
 
+def test_only_a_local_session_may_use_a_temporary_folder():
+    def session(master, folder=None):
+        conf = SimpleNamespace(get=lambda key, default: folder)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    shared = scratch_path(session("spark://host:7077", "hdfs://name/ckpt/"), "x")
+    assert shared.startswith("hdfs://name/ckpt/tristrata/x-")
+    assert Path(scratch_path(session("local[2]"), "x")).parents[1].is_dir()
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(session("spark://host:7077"), "x")
+
+
 def test_scratch_uses_the_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir", None)
     one, two = scratch_path(spark, "x"), scratch_path(spark, "x")

@@ -1,6 +1,6 @@
 """One row per key."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tristrata.schema import LOADED_AT
@@ -14,19 +14,27 @@ def latest_per_key(
 ) -> DataFrame:
     """Keep the newest row of each key; NULL keys form one group.
 
-    Rows equal in ``latest`` are told apart by their remaining columns, so the survivor
-    does not depend on the order of the input. ``unique`` says that ``latest`` already
-    decides, which spares reading columns only for that. The row-number filter is
-    applied per map task before the shuffle, so even a key that holds a third of the
-    rows sends one row per task.
+    Rows equal in ``latest`` are told apart by their remaining columns in order of name,
+    so the survivor depends neither on the order of the input nor on that of the columns.
+    ``unique`` says that ``latest`` already decides, which spares reading columns only
+    for that. The row-number filter is applied per map task before the shuffle, so even a
+    key that holds a third of the rows sends one row per task.
     """
     order = [c for c in latest if c in df.columns]
     if not unique:
-        order += [c for c in df.columns if c not in order and c not in keys]
-    newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+        order += sorted(c for c in df.columns if c not in order and c not in keys)
+    newest = Window.partitionBy(*keys).orderBy(
+        *[_comparable(df, c).desc_nulls_last() for c in order]
+    )
     return df.withColumn("_row", F.row_number().over(newest)).filter("_row = 1").drop("_row")
 
 
+def _comparable(df: DataFrame, column: str) -> Column:
+    """The column, as text where its type has no order."""
+    unordered = any(t in df.schema[column].dataType.simpleString() for t in ("map<", "variant"))
+    return F.to_json(column) if unordered else F.col(column)
+
+
 def distinct_keys(df: DataFrame, keys: tuple[str, ...] = ("patient_id",)) -> DataFrame:
     """The distinct keys alone; only the key columns are read and shuffled."""
     return df.select(*keys).distinct()

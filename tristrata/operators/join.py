@@ -52,13 +52,14 @@ def sized_join(
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     ratio: float = SMALL_SIDE_RATIO,
 ) -> DataFrame:
-    """Join on the column ``key`` of both sides; the result has it once, in front.
+    """Inner join on the column ``key`` of both sides; the result has it once, in front.
 
     The small side is broadcast when its size, given or measured by one pass over it, is
     within ``max_broadcast_bytes`` and, where ``large_rows`` is known, its row count is
     under ``ratio`` of that. Otherwise the join is left to the optimizer, which shuffles
     both sides and splits skewed keys at run time. A row ratio alone would not do: a
-    tenth of a huge table is still too large to send everywhere.
+    tenth of a huge table is still too large to send everywhere. For a side that is
+    costly to compute, give its size or set ``measure=False``.
     """
     size = small_size
     if size is None and measure:

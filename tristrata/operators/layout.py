@@ -57,6 +57,7 @@ def sized_write(
         "sized_write",
         df.hint("rebalance", *hint, partition_col),
         lambda d: d.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
         .option("maxRecordsPerFile", ROWS_PER_PARTITION)
         .partitionBy(partition_col)
         .parquet(path),

@@ -56,7 +56,7 @@ def write_layer(
     partition_by: str | None = None,
     mode: str = "overwrite",
     rebalance: bool = True,
-    options: dict | None = None,
+    overwrite: str = "static",
     observe: list[Column] | None = None,
 ) -> StepMetric:
     """Write Parquet and return what was written.
@@ -64,13 +64,15 @@ def write_layer(
     Rows are gathered by the partition column first, so a load spread over many tasks
     does not leave one small file per task and folder; a value too large for one task is
     split at run time into files of the advisory size. ``rebalance=False`` spares that
-    shuffle for loads whose tasks hold few partition values each.
+    shuffle for loads whose tasks hold few partition values each. Mode ``overwrite``
+    replaces everything, or with ``overwrite="dynamic"`` the partitions present in ``df``;
+    the default of the session does not matter.
     """
     if partition_by and rebalance:
         df = df.hint("rebalance", partition_by)
 
     def save(rows: DataFrame) -> None:
-        writer = rows.write.mode(mode).options(**(options or {}))
+        writer = rows.write.mode(mode).option("partitionOverwriteMode", overwrite)
         (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
 
     return observed_write(operation, df, save, observe)
@@ -98,19 +100,21 @@ def write_bronze(
 
     ``mode`` is a Spark save mode, or ``"replace"`` to overwrite just the dates present in
     ``df`` (for sources that resend whole dates). With ``load_id`` the rows form a load of
-    their own that a rerun with the same id replaces as a whole. ``layout="month"`` makes
-    one folder per month where days are too small to be files of their own. All loads of
-    one path use the same layout and either all or none have an id.
+    their own that a rerun with the same id replaces as a whole, whatever the mode.
+    ``layout="month"`` makes one folder per month where days are too small to be files of
+    their own. All loads of one path use the same layout and either all or none have an id.
     """
-    options = {}
-    if mode == "replace":
-        mode, options = "overwrite", {"partitionOverwriteMode": "dynamic"}
+    overwrite = "static"
+    if mode == "replace" and load_id is None:
+        if layout != "day":
+            raise ValueError("only a layout by day can replace single dates")
+        mode, overwrite = "overwrite", "dynamic"
     if load_id is not None:
         if not re.fullmatch(r"[\w.-]+", load_id):
             raise ValueError(f"load id may hold letters, digits, '_', '.', '-', got {load_id!r}")
         path, mode = f"{path.rstrip('/')}/{LOAD}={load_id}", "overwrite"
     rows, partition = by_date_layout(df, layout)
-    return write_layer(rows, path, "bronze", partition, mode, rebalance, options)
+    return write_layer(rows, path, "bronze", partition, mode, rebalance, overwrite)
 
 
 def read_bronze(
@@ -136,10 +140,11 @@ def write_silver(
     df: DataFrame,
     path: str,
     partition_by: str = "diagnosis",
+    rebalance: bool = True,
     observe: list[Column] | None = None,
 ) -> StepMetric:
     """Replace silver, partitioned by diagnosis."""
-    return write_layer(df, path, "silver", partition_by, observe=observe)
+    return write_layer(df, path, "silver", partition_by, rebalance=rebalance, observe=observe)
 
 
 def read_silver(

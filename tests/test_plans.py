@@ -1,4 +1,6 @@
+import datetime as dt
 import logging
+import random
 from pathlib import Path
 
 import pytest
@@ -31,8 +33,8 @@ from tristrata.plans import (
     total_revenue,
 )
 from tristrata.plans.catalogue import GOLD_COLUMNS
-from tristrata.schema import GOLD_AT, SILVER_AT, SILVER_SCHEMA
-from tristrata.sources import write_silver
+from tristrata.schema import BRONZE_SCHEMA, GOLD_AT, SILVER_AT, SILVER_SCHEMA
+from tristrata.sources import read_silver, read_visits, write_bronze, write_silver
 
 EMPTY = "patient_id,name,age,diagnosis,visit_date,billing_amount\n"
 
@@ -57,6 +59,15 @@ def test_six_visit_sample(spark, csv_file, tmp_path):
     insights = result.insights()
     assert insights["total_revenue"] == 1550.0
     assert len(insights["patient_distribution"]) == 3
+    given = run(
+        spark,
+        csv_file(SIX_VISITS),
+        str(tmp_path / "given"),
+        bronze_schema=BRONZE_SCHEMA,
+        quarantine=True,
+    )
+    assert given.insights()["total_revenue"] == 1550.0
+    assert spark.read.parquet(str(tmp_path / "given/quarantine")).count() == 0
     report = [tuple(r) for r in result.report().collect()]
     assert report == [("bronze", "success", 6), ("silver", "success", 6), ("gold", "success", 3)]
 
@@ -74,6 +85,43 @@ def test_incremental_load_recomputes_over_all_history(spark, csv_file, tmp_path)
     assert later.insights()["total_revenue"] == 1550.0
 
 
+def test_folding_equals_rebuilding(spark, tmp_path):
+    rng = random.Random(5)
+    bronze, silver, folded = (str(tmp_path / n) for n in ("b", "s", "f"))
+    columns = [c for c in SILVER_SCHEMA.names if c != SILVER_AT]
+    for load in range(3):
+        since = f"2024-01-{9 * load:02d}" if load else None
+        rows = [
+            (
+                rng.choice([None, *range(12)]),
+                rng.choice([None, "A ", "B"]),
+                rng.choice([None, 10, 151]),
+                rng.choice([None, "", "x", "y "]),
+                day(rng.randrange(9 * load + 1, 9 * load + 10)),
+                rng.choice([None, 5.0, 7.5, -1.0]),
+                dt.datetime(2024, 2, load + 1),
+                "f.csv",
+            )
+            for _ in range(40)
+        ]
+        write_bronze(spark.createDataFrame(rows, BRONZE_SCHEMA), bronze, rebalance=False)
+        build_silver(spark, bronze, silver)
+        again, metric = build_silver(spark, bronze, folded, since=since)
+        got, expected = (
+            sorted(map(repr, df.select(*columns).collect()))
+            for df in (again, read_silver(spark, silver))
+        )
+        assert got == expected
+        assert metric.row_count == len(expected)
+
+
+def test_folding_without_a_silver_takes_all_of_bronze(spark, csv_file, tmp_path):
+    root = str(tmp_path / "out")
+    write_bronze(read_visits(spark, csv_file(FOUR_VISITS)), f"{root}/bronze")
+    result = run(spark, csv_file(SIX_VISITS, "b.csv"), root, "2024-01-03", fold=True)
+    assert result.insights()["total_revenue"] == 1550.0
+
+
 def test_days_back_run_is_empty_for_old_visits(spark, csv_file, tmp_path):
     result = incremental_run(spark, csv_file(SIX_VISITS), str(tmp_path / "out"), days=1)
     assert [m.row_count for m in result.metrics] == [0, 0, 0]

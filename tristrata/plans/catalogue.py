@@ -269,6 +269,16 @@ def incremental_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_gold(stored_run(spark, sf_dir, since=MARK))
 
 
+def incremental_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first load, then later visits folded into the silver it left."""
+    seen, root = visits(spark, sf_dir), scratch_path(spark, "fold")
+    options = dict(latest=NEWEST_VISIT, unique=True, schema=WIDE_SCHEMA, layout="month")
+    earlier = seen.filter(F.col("visit_date") <= F.lit(MARK).cast("date"))
+    run(spark, write_visit_files(earlier), root, **options)
+    later = write_visit_files(after(seen, MARK))
+    return stored_gold(run(spark, later, root, MARK, fold=True, **options))
+
+
 def trend_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cents(monthly_trend(clean(visits(spark, sf_dir))), "total_billing")
 
@@ -323,6 +333,7 @@ QUERIES: dict[str, Query] = {
     "medallion_full": medallion_full,
     "medallion_stored": medallion_stored,
     "incremental_run": incremental_run,
+    "incremental_fold": incremental_fold,
     "trend_monthly": trend_monthly,
     "stream_bronze": streamed_bronze,
 }

@@ -2,12 +2,13 @@
 
 import logging
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tristrata.functions.cleaning import apply_rules, fill_defaults, rejects, standardize
-from tristrata.functions.marks import Mark
+from tristrata.functions.marks import Mark, after, given
 from tristrata.metrics import StepMetric
 from tristrata.operators.aggregate import by_group
 from tristrata.operators.audit import null_counts
@@ -15,6 +16,7 @@ from tristrata.operators.dedup import latest_per_key
 from tristrata.operators.rank import global_rank
 from tristrata.schema import GOLD_AT, LOADED_AT, SILVER_AT, VISIT_SCHEMA
 from tristrata.sources.layers import (
+    evolve,
     read_bronze,
     read_gold,
     read_silver,
@@ -23,6 +25,7 @@ from tristrata.sources.layers import (
     write_layer,
     write_silver,
 )
+from tristrata.sources.scratch import store
 from tristrata.sources.visits_csv import read_visits
 
 log = logging.getLogger(__name__)
@@ -60,20 +63,34 @@ def build_silver(
     keys: tuple[str, ...] = ("patient_id",),
     latest: tuple[str, ...] = LATEST,
     unique: bool = False,
+    since: Mark | None = None,
     quarantine_path: str | None = None,
+    bronze_schema: T.StructType | None = None,
+    rebalance: bool = True,
 ) -> tuple[DataFrame, StepMetric]:
     """Clean and deduplicate all of bronze, replacing silver.
 
+    With ``since`` only bronze after that mark is read and folded into the silver that
+    exists. Where bronze only grows and each load was folded in with the mark it was
+    ingested by, that gives the same as all of bronze, as the latest of the latest is the
+    latest. Without a silver to fold into, bronze is taken from its beginning.
+
     NULLs in required fields are counted by the write and logged, and the rows stay. With
-    ``quarantine_path`` the rows that break a rule are written there with their reasons.
+    ``quarantine_path`` all rows of bronze that break a rule are written there with their
+    reasons.
+    ``bronze_schema`` spares merging the schemas of bronze's files, ``rebalance=False``
+    the shuffle by diagnosis.
     """
-    bronze = read_bronze(spark, bronze_path)
-    silver = (
-        bronze.transform(clean)
-        .transform(latest_per_key, keys, latest, unique)
-        .withColumn(SILVER_AT, F.current_timestamp())
-    )
-    metric = write_silver(silver, silver_path, observe=null_counts())
+    bronze = read_bronze(spark, bronze_path, schema=bronze_schema)
+    present = existing_silver(spark, silver_path) if given(since) else None
+    if present is None:
+        silver = clean(bronze).transform(latest_per_key, keys, latest, unique)
+    else:
+        both = evolve([present.drop(SILVER_AT), clean(after(bronze, since))])
+        folded = both.transform(latest_per_key, keys, latest, unique)
+        silver, _ = store(folded, "silver")  # its input is about to be replaced
+    silver = silver.withColumn(SILVER_AT, F.current_timestamp())
+    metric = write_silver(silver, silver_path, rebalance=rebalance, observe=null_counts())
     for field, nulls in metric.observed.items():
         if nulls:
             log.warning("silver has %d NULLs (%s)", nulls, field)
@@ -84,6 +101,16 @@ def build_silver(
     return read_silver(spark, silver_path, schema=silver.schema), metric
 
 
+def existing_silver(spark: SparkSession, path: str) -> DataFrame | None:
+    """Silver, or None where none was written yet."""
+    try:
+        return read_silver(spark, path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def rank_groups(grouped: DataFrame) -> DataFrame:
     """Add ``billing_rank`` by total billing."""
     return global_rank(grouped, "total_billing", "billing_rank")

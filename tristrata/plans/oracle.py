@@ -199,6 +199,7 @@ UNION ALL SELECT 'gold', 'success', count(*) FROM grouped""",
     "incremental_run": _with(
         *_TO_CLEAN, _silver(_SINCE), GROUPED, RANKED, select="SELECT * FROM ranked"
     ),
+    "incremental_fold": _with(*_TO_RANKED, select="SELECT * FROM ranked"),
     "trend_monthly": _with(
         *_TO_CLEAN,
         select="""

@@ -4,6 +4,7 @@ import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tristrata.functions.marks import Mark, days_back
 from tristrata.metrics import StepMetric
@@ -51,13 +52,17 @@ def run(
     keys: tuple[str, ...] = ("patient_id",),
     latest: tuple[str, ...] = LATEST,
     unique: bool = False,
+    fold: bool = False,
     quarantine: bool = False,
+    bronze_schema: T.StructType | None = None,
     raise_errors: bool = True,
     **ingest_options,
 ) -> RunResult:
     """Ingest ``source`` after ``since`` into ``root``/bronze, then rebuild silver and gold.
 
-    Silver and gold always cover all of bronze. With ``raise_errors=False`` a failure is
+    Silver and gold cover all of bronze, whose schema may be given where it is known.
+    ``fold`` spares reading the history again where bronze only grows: what is after
+    ``since`` is folded into the silver that exists, see :func:`build_silver`. With ``raise_errors=False`` a failure is
     returned instead of raised. The caller's session is never stopped.
     """
     bronze_path, silver_path, gold_path = (
@@ -74,7 +79,9 @@ def run(
             keys=keys,
             latest=latest,
             unique=unique,
+            since=since if fold else None,
             quarantine_path=f"{root.rstrip('/')}/quarantine" if quarantine else None,
+            bronze_schema=bronze_schema,
         )
         metrics.append(metric)
         gold, metric = build_gold(spark, silver_path, gold_path, silver.schema)

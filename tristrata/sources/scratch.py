@@ -1,5 +1,7 @@
 """Intermediate tables in the folder every executor can reach."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -20,6 +22,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="tristrata-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
     return f"{base.rstrip('/')}/tristrata/{label}-{uuid.uuid4().hex}"
 
 

@@ -19,6 +19,7 @@ from tristrata.sources.layers import (
     evolve,
     read_bronze,
     read_gold,
+    read_layer,
     read_silver,
     write_bronze,
     write_gold,
@@ -73,13 +74,13 @@ def build_silver(
     With ``since`` only bronze after that mark is read and folded into the silver that
     exists. Where bronze only grows and each load was folded in with the mark it was
     ingested by, that gives the same as all of bronze, as the latest of the latest is the
-    latest. Without a silver to fold into, bronze is taken from its beginning.
+    latest. Without a silver to fold into, bronze is taken from its beginning; after a
+    run that failed, rebuild once without ``since``.
 
     NULLs in required fields are counted by the write and logged, and the rows stay. With
     ``quarantine_path`` all rows of bronze that break a rule are written there with their
-    reasons.
-    ``bronze_schema`` spares merging the schemas of bronze's files, ``rebalance=False``
-    the shuffle by diagnosis.
+    reasons. ``bronze_schema`` spares merging the schemas of bronze's files,
+    ``rebalance=False`` the shuffle by diagnosis.
     """
     bronze = read_bronze(spark, bronze_path, schema=bronze_schema)
     present = existing_silver(spark, silver_path) if given(since) else None
@@ -102,11 +103,11 @@ def build_silver(
 
 
 def existing_silver(spark: SparkSession, path: str) -> DataFrame | None:
-    """Silver, or None where none was written yet."""
+    """Silver, or None where none was written yet or a failed write left it without files."""
     try:
-        return read_silver(spark, path)
+        return read_layer(spark, path, {"diagnosis": T.StringType()})
     except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return None
 

@@ -7,7 +7,6 @@ from samples import BRONZE_DDL, BRONZE_ROWS, SILVER_DDL, SILVER_GOLD, SILVER_ROW
 
 from tristrata.metrics import measure_evaluation, metrics_frame, observed_write
 from tristrata.operators import (
-    SideSize,
     agg_metrics,
     by_group,
     cached_view,
@@ -15,7 +14,6 @@ from tristrata.operators import (
     distinct_keys,
     global_rank,
     latest_per_key,
-    measure_side,
     monthly_trend,
     null_audit,
     sized_join,
@@ -23,6 +21,7 @@ from tristrata.operators import (
     write_partitions,
 )
 from tristrata.plans import clean
+from tristrata.sizes import Size, measure
 
 
 def tuples(df):
@@ -180,6 +179,18 @@ def test_rank_matches_brute_force(spark, single_task_rows):
     assert got == dict(enumerate(brute_rank(values)))
 
 
+def test_rows_without_a_size_bound_are_ranked_by_ranges(spark, plan):
+    rows = [([1], 3.0), ([2], 5.0), ([3], None), ([4], 5.0)]
+    ranked = global_rank(spark.createDataFrame(rows, "d array<int>, total_billing double"))
+    assert "_slice" in plan(ranked)
+    assert {tuple(r.d): r.billing_rank for r in ranked.collect()} == {
+        (1,): 3,
+        (2,): 1,
+        (3,): 4,
+        (4,): 1,
+    }
+
+
 def test_range_rank_of_nothing_but_ties(spark):
     df = spark.range(300).select("id", F.lit(5.0).alias("total_billing"))
     ranked = global_rank(df, single_task_rows=50)
@@ -223,7 +234,7 @@ def test_join_results_do_not_depend_on_the_strategy(sides, spark):
     for other in (
         sized_join(large, small, "k", max_broadcast_bytes=0),
         sized_join(large, small, "k", large_rows=30),
-        sized_join(large, small, "k", measure=False),
+        sized_join(large, small, "k", measured=False),
     ):
         assert tuples(other) == tuples(joined)
 
@@ -241,20 +252,21 @@ def test_join_broadcasts_only_within_the_bounds(sides, spark, plan):
         assert broadcasts(large_rows=1000)
         assert not broadcasts(large_rows=250)  # 25 rows are not under a tenth of 250
         assert not broadcasts(max_broadcast_bytes=1000)
-        assert not broadcasts(small_size=SideSize(25, 10**12))
-        assert broadcasts(small_size=SideSize(25, 1000), large_rows=1000)
-        assert not broadcasts(measure=False)
+        assert not broadcasts(small_size=Size(25, 10**12))
+        assert broadcasts(small_size=Size(25, 1000), large_rows=1000)
+        assert not broadcasts(measured=False)
+        assert not broadcasts(small_size=Size(25, None))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
 def test_measured_size_grows_with_rows_and_text(spark):
-    one = measure_side(spark.createDataFrame([(1, "ab", None)], "k int, s string, t string"))
-    long = measure_side(spark.createDataFrame([(1, "é" * 50, "x")], "k int, s string, t string"))
+    one = measure(spark.createDataFrame([(1, "ab", None)], "k int, s string, t string"))
+    long = measure(spark.createDataFrame([(1, "é" * 50, "x")], "k int, s string, t string"))
     assert one.rows == 1 and long.bytes == one.bytes + 99
-    assert measure_side(spark.range(10)).bytes == 10 * measure_side(spark.range(1)).bytes
-    assert measure_side(spark.range(0)) == SideSize(0, 0)
-    assert measure_side(spark.range(1).select(F.array("id"))) is None
+    assert measure(spark.range(10)).bytes == 10 * measure(spark.range(1)).bytes
+    assert measure(spark.range(0)) == Size(0, 0)
+    assert measure(spark.range(1).select(F.array("id"))) == Size(1, None)
 
 
 def test_join_drops_null_keys_and_multiplies_matches(spark):

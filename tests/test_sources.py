@@ -20,6 +20,7 @@ from tristrata.sources import (
     write_bronze,
     write_silver,
 )
+from tristrata.sizes import Size, measure
 
 DOCTOR_SCHEMA = T.StructType(VISIT_SCHEMA.fields + [T.StructField("doctor_id", T.StringType())])
 
@@ -260,8 +261,8 @@ def test_scratch_uses_the_shared_folder(spark):
 
 def test_store_counts_and_freezes(spark):
     df = spark.range(100).withColumn("noise", F.rand())
-    stored, rows = store(df, "noise")
-    assert rows == 100
+    stored, size = store(df, "noise")
+    assert size == measure(stored) and size.rows == 100
     assert stored.agg(F.sum("noise")).first() == stored.agg(F.sum("noise")).first()
     empty, none = store(df.filter("id < 0"), "nothing")
-    assert none == 0 and empty.count() == 0
+    assert none == Size(0, 0) and empty.count() == 0

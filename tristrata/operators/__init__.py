@@ -3,7 +3,7 @@
 from tristrata.operators.aggregate import agg_metrics, by_group, monthly_trend
 from tristrata.operators.audit import null_audit, null_counts
 from tristrata.operators.dedup import distinct_keys, latest_per_key
-from tristrata.operators.join import SideSize, measure_side, sized_join
+from tristrata.operators.join import sized_join
 from tristrata.operators.layout import (
     cached_view,
     cap_partitions,
@@ -13,7 +13,6 @@ from tristrata.operators.layout import (
 from tristrata.operators.rank import global_rank
 
 __all__ = [
-    "SideSize",
     "agg_metrics",
     "by_group",
     "cached_view",
@@ -21,7 +20,6 @@ __all__ = [
     "distinct_keys",
     "global_rank",
     "latest_per_key",
-    "measure_side",
     "monthly_trend",
     "null_audit",
     "null_counts",

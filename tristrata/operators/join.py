@@ -1,44 +1,12 @@
 """Inner join on one key that broadcasts only a side measured to be small."""
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tristrata.sizes import Size, measure
 
 MAX_BROADCAST_BYTES = 64 << 20
 SMALL_SIDE_RATIO = 0.1  # fixed value: the small side has under a tenth of the rows
-_ROW_OVERHEAD_BYTES = 32
-_FIELD_BYTES = 8
-_FIXED_WIDTH = (
-    T.NumericType,
-    T.BooleanType,
-    T.DateType,
-    T.TimestampType,
-    T.TimestampNTZType,
-)
-
-
-@dataclass(frozen=True)
-class SideSize:
-    """Rows and in-memory bytes of a join side."""
-
-    rows: int
-    bytes: int
-
-
-def measure_side(df: DataFrame) -> SideSize | None:
-    """Exact rows and a row-format size, in one aggregate over ``df``.
-
-    None when a column has no simple width (nested data), so nothing is proven.
-    """
-    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType | T.BinaryType)]
-    if not all(f.name in texts or isinstance(f.dataType, _FIXED_WIDTH) for f in df.schema):
-        return None
-    fixed = F.lit(_ROW_OVERHEAD_BYTES + 2 * _FIELD_BYTES * len(df.columns)).cast("long")
-    width = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), fixed)
-    size = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
-    return SideSize(size["rows"], size["bytes"] or 0)
 
 
 def sized_join(
@@ -46,9 +14,9 @@ def sized_join(
     small: DataFrame,
     key: str,
     *,
-    small_size: SideSize | None = None,
+    small_size: Size | None = None,
     large_rows: int | None = None,
-    measure: bool = True,
+    measured: bool = True,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     ratio: float = SMALL_SIDE_RATIO,
 ) -> DataFrame:
@@ -59,16 +27,16 @@ def sized_join(
     under ``ratio`` of that. Otherwise the join is left to the optimizer, which shuffles
     both sides and splits skewed keys at run time. A row ratio alone would not do: a
     tenth of a huge table is still too large to send everywhere. For a side that is
-    costly to compute, give its size or set ``measure=False``.
+    costly to compute, give its size or set ``measured=False``.
     """
     size = small_size
-    if size is None and measure:
+    if size is None and measured:
         # Counting reads no columns, so it goes first where it may settle the matter.
         worth_it = large_rows is None or small.count() < ratio * large_rows
-        size = measure_side(small) if worth_it else None
+        size = measure(small) if worth_it else None
     fits = (
         size is not None
-        and size.bytes <= max_broadcast_bytes
+        and size.within(max_broadcast_bytes)
         and (large_rows is None or size.rows < ratio * large_rows)
     )
     return large.join(F.broadcast(small) if fits else small, key)

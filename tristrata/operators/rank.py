@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tristrata.sources.scratch import store
 
 SINGLE_TASK_ROWS = 1_000_000
+SINGLE_TASK_BYTES = 256 << 20
 
 
 def global_rank(
@@ -17,13 +18,14 @@ def global_rank(
     """Rank by ``amount`` descending; ties share a rank and the next one skips.
 
     The input is stored once, which gives its exact size. Up to ``single_task_rows``
-    rows an ordinary global window does; beyond that the ranking is done by ranges.
+    rows of bounded bytes an ordinary global window does; beyond that the ranking is done
+    by ranges.
     """
-    stored, rows = store(df, "rank-input")
-    if rows <= single_task_rows:
+    stored, size = store(df, "rank-input")
+    if size.rows <= single_task_rows and size.within(SINGLE_TASK_BYTES):
         everything = Window.orderBy(F.col(amount).desc_nulls_last())
         return stored.withColumn(name, F.rank().over(everything))
-    return _rank_by_ranges(stored, amount, name, slices=rows // single_task_rows + 1)
+    return _rank_by_ranges(stored, amount, name, slices=size.rows // single_task_rows + 1)
 
 
 def _rank_by_ranges(stored: DataFrame, amount: str, name: str, slices: int) -> DataFrame:

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from tristrata.metrics import observed_write
+from tristrata.sizes import Size, total_bytes
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -26,13 +27,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/tristrata/{label}-{uuid.uuid4().hex}"
 
 
-def store(df: DataFrame, label: str) -> tuple[DataFrame, int]:
-    """Write ``df`` once and return the stored table with its exact row count.
+def store(df: DataFrame, label: str) -> tuple[DataFrame, Size]:
+    """Write ``df`` once and return the stored table with its size, measured by the write.
 
     Later branches read the files, so they agree on every value and neither repeats
     the work above nor depends on executors that may have gone.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    metric = observed_write(label, df, lambda d: d.write.parquet(path))
-    return spark.read.schema(df.schema).parquet(path), metric.row_count
+    measured = total_bytes(df.schema)
+    metric = observed_write(
+        label,
+        df,
+        lambda d: d.write.parquet(path),
+        None if measured is None else [measured],
+    )
+    stored = spark.read.schema(df.schema).parquet(path)
+    return stored, Size(metric.row_count, metric.observed.get("bytes"))

@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
-from samples import BRONZE_DDL, BRONZE_ROWS
+from samples import BRONZE, LOADED_DDL, frame
 
 from tristrata.functions import (
     after,
@@ -48,7 +48,7 @@ def test_rules_keep_the_bounds(spark):
 
 
 def test_clean_sample(spark):
-    done = clean(spark.createDataFrame(BRONZE_ROWS, BRONZE_DDL))
+    done = clean(frame(spark, BRONZE, LOADED_DDL))
     assert done.count() == 6
     for c in ("age", "billing_amount", "diagnosis", "name"):
         assert done.filter(F.col(c).isNull()).count() == 0
@@ -57,8 +57,8 @@ def test_clean_sample(spark):
 
 
 def test_rejects_are_the_complement_with_reasons(spark):
-    rows = BRONZE_ROWS + [(8, "X", -5, "d", None, -1.0, None)]
-    df = spark.createDataFrame(rows, BRONZE_DDL).transform(fill_defaults).transform(standardize)
+    rows = frame(spark, BRONZE + "8,X,-5,d,,-1.0,\n", LOADED_DDL)
+    df = rows.transform(fill_defaults).transform(standardize)
     rejected = {r.patient_id: r.reject_reasons for r in rejects(df).collect()}
     assert rejected == {
         6: ["age_out_of_range"],

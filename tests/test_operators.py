@@ -3,7 +3,7 @@ from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
-from samples import BRONZE_DDL, BRONZE_ROWS, SILVER_DDL, SILVER_GOLD, SILVER_ROWS, day
+from samples import BRONZE, LOADED_DDL, SILVER, SILVER_GOLD, VISIT_DDL, day, frame
 
 from tristrata.metrics import measure_evaluation, metrics_frame, observed_write
 from tristrata.operators import (
@@ -32,7 +32,7 @@ def tuples(df):
 
 
 def test_latest_visit_survives(spark):
-    kept = latest_per_key(clean(spark.createDataFrame(BRONZE_ROWS, BRONZE_DDL))).collect()
+    kept = latest_per_key(clean(frame(spark, BRONZE, LOADED_DDL))).collect()
     assert sorted(r.patient_id for r in kept) == [1, 2, 3, 4, 5]
     assert {r.ingestion_timestamp for r in kept if r.patient_id == 2} == {"2024-01-01 11:00:00"}
 
@@ -100,7 +100,7 @@ def test_null_audit_counts_each_field_and_keeps_zeroes(spark):
 
 
 def test_by_group_sample(spark):
-    gold = by_group(spark.createDataFrame(SILVER_ROWS, SILVER_DDL))
+    gold = by_group(frame(spark, SILVER, VISIT_DDL))
     got = {r.diagnosis: (r.total_billing, r.avg_billing, r.patient_count) for r in gold.collect()}
     assert got == {d: v[:3] for d, v in SILVER_GOLD.items()}
     assert dict(gold.dtypes) == {

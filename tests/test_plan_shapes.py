@@ -5,12 +5,13 @@ import re
 
 import pytest
 from pyspark.sql import functions as F
+from samples import FOUR_VISITS
 
 import __spark_entry__ as contract
 from tristrata.operators import sized_join
 from tristrata.plans.catalogue import gold_groups, silver_visits
 from tristrata.plans.visits import table, visits
-from tristrata.sources import read_bronze, scratch_path, write_bronze
+from tristrata.sources import read_bronze, read_visits, scratch_path, write_bronze
 
 SF_DIR = "/root/testdata/sf0.001"
 LAZY = [
@@ -133,3 +134,9 @@ def test_a_hot_customer_is_split_over_join_tasks(spark, plan, tmp_path):
     final = text[: text.index("Initial Plan")]
     assert "SortMergeJoin(skew=true)" in final
     assert final.count("WindowGroupLimit") == 2
+
+
+def test_an_incremental_read_filters_in_the_scan(spark, plan, csv_file):
+    df = read_visits(spark, csv_file(FOUR_VISITS), since="2024-01-01")
+    [pushed] = re.findall(r"PushedFilters: (.*)", plan(df))
+    assert "GreaterThan(visit_date,2024-01-01)" in pushed

@@ -6,17 +6,18 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 from samples import (
-    BRONZE_DDL,
-    BRONZE_ROWS,
+    BRONZE,
     CORRUPT,
     FOUR_VISITS,
-    SILVER_DDL,
+    LOADED_DDL,
+    SILVER,
     SILVER_GOLD,
-    SILVER_ROWS,
     SIX_VISITS,
     TEN_VISITS,
     TEN_VISITS_GOLD,
+    VISIT_DDL,
     day,
+    frame,
 )
 
 from tristrata.plans import (
@@ -183,8 +184,7 @@ def test_corrupt_input(spark, csv_file, tmp_path):
 
 def test_silver_build(spark, tmp_path, caplog):
     bronze, silver, rejected = (str(tmp_path / n) for n in ("b", "s", "q"))
-    rows = BRONZE_ROWS + [(None, "N", 1, "D", None, 1.0, None)]
-    spark.createDataFrame(rows, BRONZE_DDL).write.parquet(bronze)
+    frame(spark, BRONZE + ",N,1,D,,1.0,\n", LOADED_DDL).write.parquet(bronze)
     with caplog.at_level(logging.WARNING):
         built, metric = build_silver(spark, bronze, silver, quarantine_path=rejected)
     assert SILVER_AT in built.columns
@@ -204,7 +204,7 @@ def test_silver_build(spark, tmp_path, caplog):
 
 def test_gold_build_and_insights(spark, tmp_path):
     silver, path = str(tmp_path / "s"), str(tmp_path / "g")
-    spark.createDataFrame(SILVER_ROWS, SILVER_DDL).write.parquet(silver)
+    frame(spark, SILVER, VISIT_DDL).write.parquet(silver)
     gold, metric = build_gold(spark, silver, path)
     assert metric.row_count == 3
     assert {r.diagnosis: r.billing_rank for r in gold.collect()} == {
@@ -265,8 +265,7 @@ def test_ingest_returns_the_frame_and_what_was_written(spark, csv_file, tmp_path
 
 def test_nan_billing_becomes_zero(spark, tmp_path):
     bronze = str(tmp_path / "b")
-    spark.createDataFrame(
-        [(1, "A", 1, "d", day(1), float("nan"))], SILVER_DDL
-    ).write.parquet(bronze)
+    rows = [(1, "A", 1, "d", day(1), float("nan"))]
+    spark.createDataFrame(rows, VISIT_DDL).write.parquet(bronze)
     silver, _ = build_silver(spark, bronze, str(tmp_path / "s"))
     assert silver.first().billing_amount == 0.0

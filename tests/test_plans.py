@@ -174,7 +174,9 @@ def test_reruns_give_equal_insights(spark, csv_file, tmp_path, options):
 
 def test_corrupt_input(spark, csv_file, tmp_path):
     root = tmp_path / "out"
-    result = run(spark, csv_file(CORRUPT), str(root))
+    result = run(spark, csv_file(CORRUPT), str(root), quarantine=True)
+    kept = spark.read.parquet(str(root / "malformed")).collect()
+    assert sorted(r.raw_line.split(",")[0] for r in kept) == ["2", "3"]
     assert result.metrics[1].row_count == 3
     assert result.metrics[1].observed["null_visit_date"] == 1
     silver = {r.patient_id: r for r in spark.read.parquet(str(root / "silver")).collect()}

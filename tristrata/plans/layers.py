@@ -27,10 +27,11 @@ from tristrata.sources.layers import (
     write_silver,
 )
 from tristrata.sources.scratch import store
-from tristrata.sources.visits_csv import read_visits
+from tristrata.sources.visits_csv import malformed, read_visits
 
 log = logging.getLogger(__name__)
 
+RAW_LINE = "raw_line"
 LATEST = ("visit_date", LOADED_AT)
 
 
@@ -41,14 +42,22 @@ def ingest_bronze(
     since: Mark | None = None,
     *,
     schema: T.StructType = VISIT_SCHEMA,
+    malformed_path: str | None = None,
     **write_options,
 ) -> tuple[DataFrame, StepMetric]:
     """Read visit files, keep those after ``since``, write them to bronze.
 
-    Returns the (lazy) ingested frame and what was written.
+    With ``malformed_path`` a second pass writes the lines of any date that do not match
+    the schema there, with their text. Returns the (lazy) ingested frame and what was
+    written.
     """
     visits = read_visits(spark, source, since, schema=schema)
-    return visits, write_bronze(visits, bronze_path, **write_options)
+    metric = write_bronze(visits, bronze_path, **write_options)
+    if malformed_path:
+        lines = read_visits(spark, source, schema=schema, corrupt_column=RAW_LINE)
+        kept = write_layer(malformed(lines, RAW_LINE), malformed_path, "malformed")
+        log.info("kept %d malformed lines", kept.row_count)
+    return visits, metric
 
 
 def clean(df: DataFrame) -> DataFrame:
@@ -82,12 +91,14 @@ def build_silver(
     reasons. ``bronze_schema`` spares merging the schemas of bronze's files,
     ``rebalance=False`` the shuffle by diagnosis.
     """
-    bronze = read_bronze(spark, bronze_path, schema=bronze_schema)
     present = existing_silver(spark, silver_path) if given(since) else None
+    mark = None if present is None else since
+    # The inclusive start prunes folders of either layout; the mark itself is strict.
+    bronze = after(read_bronze(spark, bronze_path, mark, schema=bronze_schema), mark)
     if present is None:
         silver = clean(bronze).transform(latest_per_key, keys, latest, unique)
     else:
-        both = evolve([present.drop(SILVER_AT), clean(after(bronze, since))])
+        both = evolve([present.drop(SILVER_AT), clean(bronze)])
         folded = both.transform(latest_per_key, keys, latest, unique)
         silver, _ = store(folded, "silver")  # its input is about to be replaced
     silver = silver.withColumn(SILVER_AT, F.current_timestamp())
@@ -96,7 +107,8 @@ def build_silver(
         if nulls:
             log.warning("silver has %d NULLs (%s)", nulls, field)
     if quarantine_path:
-        checked = bronze.transform(fill_defaults).transform(standardize)
+        everything = read_bronze(spark, bronze_path, schema=bronze_schema)
+        checked = everything.transform(fill_defaults).transform(standardize)
         rejected = write_layer(rejects(checked), quarantine_path, "quarantine")
         log.info("quarantined %d rows", rejected.row_count)
     return read_silver(spark, silver_path, schema=silver.schema), metric

@@ -62,15 +62,25 @@ def run(
 
     Silver and gold cover all of bronze, whose schema may be given where it is known.
     ``fold`` spares reading the history again where bronze only grows: what is after
-    ``since`` is folded into the silver that exists, see :func:`build_silver`. With ``raise_errors=False`` a failure is
+    ``since`` is folded into the silver that exists, see :func:`build_silver`.
+    ``quarantine`` keeps malformed lines and rows that break a rule in folders of their
+    own beside the layers. With ``raise_errors=False`` a failure is
     returned instead of raised. The caller's session is never stopped.
     """
-    bronze_path, silver_path, gold_path = (
-        f"{root.rstrip('/')}/{layer}" for layer in ("bronze", "silver", "gold")
+    bronze_path, silver_path, gold_path, malformed_path, quarantine_path = (
+        f"{root.rstrip('/')}/{name}"
+        for name in ("bronze", "silver", "gold", "malformed", "quarantine")
     )
     metrics: list[StepMetric] = []
     try:
-        _, metric = ingest_bronze(spark, source, bronze_path, since, **ingest_options)
+        _, metric = ingest_bronze(
+            spark,
+            source,
+            bronze_path,
+            since,
+            malformed_path=malformed_path if quarantine else None,
+            **ingest_options,
+        )
         metrics.append(metric)
         silver, metric = build_silver(
             spark,
@@ -80,7 +90,7 @@ def run(
             latest=latest,
             unique=unique,
             since=since if fold else None,
-            quarantine_path=f"{root.rstrip('/')}/quarantine" if quarantine else None,
+            quarantine_path=quarantine_path if quarantine else None,
             bronze_schema=bronze_schema,
         )
         metrics.append(metric)

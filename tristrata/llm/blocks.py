@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 BLOCK_ROWS = 60_000
 PART_BYTES = 32 << 20
 LEAST_PARTS = 64
@@ -38,20 +38,18 @@ def parts_for(docs: DataFrame, text: str) -> int:
 
 def blocks(
     batches: Iterator[pa.RecordBatch], text: str, limit: int = BLOCK_BYTES
-) -> Iterator[tuple[str, pa.Table]]:
-    """Name and rows of each block; a longer text is a block of its own. Null texts are empty."""
+) -> Iterator[tuple[str, pa.Table, pa.Array]]:
+    """Name, rows and texts (empty for null) of each block; a longer text is its own block."""
     at, held, size = TaskContext.get().partitionId(), [], 0
     made = 0
 
-    def close() -> tuple[str, pa.Table]:
+    def close() -> tuple[str, pa.Table, pa.Array]:
         nonlocal held, size, made
-        table = pa.Table.from_batches(held).combine_chunks()
-        where = table.schema.get_field_index(text)
-        whole = pc.fill_null(table.column(where), "").combine_chunks()
-        table = table.set_column(where, text, whole)
-        name = f"{at}-{made}-{digest(table.column(where))}"
+        table = pa.Table.from_batches(held)
+        whole = as_array(pc.fill_null(table.column(text), ""))
+        name = f"{at}-{made}-{digest(whole)}"
         held, size, made = [], 0, made + 1
-        return name, table
+        return name, table, whole
 
     for batch in batches:
         ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy())
@@ -64,19 +62,17 @@ def blocks(
             size, rows, start = size + ends[stop - 1] - before, rows + stop - start, stop
             if start < len(ends) or size >= limit or rows >= BLOCK_ROWS:
                 yield close()
+                pa.default_memory_pool().release_unused()
                 rows = 0
     if held:
         yield close()
+    pa.default_memory_pool().release_unused()
 
 
-def digest(column: pa.ChunkedArray) -> str:
-    """Of the strings of a column and of their borders."""
-    seen = hashlib.blake2b(digest_size=12)
-    for chunk in column.chunks:
-        offsets, data = strings(chunk)
-        seen.update(np.diff(offsets).tobytes())
-        seen.update(data)
-    return seen.hexdigest()
+def digest(texts: pa.Array) -> str:
+    """Of strings and their borders."""
+    offsets, data = strings(texts)
+    return hashlib.blake2b(np.diff(offsets).tobytes() + data.tobytes(), digest_size=12).hexdigest()
 
 
 def strings(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -141,6 +137,47 @@ def as_array(column) -> pa.Array:
     return column if isinstance(column, pa.Array) else pa.array(column)
 
 
+def planes(number: np.ndarray) -> dict[str, np.ndarray]:
+    """The bytes of unsigned 32-bit numbers by weight: slow-changing ones compress well."""
+    whole = np.ascontiguousarray(number, "<u4").view(np.uint8).reshape(-1, 4)
+    return {f"p{k}": whole[:, k] for k in range(4)}
+
+
+def from_planes(batch: pa.RecordBatch) -> np.ndarray:
+    whole = np.empty((batch.num_rows, 4), np.uint8)
+    for k in range(4):
+        whole[:, k] = batch.column(f"p{k}").to_numpy()
+    return whole.reshape(-1).view("<u4")
+
+
+def pack_strings(array: pa.Array) -> bytes:
+    """Strings as their lengths and their bytes."""
+    offsets, data = strings(array)
+    sizes = planes(np.diff(offsets).astype(np.uint32))
+    return pack(size=[pack(**sizes)], data=[pack(byte=data)], n=[len(array)])
+
+
+def unpack_strings(payload: bytes) -> pa.Array:
+    batch = unpack(payload)
+    sizes = from_planes(unpack(batch.column("size")[0].as_py()))
+    offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int32)
+    data = unpack(batch.column("data")[0].as_py()).column("byte").to_numpy()
+    return pa.StringArray.from_buffers(len(sizes), pa.py_buffer(offsets), pa.py_buffer(data))
+
+
+def pack_lists(array: pa.ListArray) -> bytes:
+    """Lists of numbers below 2**32 as their lengths and their numbers."""
+    sizes = np.diff(array.offsets.to_numpy()).astype(np.uint32)
+    flat = array.flatten().to_numpy().astype(np.uint32)
+    return pack(size=[pack(**planes(sizes))], flat=[pack(**planes(flat))])
+
+
+def unpack_lists(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths and numbers."""
+    batch = unpack(payload)
+    return tuple(from_planes(unpack(batch.column(c)[0].as_py())) for c in ("size", "flat"))
+
+
 def rows(schema: pa.Schema, **columns) -> pa.RecordBatch:
     """A batch for Spark in the order and types of ``schema``."""
     return pa.RecordBatch.from_arrays(

@@ -22,7 +22,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tristrata.llm.blocks import blocks, by_part, hashes, pack, parts_for, unpack
+from tristrata.llm.blocks import (
+    blocks,
+    by_part,
+    from_planes,
+    hashes,
+    pack,
+    pack_lists,
+    pack_strings,
+    parts_for,
+    planes,
+    unpack,
+    unpack_lists,
+    unpack_strings,
+)
 
 #: Unicode's white space, as the split pattern takes it.
 SPACES = (
@@ -75,7 +88,7 @@ def pretokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     split = pc.split_pattern(texts.filter(pa.array(~odd)), " ")
     counts = np.diff(split.offsets.to_numpy())
     later = split.flatten().dictionary_encode()
-    number = later.indices.to_numpy().astype(np.int64)
+    number = later.indices.to_numpy().astype(np.int32)
     spaced = pc.binary_join_element_wise("", later.dictionary, " ")
     # the first of each text has no space before it
     leads = np.cumsum(counts) - counts
@@ -88,20 +101,17 @@ def pretokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     # back to the order of the texts
     n = np.zeros(len(texts), np.int64)
     n[~odd], n[odd] = counts, [len(u) for u in odd_units]
-    flat = np.empty(n.sum(), np.int64)
+    flat = np.empty(n.sum(), np.int32)
     at = np.repeat(odd, n)
     flat[~at] = number
     flat[at] = len(spaced) + len(first.dictionary) + rest.indices.to_numpy()
     return n, flat, pa.concat_arrays(words)
 
 
-def cut(texts: pa.Array, parts: int) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
-    """Pre-tokens with the words in bucket order, and the borders of the buckets."""
-    n, flat, words = pretokens(texts)
-    order, borders = by_part((hashes(words) % np.uint64(parts)).astype(np.int64), parts)
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    return n, place[flat], words.take(pa.array(order)), borders
+def bucketed(words: pa.Array, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bucket of each word, the order that groups buckets, and the borders in that order."""
+    part = (hashes(words) % np.uint64(parts)).astype(np.uint32)
+    return part, *by_part(part, parts)
 
 
 def encode(
@@ -121,26 +131,31 @@ def encode(
     parts = parts_for(docs, text)
 
     def requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, table in blocks(batches, text):
-            _, _, words, borders = cut(table.column(text).combine_chunks(), parts)
+        for name, _, texts in blocks(batches, text):
+            words = pretokens(texts)[2]
+            _, order, borders = bucketed(words, parts)
+            words = words.take(pa.array(order))
             for part in np.flatnonzero(np.diff(borders)).tolist():
                 mine = words.slice(borders[part], borders[part + 1] - borders[part])
-                yield packed_row(name, part, pack(words=mine))
+                yield packed_row(name, part, pack_strings(mine))
 
     def headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, table in blocks(batches, text):
-            n, flat, words, _ = cut(table.column(text).combine_chunks(), parts)
+        for name, table, texts in blocks(batches, text):
+            n, flat, words = pretokens(texts)
+            part, _, _ = bucketed(words, parts)
             head = pack(**{f"k{i}": table.column(c) for i, c in enumerate(kept)}, n=n)
-            yield packed_row(name, HEADER, head, pack(word=flat.astype(np.int32)), len(words))
+            yield packed_row(name, HEADER, head, pack(**planes(flat)), pack(**planes(part)))
 
     def answer(table: pa.Table) -> pa.Table:
-        asked = [unpack(x.as_py()).column("words") for x in table.column("payload")]
+        asked = [unpack_strings(x.as_py()) for x in table.column("payload")]
         words = pa.concat_arrays(asked).dictionary_encode()
         tool = encoder(vocabulary_path, pattern)
-        ids_of = pa.array(map(tool.encode_ordinary, words.dictionary.to_pylist()), LIST)
+        ids_of = pa.array(
+            (tool.encode_ordinary(w.as_py()) for w in words.dictionary), pa.list_(pa.int32())
+        )
         ends = np.cumsum([len(x) for x in asked])
         out = [
-            pack(ids=ids_of.take(words.indices.slice(end - len(x), len(x))))
+            pack_lists(ids_of.take(words.indices.slice(end - len(x), len(x))))
             for x, end in zip(asked, ends, strict=True)
         ]
         return pa.table(
@@ -153,32 +168,31 @@ def encode(
         if part[:1] != [HEADER] or part[1:2] == [HEADER]:
             raise RuntimeError("a block lacks its texts: the input changed between two reads")
         head = unpack(table.column("payload")[0].as_py())
-        lists = [unpack(x.as_py()).column("ids") for x in table.column("payload")[1:]]
-        ids_of = pa.concat_arrays(lists) if lists else pa.array([], LIST)
-        if len(ids_of) != table.column("words")[0].as_py():
+        got = [unpack_lists(x.as_py()) for x in table.column("payload")[1:]]
+        order, _ = by_part(from_planes(unpack(table.column("parts")[0].as_py())), parts)
+        answered = np.concatenate([x for x, _ in got] or [np.empty(0, np.uint32)])
+        if len(order) != len(answered):
             raise RuntimeError("a block lacks words: the input changed between two reads")
-        flat = unpack(table.column("positions")[0].as_py()).column("word").to_numpy()
-        starts = ids_of.offsets.to_numpy().astype(np.int64)
-        starts = starts - starts[0]
-        sizes, values = np.diff(starts), ids_of.flatten().to_numpy()
+        values = np.concatenate([x for _, x in got] or [np.empty(0, np.uint32)]).astype(np.int32)
+        sizes, starts = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        sizes[order] = answered
+        starts[order] = np.cumsum(answered, dtype=np.int64) - answered
+        flat = from_planes(unpack(table.column("positions")[0].as_py()))
         ends = np.concatenate([[0], np.cumsum(head.column("n").to_numpy())])
-        spans, made = [], 0
-        offsets = [0]
+        spans, offsets = [], [0]
         for a, b in zip(ends[:-1], ends[1:], strict=True):
             word = flat[a:b]
             size = sizes[word]
             before = np.cumsum(size) - size
-            total = int(size.sum())
-            spans.append(values[np.repeat(starts[word] - before, size) + np.arange(total)])
-            made += total
-            offsets.append(made)
+            spans.append(values[np.repeat(starts[word] - before, size) + np.arange(size.sum())])
+            offsets.append(offsets[-1] + len(spans[-1]))
         tokens = np.concatenate(spans) if spans else np.empty(0, np.int32)
         columns = [head.column(f"k{i}") for i in range(len(kept))]
         columns.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(tokens)))
         columns.append(pa.array(np.diff(offsets), pa.int64()))
         return pa.Table.from_arrays(columns, names=[*kept, ids, count])
 
-    wide = f"{PACKED}, positions binary, words int"
+    wide = f"{PACKED}, positions binary, parts binary"
     asked = docs.mapInArrow(requests, wide).select("block", "part", "payload")
     answers = asked.groupBy("part").applyInArrow(answer, PACKED)
     whole = docs.mapInArrow(headers, wide).unionByName(answers, allowMissingColumns=True)
@@ -189,11 +203,8 @@ def encode(
     return whole.groupBy("block").applyInArrow(assemble, schema)
 
 
-LIST = pa.list_(pa.int32())
-
-
 def packed_row(
-    name: str, part: int, payload: bytes, positions: bytes | None = None, words: int | None = None
+    name: str, part: int, payload: bytes, positions: bytes | None = None, parts: bytes | None = None
 ) -> pa.RecordBatch:
     return pa.record_batch(
         {
@@ -201,7 +212,7 @@ def packed_row(
             "part": pa.array([part], pa.int32()),
             "payload": pa.array([payload], pa.binary()),
             "positions": pa.array([positions], pa.binary()),
-            "words": pa.array([words], pa.int32()),
+            "parts": pa.array([parts], pa.binary()),
         }
     )
 

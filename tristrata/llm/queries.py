@@ -3,10 +3,10 @@
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tristrata.llm import bpe, mixing, quality, sharding
+from tristrata.llm import bpe, mixing, quality, sharding, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,13 @@ SHARDS = [f"shard-{k:02d}" for k in range(32)]
 SHARD_SLOTS = 4093
 #: Shares of the mixture; the other sources share the rest in proportion to their rows.
 WEIGHTS = {"src0": 0.15, "src1": 0.1, "src2": 0.1, "src3": 0.05}
+URL_RULES = (
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+)
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -32,6 +39,22 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs, table, "doc_id", ("text",), SHARD_SLOTS).drop("text")
 
 
+def fold(column: str, folds: int = 5) -> Column:
+    return F.crc32(F.col(column).cast("string").cast("binary")) % folds
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    held_out = F.coalesce(fold("doc_id") == 0, F.lit(False))
+    return toxicity.classify(docs, labels, held_out).drop("text")
+
+
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    return urls.judge(pages, URL_RULES).drop("url")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir).select("doc_id", "source"), WEIGHTS)
 
@@ -45,7 +68,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_quality, op4_sharding, op9_mixing, op10_bpe)
+    f.__name__: f for f in (op1_quality, op4_sharding, op5_toxicity, op7_urls, op9_mixing, op10_bpe)
 }
 
 ORACLE = {

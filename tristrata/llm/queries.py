@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tristrata.llm import bpe, mixing, quality, sharding, toxicity, urls
+from tristrata.llm import bpe, lm, mixing, quality, sharding, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("text", "n_lines", "failed")
 
 
+def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(fold("doc_id") == 1, F.lit(False))
+    return lm.score(documents(spark, sf_dir).select("doc_id", "text"), held_out)
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = sharding.lookup_table(spark, SHARDS, SHARD_SLOTS)
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -68,7 +73,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_quality, op4_sharding, op5_toxicity, op7_urls, op9_mixing, op10_bpe)
+    f.__name__: f for f in (op1_quality, op2_lm, op4_sharding, op5_toxicity, op7_urls, op9_mixing, op10_bpe)
 }
 
 ORACLE = {

@@ -48,7 +48,7 @@ from tristrata.llm.blocks import (
 )
 from tristrata.llm.storage import stored
 
-ORDER = 4
+ORDER = 5
 #: The end mark, a byte that no UTF-8 text has; also stands before the first byte.
 END = 0xFF
 SYMBOLS = 256
@@ -117,7 +117,7 @@ def numbered_words(texts: pa.Array, parts: int):
 def pack_sorted(names: np.ndarray) -> bytes:
     gaps = np.diff(names, prepend=np.uint64(0))
     low = planes((gaps & np.uint64(0xFFFFFFFF)).astype(np.uint32))
-    return pack(**low, high=(gaps >> np.uint64(32)).astype(np.uint8))
+    return pack(**low, high=(gaps >> np.uint64(32)).astype(np.uint16))
 
 
 def unpack_sorted(payload: bytes) -> np.ndarray:

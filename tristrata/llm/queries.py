@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tristrata.llm import bpe, lm, mixing, quality, sharding, toxicity, urls
+from tristrata.llm import bpe, jaccard, lm, mixing, quality, sharding, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +60,10 @@ def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, URL_RULES).drop("url")
 
 
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir).select("doc_id", "source"), WEIGHTS)
 
@@ -73,7 +77,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_quality, op2_lm, op4_sharding, op5_toxicity, op7_urls, op9_mixing, op10_bpe)
+    f.__name__: f for f in (op1_quality, op2_lm, op4_sharding, op5_toxicity, op7_urls, op8_jaccard, op9_mixing, op10_bpe)
 }
 
 ORACLE = {

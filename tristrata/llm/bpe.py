@@ -62,12 +62,25 @@ def encoder(path: str, pattern: str) -> tiktoken.Encoding:
 
 
 @cache
-def token_bytes(path: str) -> list[bytes]:
+def token_table(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Beginnings and lengths of the tokens by id, and their bytes in one row."""
     ranks = vocabulary(path)
-    table = [b""] * (max(ranks.values()) + 1)
+    tokens = [b""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
-        table[rank] = token
-    return table
+        tokens[rank] = token
+    sizes = np.array([len(x) for x in tokens], np.int64)
+    return np.cumsum(sizes) - sizes, sizes, np.frombuffer(b"".join(tokens), np.uint8)
+
+
+def spliced(number: np.ndarray, starts: np.ndarray, sizes: np.ndarray, row: np.ndarray):
+    """Pieces ``number`` of ``row``, one after the other; piece ``k`` is ``sizes[k]`` long."""
+    size = sizes[number]
+    before = np.cumsum(size) - size
+    return row[np.repeat(starts[number] - before, size) + np.arange(size.sum())]
+
+
+def bytes_of(ids: np.ndarray, path: str) -> bytes:
+    return spliced(ids, *token_table(path)).tobytes()
 
 
 def joined_cuts(text: str) -> list[str]:
@@ -121,13 +134,18 @@ def encode(
     text: str = "text",
     ids: str = "ids",
     count: str = "n_tokens",
+    packed: bool = False,
+    decoded: str | None = None,
 ) -> DataFrame:
     """``docs`` without ``text``, with the token ids of the text and their number.
 
-    The result equals encoding every text on its own without special tokens.
+    The result equals encoding every text on its own without special tokens. ``packed`` gives
+    the ids as little-endian 32-bit numbers in one binary, else they are an array. ``decoded``
+    names a column for the bytes that the ids decode to, as ``decode`` would find them.
     """
-    kept = [c for c in docs.columns if c not in (text, ids, count)]
-    docs = docs.select(*kept, text)
+    extra = (decoded,) if decoded else ()
+    kept = [c for c in docs.columns if c not in (text, ids, count, *extra)]
+    docs = docs.select(*(F.col(f"`{c}`") for c in (*kept, text)))
     parts = parts_for(docs, text)
 
     def requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,26 +197,33 @@ def encode(
         starts[order] = np.cumsum(answered, dtype=np.int64) - answered
         flat = from_planes(unpack(table.column("positions")[0].as_py()))
         ends = np.concatenate([[0], np.cumsum(head.column("n").to_numpy())])
-        spans, offsets = [], [0]
+        spans, back = [], []
         for a, b in zip(ends[:-1], ends[1:], strict=True):
-            word = flat[a:b]
-            size = sizes[word]
-            before = np.cumsum(size) - size
-            spans.append(values[np.repeat(starts[word] - before, size) + np.arange(size.sum())])
-            offsets.append(offsets[-1] + len(spans[-1]))
-        tokens = np.concatenate(spans) if spans else np.empty(0, np.int32)
+            spans.append(spliced(flat[a:b], starts, sizes, values))
+            if decoded:
+                back.append(bytes_of(spans[-1], vocabulary_path))
+        lengths = np.array([len(x) for x in spans], np.int64)
+        if packed:
+            tokens = pa.array([x.astype("<u4").tobytes() for x in spans], pa.binary())
+        else:
+            offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+            flat_ids = np.concatenate(spans) if spans else np.empty(0, np.int32)
+            tokens = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat_ids))
         columns = [head.column(f"k{i}") for i in range(len(kept))]
-        columns.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(tokens)))
-        columns.append(pa.array(np.diff(offsets), pa.int64()))
-        return pa.Table.from_arrays(columns, names=[*kept, ids, count])
+        columns += [tokens, pa.array(lengths)]
+        if decoded:
+            columns.append(pa.array(back, pa.binary()))
+        return pa.Table.from_arrays(columns, names=[*kept, ids, count, *extra])
 
     wide = f"{PACKED}, positions binary, parts binary"
     asked = docs.mapInArrow(requests, wide).select("block", "part", "payload")
     answers = asked.groupBy("part").applyInArrow(answer, PACKED)
     whole = docs.mapInArrow(headers, wide).unionByName(answers, allowMissingColumns=True)
+    kind = T.BinaryType() if packed else T.ArrayType(T.IntegerType())
     schema = T.StructType(
         [docs.schema[c] for c in kept]
-        + [T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(count, T.LongType())]
+        + [T.StructField(ids, kind), T.StructField(count, T.LongType())]
+        + [T.StructField(c, T.BinaryType()) for c in extra]
     )
     return whole.groupBy("block").applyInArrow(assemble, schema)
 
@@ -220,44 +245,22 @@ def packed_row(
 def decode(
     encoded: DataFrame, vocabulary_path: str, ids: str = "ids", decoded: str = "decoded"
 ) -> DataFrame:
-    """``encoded`` with the bytes of its ids; no ids, or null ones, give no bytes."""
+    """``encoded`` with the bytes of its ids, packed or not; none or null ones give no bytes."""
     kept = [c for c in encoded.columns if c != decoded]
-    frame = encoded.select(*kept)
+    frame = encoded.select(*(F.col(f"`{c}`") for c in kept))
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = token_bytes(vocabulary_path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):  # a thousand rows' bytes at a time
-                part = batch.slice(at, 1000)
-                out = [
-                    b"".join([table[t] for t in x]) if x else b""
-                    for x in part.column(ids).to_pylist()
+            for at in range(0, batch.num_rows, 100):  # a hundred rows' bytes at a time
+                part = batch.slice(at, 100)
+                found = [x.as_py() or b"" for x in part.column(ids)]
+                numbers = [
+                    np.frombuffer(x, "<u4") if isinstance(x, bytes) else np.array(x) for x in found
                 ]
+                out = [bytes_of(x, vocabulary_path) for x in numbers]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(out, pa.binary())], names=[*kept, decoded]
                 )
 
     schema = T.StructType([*frame.schema.fields, T.StructField(decoded, T.BinaryType())])
     return frame.mapInArrow(joined, schema)
-
-
-def token_digests(encoded: DataFrame, ids: str = "ids", digest: str = "ids_sha256") -> DataFrame:
-    """SHA-256 of the ids as little-endian unsigned 32-bit integers, in place of the ids."""
-    kept = [c for c in encoded.columns if c not in (ids, digest)]
-    frame = encoded.select(*kept, ids)
-
-    def bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = batch.column(ids)
-            bounds = column.offsets.to_numpy()
-            values = np.ascontiguousarray(column.values.to_numpy(), "<u4")
-            raw = [values[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), pa.array(raw, pa.binary())],
-                names=[*kept, digest],
-            )
-
-    schema = T.StructType(
-        [*(frame.schema[c] for c in kept), T.StructField(digest, T.BinaryType())]
-    )
-    return frame.mapInArrow(bytes_of, schema).withColumn(digest, F.sha2(digest, 256))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tristrata.llm import bpe, jaccard, lm, mixing, quality, sharding, toxicity, urls
+from tristrata.llm import bpe, jaccard, lm, mixing, quality, repeats, sharding, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +38,10 @@ def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(documents(spark, sf_dir).select("doc_id", "text"), held_out)
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_counts(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = sharding.lookup_table(spark, SHARDS, SHARD_SLOTS)
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -71,13 +75,17 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN)
-    decoded = bpe.decode(encoded, path).withColumn("decoded_sha256", F.sha2("decoded", 256))
-    return bpe.token_digests(decoded.drop("decoded"))
+    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN, packed=True, decoded="decoded")
+    return encoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_quality, op2_lm, op4_sharding, op5_toxicity, op7_urls, op8_jaccard, op9_mixing, op10_bpe)
+    f.__name__: f for f in (op1_quality, op2_lm, op3_repeats, op4_sharding, op5_toxicity, op7_urls, op8_jaccard, op9_mixing, op10_bpe)
 }
 
 ORACLE = {

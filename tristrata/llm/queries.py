@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tristrata.llm import bpe, jaccard, lm, mixing, quality, repeats, sharding, toxicity, urls
+from tristrata.llm import bpe, embeddings, jaccard, lm, mixing, quality, repeats, sharding, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +59,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(docs, labels, held_out).drop("text")
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return embeddings.near_duplicates(vectors)
+
+
 def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     return urls.judge(pages, URL_RULES).drop("url")
@@ -85,7 +90,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_quality, op2_lm, op3_repeats, op4_sharding, op5_toxicity, op7_urls, op8_jaccard, op9_mixing, op10_bpe)
+    f.__name__: f for f in (op1_quality, op2_lm, op3_repeats, op4_sharding, op5_toxicity, op6_embeddings, op7_urls, op8_jaccard, op9_mixing, op10_bpe)
 }
 
 ORACLE = {

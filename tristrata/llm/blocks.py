@@ -21,15 +21,28 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 8 << 20
 BLOCK_ROWS = 60_000
-PART_BYTES = 32 << 20
+PART_BYTES = 16 << 20
 LEAST_PARTS = 64
 
 
+def renamed(df: DataFrame, kept: list[str], **inner: Column) -> DataFrame:
+    """Columns ``kept`` as ``k0, k1, ...`` beside ``inner`` ones: names that cannot clash."""
+    return df.select(
+        *(F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(kept)),
+        *(column.alias(name) for name, column in inner.items()),
+    )
+
+
+def restored(df: DataFrame, kept: list[str], *others: str | Column) -> DataFrame:
+    """The columns ``kept`` under their own names again, and ``others``."""
+    return df.select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(kept)), *others)
+
+
 def parts_for(docs: DataFrame, text: str) -> int:
     """Buckets for the keys of all texts: one for every ``PART_BYTES``, at least 64."""
     total = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0

@@ -32,6 +32,8 @@ from tristrata.llm.blocks import (
     pack_strings,
     parts_for,
     planes,
+    renamed,
+    restored,
     unpack,
     unpack_lists,
     unpack_strings,
@@ -145,11 +147,12 @@ def encode(
     """
     extra = (decoded,) if decoded else ()
     kept = [c for c in docs.columns if c not in (text, ids, count, *extra)]
-    docs = docs.select(*(F.col(f"`{c}`") for c in (*kept, text)))
-    parts = parts_for(docs, text)
+    docs = renamed(docs, kept, text=F.col(f"`{text}`"))
+    inner = docs.columns[:-1]
+    parts = parts_for(docs, "text")
 
     def requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, _, texts in blocks(batches, text):
+        for name, _, texts in blocks(batches, "text"):
             words = pretokens(texts)[2]
             _, order, borders = bucketed(words, parts)
             words = words.take(pa.array(order))
@@ -158,10 +161,10 @@ def encode(
                 yield packed_row(name, part, pack_strings(mine))
 
     def headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, table, texts in blocks(batches, text):
+        for name, table, texts in blocks(batches, "text"):
             n, flat, words = pretokens(texts)
             part, _, _ = bucketed(words, parts)
-            head = pack(**{f"k{i}": table.column(c) for i, c in enumerate(kept)}, n=n)
+            head = pack(**{c: table.column(c) for c in inner}, n=n)
             yield packed_row(name, HEADER, head, pack(**planes(flat)), pack(**planes(part)))
 
     def answer(table: pa.Table) -> pa.Table:
@@ -209,11 +212,11 @@ def encode(
             offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
             flat_ids = np.concatenate(spans) if spans else np.empty(0, np.int32)
             tokens = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat_ids))
-        columns = [head.column(f"k{i}") for i in range(len(kept))]
-        columns += [tokens, pa.array(lengths)]
+        columns = [head.column(c) for c in inner] + [tokens, pa.array(lengths)]
         if decoded:
             columns.append(pa.array(back, pa.binary()))
-        return pa.Table.from_arrays(columns, names=[*kept, ids, count, *extra])
+        names = [*inner, "ids", "count", *("decoded" for _ in extra)]
+        return pa.Table.from_arrays(columns, names=names)
 
     wide = f"{PACKED}, positions binary, parts binary"
     asked = docs.mapInArrow(requests, wide).select("block", "part", "payload")
@@ -221,11 +224,13 @@ def encode(
     whole = docs.mapInArrow(headers, wide).unionByName(answers, allowMissingColumns=True)
     kind = T.BinaryType() if packed else T.ArrayType(T.IntegerType())
     schema = T.StructType(
-        [docs.schema[c] for c in kept]
-        + [T.StructField(ids, kind), T.StructField(count, T.LongType())]
-        + [T.StructField(c, T.BinaryType()) for c in extra]
+        [docs.schema[c] for c in inner]
+        + [T.StructField("ids", kind), T.StructField("count", T.LongType())]
+        + [T.StructField("decoded", T.BinaryType()) for _ in extra]
     )
-    return whole.groupBy("block").applyInArrow(assemble, schema)
+    found = whole.groupBy("block").applyInArrow(assemble, schema)
+    outputs = [F.col("ids").alias(ids), F.col("count").alias(count)]
+    return restored(found, kept, *outputs, *(F.col("decoded").alias(c) for c in extra))
 
 
 def packed_row(
@@ -247,20 +252,20 @@ def decode(
 ) -> DataFrame:
     """``encoded`` with the bytes of its ids, packed or not; none or null ones give no bytes."""
     kept = [c for c in encoded.columns if c != decoded]
-    frame = encoded.select(*(F.col(f"`{c}`") for c in kept))
+    frame = renamed(encoded, kept, ids=F.col(f"`{ids}`"))
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 100):  # a hundred rows' bytes at a time
                 part = batch.slice(at, 100)
-                found = [x.as_py() or b"" for x in part.column(ids)]
+                found = [x.as_py() or b"" for x in part.column("ids")]
                 numbers = [
                     np.frombuffer(x, "<u4") if isinstance(x, bytes) else np.array(x) for x in found
                 ]
-                out = [bytes_of(x, vocabulary_path) for x in numbers]
+                out = pa.array([bytes_of(x, vocabulary_path) for x in numbers], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(out, pa.binary())], names=[*kept, decoded]
+                    [*part.columns[:-1], out], names=[*part.schema.names[:-1], "decoded"]
                 )
 
-    schema = T.StructType([*frame.schema.fields, T.StructField(decoded, T.BinaryType())])
-    return frame.mapInArrow(joined, schema)
+    schema = T.StructType([*frame.schema.fields[:-1], T.StructField("decoded", T.BinaryType())])
+    return restored(frame.mapInArrow(joined, schema), kept, F.col("decoded").alias(decoded))

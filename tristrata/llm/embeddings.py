@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tristrata.llm.blocks import rows
+from tristrata.llm.blocks import renamed, restored, rows
 from tristrata.llm.components import connected
 from tristrata.llm.storage import stored
 
@@ -96,17 +96,18 @@ CLASS = pa.schema([("cid", pa.binary()), ("vector", pa.binary()), ("code", pa.bi
 
 
 def classified(df: DataFrame, vector: str, kept: list[str]) -> DataFrame:
-    """``kept`` with ``cid``, and ``vector``, ``code``, ``factor`` (null for invalid vectors)."""
+    """``kept`` as ``k0, ...`` with ``cid, vector, code, factor`` (null for invalid vectors)."""
+    frame = renamed(df, kept, v=F.col(f"`{vector}`"))
     schema = T.StructType(
-        [df.schema[c] for c in kept]
-        + [T.StructField(c, T.BinaryType()) for c in ("__cid", "__vector", "__code")]
-        + [T.StructField("__factor", T.DoubleType())]
+        frame.schema.fields[:-1]
+        + [T.StructField(c, T.BinaryType()) for c in ("cid", "vector", "code")]
+        + [T.StructField("factor", T.DoubleType())]
     )
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = {"cid": [], "vector": [], "code": [], "factor": []}
-            for x in batch.column("__v").to_pylist():
+            for x in batch.column("v").to_pylist():
                 good = x is not None and len(x) > 0 and None not in x
                 v = np.array(x, np.float64) if good else np.zeros(1)
                 good = good and bool(np.isfinite(v).all() and np.isfinite(v @ v) and v @ v > 0)
@@ -118,12 +119,11 @@ def classified(df: DataFrame, vector: str, kept: list[str]) -> DataFrame:
                 for k, c in enumerate(out):
                     out[c].append(got[k] if good else None)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), *(pa.array(out[f.name], f.type) for f in CLASS)],
+                [*batch.columns[:-1], *(pa.array(out[f.name], f.type) for f in CLASS)],
                 names=schema.names,
             )
 
-    picked = df.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{vector}`").alias("__v"))
-    return picked.mapInArrow(coded, schema)
+    return frame.mapInArrow(coded, schema)
 
 
 def keyed(classes: DataFrame, bits: int, groups: int) -> DataFrame:
@@ -207,14 +207,9 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     kept = [c for c in df.columns if c not in outputs]
     members = stored(classified(df, vector, kept), "embedding-codes")
     classes = stored(
-        members.where("__cid is not null")
-        .groupBy(F.col("__cid").alias("cid"))
-        .agg(
-            F.count("*").alias("m"),
-            F.first("__vector").alias("vector"),
-            F.first("__code").alias("code"),
-            F.first("__factor").alias("factor"),
-        ),
+        members.where("cid is not null")
+        .groupBy("cid")
+        .agg(F.count("*").alias("m"), *(F.first(c).alias(c) for c in ("vector", "code", "factor"))),
         "embedding-classes",
     )
     bits, groups = plan(classes.count())
@@ -241,17 +236,20 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     links = found.groupBy("cid").agg(F.sum("n").alias("n"))
     roots = connected(found.select(F.col("cid").alias("a"), F.col("root").alias("b")))
     named = (
-        members.drop("__vector", "__code", "__factor")
-        .join(classes.select(F.col("cid").alias("__cid"), "m"), "__cid", "left")
-        .join(links.withColumnRenamed("cid", "__cid"), "__cid", "left")
-        .join(roots.select(F.col("node").alias("__cid"), F.col("root").alias("__root")), "__cid", "left")
-        .withColumn("__root", F.coalesce("__root", "__cid"))
+        members.drop("vector", "code", "factor")
+        .join(classes.select("cid", "m"), "cid", "left")
+        .join(links, "cid", "left")
+        .join(roots.withColumnRenamed("node", "cid"), "cid", "left")
+        .withColumn("root", F.coalesce("root", "cid"))
     )
-    least = named.where("__root is not null").groupBy("__root").agg(F.min(F.col(f"`{key}`")).alias("__least"))
-    component = F.coalesce("__least", F.col(f"`{key}`"))
-    return named.join(least, "__root", "left").select(
-        *(F.col(f"`{c}`") for c in kept),
-        (F.coalesce("n", F.lit(0)) + F.coalesce(F.col("m") - 1, F.lit(0))).cast("long").alias("n_links"),
+    own = F.col(f"k{kept.index(key)}")
+    least = named.where("root is not null").groupBy("root").agg(F.min(own).alias("least"))
+    component = F.coalesce("least", own)
+    others = F.coalesce(F.col("m") - 1, F.lit(0))
+    return restored(
+        named.join(least, "root", "left"),
+        kept,
+        (F.coalesce("n", F.lit(0)) + others).cast("long").alias("n_links"),
         component.alias("component_id"),
-        F.col(f"`{key}`").eqNullSafe(component).alias("kept"),
+        own.eqNullSafe(component).alias("kept"),
     )

@@ -43,6 +43,8 @@ from tristrata.llm.blocks import (
     pack,
     parts_for,
     planes,
+    renamed,
+    restored,
     rows,
     unpack,
     words_of,
@@ -61,6 +63,8 @@ KEY_SHIFT = np.uint64(24)
 LOW = np.uint64((1 << 24) - 1)
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
+#: Bytes of text whose sets a task holds together.
+JACCARD_BLOCK = 4 << 20
 HEADER = -1
 PACKED = "block string, part int, payload binary"
 CANDIDATE = "cid binary, n int, tokens binary, freqs binary"
@@ -104,22 +108,24 @@ def prefix(n: int, groups: int) -> int:
 
 
 def classes(docs: DataFrame, text: str, kept: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows of ``kept`` with ``cid`` and ``n_shingles``; and the classes that can have partners."""
-    parts = parts_for(docs, text)
+    """Rows with ``kept`` as ``k0, ...``, ``cid`` and ``n``; and the classes that can have partners."""
+    docs = renamed(docs, kept, text=F.col(f"`{text}`"))
+    inner = docs.columns[:-1]
+    parts = parts_for(docs, "text")
     schema = pa.schema([("block", pa.string()), ("part", pa.int32()), ("payload", pa.binary())])
 
     def requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, table, texts in blocks(batches, text):
+        for name, table, texts in blocks(batches, "text", JACCARD_BLOCK):
             sets = token_sets(texts)
             names = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in sets]
             number = {d: k for k, d in reversed(list(enumerate(names)))}
             first = sorted(k for d, k in number.items() if len(sets[k]))
-            head = {f"k{i}": table.column(c) for i, c in enumerate(kept)}
+            head = {c: table.column(c) for c in inner}
             sizes = np.array([len(x) for x in sets], np.int32)
             cids = [d if n else None for d, n in zip(names, sizes, strict=True)]
-            inner = np.full(len(sets), -1, np.int32)
-            inner[first] = np.arange(len(first))
-            payload = pack(**head, cid=pa.array(cids, pa.binary()), n=sizes, inner=inner)
+            turn = np.full(len(sets), -1, np.int32)
+            turn[first] = np.arange(len(first))
+            payload = pack(**head, cid=pa.array(cids, pa.binary()), n=sizes, turn=turn)
             yield rows(schema, block=[name], part=[HEADER], payload=[payload])
             if not first:
                 continue
@@ -157,8 +163,8 @@ def classes(docs: DataFrame, text: str, kept: list[str]) -> tuple[DataFrame, Dat
         if part[0] != HEADER or HEADER in part[1:]:
             raise RuntimeError("a block came twice or lacks its rows")
         head = got[0]
-        inner, n, cid = (head.column(c).to_numpy(zero_copy_only=False) for c in ("inner", "n", "cid"))
-        first = np.flatnonzero(inner >= 0)
+        turn, n, cid = (head.column(c).to_numpy(zero_copy_only=False) for c in ("turn", "n", "cid"))
+        first = np.flatnonzero(turn >= 0)
         pieces = []
         for p, batch in zip(part[1:], got[1:], strict=True):
             key, owner = unpack_entries(batch)
@@ -183,7 +189,7 @@ def classes(docs: DataFrame, text: str, kept: list[str]) -> tuple[DataFrame, Dat
         m = len(out["cid"])
         total = head.num_rows + m
         columns = {
-            **{f"k{i}": pad(head.column(f"k{i}"), m) for i in range(len(kept))},
+            **{c: pad(head.column(c), m) for c in inner},
             "is_row": pa.array([True] * head.num_rows + [False] * m),
             "cid": pa.concat_arrays([head.column("cid"), pa.array(out["cid"], pa.binary())]),
             "n": pa.concat_arrays([head.column("n"), pa.array(out["n"], pa.int32())]),
@@ -193,7 +199,7 @@ def classes(docs: DataFrame, text: str, kept: list[str]) -> tuple[DataFrame, Dat
         assert all(len(x) == total for x in columns.values())
         return pa.table(columns)
 
-    fields = [T.StructField(f"k{i}", docs.schema[c].dataType) for i, c in enumerate(kept)]
+    fields = [T.StructField(c, docs.schema[c].dataType) for c in inner]
     wide = T.StructType(
         fields
         + [
@@ -212,9 +218,7 @@ def classes(docs: DataFrame, text: str, kept: list[str]) -> tuple[DataFrame, Dat
         lambda table: shared(table.select(["block", "part", "payload"])), PACKED
     )
     both = stored(answers.groupBy("block").applyInArrow(gather, wide), "jaccard-classes")
-    members = both.where("is_row").select(
-        *(F.col(f"k{i}").alias(c) for i, c in enumerate(kept)), "cid", F.col("n").cast("long").alias("n_shingles")
-    )
+    members = both.where("is_row").select(*inner, "cid", F.col("n").cast("long").alias("n"))
     wanted = both.where("not is_row").select("cid", "n", "tokens", "freqs")
     return members, stored(wanted.dropDuplicates(["cid"]), "jaccard-candidates")
 
@@ -348,21 +352,15 @@ def components(
     docs: DataFrame, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """``docs`` without ``text``, with ``n_shingles`` and ``component_id``, the least key linked."""
-    kept = [c for c in docs.columns if c not in (text, "n_shingles", "component_id", "cid")]
-    frame = docs.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text}`").alias("__text"))
-    members, candidates = classes(frame, "__text", kept)
-    roots = links(candidates).select(F.col("node").alias("cid"), F.col("root").alias("__root"))
-    rooted = members.join(roots, "cid", "left").withColumn("__root", F.coalesce("__root", "cid"))
-    least = (
-        rooted.where("__root is not null")
-        .groupBy("__root")
-        .agg(F.min(F.col(f"`{key}`")).alias("__least"))
-    )
-    named = rooted.join(least, "__root", "left")
-    return named.select(
-        *(F.col(f"`{c}`") for c in kept),
-        "n_shingles",
-        F.coalesce("__least", F.col(f"`{key}`")).alias("component_id"),
+    kept = [c for c in docs.columns if c not in (text, "n_shingles", "component_id")]
+    members, candidates = classes(docs, text, kept)
+    roots = links(candidates).select(F.col("node").alias("cid"), "root")
+    rooted = members.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    own = F.col(f"k{kept.index(key)}")
+    least = rooted.where("root is not null").groupBy("root").agg(F.min(own).alias("least"))
+    component = F.coalesce("least", own).alias("component_id")
+    return restored(
+        rooted.join(least, "root", "left"), kept, F.col("n").alias("n_shingles"), component
     )
 
 

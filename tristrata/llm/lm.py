@@ -21,7 +21,6 @@ input columns of the same name.
 """
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +39,8 @@ from tristrata.llm.blocks import (
     pack_strings,
     parts_for,
     planes,
+    renamed,
+    restored,
     rows,
     strings,
     unpack,
@@ -52,6 +53,8 @@ ORDER = 5
 #: The end mark, a byte that no UTF-8 text has; also stands before the first byte.
 END = 0xFF
 SYMBOLS = 256
+#: Bytes of text whose strings a task counts together; smaller blocks take less memory.
+LM_BLOCK = 5 << 20
 TEXTS, STRINGS, WORDS = 0, 1, 2
 
 REQUESTS = pa.schema(
@@ -201,15 +204,13 @@ def score(
     """
     outputs = ("held_out", "n_bytes", "n_tokens", "n_known", "train_tokens", "base_score", "score")
     kept = [c for c in docs.columns if c not in (*outputs, text)]
-    docs = docs.select(
-        *(F.col(f"`{c}`") for c in kept),
-        F.coalesce(held_out, F.lit(False)).alias("held_out"),
-        F.col(f"`{text}`").alias("text"),
-    )
+    held_out = F.coalesce(held_out, F.lit(False))
+    docs = renamed(docs, kept, held_out=held_out, text=F.col(f"`{text}`"))
+    inner = docs.columns[:-1]
     parts = parts_for(docs, "text")
 
     def requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, table, texts in blocks(batches, "text"):
+        for name, table, texts in blocks(batches, "text", LM_BLOCK):
             learns = ~table.column("held_out").to_numpy().astype(bool)
             names, at, place, sizes = numbered(texts, order, parts)
             n = np.bincount(place[np.repeat(learns, sizes)], minlength=len(names))
@@ -235,8 +236,8 @@ def score(
                 )
 
     def headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, table, texts in blocks(batches, "text"):
-            head = {f"k{i}": table.column(c) for i, c in enumerate([*kept, "held_out"])}
+        for name, table, texts in blocks(batches, "text", LM_BLOCK):
+            head = {c: table.column(c) for c in inner}
             yield pa.record_batch(
                 {
                     "block": [name],
@@ -302,7 +303,7 @@ def score(
         seen = np.concatenate(seen).astype(np.float64)
         if len(seen) != borders[-1]:
             raise RuntimeError("a block lacks words: the input changed between two reads")
-        columns = [head.column(f"k{i}") for i in range(len(kept) + 1)]
+        columns = [head.column(c) for c in inner]
         columns += [
             pa.array(sizes),
             pa.array(counts.astype(np.int64)),
@@ -310,7 +311,7 @@ def score(
             pa.array(sums_by(counts, np.log10(seen + 0.5)[place])),
             pa.array(total),
         ]
-        names = [*kept, "held_out", "n_bytes", "n_words", "n_seen", "logs", "score"]
+        names = [*inner, "n_bytes", "n_words", "n_seen", "logs", "score"]
         return pa.Table.from_arrays(columns, names=names)
 
     asked = stored(
@@ -347,7 +348,7 @@ def score(
         .unionByName(words.drop("kinds").withColumn("kind", F.lit(WORDS)))
     )
     schema = T.StructType(
-        [docs.schema[c] for c in [*kept, "held_out"]]
+        [docs.schema[c] for c in inner]
         + [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_words", "n_seen")]
         + [T.StructField(c, T.DoubleType()) for c in ("logs", "score")]
     )
@@ -359,8 +360,9 @@ def score(
     whole_log = float(np.log10(tokens + 0.5 * (kinds + 1)))
     n_tokens = F.col("n_words") + 1
     base = F.col("logs") + float(np.log10(learned + 0.5)) - n_tokens * whole_log
-    return scored.select(
-        *(F.col(f"`{c}`") for c in kept),
+    return restored(
+        scored,
+        kept,
         "held_out",
         "n_bytes",
         n_tokens.alias("n_tokens"),

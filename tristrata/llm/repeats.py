@@ -300,17 +300,17 @@ def repeats(texts: DataFrame) -> DataFrame:
     )
 
 
-CLEANED = "t binary, n_removed long, n_spans long, kept_bytes binary"
+def cleaned(docs: DataFrame, text: str = "text", as_text: bool = False) -> DataFrame:
+    """Rows ``t, n_removed, n_spans, left`` for each distinct text that loses bytes.
 
-
-def cleaned(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Rows ``t, n_removed, n_spans, kept_bytes`` for each distinct text that loses bytes."""
+    ``left`` holds the bytes, or with ``as_text`` the characters that no cut went through.
+    """
     texts = distinct_texts(docs, text)
 
     def dropped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = zstandard.ZstdDecompressor()
         for batch in batches:
-            out = {"n_removed": [], "n_spans": [], "kept_bytes": []}
+            out = {"n_removed": [], "n_spans": [], "left": []}
             for z, mine in zip(batch.column("z"), batch.column("runs"), strict=True):
                 data = np.frombuffer(tool.decompress(z.as_py()), np.uint8)
                 starts = np.zeros(len(data) + 1, np.int32)
@@ -325,18 +325,20 @@ def cleaned(docs: DataFrame, text: str = "text") -> DataFrame:
                 gone = np.cumsum(starts[:-1]) > 0
                 out["n_removed"].append(int(gone.sum()))
                 out["n_spans"].append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
-                out["kept_bytes"].append(data[~gone].tobytes())
+                left = data[~gone].tobytes()
+                out["left"].append(left.decode(errors="ignore") if as_text else left)
             yield pa.record_batch(
                 {
                     "t": batch.column("t"),
                     "n_removed": pa.array(out["n_removed"], pa.int64()),
                     "n_spans": pa.array(out["n_spans"], pa.int64()),
-                    "kept_bytes": pa.array(out["kept_bytes"], pa.binary()),
+                    "left": pa.array(out["left"], pa.string() if as_text else pa.binary()),
                 }
             )
 
     joined = repeats(texts).join(texts.select("t", "z"), "t").select("t", "z", "runs")
-    return joined.mapInArrow(dropped, CLEANED)
+    kind = "string" if as_text else "binary"
+    return joined.mapInArrow(dropped, f"t binary, n_removed long, n_spans long, left {kind}")
 
 
 def repeat_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -351,7 +353,7 @@ def repeat_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         F.sha2(whole.cast("binary"), 256).alias("__sha"),
     )
     lost = cleaned(docs, text).select(
-        F.col("t").alias("__t"), "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("__kept")
+        F.col("t").alias("__t"), "n_removed", "n_spans", F.sha2("left", 256).alias("__kept")
     )
     found = keyed.join(lost, "__t", "left")
     return found.select(
@@ -365,16 +367,14 @@ def repeat_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the bytes left of each text; characters that a cut went through go too."""
-    lost = cleaned(docs, text).select(
-        F.col("t").alias("__t"), F.col("kept_bytes").alias("__kept")
+    lost = cleaned(docs, text, as_text=True).select(
+        F.col("t").alias("__t"), F.col("left").alias("__kept")
     )
     keyed = docs.withColumn("__t", text_key(F.col(f"`{text}`")))
-    # a cut may leave parts of a character, which decoding marks and the filter drops
-    left = F.replace(F.decode_utf8("__kept") if hasattr(F, "decode_utf8") else valid(F.col("__kept")), F.lit("�"), F.lit(""))
     found = keyed.join(lost, "__t", "left")
     return found.select(
         *(
-            F.when(F.col("__kept").isNotNull(), left).otherwise(F.col(f"`{c}`")).alias(c)
+            F.coalesce("__kept", F.col(f"`{c}`")).alias(c)
             if c == text
             else F.col(f"`{c}`")
             for c in docs.columns

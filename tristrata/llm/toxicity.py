@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tristrata.llm.blocks import blocks, words_of
+from tristrata.llm.blocks import blocks, renamed, restored, words_of
 
 MOST_POSITIVE = 3_000
 MOST_UNLABELLED = 6_000
@@ -167,28 +167,27 @@ def score(
 ) -> DataFrame:
     """``df`` with the probability of toxicity in ``output``."""
     kept = [c for c in df.columns if c != output]
-    frame = df.select(*(F.col(f"`{c}`") for c in kept))
+    frame = renamed(df, kept, text=F.col(f"`{text}`"))
     shared = df.sparkSession.sparkContext.broadcast(weights)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for _, table, texts in blocks(batches, text):
-            whole = pc.ascii_lower(texts)
-            counts, words = words_of(whole)
+        for _, table, texts in blocks(batches, "text"):
+            counts, words = words_of(pc.ascii_lower(texts))
             hits = [[f for f in features(w) if f in model] for w in words.dictionary.to_pylist()]
             sizes = np.array([len(x) for x in hits], np.int64)
             number = words.indices.to_numpy()
             at = np.flatnonzero(sizes[number])
             owner = np.searchsorted(np.cumsum(counts), at, side="right")
-            pairs = {(o, f) for o, k in zip(owner.tolist(), number[at].tolist(), strict=True) for f in hits[k]}
-            logit = np.full(len(whole), model[-1])
-            for o, f in sorted(pairs):
-                logit[o] += model[f]
+            spots = zip(owner.tolist(), number[at].tolist(), strict=True)
+            logit = np.full(len(texts), model[-1])
+            for row, f in sorted({(row, f) for row, k in spots for f in hits[k]}):
+                logit[row] += model[f]
             out = 1 / (1 + np.exp(-np.clip(logit, -700, 700)))
-            yield from table.append_column(output, pa.array(out)).to_batches()
+            yield from table.drop_columns("text").append_column("score", pa.array(out)).to_batches()
 
-    schema = T.StructType([*frame.schema.fields, T.StructField(output, T.DoubleType())])
-    return frame.mapInArrow(scored, schema)
+    schema = T.StructType([*frame.schema.fields[:-1], T.StructField("score", T.DoubleType())])
+    return restored(frame.mapInArrow(scored, schema), kept, F.col("score").alias(output))
 
 
 def classify(

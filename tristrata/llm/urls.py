@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tristrata.llm.blocks import rows, strings
+from tristrata.llm.blocks import renamed, restored, rows, strings
 
 ORDER = 3
 PLAIN = b"abcdefghijklmnopqrstuvwxyz-./_?=&%#:"
@@ -68,13 +68,11 @@ def cells(urls: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     offsets, data = strings(urls)
     sizes = np.diff(offsets)
     # each URL stands between ORDER borders, of which the first one after it is counted
-    starts = offsets[:-1] + ORDER * np.arange(1, len(sizes) + 1)
+    starts = offsets[:-1].astype(np.int64) + ORDER * np.arange(1, len(sizes) + 1)
     line = np.zeros(len(data) + ORDER * (len(sizes) + 1), np.int64)
     line[np.arange(len(data)) + ORDER * np.repeat(np.arange(1, len(sizes) + 1), sizes)] = CLASS[data]
-    at = np.zeros(len(line), bool)
-    lengths = sizes + 1
+    lengths = sizes.astype(np.int64) + 1
     where = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
-    at[where] = True
     cell = reduce(
         lambda total, k: total * SYMBOLS + line[where - ORDER + k], range(ORDER + 1), np.int64(0)
     )
@@ -93,7 +91,8 @@ def counts(urls: DataFrame, url: str, accepted: str) -> DataFrame:
             for side in (0, 1):
                 mine = texts.filter(pa.array(mark == bool(side)))
                 if len(mine):
-                    np.add.at(total[side], *_summed(cells(mine)[0]))
+                    cell, n = np.unique(cells(mine)[0], return_counts=True)
+                    total[side][cell] += n
         for side in (0, 1):
             found = np.flatnonzero(total[side])
             yield rows(schema, accepted=np.full(len(found), bool(side)), cell=found, n=total[side][found])
@@ -102,10 +101,6 @@ def counts(urls: DataFrame, url: str, accepted: str) -> DataFrame:
     return partial.groupBy("accepted", "cell").agg(F.sum("n").alias("n"))
 
 
-def _summed(cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(cell, return_counts=True)
-
-
 def log_probabilities(count: np.ndarray) -> np.ndarray:
     """Natural log of the blended probability of every cell."""
     table = count.reshape((SYMBOLS,) * (ORDER + 1)).astype(np.float64)
@@ -132,21 +127,20 @@ def ratio_table(found: DataFrame) -> np.ndarray:
 def ratio(df: DataFrame, url: str, table: np.ndarray, output: str) -> DataFrame:
     """``df`` with the mean of ``table`` over the characters and the end of each URL."""
     kept = [c for c in df.columns if c != output]
-    frame = df.select(*(F.col(f"`{c}`") for c in kept))
+    frame = renamed(df, kept, url=F.col(f"`{url}`"))
     shared = df.sparkSession.sparkContext.broadcast(table)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cell, lengths = cells(pc.fill_null(batch.column(url), ""))
+            cell, lengths = cells(pc.fill_null(batch.column("url"), ""))
             sums = np.concatenate([[0.0], np.cumsum(shared.value[cell].astype(np.float64))])
             ends = np.cumsum(lengths)
             mean = (sums[ends] - sums[ends - lengths]) / lengths
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(mean, pa.float64())], names=[*kept, output]
-            )
+            names = [*batch.schema.names[:-1], "mean"]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(mean)], names=names)
 
-    schema = T.StructType([*frame.schema.fields, T.StructField(output, T.DoubleType())])
-    return frame.mapInArrow(scored, schema)
+    schema = T.StructType([*frame.schema.fields[:-1], T.StructField("mean", T.DoubleType())])
+    return restored(frame.mapInArrow(scored, schema), kept, F.col("mean").alias(output))
 
 
 def threshold(scored: DataFrame, score: str, accepted: str) -> float:
@@ -180,7 +174,7 @@ def judge(pages: DataFrame, rules: Rules, url: str = "url") -> DataFrame:
         F.col(f"`{url}`").alias("__url"), (F.col("__said") == "allow").alias("__accepted")
     )
     apart = F.pmod(F.xxhash64("__url"), F.lit(5)) == 0
-    table = ratio_table(counts(taught.where(~apart), "__url", "__accepted").withColumnRenamed("__accepted", "accepted"))
+    table = ratio_table(counts(taught.where(~apart), "__url", "__accepted"))
     bound = threshold(ratio(taught.where(apart), "__url", table, "__score"), "__score", "__accepted")
     scored = ratio(found, url, table, "__score")
     verdict = F.coalesce("__said", F.when(F.col("__score") >= bound, "allow").otherwise("block"))

@@ -18,6 +18,10 @@ def test_suffixes_are_in_order(symbols, times):
     order = suffix_array(row)
     assert [line[p:] for p in order] == sorted(line[p:] for p in range(len(line)))
     assert sorted(order.tolist()) == list(range(len(line)))
+    some = np.arange(len(line)) % 3 == 1
+    part = [p for p in suffix_array(row, some).tolist() if some[p]]
+    assert [line[p:] for p in part] == sorted(line[p:] for p in range(len(line)) if some[p])
+    assert sorted(part) == np.flatnonzero(some).tolist()
 
 
 def brute(texts):

@@ -1,6 +1,6 @@
 """Suffix-array deduplication: bytes covered by a long string that also starts elsewhere go.
 
-Every window of ``LENGTH`` bytes belongs to its anchor, the leftmost least hash of 16 bytes in
+Every window of ``LENGTH`` bytes belongs to its anchor, the leftmost least hash of 64 bytes in
 it, so equal windows have equal anchors and meet by the anchor's value. Consecutive windows
 of one anchor are a run, and a run travels as the stretch of text that it covers.
 
@@ -35,9 +35,10 @@ from tristrata.llm.storage import stored
 from tristrata.llm.suffixes import Row, suffix_array
 
 LENGTH = 400
-GRAM = 16
-#: Stretches of one anchor that are sorted together; about 600 bytes each.
-GROUP = 1000
+#: Bytes of an anchor, a power of two: so many that texts rarely share them by chance.
+GRAM = 64
+#: Stretches of one anchor that are sorted together; about 570 bytes each.
+GROUP = 4000
 #: Bytes of stretches for one suffix array, once whole sub-groups are in.
 CHUNK = 1 << 20
 
@@ -61,12 +62,23 @@ def distinct_texts(docs: DataFrame, text: str) -> DataFrame:
     return packed.groupBy("t").agg(F.first("z").alias("z"), F.count("*").alias("m"))
 
 
-def anchors(data: np.ndarray) -> np.ndarray:
-    """Place of the anchor of every window of ``data``: one for each window's first byte."""
-    word = data.astype(np.uint64)
-    for k in (1, 2, 4):  # eight bytes from each place on
-        word = word[:-k] | (word[k:] << np.uint64(8 * k))
-    gram = gram_hash(word)
+def gram_hashes(data: np.ndarray) -> np.ndarray:
+    """Hash of the ``GRAM`` bytes from each place on, built by doubling."""
+    value, reach = data.astype(np.uint64), 1
+    while reach < 8:
+        value = value[:-reach] | (value[reach:] << np.uint64(8 * reach))
+        reach *= 2
+    with np.errstate(over="ignore"):
+        while reach < GRAM:
+            value = mixed(value[:-reach] * np.uint64(0xD1B54A32D192ED03) + mixed(value[reach:]))
+            reach *= 2
+    return value
+
+
+def runs_of(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First window, number of windows and anchor value of each run."""
+    gram = gram_hashes(np.frombuffer(text, np.uint8))
+    # the leftmost least of each window: half of the hash above, the place below
     v = (gram & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(gram), dtype=np.uint64)
     width, span = LENGTH - GRAM + 1, 1
     while 2 * span <= width:
@@ -74,28 +86,10 @@ def anchors(data: np.ndarray) -> np.ndarray:
         span *= 2
     if span < width:
         v = np.minimum(v[: len(v) - (width - span)], v[width - span :])
-    return (v & np.uint64(0xFFFFFFFF)).astype(np.int64)
-
-
-def gram_hash(word: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return mixed(word[:-8] * np.uint64(0xD1B54A32D192ED03) + mixed(word[8:]))
-
-
-def runs_of(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First window, number of windows and anchor value of each run."""
-    data = np.frombuffer(text, np.uint8)
-    place = anchors(data)
+    place = (v & np.uint64(0xFFFFFFFF)).astype(np.int64)
     first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
     size = np.diff(np.concatenate([first, [len(place)]]))
-    near = place[first][:, None] + np.arange(GRAM)
-    grams = data[near].astype(np.uint64)
-    value = np.zeros((len(first), 2), np.uint64)
-    for k in range(8):
-        value[:, 0] |= grams[:, k] << np.uint64(8 * k)
-        value[:, 1] |= grams[:, 8 + k] << np.uint64(8 * k)
-    with np.errstate(over="ignore"):
-        return first, size, mixed(value[:, 0] * np.uint64(0xD1B54A32D192ED03) + mixed(value[:, 1]))
+    return first, size, gram[place[first]]
 
 
 RUNS = pa.schema(
@@ -189,10 +183,10 @@ def repeated_windows(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.nd
     starts = np.cumsum(lengths + 1) - (lengths + 1)
     line[starts + lengths] = 0
     row = Row(line, LENGTH)
-    order = suffix_array(row)
     owner = np.repeat(np.arange(len(bodies)), lengths + 1)
     place = np.arange(len(line)) - starts[owner]
     window = place + LENGTH <= lengths[owner]
+    order = suffix_array(row, window)
     order = order[window[order]]
     same = row.alike(order[:-1], order[1:], LENGTH)
     label = np.cumsum(np.concatenate([[0], (~same).astype(np.int64)]))

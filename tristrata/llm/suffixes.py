@@ -92,37 +92,55 @@ def directly_sorted(row: Row, at: np.ndarray) -> np.ndarray:
     return order
 
 
-def suffix_array(row: Row) -> np.ndarray:
-    """All suffixes of a row in order of their first ``depth`` symbols or more."""
+def with_successors(wanted: np.ndarray, small: np.ndarray) -> np.ndarray:
+    """``wanted`` suffixes and those that inducing them takes: large ones up to the next small."""
+    n = len(wanted)
+    place = np.where(small, np.arange(n), n - 1)
+    following = np.minimum.accumulate(place[::-1])[::-1]
+    change = np.zeros(n + 1, np.int64)
+    at = np.flatnonzero(wanted)
+    np.add.at(change, at, 1)
+    np.add.at(change, following[at] + 1, -1)
+    return np.cumsum(change[:-1]) > 0
+
+
+def suffix_array(row: Row, wanted: np.ndarray | None = None) -> np.ndarray:
+    """Suffixes of a row in order of their first ``depth`` symbols or more.
+
+    With ``wanted`` only those, and the few that are needed to induce them.
+    """
     symbols, n = row.symbols, row.n
     if n == 0:
         return np.empty(0, np.int64)
     small = small_suffixes(symbols)
+    used = np.ones(n, bool) if wanted is None else with_successors(wanted, small)
     kinds = int(symbols.max()) + 1
-    sizes = np.bincount(symbols, minlength=kinds)
-    larges = np.bincount(symbols[~small], minlength=kinds)
+    sizes = np.bincount(symbols[used], minlength=kinds)
+    larges = np.bincount(symbols[used & ~small], minlength=kinds)
     start = np.cumsum(sizes) - sizes
-    out = np.empty(n, np.int64)
-    direct = directly_sorted(row, np.flatnonzero(small))
+    out = np.empty(int(used.sum()), np.int64)
+    direct = directly_sorted(row, np.flatnonzero(used & small))
     first = symbols[direct]
     within = np.arange(len(direct)) - np.searchsorted(first, first, side="left")
     out[start[first] + larges[first] + within] = direct
     head = start.copy()
-    out[head[symbols[-1]]] = n - 1  # before all others of its bucket: nothing follows it
-    head[symbols[-1]] += 1
+    if used[-1]:
+        out[head[symbols[-1]]] = n - 1  # before all others of its bucket: nothing follows it
+        head[symbols[-1]] += 1
     for c in np.flatnonzero(sizes).tolist():
         done = start[c]
         while done < head[c]:  # large suffixes that repeat the byte
             wave = out[done : head[c]]
             done = head[c]
             before = wave[wave > 0] - 1
-            before = before[symbols[before] == c]
+            before = before[used[before] & (symbols[before] == c)]
             out[head[c] : head[c] + len(before)] = before
             head[c] += len(before)
         before = out[start[c] : start[c] + sizes[c]]
         before = before[before > 0] - 1
         byte = symbols[before]
-        before, byte = before[byte > c], byte[byte > c]
+        larger = used[before] & (byte > c)
+        before, byte = before[larger], byte[larger]
         turn = np.argsort(byte, kind="stable")
         before, byte = before[turn], byte[turn]
         within = np.arange(len(byte)) - np.searchsorted(byte, byte, side="left")

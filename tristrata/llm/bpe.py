@@ -25,17 +25,16 @@ from pyspark.sql import types as T
 from tristrata.llm.blocks import (
     blocks,
     by_part,
-    from_planes,
     hashes,
     pack,
     pack_lists,
+    pack_numbers,
     pack_strings,
     parts_for,
-    planes,
     renamed,
     restored,
     unpack,
-    unpack_lists,
+    unpack_numbers,
     unpack_strings,
 )
 
@@ -165,7 +164,7 @@ def encode(
             n, flat, words = pretokens(texts)
             part, _, _ = bucketed(words, parts)
             head = pack(**{c: table.column(c) for c in inner}, n=n)
-            yield packed_row(name, HEADER, head, pack(**planes(flat)), pack(**planes(part)))
+            yield packed_row(name, HEADER, head, pack_numbers(flat), pack_numbers(part))
 
     def answer(table: pa.Table) -> pa.Table:
         asked = [unpack_strings(x.as_py()) for x in table.column("payload")]
@@ -189,8 +188,8 @@ def encode(
         if part[:1] != [HEADER] or part[1:2] == [HEADER]:
             raise RuntimeError("a block lacks its texts: the input changed between two reads")
         head = unpack(table.column("payload")[0].as_py())
-        got = [unpack_lists(x.as_py()) for x in table.column("payload")[1:]]
-        order, _ = by_part(from_planes(unpack(table.column("parts")[0].as_py())), parts)
+        got = [unpack_numbers(x.as_py()) for x in table.column("payload")[1:]]
+        order, _ = by_part(*unpack_numbers(table.column("parts")[0].as_py()), parts)
         answered = np.concatenate([x for x, _ in got] or [np.empty(0, np.uint32)])
         if len(order) != len(answered):
             raise RuntimeError("a block lacks words: the input changed between two reads")
@@ -198,7 +197,7 @@ def encode(
         sizes, starts = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
         sizes[order] = answered
         starts[order] = np.cumsum(answered, dtype=np.int64) - answered
-        flat = from_planes(unpack(table.column("positions")[0].as_py()))
+        (flat,) = unpack_numbers(table.column("positions")[0].as_py())
         ends = np.concatenate([[0], np.cumsum(head.column("n").to_numpy())])
         spans, back = [], []
         for a, b in zip(ends[:-1], ends[1:], strict=True):

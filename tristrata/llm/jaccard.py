@@ -14,10 +14,12 @@ and are not indexed, so a set whose prefix is made of them is left early.
 
 Frequencies come from a block exchange: blocks send their distinct tokens to buckets and get
 back those of two classes or more. Candidates are compared in rounds, and a pair that earlier
-links already join is never compared: first each class with the least class it shares most
-signatures with, then with the least class of each signature, at last all classes
+links already join is never compared: first each class with the most typical class of those
+it shares signatures with, then with the most typical one of each signature, at last all classes
 of a signature that still lie in different components. So a group of ``m`` near copies costs ``m``
-comparisons, not ``m * m``, and no link that joins two components is lost.
+comparisons where the most typical of them links with all, and no link that joins two
+components is lost. The last round goes by the single tokens of plain prefixes (``G`` = 0), by
+which a pair meets fewer times.
 
 Null and empty texts, and texts without words, have the empty set and link with nothing;
 texts of fewer than five words are one shingle. Rows with equal keys are one document, and a
@@ -31,22 +33,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tristrata.llm.blocks import (
     blocks,
-    from_planes,
     hashes,
     mixed,
     pack,
+    pack_numbers,
     parts_for,
-    planes,
     renamed,
     restored,
     rows,
     unpack,
+    unpack_numbers,
     words_of,
 )
 from tristrata.llm.components import connected
@@ -58,6 +60,8 @@ TOP, BOTTOM = 3, 4
 #: Classes up to which a token is rare.
 RARE = 64
 GROUPS = (1, 4, 16, 64)
+#: Candidate classes that are compared with as many others in one go.
+TOGETHER = 1000
 #: Bits of a token's hash beyond those that name its bucket.
 KEY_SHIFT = np.uint64(24)
 LOW = np.uint64((1 << 24) - 1)
@@ -144,7 +148,7 @@ def classes(docs: DataFrame, text: str, kept: list[str]) -> tuple[DataFrame, Dat
         part = table.column("part")[0].as_py()
         if part == HEADER:
             return table
-        got = [unpack_entries(unpack(x.as_py())) for x in table.column("payload")]
+        got = [unpack_entries(x.as_py()) for x in table.column("payload")]
         found = pa.array(np.concatenate([k for k, _ in got])).dictionary_encode()
         number = found.indices.to_numpy()
         freq = np.bincount(number)[number]
@@ -159,17 +163,16 @@ def classes(docs: DataFrame, text: str, kept: list[str]) -> tuple[DataFrame, Dat
     def gather(table: pa.Table) -> pa.Table:
         table = table.sort_by("part")
         part = table.column("part").to_pylist()
-        got = [unpack(x.as_py()) for x in table.column("payload")]
+        got = [x.as_py() for x in table.column("payload")]
         if part[0] != HEADER or HEADER in part[1:]:
             raise RuntimeError("a block came twice or lacks its rows")
-        head = got[0]
+        head = unpack(got[0])
         turn, n, cid = (head.column(c).to_numpy(zero_copy_only=False) for c in ("turn", "n", "cid"))
         first = np.flatnonzero(turn >= 0)
         pieces = []
-        for p, batch in zip(part[1:], got[1:], strict=True):
-            key, owner = unpack_entries(batch)
-            token = (key << KEY_SHIFT) | np.uint64(p)
-            pieces.append((token, owner, from_planes(unpack(batch.column("freq")[0].as_py()))))
+        for p, payload in zip(part[1:], got[1:], strict=True):
+            key, owner, freq = unpack_entries(payload)
+            pieces.append(((key << KEY_SHIFT) | np.uint64(p), owner, freq))
         token, owner, freq = (
             np.concatenate([x[k] for x in pieces]) if pieces else np.empty(0, np.uint64)
             for k in range(3)
@@ -181,7 +184,8 @@ def classes(docs: DataFrame, text: str, kept: list[str]) -> tuple[DataFrame, Dat
         for k, row in enumerate(first.tolist()):
             a, b = bounds[k], bounds[k + 1]
             size = int(n[row])
-            if size - (b - a) < prefix(size, levels(size)[-1]) and b > a:
+            # more lone tokens would leave too few to share within any extended prefix
+            if size - (b - a) < prefix(size, 0) and b > a:
                 out["cid"].append(cid[row])
                 out["n"].append(size)
                 out["tokens"].append(token[a:b].tobytes())
@@ -229,34 +233,52 @@ def pad(column: pa.Array, more: int) -> pa.Array:
 
 def pack_entries(key: np.ndarray, owner: np.ndarray, freq: np.ndarray | None = None) -> bytes:
     """Ascending 40-bit keys with the class of each, and frequencies."""
+    more = [] if freq is None else [freq.astype(np.uint32)]
     gaps = np.diff(key, prepend=np.uint64(0))
-    low = pack(**planes((gaps & np.uint64(0xFFFFFFFF)).astype(np.uint32)))
-    high = pack(high=(gaps >> np.uint64(32)).astype(np.uint8))
-    owners = pack(**planes(owner))
-    more = {} if freq is None else {"freq": [pack(**planes(freq))]}
-    return pack(low=[low], high=[high], owner=[owners], **more)
+    low = (gaps & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    return pack_numbers(low, (gaps >> np.uint64(32)).astype(np.uint8), owner.astype(np.uint16), *more)
 
 
-def unpack_entries(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    low = from_planes(unpack(batch.column("low")[0].as_py())).astype(np.uint64)
-    high = unpack(batch.column("high")[0].as_py()).column("high").to_numpy().astype(np.uint64)
-    owner = from_planes(unpack(batch.column("owner")[0].as_py()))
-    return np.cumsum(low | (high << np.uint64(32)), dtype=np.uint64), owner
+def unpack_entries(payload: bytes) -> list[np.ndarray]:
+    low, high, *others = unpack_numbers(payload)
+    gaps = low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32))
+    return [np.cumsum(gaps, dtype=np.uint64), *others]
+
+
+SIGNED = pa.schema(
+    [("sig", pa.int64()), ("cid", pa.binary()), ("n", pa.int32()), ("shared", pa.int32())]
+    + [("odd", pa.float64())]
+)
 
 
 def signatures(candidates: DataFrame) -> DataFrame:
-    """Rows ``sig, cid``: rare tokens and pairs of frequent ones in the extended prefixes."""
-    schema = pa.schema([("sig", pa.int64()), ("cid", pa.binary())])
+    """Rows ``sig, cid, n, shared, odd``: rare tokens and pairs of frequent ones in the prefixes.
+
+    ``n`` is the size of the class and ``shared`` how many of its tokens others have; ``odd``
+    is the lower, the more classes have its tokens on average.
+    """
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for cid, n, tokens, freqs in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-                sigs = class_signatures(
-                    n, np.frombuffer(tokens, np.uint64), np.frombuffer(freqs, np.uint32)
+            for cid, n, tokens, freqs in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                token, freq = np.frombuffer(tokens, np.uint64), np.frombuffer(freqs, np.uint32)
+                sigs = class_signatures(n, token, freq)
+                yield rows(
+                    SIGNED,
+                    sig=sigs.view(np.int64),
+                    cid=pa.repeat(pa.scalar(cid, pa.binary()), len(sigs)),
+                    n=np.full(len(sigs), n),
+                    shared=np.full(len(sigs), len(token)),
+                    odd=np.full(len(sigs), -float(freq.sum(dtype=np.int64)) / n),
                 )
-                yield rows(schema, sig=sigs.view(np.int64), cid=pa.repeat(pa.scalar(cid, pa.binary()), len(sigs)))
 
-    return candidates.select("cid", "n", "tokens", "freqs").mapInArrow(signed, "sig long, cid binary")
+    columns = candidates.select("cid", "n", "tokens", "freqs")
+    return columns.mapInArrow(signed, "sig long, cid binary, n int, shared int, odd double")
+
+
+def can_link(an: str, ashared: str, bn: str, bshared: str) -> Column:
+    """Whether two classes have enough tokens that others have to be similar."""
+    return F.least(ashared, bshared) * (TOP + BOTTOM) >= (F.col(an) + F.col(bn)) * TOP
 
 
 def class_signatures(n: int, tokens: np.ndarray, freqs: np.ndarray) -> np.ndarray:
@@ -277,42 +299,87 @@ def class_signatures(n: int, tokens: np.ndarray, freqs: np.ndarray) -> np.ndarra
     return np.unique(np.concatenate(out))
 
 
-def verified(pairs: DataFrame, candidates: DataFrame) -> DataFrame:
-    """The ``pairs`` (``a, b``) of similarity 3/4 or more."""
-    sets = candidates.select("cid", "n", "tokens")
-    left = sets.select(F.col("cid").alias("a"), F.col("n").alias("an"), F.col("tokens").alias("at"))
-    right = sets.select(F.col("cid").alias("b"), F.col("n").alias("bn"), F.col("tokens").alias("bt"))
-    near = (F.col("an") * BOTTOM >= F.col("bn") * TOP) & (F.col("bn") * BOTTOM >= F.col("an") * TOP)
-    joined = pairs.join(left, "a").join(right, "b").where(near)
+def verified(pairs: DataFrame, candidates: DataFrame, groups: int) -> DataFrame:
+    """The ``pairs`` (``a, b``) of similarity 3/4 or more.
+
+    Classes fall into ``groups`` by hash, and pairs are compared by the groups of their two
+    sides, so a class travels once for each group it meets, not once for each pair.
+    """
+    where = [F.pmod(F.xxhash64(x), F.lit(groups)).cast("int").alias(f"g{x}") for x in "ab"]
+    placed = pairs.select("a", "b", *where)
+    wanted = placed.select("ga", "gb", F.col("a").alias("cid")).union(
+        placed.select("ga", "gb", F.col("b").alias("cid"))
+    )
+    sets = wanted.distinct().join(candidates.select("cid", "n", "tokens"), "cid")
+    both = sets.withColumn("pair", F.lit(False)).unionByName(
+        placed.withColumn("pair", F.lit(True)), allowMissingColumns=True
+    )
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, known = None, {}
         for batch in batches:
-            keep = []
-            for an, at, bn, bt in zip(*(batch.column(c).to_pylist() for c in ("an", "at", "bn", "bt")), strict=True):
-                both = np.concatenate([np.frombuffer(at, np.uint64), np.frombuffer(bt, np.uint64)])
-                both.sort()
-                common = int(np.count_nonzero(both[1:] == both[:-1]))
-                keep.append(BOTTOM * common >= TOP * (an + bn - common))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("a", "b")], names=["a", "b"]
+            kept = []
+            for r in batch.to_pylist():
+                if (r["ga"], r["gb"]) != group:
+                    group, known = (r["ga"], r["gb"]), {}
+                if r["pair"]:
+                    if similar(*known[r["a"]], *known[r["b"]]):
+                        kept.append((r["a"], r["b"]))
+                else:
+                    known[r["cid"]] = (r["n"], np.frombuffer(r["tokens"], np.uint64))
+            yield pa.record_batch(
+                {c: pa.array([x[k] for x in kept], pa.binary()) for k, c in enumerate("ab")}
             )
 
-    return joined.select("a", "b", "an", "at", "bn", "bt").mapInArrow(compared, "a binary, b binary")
+    return (
+        both.repartition("ga", "gb")
+        .sortWithinPartitions("ga", "gb", "pair")
+        .mapInArrow(compared, "a binary, b binary")
+    )
+
+
+def similar(an: int, a: np.ndarray, bn: int, b: np.ndarray) -> bool:
+    """Whether sets of ``an`` and ``bn`` tokens, of which ``a`` and ``b`` have partners, link."""
+    least = -(-(an + bn) * TOP // (TOP + BOTTOM))
+    if min(len(a), len(b)) < least:
+        return False
+    both = np.concatenate([a, b])
+    both.sort()
+    return int(np.count_nonzero(both[1:] == both[:-1])) >= least
+
+
+def prefix_tokens(candidates: DataFrame) -> DataFrame:
+    """Rows ``sig, cid``: single tokens of the plain prefixes, which suffice to find all pairs."""
+    schema = pa.schema([("sig", pa.int64()), ("cid", pa.binary())])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cid, n, tokens in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                token = np.frombuffer(tokens, np.uint64)
+                mine = token[: max(0, prefix(n, 0) - (n - len(token)))].view(np.int64)
+                names = pa.repeat(pa.scalar(cid, pa.binary()), len(mine))
+                yield rows(schema, sig=mine, cid=names)
+
+    return candidates.select("cid", "n", "tokens").mapInArrow(cut, "sig long, cid binary")
 
 
 def links(candidates: DataFrame) -> DataFrame:
     """Rows ``node, root``: the components of the classes that link with another."""
+    groups = -(-candidates.count() // TOGETHER) or 1
     signed = stored(signatures(candidates), "jaccard-signatures")
-    least = signed.groupBy("sig").agg(F.min("cid").alias("b"), F.count("*").alias("m")).where("m > 1")
+    # the class nearest to the others, as an original is to its copies, links with most of them
+    first = F.min(F.struct("odd", "cid", "n", "shared"))
+    least = signed.groupBy("sig").agg(first.alias("b"), F.count("*").alias("m")).where("m > 1")
+    least = least.select("sig", F.col("b.cid").alias("b"), F.col("b.n").alias("bn"), F.col("b.shared").alias("bs"))
     stars = stored(
         signed.join(least, "sig")
-        .where(F.col("cid") != F.col("b"))
+        .where((F.col("cid") != F.col("b")) & can_link("n", "shared", "bn", "bs"))
         .groupBy(F.col("cid").alias("a"), "b")
         .agg(F.count("*").alias("common")),
         "jaccard-stars",
     )
     best = stars.groupBy("a").agg(F.max_by("b", F.struct("common", "b")).alias("b"))
-    edges = stored(verified(best, candidates), "jaccard-links")
+    edges = stored(verified(best, candidates, groups), "jaccard-links")
     roots = connected(edges)
 
     def apart(pairs: DataFrame) -> DataFrame:
@@ -323,31 +390,48 @@ def links(candidates: DataFrame) -> DataFrame:
         return known.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
 
     rest = apart(stars.select("a", "b")).join(best, ["a", "b"], "left_anti")
-    edges = edges.union(stored(verified(rest, candidates), "jaccard-links"))
+    edges = edges.union(stored(verified(rest, candidates, groups), "jaccard-links"))
     roots = connected(edges)
-    rooted = signed.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
-        "root", F.coalesce("root", "cid")
-    )
-    mixed_sigs = (
-        rooted.groupBy("sig")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        .where("low <> high")
-        .select("sig")
+    # classes of signatures that still join different components meet by their plain prefixes
+    named = roots.withColumnRenamed("node", "cid")
+    open_classes = stored(mixed_lists(signed, named).dropDuplicates(["cid"]), "jaccard-open")
+    known = open_classes.select("cid", "n", "shared")
+    plain = prefix_tokens(candidates.join(known.select("cid"), "cid", "left_semi"))
+    open_lists = stored(mixed_lists(plain.join(known, "cid"), named), "jaccard-lists")
+    one, two = (
+        open_lists.select(
+            "sig",
+            F.col("cid").alias(x),
+            F.col("root").alias(f"{x}root"),
+            F.col("n").alias(f"{x}n"),
+            F.col("shared").alias(f"{x}s"),
+        )
+        for x in "ab"
     )
-    open_lists = stored(rooted.join(mixed_sigs, "sig"), "jaccard-open")
-    one = open_lists.select("sig", F.col("cid").alias("a"), F.col("root").alias("ra"))
-    two = open_lists.select("sig", F.col("cid").alias("b"), F.col("root").alias("rb"))
+    apart_pairs = (F.col("aroot") != F.col("broot")) & (F.col("a") > F.col("b"))
     last = (
         one.join(two, "sig")
-        .where((F.col("ra") != F.col("rb")) & (F.col("a") > F.col("b")))
+        .where(apart_pairs & can_link("an", "as", "bn", "bs"))
         .select("a", "b")
         .distinct()
-        .join(stars, ["a", "b"], "left_anti")
+        .join(known_pairs(stars), ["a", "b"], "left_anti")
     )
-    edges = edges.union(stored(verified(last, candidates), "jaccard-links"))
+    edges = edges.union(stored(verified(last, candidates, groups), "jaccard-links"))
     return connected(edges)
 
 
+def mixed_lists(signed: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows of ``signed``, with ``root``, whose signature has classes of different components."""
+    rooted = signed.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    ends = rooted.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    return rooted.join(ends.where("low <> high").select("sig"), "sig")
+
+
+def known_pairs(stars: DataFrame) -> DataFrame:
+    """Compared pairs with the greater class first."""
+    return stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+
+
 def components(
     docs: DataFrame, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:

@@ -32,18 +32,18 @@ from pyspark.sql import types as T
 from tristrata.llm.blocks import (
     blocks,
     by_part,
-    from_planes,
     hashes,
     mixed,
     pack,
+    pack_numbers,
     pack_strings,
     parts_for,
-    planes,
     renamed,
     restored,
     rows,
     strings,
     unpack,
+    unpack_numbers,
     unpack_strings,
     words_of,
 )
@@ -118,15 +118,11 @@ def numbered_words(texts: pa.Array, parts: int):
 
 
 def pack_sorted(names: np.ndarray) -> bytes:
-    gaps = np.diff(names, prepend=np.uint64(0))
-    low = planes((gaps & np.uint64(0xFFFFFFFF)).astype(np.uint32))
-    return pack(**low, high=(gaps >> np.uint64(32)).astype(np.uint16))
+    return pack_numbers(np.diff(names, prepend=np.uint64(0)))
 
 
 def unpack_sorted(payload: bytes) -> np.ndarray:
-    batch = unpack(payload)
-    high = batch.column("high").to_numpy().astype(np.uint64) << np.uint64(32)
-    return np.cumsum(from_planes(batch).astype(np.uint64) | high, dtype=np.uint64)
+    return np.cumsum(unpack_numbers(payload)[0], dtype=np.uint64)
 
 
 def sums_by(text_sizes: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -228,9 +224,9 @@ def score(
                     block=[name],
                     part=[p],
                     grams=[pack_sorted(names[a:b])],
-                    gram_n=[pack(**planes(n[a:b]))],
+                    gram_n=[pack_numbers(n[a:b].astype(np.uint32))],
                     words=[pack_strings(words.slice(c, d - c))],
-                    word_n=[pack(**planes(m[c:d]))],
+                    word_n=[pack_numbers(m[c:d].astype(np.uint32))],
                     tokens=[0 if p else tokens],
                     texts=[0 if p else int(learns.sum())],
                 )
@@ -249,13 +245,13 @@ def score(
 
     def count_words(table: pa.Table) -> pa.Table:
         asked = [unpack_strings(x.as_py()) for x in table.column("words")]
-        counts = [from_planes(unpack(x.as_py())) for x in table.column("word_n")]
+        counts = [unpack_numbers(x.as_py())[0] for x in table.column("word_n")]
         words = pa.concat_arrays(asked).dictionary_encode()
         number = words.indices.to_numpy()
         total = np.bincount(number, np.concatenate(counts), minlength=len(words.dictionary))
         ends = np.cumsum([len(x) for x in asked])
         out = [
-            pack(**planes(total[number[end - len(x) : end]]))
+            pack_numbers(total[number[end - len(x) : end]].astype(np.uint64))
             for x, end in zip(asked, ends, strict=True)
         ]
         kinds = np.zeros(len(out), np.int64)
@@ -266,7 +262,8 @@ def score(
 
     def sum_grams(table: pa.Table) -> pa.Table:
         names = np.concatenate([unpack_sorted(x.as_py()) for x in table.column("grams")])
-        counts = np.concatenate([from_planes(unpack(x.as_py())) for x in table.column("gram_n")])
+        counts = [unpack_numbers(x.as_py())[0] for x in table.column("gram_n")]
+        counts = np.concatenate(counts)
         found = pa.array(names).dictionary_encode()
         total = np.bincount(found.indices.to_numpy(), counts, minlength=len(found.dictionary))
         part = np.full(len(total), table.column("part")[0].as_py(), np.int32)
@@ -280,26 +277,27 @@ def score(
         out = []
         for x in asked.column("grams"):
             names = unpack_sorted(x.as_py()).astype(np.int64)
-            out.append(pack(logp=logp[np.searchsorted(g, names)]))
+            out.append(pack_numbers(logp[np.searchsorted(g, names)]))
         return pa.table({"block": asked.column("block"), "part": asked.column("part"), "payload": out})
 
     def assemble(table: pa.Table) -> pa.Table:
         table = table.sort_by([("kind", "ascending"), ("part", "ascending")])
         kind = table.column("kind").to_numpy()
-        got = [unpack(x.as_py()) for x in table.column("payload")]
+        got = [x.as_py() for x in table.column("payload")]
         if kind[0] != TEXTS or (kind == TEXTS).sum() > 1:
             raise RuntimeError("a block lacks its texts: the input changed between two reads")
-        head = got[0]
+        head = unpack(got[0])
+        got = [[], *(unpack_numbers(x)[0] for x in got[1:])]
         texts = head.column("text")
         _, borders, place, sizes = numbered(texts, order, parts)
-        logp = [x.column("logp").to_numpy() for x, k in zip(got, kind, strict=True) if k == STRINGS]
+        logp = [x for x, k in zip(got, kind, strict=True) if k == STRINGS]
         logp = np.concatenate(logp)
         if len(logp) != borders[-1]:
             raise RuntimeError("a block lacks strings: the input changed between two reads")
         total = sums_by(sizes, logp[place])
         del place
         _, borders, place, counts = numbered_words(texts, parts)
-        seen = [from_planes(x) for x, k in zip(got, kind, strict=True) if k == WORDS]
+        seen = [x for x, k in zip(got, kind, strict=True) if k == WORDS]
         seen = np.concatenate(seen).astype(np.float64)
         if len(seen) != borders[-1]:
             raise RuntimeError("a block lacks words: the input changed between two reads")

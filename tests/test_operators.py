@@ -3,8 +3,9 @@ from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
-from samples import BRONZE, LOADED_DDL, SILVER, SILVER_GOLD, VISIT_DDL, day, frame
+from samples import BRONZE, LOADED_DDL, SILVER, VISIT_DDL, day, frame, gold_of
 
+from tristrata.operators import layout
 from tristrata.metrics import measure_evaluation, metrics_frame, observed_write
 from tristrata.operators import (
     agg_metrics,
@@ -34,7 +35,7 @@ def tuples(df):
 def test_latest_visit_survives(spark):
     kept = latest_per_key(clean(frame(spark, BRONZE, LOADED_DDL))).collect()
     assert sorted(r.patient_id for r in kept) == [1, 2, 3, 4, 5]
-    assert {r.ingestion_timestamp for r in kept if r.patient_id == 2} == {"2024-01-01 11:00:00"}
+    assert {r.ingestion_timestamp for r in kept if r.patient_id == 2} == {"2023-06-20 09:30:00"}
 
 
 def test_null_keys_form_one_group_and_null_dates_lose(spark):
@@ -102,7 +103,7 @@ def test_null_audit_counts_each_field_and_keeps_zeroes(spark):
 def test_by_group_sample(spark):
     gold = by_group(frame(spark, SILVER, VISIT_DDL))
     got = {r.diagnosis: (r.total_billing, r.avg_billing, r.patient_count) for r in gold.collect()}
-    assert got == {d: v[:3] for d, v in SILVER_GOLD.items()}
+    assert got == {r[0]: r[1:4] for r in gold_of(SILVER)}
     assert dict(gold.dtypes) == {
         "diagnosis": "string",
         "total_billing": "double",
@@ -248,13 +249,14 @@ def test_join_broadcasts_only_within_the_bounds(sides, spark, plan):
         def broadcasts(**options):
             return "BroadcastHashJoin" in plan(sized_join(large, small, "k", **options))
 
-        assert broadcasts()
-        assert broadcasts(large_rows=1000)
-        assert not broadcasts(large_rows=250)  # 25 rows are not under a tenth of 250
-        assert not broadcasts(max_broadcast_bytes=1000)
+        assert broadcasts(measured=True)
+        assert broadcasts(measured=True, large_rows=1000)
+        # 25 rows are not under a tenth of 250
+        assert not broadcasts(measured=True, large_rows=250)
+        assert not broadcasts(measured=True, max_broadcast_bytes=1000)
         assert not broadcasts(small_size=Size(25, 10**12))
         assert broadcasts(small_size=Size(25, 1000), large_rows=1000)
-        assert not broadcasts(measured=False)
+        assert not broadcasts()
         assert not broadcasts(small_size=Size(25, None))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
@@ -296,14 +298,20 @@ def test_capped_frame_can_be_cached(spark):
     cached.unpersist()
 
 
-def test_cached_view(spark):
-    cached = cached_view(spark.range(10).withColumn("noise", F.rand()), "noise_view")
-    try:
-        assert cached.is_cached
-        total = "SELECT sum(noise) FROM noise_view"
+def test_cached_view_lasts_as_long_as_its_context(spark):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    frames = spark.range(10).withColumn("noise", F.rand())
+    with cached_view(frames) as (name, cached), cached_view(frames) as (other, _):
+        assert cached.is_cached and name != other
+        total = f"SELECT sum(noise) FROM {name}"
         assert spark.sql(total).first() == spark.sql(total).first()
-    finally:
-        cached.unpersist()
+    assert not spark.catalog.tableExists(name)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_large_inputs_keep_their_partitions(spark, monkeypatch):
+    monkeypatch.setattr(layout, "PARTITION_BYTES", 10)
+    assert cap_partitions(spark.range(0, 500, 1, 250)).rdd.getNumPartitions() == 250
 
 
 def test_write_partition_formula():

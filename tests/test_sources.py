@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from samples import CORRUPT, FOUR_VISITS, SIX_VISITS, WITH_DOCTOR
+from samples import CORRUPT, FOUR_VISITS, SIX_VISITS, WITH_DOCTOR, day
 
 from tristrata.schema import BRONZE_SCHEMA, SILVER_SCHEMA, VISIT_SCHEMA
 from tristrata.sources import (
@@ -57,7 +57,7 @@ def test_source_file_is_right_for_folders_and_globs(spark, csv_file):
 
 
 def test_incremental_read(spark, csv_file):
-    assert read_visits(spark, csv_file(FOUR_VISITS), since="2024-01-01").count() == 2
+    assert read_visits(spark, csv_file(FOUR_VISITS), since="2023-06-11").count() == 2
 
 
 def test_missing_file_raises(spark):
@@ -68,18 +68,18 @@ def test_missing_file_raises(spark):
 def test_malformed_values_become_null(spark, csv_file):
     rows = read_visits(spark, csv_file(CORRUPT)).orderBy("patient_id").collect()
     assert (rows[1].age, rows[1].billing_amount) == (None, None)
-    assert rows[2].visit_date is None and rows[2].billing_amount == 300.0
+    assert rows[2].visit_date is None and rows[2].billing_amount == 310.0
 
 
 def test_short_rows_are_padded_and_extra_values_dropped(spark, csv_file):
-    text = "patient_id,name,age,diagnosis,visit_date,billing_amount\n1,A\n2,B,3,D,2024-01-01,4,x\n"
+    text = "patient_id,name,age,diagnosis,visit_date,billing_amount\n1,A\n2,B,3,D,2023-06-11,4,x\n"
     short, long = read_visits(spark, csv_file(text)).orderBy("patient_id").collect()
     assert (short.name, short.age, short.billing_amount) == ("A", None, None)
     assert long.billing_amount == 4.0
 
 
 def test_header_order_is_checked_on_request(spark, csv_file):
-    text = "name,patient_id,age,diagnosis,visit_date,billing_amount\nA,1,2,D,2024-01-01,3\n"
+    text = "name,patient_id,age,diagnosis,visit_date,billing_amount\nA,1,2,D,2023-06-11,3\n"
     path = csv_file(text)
     assert read_visits(spark, path).first().patient_id is None  # bound by position
     with pytest.raises(Exception, match="(?i)header"):
@@ -112,9 +112,9 @@ def test_bronze_roundtrip_and_range(spark, csv_file, tmp_path, layout):
     def ids(**ends):
         return sorted(r.patient_id for r in read_bronze(spark, path, **ends).collect())
 
-    assert ids(start="2024-01-02") == [3, 4, 8]
-    assert ids(start="2024-01-02", end="2024-01-02") == [3]
-    assert ids(end=dt.date(2024, 1, 1)) == [1, 2]
+    assert ids(start="2023-06-12") == [3, 4, 8]
+    assert ids(start="2023-06-12", end="2023-06-12") == [3]
+    assert ids(end=dt.date(2023, 6, 11)) == [1, 2]
     assert ids(start=F.lit("2024-02-01").cast("date")) == [8]
 
 
@@ -130,11 +130,26 @@ def test_append_adds_and_overwrite_replaces(spark, csv_file, tmp_path):
 def test_replace_touches_only_the_dates_present(spark, csv_file, tmp_path):
     path, visits = str(tmp_path / "b"), read_visits(spark, csv_file(FOUR_VISITS))
     write_bronze(visits, path)
-    resent = visits.filter("visit_date = '2024-01-01'").withColumn("age", F.lit(99))
+    resent = visits.filter("visit_date = '2023-06-11'").withColumn("age", F.lit(99))
     for _ in range(2):
         write_bronze(resent, path, mode="replace")
     ages = {r.patient_id: r.age for r in read_bronze(spark, path).collect()}
-    assert ages == {1: 99, 2: 99, 3: None, 4: 50}
+    assert ages == {1: 99, 2: 99, 3: None, 4: 63}
+
+
+def test_undated_rows_of_other_loads_survive_a_replacement(spark, tmp_path):
+    path, ddl = str(tmp_path / "b"), "patient_id int, visit_date date"
+    write_bronze(spark.createDataFrame([(1, None), (2, day(11))], ddl), path)
+    resent = spark.createDataFrame([(3, None), (4, day(11)), (5, day(12))], ddl)
+    assert write_bronze(resent, path, mode="replace").row_count == 3
+    assert sorted(r.patient_id for r in read_bronze(spark, path).collect()) == [1, 3, 4, 5]
+
+
+def test_load_ids_stay_text_under_a_given_schema(spark, tmp_path):
+    path = str(tmp_path / "b")
+    rows = spark.createDataFrame([(1, day(11))], "patient_id int, visit_date date")
+    write_bronze(rows, path, load_id="042")
+    assert read_bronze(spark, path, schema=rows.schema).first().load_id == "042"
 
 
 def test_months_are_not_replaced_for_a_single_date(spark, csv_file, tmp_path):
@@ -181,7 +196,7 @@ def test_schema_evolution_through_storage(spark, csv_file, tmp_path):
     newer = read_visits(spark, csv_file(WITH_DOCTOR, "new.csv"), schema=DOCTOR_SCHEMA)
     write_bronze(newer, path)
     doctors = {r.patient_id: r.doctor_id for r in read_bronze(spark, path).collect()}
-    assert doctors == {1: None, 2: None, 3: None, 4: None, 5: "DOC001"}
+    assert doctors == {1: None, 2: None, 3: None, 4: None, 5: "D-7"}
 
 
 def test_schema_evolution_of_frames(spark, csv_file):
@@ -195,7 +210,7 @@ def test_schema_evolution_of_frames(spark, csv_file):
 def test_conflicting_types_fail(spark, tmp_path):
     path = str(tmp_path / "b")
     for value, kind in ((1, "int"), ("x", "string")):
-        df = spark.createDataFrame([(value, dt.date(2024, 1, 1))], f"v {kind}, visit_date date")
+        df = spark.createDataFrame([(value, dt.date(2023, 6, 11))], f"v {kind}, visit_date date")
         write_bronze(df, path)
     with pytest.raises(Exception, match="CANNOT_MERGE_SCHEMA"):
         read_bronze(spark, path).collect()
@@ -225,7 +240,7 @@ def test_a_known_schema_replaces_merging(spark, csv_file, tmp_path):
     path, visits = str(tmp_path / "b"), read_visits(spark, csv_file(FOUR_VISITS))
     write_bronze(visits, path)
     narrow = T.StructType([BRONZE_SCHEMA["patient_id"], BRONZE_SCHEMA["visit_date"]])
-    df = read_bronze(spark, path, start="2024-01-02", schema=narrow)
+    df = read_bronze(spark, path, start="2023-06-12", schema=narrow)
     assert df.columns == ["patient_id", "visit_date"]
     assert sorted(r.patient_id for r in df.collect()) == [3, 4]
 
@@ -233,7 +248,7 @@ def test_a_known_schema_replaces_merging(spark, csv_file, tmp_path):
 def test_few_files_per_partition_value(spark, tmp_path):
     """Rows of a value spread over all tasks end in one file, not one per task."""
     path = tmp_path / "b"
-    date = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 4).cast("int"))
+    date = F.date_add(F.lit("2023-06-11").cast("date"), (F.col("id") % 4).cast("int"))
     df = spark.range(0, 4000, 1, 16).select("id", date.alias("visit_date"))
     write_bronze(df, str(path))
     assert len(list(path.rglob("*.parquet"))) == 4

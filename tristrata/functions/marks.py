@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Mark = str | dt.date | Column
@@ -25,6 +25,16 @@ def parse_mark(mark: Mark) -> Column:
         raise ValueError(f"date mark must look like 2024-01-31, got {mark!r}") from e
 
 
+def settled(spark: SparkSession, mark: Mark | None) -> dt.date | None:
+    """The mark as one date, so that every later step means the same day.
+
+    A column (say, days before today) is worked out here, once, in a tiny job.
+    """
+    if not given(mark):
+        return None
+    return spark.range(1).select(parse_mark(mark).cast("date")).first()[0]
+
+
 def given(mark: Mark | None) -> bool:
     """Whether there is a mark; None and empty text mean there is not."""
     return mark is not None and not (isinstance(mark, str) and mark == "")

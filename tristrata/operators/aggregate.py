@@ -2,10 +2,25 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Digits before and after the point of one amount; a sum may have ten digits more.
+AMOUNT = "decimal(28,6)"
+
+
+def exact_sum(amount: str) -> Column:
+    """A sum of doubles that does not depend on their order, as a double.
+
+    Amounts are added as decimals of six places. Where one does not fit (NaN, infinite or
+    beyond 22 digits), the plain sum stands.
+    """
+    fixed = F.expr(f"try_cast(`{amount}` AS {AMOUNT})")
+    odd = F.bool_or(F.col(amount).isNotNull() & fixed.isNull())
+    return F.when(odd, F.sum(amount)).otherwise(F.sum(fixed).cast("double"))
+
+
 def by_group(
     df: DataFrame,
     group: str = "diagnosis",
@@ -20,8 +35,8 @@ def by_group(
     """
     # Result column names.
     measures = {
-        "total_billing": F.sum(amount),
-        "avg_billing": F.round(F.avg(amount), 2),
+        "total_billing": exact_sum(amount),
+        "avg_billing": F.round(exact_sum(amount) / F.nullif(F.count(amount), F.lit(0)), 2),
         "patient_count": F.count(key),
         "min_age": F.min(age),
         "max_age": F.max(age),
@@ -41,6 +56,7 @@ def agg_metrics(df: DataFrame, groups: Sequence[str], metrics: Sequence[str]) ->
         raise ValueError("at least one metric column is needed")
     for metric in metrics:
         df = df.filter(F.col(metric).isNotNull())
+    # Beginnings of the result column names.
     measures = {"total": F.sum, "avg": F.avg, "count": F.count}
     return df.groupBy(*groups).agg(
         *[fn(m).alias(f"{label}_{m}") for m in metrics for label, fn in measures.items()]
@@ -55,5 +71,5 @@ def monthly_trend(
 ) -> DataFrame:
     """Visits and billing per calendar month and group."""
     return df.groupBy(F.trunc(date, "month").alias("visit_month"), group).agg(
-        F.count(F.lit(1)).alias("visits"), F.sum(amount).alias("total_billing")
+        F.count(F.lit(1)).alias("visits"), exact_sum(amount).alias("total_billing")
     )

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tristrata.sizes import Size, measure
+from tristrata.sizes import Size, least_row_bytes, measure
 
 MAX_BROADCAST_BYTES = 64 << 20
 SMALL_SIDE_RATIO = 0.1  # fixed value: the small side has under a tenth of the rows
@@ -16,24 +16,26 @@ def sized_join(
     *,
     small_size: Size | None = None,
     large_rows: int | None = None,
-    measured: bool = True,
+    measured: bool = False,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     ratio: float = SMALL_SIDE_RATIO,
 ) -> DataFrame:
     """Inner join on the column ``key`` of both sides; the result has it once, in front.
 
-    The small side is broadcast when its size, given or measured by one pass over it, is
-    within ``max_broadcast_bytes`` and, where ``large_rows`` is known, its row count is
-    under ``ratio`` of that. Otherwise the join is left to the optimizer, which shuffles
-    both sides and splits skewed keys at run time. A row ratio alone would not do: a
-    tenth of a huge table is still too large to send everywhere. For a side that is
-    costly to compute, give its size or set ``measured=False``.
+    The small side is broadcast when its size, given or measured, is within
+    ``max_broadcast_bytes`` and, where ``large_rows`` is known, its row count is under
+    ``ratio`` of that. A row ratio alone would not do: a tenth of a huge table is still
+    too large to send everywhere. Otherwise the join is left to the optimizer, which shuffles
+    both sides and splits skewed keys at run time; by default that is so without any job.
+    ``measured=True`` reads the small side, but no more rows than could fit.
     """
     size = small_size
     if size is None and measured:
-        # Counting reads no columns, so it goes first where it may settle the matter.
-        worth_it = large_rows is None or small.count() < ratio * large_rows
-        size = measure(small) if worth_it else None
+        most = max_broadcast_bytes // least_row_bytes(small.schema)
+        if large_rows is not None:
+            most = min(most, int(ratio * large_rows))
+        size = measure(small.limit(most + 1))
+        size = size if size.rows <= most else None
     fits = (
         size is not None
         and size.within(max_broadcast_bytes)

@@ -1,10 +1,15 @@
 """Partition counts, cached views and sized partitioned writes."""
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 
 from tristrata.metrics import StepMetric, observed_write
 
 PARTITION_CAP = 100  # fixed value
+PARTITION_BYTES = 256 << 20
 ROWS_PER_PARTITION = 1_000_000  # fixed value
 MAX_WRITE_PARTITIONS = 200  # fixed value
 
@@ -12,23 +17,33 @@ MAX_WRITE_PARTITIONS = 200  # fixed value
 def cap_partitions(df: DataFrame, cap: int | None = None, cache: bool = False) -> DataFrame:
     """Reduce to ``cap`` partitions when there are more, without a shuffle.
 
-    The default is 100 or, on a larger cluster, one partition per core. ``cache`` keeps
-    the result from its first use until the caller unpersists it.
+    The default is 100, or more where the optimizer expects partitions of over 256 MiB. ``cache``
+    keeps the result from its first use until the caller unpersists it.
     """
     if cap is None:
-        cap = max(PARTITION_CAP, df.sparkSession.sparkContext.defaultParallelism)
+        expected = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        cap = max(PARTITION_CAP, min(int(str(expected)) // PARTITION_BYTES, 1 << 30))
     capped = df.coalesce(cap)
     return capped.persist() if cache else capped
 
 
-def cached_view(df: DataFrame, view: str, cap: int | None = None) -> DataFrame:
-    """Register a capped, cached frame for SQL; it fills on first use.
+@contextmanager
+def cached_view(
+    df: DataFrame, view: str | None = None, cap: int | None = None
+) -> Iterator[tuple[str, DataFrame]]:
+    """A capped, cached frame as a view for SQL, while the context lasts.
 
-    Returns the cached frame, which the caller unpersists.
+    Gives the name of the view, a fresh one by default, and the frame, which fills on first
+    use. View and cache are gone afterwards.
     """
+    name = view or f"view_{uuid.uuid4().hex}"
     cached = cap_partitions(df, cap, cache=True)
-    cached.createOrReplaceTempView(view)
-    return cached
+    cached.createOrReplaceTempView(name)
+    try:
+        yield name, cached
+    finally:
+        df.sparkSession.catalog.dropTempView(name)
+        cached.unpersist()
 
 
 def write_partitions(

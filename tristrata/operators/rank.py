@@ -14,21 +14,24 @@ def global_rank(
     amount: str = "total_billing",
     name: str = "billing_rank",
     single_task_rows: int = SINGLE_TASK_ROWS,
+    scratch: str | None = None,
 ) -> DataFrame:
     """Rank by ``amount`` descending; ties share a rank and the next one skips.
 
     The input is stored once, which gives its exact size. Up to ``single_task_rows``
     rows of bounded bytes an ordinary global window does; beyond that the ranking is done
-    by ranges.
+    by ranges. ``scratch`` is a shared folder to store in, where the session names none.
     """
-    stored, size = store(df, "rank-input")
+    stored, size = store(df, "rank-input", scratch)
     if size.rows <= single_task_rows and size.within(SINGLE_TASK_BYTES):
         everything = Window.orderBy(F.col(amount).desc_nulls_last())
         return stored.withColumn(name, F.rank().over(everything))
-    return _rank_by_ranges(stored, amount, name, slices=size.rows // single_task_rows + 1)
+    return _rank_by_ranges(stored, amount, name, size.rows // single_task_rows + 1, scratch)
 
 
-def _rank_by_ranges(stored: DataFrame, amount: str, name: str, slices: int) -> DataFrame:
+def _rank_by_ranges(
+    stored: DataFrame, amount: str, name: str, slices: int, scratch: str | None
+) -> DataFrame:
     """Rank each distinct amount inside its value range, then offset by the ranges above.
 
     Amounts are reduced to (value, row count) first, so any number of ties is one row.
@@ -41,6 +44,7 @@ def _rank_by_ranges(stored: DataFrame, amount: str, name: str, slices: int) -> D
         .repartitionByRange(slices, descending)
         .withColumn("_slice", F.spark_partition_id()),
         "rank-slices",
+        scratch,
     )
 
     def rows_before(window, count):

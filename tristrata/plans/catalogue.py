@@ -9,9 +9,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tristrata.functions import after, apply_rules, fill_defaults, mark_before_latest, rejects
 from tristrata.functions import standardize
+from tristrata.functions.marks import settled
+from tristrata.metrics import measure_evaluation, metrics_frame
 from tristrata.operators import (
     agg_metrics,
     by_group,
@@ -32,6 +35,7 @@ from tristrata.plans.insights import (
 )
 from tristrata.plans.layers import clean, rank_groups
 from tristrata.plans.run import RunResult, run
+from tristrata.plans.run import incremental_run as run_days
 from tristrata.plans.visits import (
     COLUMNS,
     NEWEST_VISIT,
@@ -40,6 +44,7 @@ from tristrata.plans.visits import (
     visits,
     write_visit_files,
 )
+from tristrata.schema import BRONZE_SCHEMA, LOADED_AT, SILVER_AT, SOURCE_FILE
 from tristrata.sources import (
     read_bronze,
     read_silver,
@@ -49,6 +54,7 @@ from tristrata.sources import (
     write_bronze,
     write_silver,
 )
+from tristrata.sources.versions import children
 from tristrata.streaming import stream_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,18 +88,23 @@ def gold_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_group(silver_visits(spark, sf_dir))
 
 
+#: What a run over visit files with a visit id takes.
+WIDE_RUN = dict(latest=NEWEST_VISIT, unique=True, schema=WIDE_SCHEMA, layout="month")
+WIDE_BRONZE = T.StructType(
+    [*WIDE_SCHEMA.fields, *(f for f in BRONZE_SCHEMA if f.name not in WIDE_SCHEMA.names)]
+)
+
+
+def until_mark(df: DataFrame) -> DataFrame:
+    """Visits not after the mark, those without a date among them."""
+    return df.filter(~F.coalesce(F.col("visit_date") > F.lit(MARK).cast("date"), F.lit(False)))
+
+
 def stored_run(spark: SparkSession, sf_dir: str, since: str | None = None) -> RunResult:
     """Visit files, then all three layers through storage."""
-    return run(
-        spark,
-        write_visit_files(visits(spark, sf_dir)),
-        scratch_path(spark, "run"),
-        since,
-        latest=NEWEST_VISIT,
-        unique=True,
-        schema=WIDE_SCHEMA,
-        layout="month",
-    )
+    files = write_visit_files(visits(spark, sf_dir))
+    root = scratch_path(spark, "run")
+    return run(spark, files, root, since, bronze_schema=WIDE_BRONZE, **WIDE_RUN)
 
 
 def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,8 +119,10 @@ def ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_days_back(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seen = visits(spark, sf_dir)
-    return after(seen, mark_before_latest(seen, 30))
+    """The newest date comes from bronze first, so the filter is a literal for its folders."""
+    path = monthly_bronze(spark, sf_dir)
+    mark = settled(spark, mark_before_latest(read_bronze(spark, path), 30))
+    return after(read_bronze(spark, path, mark), mark).select(*COLUMNS)
 
 
 def monthly_bronze(spark: SparkSession, sf_dir: str) -> str:
@@ -130,7 +143,7 @@ def bronze_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Later visits carry a column the earlier files lack."""
     seen, path = visits(spark, sf_dir), scratch_path(spark, "bronze")
-    earlier = seen.filter(F.col("visit_date") <= F.lit(MARK).cast("date"))
+    earlier = until_mark(seen)
     later = after(seen, MARK).withColumn("doctor_id", F.concat(F.lit("DOC"), "patient_id"))
     for batch in (earlier, later):
         write_bronze(batch, path, layout="month")
@@ -206,28 +219,33 @@ def join_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("suppkey"), "s_name", "s_nationkey"
     )
-    return sized_join(lines, suppliers, "suppkey", large_rows=lines.count())
+    return sized_join(lines, suppliers, "suppkey", measured=True)
 
 
 def join_regular(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with their order, too large a share of the rows to broadcast."""
+    """Line items with their order; how is the optimizer's choice."""
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("orderkey"), "l_linenumber", "l_extendedprice"
     )
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("orderkey"), "o_custkey", "o_orderpriority"
     )
-    return sized_join(lines, orders, "orderkey", large_rows=lines.count())
+    return sized_join(lines, orders, "orderkey")
 
 
-def sized_partition_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sized_partition_write(spark: SparkSession, sf_dir: str, rows: int | None = None) -> DataFrame:
     path = scratch_path(spark, "events")
-    sized_write(table(spark, sf_dir, "events"), "event_type", path)
+    sized_write(table(spark, sf_dir, "events"), "event_type", path, rows)
     return spark.read.parquet(path).groupBy("event_type").agg(
         F.count(F.lit(1)).alias("events"), F.count_distinct("user_id").alias("users")
     )
 
 
+def sized_write_of_known_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row count comes with an earlier step; here the table's footers hold it."""
+    return sized_partition_write(spark, sf_dir, table(spark, sf_dir, "events").count())
+
+
 def metrics_by_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_returnflag",
@@ -241,17 +259,70 @@ def metrics_by_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def capped_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_type", "value")
-    cached_view(events, "tristrata_events")
-    return spark.sql(
-        "SELECT event_type, count(*) AS events, count(value) AS measured, "
-        "round(sum(value), 2) AS total_value FROM tristrata_events GROUP BY event_type"
-    )
+    with cached_view(events) as (view, _):
+        counted, _ = store(
+            spark.sql(
+                "SELECT event_type, count(*) AS events, count(value) AS measured, "
+                f"round(sum(value), 2) AS total_value FROM {view} GROUP BY event_type"
+            ),
+            "events",
+        )
+    return counted
 
 
 def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_run(spark, sf_dir).report()
 
 
+def step_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the steps of a run and the evaluation of its gold report about themselves."""
+    result = stored_run(spark, sf_dir)
+    steps = [*result.metrics, measure_evaluation("gold read", result.gold)]
+    timed = (F.col("duration_seconds") > 0) & (F.col("throughput_rows_per_sec") >= 0)
+    return metrics_frame(spark, steps).select("operation", "row_count", timed.alias("timed"))
+
+
+def layer_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many silver visits carry file, load time and processing time."""
+    files, root = write_visit_files(visits(spark, sf_dir)), scratch_path(spark, "run")
+    run(spark, files, root, bronze_schema=WIDE_BRONZE, **WIDE_RUN)
+    names = [p for p in children(spark, files) if p.endswith(".csv")]
+    stamped = read_silver(spark, f"{root}/silver").agg(
+        F.count_if(F.col(SOURCE_FILE).isin(names)).alias("named"),
+        F.count(LOADED_AT).alias("loaded"),
+        F.count_if(F.col(SILVER_AT) >= F.col(LOADED_AT)).alias("processed"),
+    )
+    return stamped
+
+
+def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads; lines with a text for a number are kept beside the layers, by both."""
+    seen = visits(spark, sf_dir)
+    text = F.col("age").cast("string")
+    broken = F.when(F.col("visit_id") % 97 == 0, F.lit("unknown")).otherwise(text)
+    seen, root = seen.withColumn("age", broken), scratch_path(spark, "broken")
+    run(spark, write_visit_files(until_mark(seen)), root, quarantine=True, **WIDE_RUN)
+    later = write_visit_files(after(seen, MARK))
+    run(spark, later, root, MARK, fold=True, quarantine=True, **WIDE_RUN)
+    kept = spark.read.parquet(f"{root}/malformed")
+    rejected = spark.read.parquet(f"{root}/quarantine")
+    last = F.regexp_extract("raw_line", r"(\d+)\s*$", 1).cast("long")
+    return kept.select(last.alias("visit_id"), F.lit("malformed").alias("why")).union(
+        rejected.select("visit_id", F.array_join("reject_reasons", ","))
+    )
+
+
+def evolution_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later files have a column more; it goes on into silver by folding."""
+    seen, root = visits(spark, sf_dir), scratch_path(spark, "evolved")
+    run(spark, write_visit_files(until_mark(seen)), root, **WIDE_RUN)
+    later = after(seen, MARK).withColumn("doctor_id", F.concat(F.lit("DOC"), "patient_id"))
+    wider = T.StructType([*WIDE_SCHEMA.fields, T.StructField("doctor_id", T.StringType())])
+    files = write_visit_files(later, columns=wider.names)
+    run(spark, files, root, MARK, fold=True, **(WIDE_RUN | {"schema": wider}))
+    return read_silver(spark, f"{root}/silver").select(*COLUMNS, "doctor_id")
+
+
 def medallion_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visits to ranked gold in one plan up to the ranking."""
     return cents(rank_groups(gold_groups(spark, sf_dir)), "total_billing")
@@ -269,14 +340,22 @@ def incremental_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_gold(stored_run(spark, sf_dir, since=MARK))
 
 
+def incremental_days_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first load, then a fold of the visits of as many days as lead back to the mark."""
+    seen, root = visits(spark, sf_dir), scratch_path(spark, "days")
+    run(spark, write_visit_files(until_mark(seen)), root, **WIDE_RUN)
+    later = write_visit_files(after(seen, MARK))
+    since = F.datediff(F.current_date(), F.lit(MARK).cast("date"))
+    days = spark.range(1).select(since).first()[0]
+    return stored_gold(run_days(spark, later, root, days, fold=True, **WIDE_RUN))
+
+
 def incremental_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A first load, then later visits folded into the silver it left."""
     seen, root = visits(spark, sf_dir), scratch_path(spark, "fold")
-    options = dict(latest=NEWEST_VISIT, unique=True, schema=WIDE_SCHEMA, layout="month")
-    earlier = seen.filter(F.col("visit_date") <= F.lit(MARK).cast("date"))
-    run(spark, write_visit_files(earlier), root, **options)
+    run(spark, write_visit_files(until_mark(seen)), root, **WIDE_RUN)
     later = write_visit_files(after(seen, MARK))
-    return stored_gold(run(spark, later, root, MARK, fold=True, **options))
+    return stored_gold(run(spark, later, root, MARK, fold=True, **WIDE_RUN))
 
 
 def trend_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -286,8 +365,7 @@ def trend_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
 def streamed_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two arrivals of files and a run that finds nothing new."""
     seen, root = visits(spark, sf_dir), scratch_path(spark, "stream")
-    earlier = seen.filter(F.col("visit_date") <= F.lit(MARK).cast("date"))
-    arrivals = [earlier, after(seen, MARK), None]
+    arrivals = [until_mark(seen), after(seen, MARK), None]
     for batch in arrivals:
         if batch is not None:
             write_visit_files(batch, f"{root}/files")
@@ -334,6 +412,12 @@ QUERIES: dict[str, Query] = {
     "medallion_stored": medallion_stored,
     "incremental_run": incremental_run,
     "incremental_fold": incremental_fold,
+    "incremental_days_run": incremental_days_run,
+    "malformed_lines": malformed_lines,
+    "evolution_fold": evolution_fold,
+    "step_metrics": step_metrics,
+    "layer_stamps": layer_stamps,
+    "sized_write_of_known_rows": sized_write_of_known_rows,
     "trend_monthly": trend_monthly,
     "stream_bronze": streamed_bronze,
 }

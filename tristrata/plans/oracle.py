@@ -55,7 +55,7 @@ silver AS (
 GROUPED = """
 grouped AS (
   SELECT diagnosis,
-         round(sum(billing_amount), 2) AS total_billing,
+         round(CAST(sum(CAST(billing_amount AS DECIMAL(28,6))) AS DOUBLE), 2) AS total_billing,
          round(avg(billing_amount), 2) AS avg_billing,
          count(patient_id) AS patient_count,
          min(age) AS min_age,
@@ -199,6 +199,41 @@ UNION ALL SELECT 'gold', 'success', count(*) FROM grouped""",
     "incremental_run": _with(
         *_TO_CLEAN, _silver(_SINCE), GROUPED, RANKED, select="SELECT * FROM ranked"
     ),
+    "incremental_days_run": _with(*_TO_RANKED, select="SELECT * FROM ranked"),
+    "malformed_lines": _with(
+        VISITS,
+        "broken AS (SELECT * REPLACE (CASE WHEN visit_id % 97 <> 0 THEN age END AS age) "
+        "FROM visits)",
+        FILLED.replace("FROM visits", "FROM broken"),
+        STANDARD,
+        select="""
+SELECT visit_id, 'malformed' AS why FROM visits WHERE visit_id % 97 = 0
+UNION ALL
+SELECT visit_id,
+       concat_ws(',', CASE WHEN age NOT BETWEEN 0 AND 150 THEN 'age_out_of_range' END,
+                      CASE WHEN billing_amount < 0 THEN 'negative_billing' END)
+FROM standard WHERE age NOT BETWEEN 0 AND 150 OR billing_amount < 0""",
+    ),
+    "evolution_fold": _with(
+        *_TO_SILVER,
+        select="SELECT *, CASE WHEN visit_date > DATE '1998-01-01' "
+        "THEN 'DOC' || patient_id END AS doctor_id FROM silver",
+    ),
+    "step_metrics": _with(
+        *_TO_GOLD,
+        select="""
+SELECT 'bronze' AS operation, count(*) AS row_count, TRUE AS timed FROM visits
+UNION ALL SELECT 'silver', count(*), TRUE FROM silver
+UNION ALL SELECT 'gold', count(*), TRUE FROM grouped
+UNION ALL SELECT 'gold read', count(*), TRUE FROM grouped""",
+    ),
+    "layer_stamps": _with(
+        *_TO_SILVER,
+        select="SELECT count(*) AS named, count(*) AS loaded, count(*) AS processed FROM silver",
+    ),
+    "sized_write_of_known_rows": """
+SELECT event_type, count(*) AS events, count(DISTINCT user_id) AS users
+FROM events GROUP BY event_type""",
     "incremental_fold": _with(*_TO_RANKED, select="SELECT * FROM ranked"),
     "trend_monthly": _with(
         *_TO_CLEAN,

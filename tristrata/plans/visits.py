@@ -50,11 +50,13 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_visit_files(df: DataFrame, path: str | None = None) -> str:
+def write_visit_files(
+    df: DataFrame, path: str | None = None, columns: list[str] = COLUMNS
+) -> str:
     """Write visits as headered delimited files, adding to those in ``path``."""
     path = path or scratch_path(df.sparkSession, "visit-files")
     (
-        df.select(*COLUMNS)
+        df.select(*columns)
         .write.mode("append")
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False)

@@ -29,12 +29,17 @@ class Size:
         return self.bytes is not None and self.bytes <= max_bytes
 
 
+def least_row_bytes(schema: T.StructType) -> int:
+    """Bytes of a row without its texts."""
+    return _ROW_OVERHEAD_BYTES + _FIELD_BYTES * len(schema)
+
+
 def total_bytes(schema: T.StructType) -> Column | None:
     """An aggregate over the bytes of all rows; None if a column has no simple width."""
     texts = [f.name for f in schema if isinstance(f.dataType, _TEXT)]
     if not all(isinstance(f.dataType, _TEXT + _FIXED_WIDTH) for f in schema):
         return None
-    fixed = F.lit(_ROW_OVERHEAD_BYTES + _FIELD_BYTES * len(schema)).cast("long")
+    fixed = F.lit(least_row_bytes(schema)).cast("long")
     width = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), fixed)
     return F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
 

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tristrata.functions.marks import Mark, given, parse_mark
 from tristrata.metrics import StepMetric, observed_write
 from tristrata.schema import BRONZE_SCHEMA, SILVER_SCHEMA
+from tristrata.sources.versions import version_path
 
 MONTH = "visit_month"
 LOAD = "load_id"
@@ -33,20 +34,25 @@ def read_layer(
     schema then. A path that does not exist raises.
     """
     if schema is not None:
-        return spark.read.schema(schema).parquet(path)
+        return retyped(spark, path, spark.read.schema(schema).parquet(path), partition_types)
     try:
         merged = spark.read.option("mergeSchema", True).parquet(path)
     except AnalysisException as e:
         if when_empty is None or e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
         return spark.createDataFrame([], when_empty)
-    wanted = {c: t for c, t in (partition_types or {}).items() if c in merged.columns}
-    if all(merged.schema[c].dataType == t for c, t in wanted.items()):
-        return merged
-    retyped = T.StructType(
-        [T.StructField(f.name, wanted.get(f.name, f.dataType)) for f in merged.schema]
-    )
-    return spark.read.schema(retyped).parquet(path)
+    return retyped(spark, path, merged, partition_types)
+
+
+def retyped(
+    spark: SparkSession, path: str, df: DataFrame, types: dict[str, T.DataType] | None
+) -> DataFrame:
+    """``df``, read from ``path``, with the declared types of its partition columns."""
+    wanted = {c: t for c, t in (types or {}).items() if c in df.columns}
+    if all(df.schema[c].dataType == t for c, t in wanted.items()):
+        return df
+    fields = [T.StructField(f.name, wanted.get(f.name, f.dataType)) for f in df.schema]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
 def write_layer(
@@ -99,7 +105,8 @@ def write_bronze(
     """Write raw visits partitioned by ``visit_date``.
 
     ``mode`` is a Spark save mode, or ``"replace"`` to overwrite just the dates present in
-    ``df`` (for sources that resend whole dates). With ``load_id`` the rows form a load of
+    ``df`` (for sources that resend whole dates); rows without a date are added then, as
+    no date of theirs can be replaced, which takes a second pass over ``df``. With ``load_id`` the rows form a load of
     their own that a rerun with the same id replaces as a whole, whatever the mode.
     ``layout="month"`` makes one folder per month where days are too small to be files of
     their own. All loads of one path use the same layout and either all or none have an id.
@@ -114,7 +121,20 @@ def write_bronze(
             raise ValueError(f"load id may hold letters, digits, '_', '.', '-', got {load_id!r}")
         path, mode = f"{path.rstrip('/')}/{LOAD}={load_id}", "overwrite"
     rows, partition = by_date_layout(df, layout)
-    return write_layer(rows, path, "bronze", partition, mode, rebalance, overwrite)
+    if overwrite == "static":
+        return write_layer(rows, path, "bronze", partition, mode, rebalance)
+    dated, undated = (
+        write_layer(part, path, "bronze", partition, how, rebalance, overwrite)
+        for part, how in (
+            (rows.filter(F.col(partition).isNotNull()), mode),
+            (rows.filter(F.col(partition).isNull()), "append"),
+        )
+    )
+    return StepMetric(
+        "bronze",
+        dated.row_count + undated.row_count,
+        dated.duration_seconds + undated.duration_seconds,
+    )
 
 
 def read_bronze(
@@ -153,7 +173,8 @@ def read_silver(
     partition_by: str = "diagnosis",
     schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Read silver; the partition value stays text."""
+    """Read silver, its version in use where it has versions; the partition value stays text."""
+    path = version_path(spark, path)
     return read_layer(spark, path, {partition_by: T.StringType()}, SILVER_SCHEMA, schema)
 
 

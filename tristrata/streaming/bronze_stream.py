@@ -1,14 +1,17 @@
 """Ingest only files that have not been ingested yet."""
 
-from pyspark.sql import SparkSession
+import json
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tristrata.schema import VISIT_SCHEMA
-from tristrata.sources.layers import by_date_layout
+from tristrata.sources.layers import write_bronze
 from tristrata.sources.visits_csv import with_lineage
 
 MAX_FILES_PER_BATCH = 10_000
+MAX_FILE_AGE = "36500d"  # Spark would pass over files a week older than the newest
 
 
 def stream_bronze(
@@ -23,19 +26,22 @@ def stream_bronze(
 ) -> StreamingQuery:
     """Start a run over the files that arrived since the last one, then stop.
 
-    The checkpoint remembers which files were taken and the sink's log which output
-    counts, so reruns and lost executors neither repeat nor drop rows. A backlog is
-    worked off in micro-batches of ``max_files``. A bronze path is fed by this stream or
-    by batch writes, not both: readers of a streamed path see only files in its log.
+    The checkpoint remembers which files were taken, whatever their modification times. Each
+    micro-batch of ``max_files`` is a load of its own in bronze, named by the checkpoint and
+    the batch, so a batch that is repeated after a failure replaces itself.
     """
     reader = spark.readStream.schema(schema).option("header", True)
-    visits = with_lineage(reader.option("maxFilesPerTrigger", max_files).csv(source_dir))
-    rows, partition = by_date_layout(visits, layout)
+    reader = reader.option("maxFilesPerTrigger", max_files).option("maxFileAge", MAX_FILE_AGE)
+
+    def load(batch: DataFrame, number: int) -> None:
+        state = spark.read.text(f"{checkpoint}/metadata", wholetext=True).first()[0]
+        stream = json.loads(state)["id"]
+        write_bronze(batch, bronze_path, layout=layout, load_id=f"stream-{stream}-{number}")
+
     return (
-        rows.writeStream.format("parquet")
-        .option("path", bronze_path)
+        with_lineage(reader.csv(source_dir))
+        .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
-        .partitionBy(partition)
         .trigger(availableNow=True)
         .start()
     )

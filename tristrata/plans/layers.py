@@ -141,7 +141,8 @@ def build_silver(
         rejected = write_layer(rejects(checked), where, "quarantine")
         log.info("quarantined %d rows", rejected.row_count)
         kept = [*kept, version]
-    versions.publish(spark, silver_path, replace(manifest, folder=version, pending=[], rejects=kept))
+    manifest = replace(manifest, folder=version, pending=[], rejects=kept)
+    versions.publish(spark, silver_path, manifest)
     if quarantine_path:
         versions.drop_others(spark, quarantine_path, versions.REJECTS, kept)
     if not keep_old:

@@ -106,10 +106,10 @@ def write_bronze(
 
     ``mode`` is a Spark save mode, or ``"replace"`` to overwrite just the dates present in
     ``df`` (for sources that resend whole dates); rows without a date are added then, as
-    no date of theirs can be replaced, which takes a second pass over ``df``. With ``load_id`` the rows form a load of
-    their own that a rerun with the same id replaces as a whole, whatever the mode.
-    ``layout="month"`` makes one folder per month where days are too small to be files of
-    their own. All loads of one path use the same layout and either all or none have an id.
+    no date of theirs can be replaced, which takes a second pass over ``df``. With
+    ``load_id`` the rows form a load of their own that a rerun with the same id replaces as a
+    whole, whatever the mode. ``layout="month"`` makes one folder per month where days are
+    too small to be files of their own. All loads of one path use the same layout and either all or none have an id.
     """
     overwrite = "static"
     if mode == "replace" and load_id is None:

@@ -26,7 +26,8 @@ def connected(edges: DataFrame) -> DataFrame:
             .groupBy(F.col("b").alias("node"))
             .agg(F.min("root").alias("near"))
         )
-        lower = labels.join(near, "node").select("node", "root", F.least("root", "near").alias("to"))
+        to = F.least("root", "near").alias("to")
+        lower = labels.join(near, "node").select("node", "root", to)
         jump = labels.select(F.col("node").alias("to"), F.col("root").alias("onward"))
         moved = stored(
             lower.join(jump, "to").select("node", "root", F.least("to", "onward").alias("next")),

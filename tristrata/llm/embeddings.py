@@ -1,15 +1,15 @@
 """Embedding near-duplicates with randomised-rotation binary codes.
 
-Unit vectors are turned by a seeded random rotation; the signs of the turned vector are its code, and the
-inner product of vector and code, ``f``, is stored as correction. For another vector ``y`` the value
-``<code, y> / f`` is an unbiased estimate of the cosine, with an error below
-``EPSILON * sqrt(1 - f * f) / (f * sqrt(d - 1))`` but for one in some ten thousand. A pair whose estimate
-and bound stay below the threshold is passed over; all others are computed exactly in
-double precision, and only that decides.
+Unit vectors are turned by a seeded random rotation; the signs of the turned vector are its
+code, and the inner product of vector and code, ``f``, is stored as correction. For another
+vector ``y`` the value ``<code, y> / f`` is an unbiased estimate of the cosine, with an error
+below ``EPSILON * sqrt(1 - f * f) / (f * sqrt(d - 1))`` but for one in some ten thousand. A pair
+whose estimate and bound stay below the threshold is passed over; all others are computed
+exactly in double precision, and only that decides.
 
-Candidates are pairs that agree on all bits of one of several groups of signs. The bits of a group grow
-with the logarithm of the input, and there are so many groups that a pair right at the
-threshold is missed in ``MISS`` of cases; there is no cap on partners or on candidates.
+Candidates are pairs that agree on all bits of one of several groups of signs. The bits of a
+group grow with the logarithm of the input, and there are so many groups that a pair right at
+the threshold is missed in ``MISS`` of cases; there is no cap on partners or on candidates.
 
 Equal vectors are one class and count as links of each other. A pair is counted in the first group
 where it meets, so buckets send sums and the edges of a spanning forest, never pairs. Buckets
@@ -92,7 +92,8 @@ def linked(a: np.ndarray, b: np.ndarray, code: np.ndarray, factor: np.ndarray) -
     return out
 
 
-CLASS = pa.schema([("cid", pa.binary()), ("vector", pa.binary()), ("code", pa.binary()), ("factor", pa.float64())])
+BINARY = [(c, pa.binary()) for c in ("cid", "vector", "code")]
+CLASS = pa.schema([*BINARY, ("factor", pa.float64())])
 
 
 def classified(df: DataFrame, vector: str, kept: list[str]) -> DataFrame:
@@ -115,7 +116,8 @@ def classified(df: DataFrame, vector: str, kept: list[str]) -> DataFrame:
                     unit = units(v[None, :] + 0.0)
                     code, factor = codes(unit)
                     raw = unit[0].tobytes()
-                    got = (hashlib.blake2b(raw, digest_size=16).digest(), raw, code[0].tobytes(), float(factor[0]))
+                    cid = hashlib.blake2b(raw, digest_size=16).digest()
+                    got = (cid, raw, code[0].tobytes(), float(factor[0]))
                 for k, c in enumerate(out):
                     out[c].append(got[k] if good else None)
             yield pa.RecordBatch.from_arrays(
@@ -130,8 +132,8 @@ def keyed(classes: DataFrame, bits: int, groups: int) -> DataFrame:
     """A row of each class for each group: ``d, grp, key``, with the keys of the groups before."""
     names = ["cid", "m", "vector", "code", "factor"]
     schema = pa.schema(
-        [("d", pa.int32()), ("grp", pa.int32()), ("key", pa.int64()), ("keys", pa.binary()), ("cid", pa.binary())]
-        + [("m", pa.int64()), ("vector", pa.binary()), ("code", pa.binary()), ("factor", pa.float64())]
+        [("d", pa.int32()), ("grp", pa.int32()), ("key", pa.int64()), ("keys", pa.binary())]
+        + [*BINARY, ("m", pa.int64()), ("factor", pa.float64())]
     )
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,13 +148,13 @@ def keyed(classes: DataFrame, bits: int, groups: int) -> DataFrame:
                     seen = [keys[k, :g].tobytes() for k in range(len(mine))]
                     columns = {c: part.column(c) for c in names}
                     n = len(mine)
-                    yield rows(
-                        schema, d=np.full(n, d), grp=np.full(n, g), key=keys[:, g], keys=seen, **columns
-                    )
+                    columns |= {"d": np.full(n, d), "grp": np.full(n, g)}
+                    yield rows(schema, key=keys[:, g], keys=seen, **columns)
 
     return classes.select(*names).mapInArrow(
         spread,
-        "d int, grp int, key long, keys binary, cid binary, m long, vector binary, code binary, factor double",
+        "d int, grp int, key long, keys binary, cid binary, vector binary, code binary, "
+        "m long, factor double",
     )
 
 
@@ -215,9 +217,8 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     bits, groups = plan(classes.count())
     spread = keyed(classes, bits, groups)
     where = ["d", "grp", "key"]
-    large = (
-        keyed(classes, bits, groups).groupBy(*where).agg(F.count("*").alias("size")).where(F.col("size") > BUCKET)
-    )
+    sizes = keyed(classes, bits, groups).groupBy(*where).agg(F.count("*").alias("size"))
+    large = sizes.where(F.col("size") > BUCKET)
     cuts = F.coalesce(F.ceil(F.col("size") / BUCKET), F.lit(1)).cast("int")
     cut = spread.join(large, where, "left").withColumn("cuts", cuts)
     cut = cut.withColumn("cut", F.pmod(F.xxhash64("cid"), "cuts").cast("int"))

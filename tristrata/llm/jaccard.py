@@ -112,7 +112,7 @@ def prefix(n: int, groups: int) -> int:
 
 
 def classes(docs: DataFrame, text: str, kept: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows with ``kept`` as ``k0, ...``, ``cid`` and ``n``; and the classes that can have partners."""
+    """Rows with ``kept`` as ``k0, ...``, ``cid``, ``n``; and classes that can have partners."""
     docs = renamed(docs, kept, text=F.col(f"`{text}`"))
     inner = docs.columns[:-1]
     parts = parts_for(docs, "text")
@@ -142,7 +142,8 @@ def classes(docs: DataFrame, text: str, kept: list[str]) -> tuple[DataFrame, Dat
             key, owner = key[turn], owner[turn]
             for p in np.flatnonzero(np.diff(borders)).tolist():
                 a, b = borders[p], borders[p + 1]
-                yield rows(schema, block=[name], part=[p], payload=[pack_entries(key[a:b], owner[a:b])])
+                entries = pack_entries(key[a:b], owner[a:b])
+                yield rows(schema, block=[name], part=[p], payload=[entries])
 
     def shared(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
@@ -158,7 +159,9 @@ def classes(docs: DataFrame, text: str, kept: list[str]) -> tuple[DataFrame, Dat
             at += len(key)
             two = f > 1
             out.append(pack_entries(key[two], owner[two], f[two]))
-        return pa.table({"block": table.column("block"), "part": table.column("part"), "payload": out})
+        return pa.table(
+            {"block": table.column("block"), "part": table.column("part"), "payload": out}
+        )
 
     def gather(table: pa.Table) -> pa.Table:
         table = table.sort_by("part")
@@ -214,10 +217,9 @@ def classes(docs: DataFrame, text: str, kept: list[str]) -> tuple[DataFrame, Dat
             T.StructField("freqs", T.BinaryType()),
         ]
     )
-    routed = docs.mapInArrow(requests, PACKED).withColumn(
-        # headers pass through, spread by block
-        "bucket", F.when(F.col("part") == HEADER, F.col("block")).otherwise(F.col("part").cast("string"))
-    )
+    # headers pass through, spread by block
+    bucket = F.when(F.col("part") == HEADER, F.col("block")).otherwise(F.col("part").cast("string"))
+    routed = docs.mapInArrow(requests, PACKED).withColumn("bucket", bucket)
     answers = routed.groupBy("bucket").applyInArrow(
         lambda table: shared(table.select(["block", "part", "payload"])), PACKED
     )
@@ -236,7 +238,8 @@ def pack_entries(key: np.ndarray, owner: np.ndarray, freq: np.ndarray | None = N
     more = [] if freq is None else [freq.astype(np.uint32)]
     gaps = np.diff(key, prepend=np.uint64(0))
     low = (gaps & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    return pack_numbers(low, (gaps >> np.uint64(32)).astype(np.uint8), owner.astype(np.uint16), *more)
+    high = (gaps >> np.uint64(32)).astype(np.uint8)
+    return pack_numbers(low, high, owner.astype(np.uint16), *more)
 
 
 def unpack_entries(payload: bytes) -> list[np.ndarray]:
@@ -370,7 +373,12 @@ def links(candidates: DataFrame) -> DataFrame:
     # the class nearest to the others, as an original is to its copies, links with most of them
     first = F.min(F.struct("odd", "cid", "n", "shared"))
     least = signed.groupBy("sig").agg(first.alias("b"), F.count("*").alias("m")).where("m > 1")
-    least = least.select("sig", F.col("b.cid").alias("b"), F.col("b.n").alias("bn"), F.col("b.shared").alias("bs"))
+    least = least.select(
+        "sig",
+        F.col("b.cid").alias("b"),
+        F.col("b.n").alias("bn"),
+        F.col("b.shared").alias("bs"),
+    )
     stars = stored(
         signed.join(least, "sig")
         .where((F.col("cid") != F.col("b")) & can_link("n", "shared", "bn", "bs"))

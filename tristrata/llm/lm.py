@@ -257,7 +257,12 @@ def score(
         kinds = np.zeros(len(out), np.int64)
         kinds[0] = np.count_nonzero(total)
         return pa.table(
-            {"block": table.column("block"), "part": table.column("part"), "payload": out, "kinds": kinds}
+            {
+                "block": table.column("block"),
+                "part": table.column("part"),
+                "payload": out,
+                "kinds": kinds,
+            }
         )
 
     def sum_grams(table: pa.Table) -> pa.Table:
@@ -278,7 +283,9 @@ def score(
         for x in asked.column("grams"):
             names = unpack_sorted(x.as_py()).astype(np.int64)
             out.append(pack_numbers(logp[np.searchsorted(g, names)]))
-        return pa.table({"block": asked.column("block"), "part": asked.column("part"), "payload": out})
+        return pa.table(
+            {"block": asked.column("block"), "part": asked.column("part"), "payload": out}
+        )
 
     def assemble(table: pa.Table) -> pa.Table:
         table = table.sort_by([("kind", "ascending"), ("part", "ascending")])

@@ -110,7 +110,9 @@ def measures(text: Column, words: Column, lines: Column) -> dict[str, Column]:
         "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
         "n_repeat_words": repeated_words(words),
         "n_lines": F.size(lines).cast("long"),
-        "n_stop_words": F.size(F.filter(words, lambda w: F.lower(w).isin(*STOP_WORDS))).cast("long"),
+        "n_stop_words": F.size(
+            F.filter(words, lambda w: F.lower(w).isin(*STOP_WORDS))
+        ).cast("long"),
         "n_marked_words": F.size(F.filter(words, lambda w: w.rlike("[|!#*<>{}]"))).cast("long"),
     }
 

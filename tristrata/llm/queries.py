@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tristrata.llm import bpe, embeddings, jaccard, lm, mixing, quality, repeats, sharding, toxicity, urls
+from tristrata.llm import (
+    bpe,
+    embeddings,
+    jaccard,
+    lm,
+    mixing,
+    quality,
+    repeats,
+    sharding,
+    toxicity,
+    urls,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,7 +101,16 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_quality, op2_lm, op3_repeats, op4_sharding, op5_toxicity, op6_embeddings, op7_urls, op8_jaccard, op9_mixing, op10_bpe)
+    "op1_quality": op1_quality,
+    "op2_lm": op2_lm,
+    "op3_repeats": op3_repeats,
+    "op4_sharding": op4_sharding,
+    "op5_toxicity": op5_toxicity,
+    "op6_embeddings": op6_embeddings,
+    "op7_urls": op7_urls,
+    "op8_jaccard": op8_jaccard,
+    "op9_mixing": op9_mixing,
+    "op10_bpe": op10_bpe,
 }
 
 ORACLE = {

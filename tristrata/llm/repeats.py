@@ -54,10 +54,12 @@ def distinct_texts(docs: DataFrame, text: str) -> DataFrame:
         tool = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             z = [tool.compress(x.as_py().encode()) for x in batch.column("x")]
-            yield pa.RecordBatch.from_arrays([batch.column("t"), pa.array(z, pa.binary())], names=["t", "z"])
+            columns = [batch.column("t"), pa.array(z, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["t", "z"])
 
     column = F.col(f"`{text}`")
-    long = docs.where(F.octet_length(column) >= LENGTH).select(text_key(column).alias("t"), column.alias("x"))
+    long = docs.where(F.octet_length(column) >= LENGTH)
+    long = long.select(text_key(column).alias("t"), column.alias("x"))
     packed = long.mapInArrow(squeezed, "t binary, z binary")
     return packed.groupBy("t").agg(F.first("z").alias("z"), F.count("*").alias("m"))
 
@@ -93,7 +95,8 @@ def runs_of(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 RUNS = pa.schema(
-    [("t", pa.binary()), ("at", pa.int32()), ("size", pa.int32()), ("anchor", pa.int64()), ("run", pa.binary()), ("m", pa.int64())]
+    [("t", pa.binary()), ("at", pa.int32()), ("size", pa.int32())]
+    + [("anchor", pa.int64()), ("run", pa.binary()), ("m", pa.int64())]
 )
 
 
@@ -122,7 +125,8 @@ def runs(texts: DataFrame) -> DataFrame:
                     m=np.full(n, m.as_py(), np.int64),
                 )
 
-    return texts.mapInArrow(gathered(found), "t binary, at int, size int, anchor long, run binary, m long")
+    columns = "t binary, at int, size int, anchor long, run binary, m long"
+    return texts.mapInArrow(gathered(found), columns)
 
 
 def gathered(step, most: int = 20_000):
@@ -170,7 +174,8 @@ def stretches(wanted: DataFrame, texts: DataFrame) -> DataFrame:
                     }
                 )
 
-    return by_text.join(texts.select("t", "z"), "t").select("z", "runs").mapInArrow(gathered(cut), STRETCHES)
+    joined = by_text.join(texts.select("t", "z"), "t").select("z", "runs")
+    return joined.mapInArrow(gathered(cut), STRETCHES)
 
 
 def repeated_windows(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -196,12 +201,13 @@ def repeated_windows(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.nd
 def sorted_repeats(gathered_runs: DataFrame) -> DataFrame:
     """Rows of ``FOUND``: windows of a run that repeat, or that other sub-groups may have.
 
-    ``spots`` with ``repeats`` are places of a run that repeat within its sub-group. For an anchor of several
-    sub-groups, ``window`` is the digest of a window and ``spots`` the place of one, to be
-    compared; those that repeat already only tell others.
+    ``spots`` with ``repeats`` are places of a run that repeat within its sub-group. For an
+    anchor of several sub-groups, ``window`` is the digest of a window and ``spots`` the place
+    of one, to be compared; those that repeat already only tell others.
     """
     schema = pa.schema(
-        [("run", pa.binary()), ("window", pa.binary()), ("spots", pa.list_(pa.int32())), ("repeats", pa.bool_())]
+        [("run", pa.binary()), ("window", pa.binary())]
+        + [("spots", pa.list_(pa.int32())), ("repeats", pa.bool_())]
     )
 
     def solve(held: list[dict]) -> pa.RecordBatch:
@@ -211,7 +217,8 @@ def sorted_repeats(gathered_runs: DataFrame) -> DataFrame:
         out = {"run": [], "window": [], "spots": [], "repeats": []}
         turn = np.argsort(body[twice], kind="stable")
         owners, places = body[twice][turn], place[twice][turn]
-        cuts = np.flatnonzero(np.concatenate([[True], owners[1:] != owners[:-1], [True]])) if len(owners) else []
+        bounds = np.concatenate([[True], owners[1:] != owners[:-1], [True]])
+        cuts = np.flatnonzero(bounds) if len(owners) else []
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             r = held[owners[a]]
             if not r["whole"]:

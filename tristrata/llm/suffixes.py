@@ -18,7 +18,8 @@ class Row:
         padded = np.concatenate([symbols, np.zeros(depth + 8, symbols.dtype)]).astype(np.uint64)
         with np.errstate(over="ignore"):
             powers = np.cumprod(np.full(len(padded) + 1, BASE)) * ~BASE
-            self.sums = np.concatenate([[np.uint64(0)], np.cumsum((padded + np.uint64(1)) * powers[:-1])])
+            terms = (padded + np.uint64(1)) * powers[:-1]
+            self.sums = np.concatenate([[np.uint64(0)], np.cumsum(terms)])
             self.powers = powers
         # seven symbols of nine bits in one number, in their order
         word = np.zeros(len(padded) - 7, np.uint64)

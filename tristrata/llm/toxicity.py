@@ -96,7 +96,7 @@ def fit(positive: list, unlabelled: list, prior: float) -> dict[int, float]:
         flat = np.concatenate([np.asarray(x, np.int64) for x in sets] or [np.empty(0, np.int64)])
         owner = np.repeat(np.arange(len(sets)), sizes)
         at = np.searchsorted(names, flat)
-        known = (at < len(names)) & (names[np.minimum(at, len(names) - 1)] == flat) if len(names) else flat < 0
+        known = np.isin(flat, names)
         owner, at = owner[known], at[known]
         return at, owner, np.searchsorted(owner, np.arange(len(sets) + 1))
 
@@ -158,7 +158,8 @@ def learn(
             }
         )
 
-    model = sample.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(fitted, "feature int, weight double")
+    whole = sample.withColumn("one", F.lit(1)).groupBy("one")
+    model = whole.applyInArrow(fitted, "feature int, weight double")
     return {r.feature: r.weight for r in model.collect()}
 
 

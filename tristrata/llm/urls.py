@@ -10,8 +10,8 @@ Characters fold into ``SYMBOLS`` classes, so the counts of all URLs fit a table
 (``SYMBOLS ** (ORDER + 1)`` cells) whatever the input; only that table is broadcast. Counting
 sums in the map tasks and over a shuffle by cell.
 
-A null URL, or one without ``://``, has empty host and path and fits no rule; a null one is scored as
-the empty text. Without URLs of both kinds the ratio is 0 and everything is allowed. Repeated
+A null URL, or one without ``://``, has empty host and path and fits no rule; a null one is
+scored as the empty text. Without URLs of both kinds the ratio is 0 and everything is allowed. Repeated
 rows are judged alike, and counted as often as they occur. Output columns replace input
 columns of the same name.
 """
@@ -70,7 +70,8 @@ def cells(urls: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     # each URL stands between ORDER borders, of which the first one after it is counted
     starts = offsets[:-1].astype(np.int64) + ORDER * np.arange(1, len(sizes) + 1)
     line = np.zeros(len(data) + ORDER * (len(sizes) + 1), np.int64)
-    line[np.arange(len(data)) + ORDER * np.repeat(np.arange(1, len(sizes) + 1), sizes)] = CLASS[data]
+    number = np.repeat(np.arange(1, len(sizes) + 1), sizes)
+    line[np.arange(len(data)) + ORDER * number] = CLASS[data]
     lengths = sizes.astype(np.int64) + 1
     where = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
     cell = reduce(
@@ -95,7 +96,8 @@ def counts(urls: DataFrame, url: str, accepted: str) -> DataFrame:
                     total[side][cell] += n
         for side in (0, 1):
             found = np.flatnonzero(total[side])
-            yield rows(schema, accepted=np.full(len(found), bool(side)), cell=found, n=total[side][found])
+            sides = np.full(len(found), bool(side))
+            yield rows(schema, accepted=sides, cell=found, n=total[side][found])
 
     partial = urls.select(url, accepted).mapInArrow(counted, "accepted boolean, cell int, n long")
     return partial.groupBy("accepted", "cell").agg(F.sum("n").alias("n"))
@@ -175,7 +177,8 @@ def judge(pages: DataFrame, rules: Rules, url: str = "url") -> DataFrame:
     )
     apart = F.pmod(F.xxhash64("__url"), F.lit(5)) == 0
     table = ratio_table(counts(taught.where(~apart), "__url", "__accepted"))
-    bound = threshold(ratio(taught.where(apart), "__url", table, "__score"), "__score", "__accepted")
+    calibrated = ratio(taught.where(apart), "__url", table, "__score")
+    bound = threshold(calibrated, "__score", "__accepted")
     scored = ratio(found, url, table, "__score")
     verdict = F.coalesce("__said", F.when(F.col("__score") >= bound, "allow").otherwise("block"))
     return scored.select(

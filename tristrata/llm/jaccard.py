@@ -18,8 +18,8 @@ links already join is never compared: first each class with the most typical cla
 it shares signatures with, then with the most typical one of each signature, at last all classes
 of a signature that still lie in different components. So a group of ``m`` near copies costs ``m``
 comparisons where the most typical of them links with all, and no link that joins two
-components is lost. The last round goes by the single tokens of plain prefixes (``G`` = 0), by
-which a pair meets fewer times.
+components is lost. The last round finds pairs by the single tokens of plain prefixes (``G`` = 0)
+within groups of classes, and gives links, not pairs.
 
 Null and empty texts, and texts without words, have the empty set and link with nothing;
 texts of fewer than five words are one shingle. Rows with equal keys are one document, and a
@@ -403,29 +403,75 @@ def links(candidates: DataFrame) -> DataFrame:
     # classes of signatures that still join different components meet by their plain prefixes
     named = roots.withColumnRenamed("node", "cid")
     open_classes = stored(mixed_lists(signed, named).dropDuplicates(["cid"]), "jaccard-open")
-    known = open_classes.select("cid", "n", "shared")
-    plain = prefix_tokens(candidates.join(known.select("cid"), "cid", "left_semi"))
-    open_lists = stored(mixed_lists(plain.join(known, "cid"), named), "jaccard-lists")
-    one, two = (
-        open_lists.select(
-            "sig",
-            F.col("cid").alias(x),
-            F.col("root").alias(f"{x}root"),
-            F.col("n").alias(f"{x}n"),
-            F.col("shared").alias(f"{x}s"),
-        )
-        for x in "ab"
+    plain = prefix_tokens(candidates.join(open_classes.select("cid"), "cid", "left_semi"))
+    open_lists = stored(mixed_lists(plain, named), "jaccard-lists")
+    last = stored(links_between(open_lists, candidates, groups), "jaccard-links")
+    return connected(edges.union(last))
+
+
+def links_between(lists: DataFrame, candidates: DataFrame, groups: int) -> DataFrame:
+    """Links of classes with different ``root`` that share a ``sig`` of ``lists``.
+
+    A class goes to each group that a class of one of its signatures lies in. There pairs are
+    found by their plain prefixes, and compared unless links found there join them already.
+    """
+    placed = lists.withColumn("own", F.pmod(F.xxhash64("cid"), F.lit(groups)).cast("int"))
+    there = placed.select("sig", F.col("own").alias("other")).distinct()
+    meets = placed.select("sig", "cid", "root", "own").join(there, "sig")
+    meets = meets.select(
+        F.least("own", "other").alias("ga"), F.greatest("own", "other").alias("gb"),
+        "own", "cid", "root",
+    ).distinct()
+    sets = meets.join(candidates.select("cid", "n", "tokens"), "cid")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, group = [], None
+        for batch in batches:
+            for r in batch.to_pylist():
+                if (r["ga"], r["gb"]) != group:
+                    yield found_links(held)
+                    held, group = [], (r["ga"], r["gb"])
+                held.append(r)
+        yield found_links(held)
+
+    columns = ["ga", "gb", "own", "cid", "root", "n", "tokens"]
+    return (
+        sets.select(columns)
+        .repartition("ga", "gb")
+        .sortWithinPartitions("ga", "gb", "cid")
+        .mapInArrow(compared, "a binary, b binary")
     )
-    apart_pairs = (F.col("aroot") != F.col("broot")) & (F.col("a") > F.col("b"))
-    last = (
-        one.join(two, "sig")
-        .where(apart_pairs & can_link("an", "as", "bn", "bs"))
-        .select("a", "b")
-        .distinct()
-        .join(known_pairs(stars), ["a", "b"], "left_anti")
+
+
+def found_links(held: list[dict]) -> pa.RecordBatch:
+    """Links between the classes of two groups that join different components."""
+    parent: dict[bytes, bytes] = {}
+
+    def find(x: bytes) -> bytes:
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
+    owners: dict[int, list[dict]] = {}
+    kept = []
+    for r in held:
+        r["tokens"] = np.frombuffer(r["tokens"], np.uint64)
+        size = len(r["tokens"])
+        seen = set()
+        for token in r["tokens"][: max(0, prefix(r["n"], 0) - (r["n"] - size))].tolist():
+            for other in owners.setdefault(token, []):
+                # two groups meet here; within one, only where that one meets itself
+                if other["cid"] in seen or (r["ga"] != r["gb"] and other["own"] == r["own"]):
+                    continue
+                seen.add(other["cid"])
+                a, b = find(r["root"]), find(other["root"])
+                if a != b and similar(r["n"], r["tokens"], other["n"], other["tokens"]):
+                    parent[max(a, b)] = min(a, b)
+                    kept.append((r["cid"], other["cid"]))
+            owners[token].append(r)
+    return pa.record_batch(
+        {c: pa.array([x[k] for x in kept], pa.binary()) for k, c in enumerate("ab")}
     )
-    edges = edges.union(stored(verified(last, candidates, groups), "jaccard-links"))
-    return connected(edges)
 
 
 def mixed_lists(signed: DataFrame, roots: DataFrame) -> DataFrame:
@@ -435,11 +481,6 @@ def mixed_lists(signed: DataFrame, roots: DataFrame) -> DataFrame:
     return rooted.join(ends.where("low <> high").select("sig"), "sig")
 
 
-def known_pairs(stars: DataFrame) -> DataFrame:
-    """Compared pairs with the greater class first."""
-    return stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-
-
 def components(
     docs: DataFrame, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:

@@ -4,7 +4,7 @@ import collections
 
 import pytest
 
-from tristrata.llm import mixing, quality, sharding
+from tristrata.llm import mixing, quality, queries, sharding
 
 SHARDS = [f"s{k}" for k in range(5)]
 
@@ -81,3 +81,16 @@ def test_mixing_odd_rows(clashing):
     assert mixing.mix(clashing.limit(0), {"a": 0.5}).count() == 0
     with pytest.raises(ValueError):
         mixing.mix(clashing, {"a": 1.5})
+
+
+def test_mixing_query_mixes_whole_documents(spark, monkeypatch):
+    sf, kept = "/root/testdata/sf0.001", []
+    keep = lambda df, label: kept.append(queries_stored(df, label)) or kept[-1]
+    queries_stored = queries.stored
+    monkeypatch.setattr(queries, "stored", keep)
+    result = queries.op9_mixing(spark, sf)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    (mixture,) = kept
+    assert set(mixture.columns) == {*docs.columns, "copy", "position"}
+    assert mixture.select(docs.columns).exceptAll(docs.crossJoin(spark.range(64)).drop("id")).count() == 0
+    assert mixture.select(result.columns).exceptAll(result).count() == 0 < result.count() == mixture.count()

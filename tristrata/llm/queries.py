@@ -18,6 +18,7 @@ from tristrata.llm import (
     toxicity,
     urls,
 )
+from tristrata.llm.storage import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,7 +86,9 @@ def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(documents(spark, sf_dir).select("doc_id", "source"), WEIGHTS)
+    """Whole documents are mixed and stored; the result names each copy and its place in them."""
+    mixture = stored(mixing.mix(documents(spark, sf_dir), WEIGHTS), "mixture")
+    return mixture.select("doc_id", "source", "copy", "position")
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

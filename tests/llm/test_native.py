@@ -83,6 +83,19 @@ def test_mixing_odd_rows(clashing):
         mixing.mix(clashing, {"a": 1.5})
 
 
+@pytest.mark.parametrize("key", ["cast(null as long)", "5L"])
+def test_mixing_draws_for_rows_of_one_key_apart(spark, key):
+    same = "case when id % 2 = 0 then 'the same text' else concat('text ', id) end as text"
+    df = spark.range(4000).selectExpr(f"{key} as doc_id", same, "if(id < 3000, 'hot', 'rest') as source")
+    mixed = mixing.mix(df, {"hot": 0.15}).collect()
+    share = collections.Counter(r.source for r in mixed)
+    assert abs(share["hot"] - 600) < 120 and abs(len(mixed) - 4000) < 350
+    assert len({r.position for r in mixed}) == len(mixed)
+    equal = [r for r in mixed if r.source == "hot" and r.text == "the same text"]
+    assert abs(len(equal) - 300) < 90
+    assert mixed == mixing.mix(df, {"hot": 0.15}).collect()
+
+
 def test_mixing_query_mixes_whole_documents(spark, monkeypatch):
     sf, kept = "/root/testdata/sf0.001", []
     keep = lambda df, label: kept.append(queries_stored(df, label)) or kept[-1]

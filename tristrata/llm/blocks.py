@@ -45,6 +45,14 @@ def restored(df: DataFrame, kept: list[str], *others: str | Column) -> DataFrame
     return df.select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(kept)), *others)
 
 
+def row_digest(columns: list[str]) -> Column:
+    """MD5 of all ``columns`` of a row: equal for rows that are equal."""
+    texts = (F.col(f"`{c}`").cast("string") for c in columns)
+    return F.md5(F.concat_ws("", *(
+        F.coalesce(F.concat(F.length(x).cast("string"), F.lit(":"), x), F.lit("-")) for x in texts
+    )))
+
+
 def parts_for(docs: DataFrame, text: str) -> int:
     """Buckets for the keys of all texts: one for every ``PART_BYTES``, at least 64."""
     total = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0

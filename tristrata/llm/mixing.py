@@ -7,17 +7,21 @@ their counts and put in one global random order by a second hash.
 
 Rates above ``PIECE`` are cut into equal pieces, each with its own number: a sum of Poisson
 counts is Poisson again, and no row meets an unbounded distribution table. Rates are
-worked out for all sources in a join that the optimizer may broadcast or split.
+worked out for all sources, stored, and joined as the optimizer decides by their size.
 
 Sources without a weight share what the named ones leave, in proportion to their rows; a
-null source is one source. Weights of sources that have no rows lapse. A null key
-hashes as the empty text, so its rows get equal counts; repeated rows do too.
+null source is one source. Weights of sources that have no rows lapse. Where a key is null
+or has several rows, each of them draws for itself: a digest of all its columns and the row's
+number in the input are hashed with the key, so a rerun over the same stored table repeats it.
 Texts are carried along, null or long. An empty table gives an empty result.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tristrata.llm.blocks import row_digest
+from tristrata.llm.storage import stored
+
 PIECE = 8.0
 #: Terms of the distribution of a piece: what lies beyond has less than 2**-60 in all.
 TERMS = 64
@@ -69,6 +73,24 @@ def poisson(rate: Column, u: Column) -> Column:
     return step["k"]
 
 
+def drawn_alone(df: DataFrame, key: str) -> DataFrame:
+    """``df`` with ``__key``, a text that no two rows share: the key itself where it is unique."""
+    own = F.col(f"`{key}`").cast("string")
+    counts = df.groupBy(own.alias("__again")).count().where("__again is not null and count > 1")
+    repeated = stored(counts.select("__again"), "repeated-keys")
+    salt = F.monotonically_increasing_id().cast("string")
+    salted = df.withColumns({"__salt": salt, "__own": own})
+    # null keys find nothing; a text for each keeps them from meeting in one task
+    spread = F.coalesce("__own", F.concat(F.lit("\0"), "__salt"))
+    known = salted.withColumn("__spread", spread).join(
+        repeated, F.col("__spread") == F.col("__again"), "left"
+    )
+    lone = F.col("__own").isNotNull() & F.col("__again").isNull()
+    apart = F.concat_ws(":", F.coalesce("__own", F.lit("")), row_digest(df.columns), "__salt")
+    named = known.withColumn("__key", F.when(lone, F.col("__own")).otherwise(apart))
+    return named.drop("__salt", "__own", "__spread", "__again")
+
+
 def mix(
     df: DataFrame,
     weights: dict[str, float],
@@ -81,8 +103,9 @@ def mix(
     ``position`` is a number in [0, 1) by which the copies are sorted over all partitions.
     """
     kept = [c for c in df.columns if c not in ("copy", "position")]
-    rated = df.join(rates(df, source, weights), F.col(f"`{source}`").eqNullSafe(F.col("__source")))
-    keyed = rated.withColumn("__key", F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")))
+    # stored, so that their size is known before all rows are dealt out for the join
+    known = stored(rates(df, source, weights), "rates")
+    keyed = drawn_alone(df, key).join(known, F.col(f"`{source}`").eqNullSafe(F.col("__source")))
     pieces = F.greatest(F.lit(1), F.ceil(F.col("__rate") / PIECE).cast("int"))
     cut = keyed.withColumn("__pieces", pieces).withColumn(
         "__piece", F.explode(F.sequence(F.lit(0), F.col("__pieces") - 1))
@@ -110,7 +133,7 @@ def mix(
 
 
 def mixed_sql(weights: dict[str, float], table: str = "documents", seed: int = 7) -> str:
-    """Key, source, copy and position of the same mixture in DuckDB."""
+    """Key, source, copy and position of the same mixture in DuckDB, where keys are unique."""
     named = ", ".join(f"('{k}', {v}::DOUBLE)" for k, v in weights.items())
     rest = max(0.0, 1.0 - sum(weights.values()))
     return f"""

@@ -25,8 +25,8 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near copies."""
-    return jaccard.one_each(docs.select(COLUMNS)).select(COLUMNS)
+    """The first row of each group of near copies."""
+    return jaccard.one_row_each(docs.select(COLUMNS)).select(COLUMNS)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -34,3 +34,19 @@ def test_stages_follow_each_other(spark):
 def test_whole_run(spark):
     out = pipeline.run(spark, SF_DIR)
     assert out.count() > 0 and out.where(F.col("n_tokens") == 0).count() == 0
+
+
+def test_one_row_of_repeated_rows_null_keys_and_keys_of_two_texts(spark):
+    texts = [" ".join(f"{name}{k}" for k in range(120)) for name in "abcd"]
+    rows = [(1, texts[0]), (1, texts[0])]  # a row that occurs twice
+    rows += [(None, texts[1])] * 2 + [(2, texts[1])]
+    rows += [(None, texts[2])] * 3
+    rows += [(3, texts[0]), (3, texts[3])]  # one text is a copy, the other is not
+    rows += [(4, None), (None, ""), (None, "")]
+    docs = spark.createDataFrame([(k, t, "en", "a", 1) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    single = pipeline.one_of_near_copies(spark, docs, SF_DIR)
+    left = sorted(((r.doc_id, r.text) for r in single.collect()), key=repr)
+    wanted = [(1, texts[0]), (2, texts[1]), (None, texts[2]), (3, texts[3])] + rows[-3:]
+    assert left == sorted(wanted, key=repr)
+    whole = pipeline.without_repeats(spark, single, SF_DIR)
+    assert {r.text for r in whole.collect() if r.text} == set(texts)

@@ -46,6 +46,7 @@ from tristrata.llm.blocks import (
     parts_for,
     renamed,
     restored,
+    row_digest,
     rows,
     unpack,
     unpack_numbers,
@@ -481,14 +482,19 @@ def mixed_lists(signed: DataFrame, roots: DataFrame) -> DataFrame:
     return rooted.join(ends.where("low <> high").select("sig"), "sig")
 
 
+def rooted_members(docs: DataFrame, text: str, kept: list[str]) -> DataFrame:
+    """Rows with ``kept`` as ``k0, ...``, ``cid``, ``n`` and ``root``, null without words."""
+    members, candidates = classes(docs, text, kept)
+    roots = links(candidates).select(F.col("node").alias("cid"), "root")
+    return members.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+
+
 def components(
     docs: DataFrame, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """``docs`` without ``text``, with ``n_shingles`` and ``component_id``, the least key linked."""
     kept = [c for c in docs.columns if c not in (text, "n_shingles", "component_id")]
-    members, candidates = classes(docs, text, kept)
-    roots = links(candidates).select(F.col("node").alias("cid"), "root")
-    rooted = members.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    rooted = rooted_members(docs, text, kept)
     own = F.col(f"k{kept.index(key)}")
     least = rooted.where("root is not null").groupBy("root").agg(F.min(own).alias("least"))
     component = F.coalesce("least", own).alias("component_id")
@@ -502,3 +508,26 @@ def one_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     found = components(docs.select(F.col(f"`{key}`"), F.col(f"`{text}`")), key, text)
     gone = found.where(F.col(f"`{key}`") != F.col("component_id")).select(key).distinct()
     return docs.join(gone, key, "left_anti")
+
+
+def one_row_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: the least key, null ones last.
+
+    Rows are told apart by a digest of all columns, so repeated rows, null keys and keys with
+    several texts are decided row by row. Rows without words stay.
+    """
+    marked = docs.withColumn("__row", row_digest(docs.columns))
+    rooted = rooted_members(marked.select(F.col(f"`{key}`"), "__row", F.col(f"`{text}`")), text, [key, "__row"])
+    # equal rows are one here, with their number
+    own = ["root", "cid", "k0", "k1"]
+    kinds = rooted.where("root is not null").groupBy(*own).agg(F.count("*").alias("times"))
+    order = F.struct(F.col("k0").isNull().alias("z"), "k0", "cid", "k1")
+    least = kinds.groupBy("root").agg(F.min(order).alias("least"))
+    found = kinds.join(least, "root").select(
+        F.col("k1").alias("__row"), (F.col("k1") == F.col("least.k1")).alias("first"), "times"
+    )
+    found = stored(found.where("not first or times > 1"), "jaccard-rows")
+    again = stored(found.where("first").select("__row"), "jaccard-again")
+    single = marked.join(found.select("__row"), "__row", "left_anti")
+    repeated = marked.join(again, "__row", "left_semi").distinct()
+    return single.unionByName(repeated).drop("__row")

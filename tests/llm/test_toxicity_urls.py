@@ -44,6 +44,27 @@ def test_toxicity_odd_rows(spark, clashing):
     assert toxicity.classify(clashing.limit(0), labels, F.lit(False)).count() == 0
 
 
+@pytest.mark.parametrize("key", ["if(id % 3 = 0, null, id)", "if(id % 3 = 0, 7, id)"])
+def test_sample_of_the_fit_is_bounded_and_even(spark, monkeypatch, key):
+    monkeypatch.setattr(toxicity, "MOST_UNLABELLED", 600)
+    monkeypatch.setattr(toxicity, "MOST_POSITIVE", 300)
+    sizes, fit = spark.sparkContext.accumulator(0), toxicity.fit
+    hot = spark.sparkContext.accumulator(0)
+    mark = toxicity.features("hot")[0]
+
+    def counted(positive, unlabelled, prior):
+        sizes.add(len(unlabelled) + 10_000 * len(positive))
+        hot.add(sum(mark in x for x in unlabelled))
+        return fit(positive, unlabelled, prior)
+
+    monkeypatch.setattr(toxicity, "fit", counted)
+    text = "if(id % 3 = 0, 'hot', concat('cold ', id)) as text"
+    docs = spark.range(30_000).selectExpr(f"{key} as doc_id", text)
+    labels = spark.range(1000, 3000).selectExpr("id as doc_id", "cast(id % 3 > 0 as int) as toxic")
+    assert toxicity.classify(docs, labels, F.lit(False)).count() == 30_000
+    assert sizes.value == 600 + 10_000 * 300 and abs(hot.value - 200) < 60
+
+
 def test_rules_and_parts(spark):
     rows = [
         (1, "HTTPS://A.Example.ORG/es/1?x#y"),

@@ -9,8 +9,9 @@ read. With class prior ``p`` the risk is
 so toxic texts among the unlabelled ones do not count as clean ones. Where the bracket falls
 below zero the fit steps back along it instead of gaining from it.
 
-The fit sees about ``MOST_POSITIVE`` and ``MOST_UNLABELLED`` rows at most, picked by a hash,
-as sets of feature numbers; it is one task over that bounded sample. Scoring covers whole
+The fit sees ``MOST_POSITIVE`` and ``MOST_UNLABELLED`` rows at most, as sets of feature numbers;
+it is one task over that bounded sample. A hash of key, text and the row's number in the input
+picks them, so rows with one key, or none, are picked apart. Scoring covers whole
 texts, row by row, without a shuffle.
 
 Null and empty texts have no features and get the score of the constant alone. Rows without
@@ -41,6 +42,9 @@ STEPS = 150
 LEAST_Z = 5.0
 RATE = 0.1
 SPARSITY = 2e-5
+#: How many times the rows wanted are picked by hash before the least are taken.
+SPARE = 1.2
+PICKED = 1 << 40
 
 
 def features(word: str) -> list[int]:
@@ -49,8 +53,8 @@ def features(word: str) -> list[int]:
     return [zlib.crc32(x.encode("utf-8", "surrogatepass")) % FEATURES for x in parts]
 
 
-def feature_sets(df: DataFrame, text: str, label: str) -> DataFrame:
-    """Rows ``positive, features`` with the distinct feature numbers of each text."""
+def feature_sets(df: DataFrame, text: str, label: str, turn: str) -> DataFrame:
+    """Rows ``positive, features, turn`` with the distinct feature numbers of each text."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -60,11 +64,12 @@ def feature_sets(df: DataFrame, text: str, label: str) -> DataFrame:
                 for x in whole.to_pylist()
             ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(label), pa.array(found, pa.list_(pa.int32()))],
-                names=["positive", "features"],
+                [batch.column(label), pa.array(found, pa.list_(pa.int32())), batch.column(turn)],
+                names=["positive", "features", "turn"],
             )
 
-    return df.select(label, text).mapInArrow(sets, "positive boolean, features array<int>")
+    columns = "positive boolean, features array<int>, turn long"
+    return df.select(label, text, turn).mapInArrow(sets, columns)
 
 
 def rows_times(weights: np.ndarray, index: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -131,17 +136,30 @@ def fit(positive: list, unlabelled: list, prior: float) -> dict[int, float]:
     return {int(names[k]): float(weights[k]) for k in found} | {-1: float(weights[-1])}
 
 
+def sampled(train: DataFrame, text: str, positive: str, turn: Column, n: int, p: int) -> DataFrame:
+    """``feature_sets`` of ``p`` positive and ``n`` rows of ``train``, no more than the fit may see.
+
+    ``turn`` is a hash by which rows are taken, from the least one on.
+    """
+    dealt = train.withColumn("__turn", F.pmod(turn, F.lit(PICKED)))
+
+    def least(rows: DataFrame, size: int, most: int) -> DataFrame:
+        few = rows.where(F.col("__turn") < int(PICKED * min(1.0, SPARE * most / max(1, size))))
+        return feature_sets(few, text, positive, "__turn").orderBy("turn").limit(most)
+
+    confirmed = least(dealt.where(F.col(positive)), p, MOST_POSITIVE)
+    rest = least(dealt.withColumn(positive, F.lit(False)), n, MOST_UNLABELLED)
+    return confirmed.unionByName(rest).drop("turn")
+
+
 def learn(
-    train: DataFrame, text: str, positive: str, prior: float, key: Column
+    train: DataFrame, text: str, positive: str, prior: float, turn: Column
 ) -> dict[int, float]:
-    """Weights from rows of ``train``: ``positive`` marks the confirmed ones, ``key`` picks them."""
+    """Weights from rows of ``train``: ``positive`` marks the confirmed ones, ``turn`` picks them."""
     n, p = train.agg(F.count("*"), F.sum(F.col(positive).cast("long"))).first()
     if not p or not 0 < prior < 1:
         return {-1: float(np.log(max(prior, 1e-9) / max(1 - prior, 1e-9)))}
-    share = F.pmod(F.xxhash64(key), F.lit(1_000_000)) / 1e6
-    confirmed = train.where(F.col(positive) & (share < min(1.0, MOST_POSITIVE / p)))
-    rest = train.where(share < min(1.0, MOST_UNLABELLED / n)).withColumn(positive, F.lit(False))
-    sample = feature_sets(confirmed.unionByName(rest), text, positive)
+    sample = sampled(train, text, positive, turn, n, p)
 
     def fitted(table: pa.Table) -> pa.Table:
         sets = table.column("features").to_pylist()
@@ -215,11 +233,16 @@ def classify(
     prior = (p or 0) / n if n else 0.0
     train = (
         docs.where(~held_out)
-        .select(F.col(key).alias("__key"), F.col(text).alias("__text"))
+        .select(
+            F.col(key).alias("__key"),
+            F.col(text).alias("__text"),
+            F.monotonically_increasing_id().alias("__at"),
+        )
         .join(marks.where("__positive"), "__key", "left")
         .withColumn("__positive", F.coalesce("__positive", F.lit(False)))
     )
-    weights = learn(train, "__text", "__positive", prior, F.col("__key"))
+    turn = F.xxhash64("__key", "__text", "__at")
+    weights = learn(train, "__text", "__positive", prior, turn)
     kept = [c for c in docs.columns if c not in ("held_out", "score", "predicted")]
     marked = docs.select(*(F.col(f"`{c}`") for c in kept), held_out.alias("held_out"))
     scored = score(marked, weights, text)

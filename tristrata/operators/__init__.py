@@ -3,7 +3,7 @@
 from tristrata.operators.aggregate import agg_metrics, by_group, monthly_trend
 from tristrata.operators.audit import null_audit, null_counts
 from tristrata.operators.dedup import distinct_keys, latest_per_key
-from tristrata.operators.join import sized_join
+from tristrata.operators.join import heavy_keys, sized_join, skewed_join
 from tristrata.operators.layout import (
     cached_view,
     cap_partitions,
@@ -19,11 +19,13 @@ __all__ = [
     "cap_partitions",
     "distinct_keys",
     "global_rank",
+    "heavy_keys",
     "latest_per_key",
     "monthly_trend",
     "null_audit",
     "null_counts",
     "sized_join",
     "sized_write",
+    "skewed_join",
     "write_partitions",
 ]

@@ -1,4 +1,6 @@
-"""Inner join on one key that broadcasts only a side measured to be small."""
+"""Joins on one key: one that broadcasts only a side measured to be small, one for heavy keys."""
+
+import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -7,6 +9,12 @@ from tristrata.sizes import Size, least_row_bytes, measure
 
 MAX_BROADCAST_BYTES = 64 << 20
 SMALL_SIDE_RATIO = 0.1  # fixed value: the small side has under a tenth of the rows
+#: A key with this share of a side's rows is heavy, so there are at most 256 heavy keys.
+HEAVY_SHARE = 1 / 256
+#: Keys that the sketch of one task follows.
+TRACKED = 8192
+#: Cells of a heavy key's grid for each shuffle partition, which evens out their hashes.
+CELLS_PER_PARTITION = 8
 
 
 def sized_join(
@@ -42,3 +50,75 @@ def sized_join(
         and (large_rows is None or size.rows < ratio * large_rows)
     )
     return large.join(F.broadcast(small) if fits else small, key)
+
+
+def heavy_keys(df: DataFrame, key: str, share: float = HEAVY_SHARE) -> dict:
+    """Keys that hold about ``share`` of the rows with a key, or more, and their rows.
+
+    A frequent-items sketch over that one column finds them: its size does not depend on the
+    table, and it may be wrong by a small part of ``share``, so this decides how to run, not
+    what the result is. There are at most ``1 / share`` keys.
+    """
+    most = math.floor(1 / share)
+    top = F.expr(f"approx_top_k(`{key}`, {most}, {max(TRACKED, 8 * most)})")
+    keyed = df.select(key).where(F.col(key).isNotNull())
+    found = keyed.agg(top.alias("top"), F.count(F.lit(1)).alias("rows")).first()
+    least = max(2, share * found["rows"])
+    return {x["item"]: x["count"] for x in found["top"] or [] if x["count"] >= least}
+
+
+def skewed_join(
+    large: DataFrame,
+    small: DataFrame,
+    key: str,
+    *,
+    how: str = "inner",
+    share: float = HEAVY_SHARE,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
+    """Join on ``key``, of which single values may hold a large part of either side.
+
+    Rows of the keys that are heavy in ``large`` never meet in one task. If the rows of ``small``
+    for these keys are within ``max_broadcast_bytes`` they go to where the heavy rows are, which
+    then are not shuffled. Otherwise both sides' heavy rows are dealt into pieces and every
+    pair of pieces meets in a cell of its own (with ``how="left"`` each piece of ``large`` meets
+    all of ``small``). All other keys are joined by an ordinary shuffle. Both sides are
+    read once for each way, so they should be stored tables or cheap to work out. Keys are text,
+    whole numbers, dates or others that the sketch can follow; NULL keys match nothing.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"how is 'inner' or 'left', got {how!r}")
+    heavy = heavy_keys(large, key, share)
+    if not heavy:
+        return large.join(small, key, how)
+    chosen = F.coalesce(F.col(key).isin(list(heavy)), F.lit(False))
+    light = large.where(~chosen).join(small.where(~chosen), key, how)
+    many, few = large.where(chosen), small.where(chosen)
+    most = max_broadcast_bytes // least_row_bytes(small.schema)
+    size = measure(few.limit(most + 1))
+    if size.rows <= most and size.within(max_broadcast_bytes):
+        return light.unionByName(many.join(F.broadcast(few), key, how))
+    cells = CELLS_PER_PARTITION * int(large.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    down, across = grid(sum(heavy.values()), few.count(), cells) if how == "inner" else (cells, 1)
+    return light.unionByName(
+        dealt(many, down, across, F.col("_piece") * across + F.col("_other"))
+        .join(dealt(few, across, down, F.col("_other") * across + F.col("_piece")), [key, "_cell"], how)
+        .drop("_cell")
+    )
+
+
+def grid(rows: int, others: int, cells: int) -> tuple[int, int]:
+    """Pieces of either side, about ``cells`` pairs of them, so that the fewest rows are copied."""
+    down = min(max(1, round(math.sqrt(cells * rows / max(1, others)))), cells)
+    return down, max(1, math.ceil(cells / down))
+
+
+def dealt(df: DataFrame, pieces: int, copies: int, cell) -> DataFrame:
+    """Rows in ``pieces`` even parts, each once for every one of ``copies`` parts across.
+
+    Rows are dealt in turn, after a sort, so a repeated task deals them alike and rows that
+    are equal do not stay together.
+    """
+    parted = df.repartition(pieces).withColumn("_piece", F.spark_partition_id())
+    other = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
+    return parted.withColumn("_other", other).withColumn("_cell", cell).drop("_piece", "_other")

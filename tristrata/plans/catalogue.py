@@ -25,6 +25,7 @@ from tristrata.operators import (
     null_audit,
     sized_join,
     sized_write,
+    skewed_join,
 )
 from tristrata.plans.insights import (
     distribution,
@@ -233,6 +234,30 @@ def join_regular(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sized_join(lines, orders, "orderkey")
 
 
+def join_heavy_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the line items has one part, whose row goes to where they are."""
+    most = F.when(F.col("l_linenumber") <= 2, F.lit(1)).otherwise(F.col("l_partkey"))
+    lines = table(spark, sf_dir, "lineitem").select(
+        most.cast("long").alias("partkey"), "l_orderkey", "l_linenumber", "l_quantity"
+    )
+    parts = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("long").alias("partkey"), "p_brand", "p_size"
+    )
+    return skewed_join(lines, parts, "partkey")
+
+
+def join_heavy_both(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the customers and of the suppliers shares one nation, neither is broadcast."""
+
+    def hot(name: str, key: str, nation: str) -> DataFrame:
+        third = F.when(F.col(key) % 3 == 0, F.lit(0)).otherwise(F.col(nation))
+        return table(spark, sf_dir, name).select(third.cast("int").alias("nation"), key)
+
+    customers = hot("customer", "c_custkey", "c_nationkey")
+    suppliers = hot("supplier", "s_suppkey", "s_nationkey")
+    return skewed_join(customers, suppliers, "nation", max_broadcast_bytes=0)
+
+
 def sized_partition_write(spark: SparkSession, sf_dir: str, rows: int | None = None) -> DataFrame:
     path = scratch_path(spark, "events")
     sized_write(table(spark, sf_dir, "events"), "event_type", path, rows)
@@ -404,6 +429,8 @@ QUERIES: dict[str, Query] = {
     "insight_record": insight_rows,
     "join_broadcast": join_broadcast,
     "join_regular": join_regular,
+    "join_heavy_key": join_heavy_key,
+    "join_heavy_both": join_heavy_both,
     "sized_partition_write": sized_partition_write,
     "agg_metrics": metrics_by_flag,
     "capped_view": capped_view,

@@ -165,6 +165,16 @@ FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""",
     "join_regular": """
 SELECT l_orderkey AS orderkey, l_linenumber, l_extendedprice, o_custkey, o_orderpriority
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "join_heavy_key": """
+SELECT p_partkey AS partkey, l_orderkey, l_linenumber, l_quantity, p_brand, p_size
+FROM lineitem JOIN part
+  ON p_partkey = CASE WHEN l_linenumber <= 2 THEN 1 ELSE l_partkey END""",
+    "join_heavy_both": """
+SELECT nation, c_custkey, s_suppkey
+FROM (SELECT CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE c_nationkey END AS nation, c_custkey
+      FROM customer)
+JOIN (SELECT CASE WHEN s_suppkey % 3 = 0 THEN 0 ELSE s_nationkey END AS nation, s_suppkey
+      FROM supplier) USING (nation)""",
     "sized_partition_write": """
 SELECT event_type, count(*) AS events, count(DISTINCT user_id) AS users
 FROM events GROUP BY event_type""",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tristrata.llm import (
     bpe,
+    codes,
     embeddings,
     jaccard,
     lm,
@@ -103,6 +104,19 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    books = codes.fit(vectors)
+    coded = stored(codes.encode(vectors.select("vec_id", "label", "embedding"), books), "codes")
+    return codes.with_group_error(coded).select(
+        "vec_id",
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(books.digest()).alias("codebooks_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_lm": op2_lm,
@@ -114,6 +128,7 @@ QUERIES: dict[str, Query] = {
     "op8_jaccard": op8_jaccard,
     "op9_mixing": op9_mixing,
     "op10_bpe": op10_bpe,
+    "op13_codes": op13_codes,
 }
 
 ORACLE = {

@@ -59,11 +59,13 @@ def test_no_task_joins_much_more_than_the_others(spark):
     small = spark.range(900).select(key.cast("long").alias("k"), n.alias("b"))
     joined = skewed_join(large, small, "k", max_broadcast_bytes=0)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         hot = skewed_join(large, small, "k", max_broadcast_bytes=0).where("k = -1")
         sizes = sorted(r["count"] for r in hot.groupBy(F.spark_partition_id()).count().collect())
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sum(sizes) == 2000 * 300 and joined.count() == 2000 * 300 + 600
     assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
 

@@ -282,3 +282,60 @@ def with_group_error(coded: DataFrame, group: str = "label", name: str = "label_
     sums = inner.groupBy("g").agg(F.sum("e").alias("total"))
     joined = skewed_join(inner.drop("e"), sums, "g")
     return restored(joined, kept, F.col("total").alias(name))
+
+
+def coded_sql(
+    table: str = "embeddings", parts: int = PARTS, entries: int = ENTRIES, rounds: int = ROUNDS
+) -> str:
+    """Codes and errors of all vectors of ``table``, as DuckDB SQL that looks at every entry."""
+    ctes = [
+        f"""vectors AS (
+  SELECT row_number() OVER (ORDER BY vec_id ASC NULLS LAST, embedding) AS r, vec_id, label,
+         embedding, len(embedding) // {parts} AS width
+  FROM {table}
+  WHERE len(embedding) > 0 AND len(embedding) % {parts} = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)""",
+        f"""cut AS (
+  SELECT r, i // width AS p, i % width AS j,
+         CAST(floor({SCALE} * CAST(embedding[i + 1] AS DOUBLE)) AS BIGINT) AS x
+  FROM (SELECT r, embedding, width, unnest(range(len(embedding))) AS i FROM vectors)
+)""",
+        f"books0 AS (SELECT p, r - 1 AS e, j, x AS y FROM cut WHERE r <= {entries})",
+    ]
+    for k in range(rounds + 1):
+        ctes.append(
+            f"""chosen{k} AS (
+  SELECT r, p, min(away * {entries} + e) % {entries} AS e, min(away * {entries} + e) // {entries} AS away
+  FROM (
+    SELECT r, cut.p, e, CAST(sum((x - y) * (x - y)) AS BIGINT) AS away
+    FROM cut JOIN books{k} AS b ON cut.p = b.p AND cut.j = b.j GROUP BY r, cut.p, e
+  ) GROUP BY r, p
+)"""
+        )
+        if k < rounds:
+            ctes.append(
+                f"""means{k} AS (
+  SELECT cut.p, e, j, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+  FROM cut JOIN chosen{k} AS c ON cut.r = c.r AND cut.p = c.p GROUP BY cut.p, e, j
+)"""
+            )
+            ctes.append(
+                f"""books{k + 1} AS (
+  SELECT b.p, b.e, b.j, coalesce((s - ((s % n) + n) % n) // n, y) AS y
+  FROM books{k} AS b LEFT JOIN means{k} AS m ON b.p = m.p AND b.e = m.e AND b.j = m.j
+)"""
+            )
+    ctes.append(
+        f"""coded AS (
+  SELECT r, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, CAST(sum(away) AS BIGINT) AS error
+  FROM chosen{rounds} GROUP BY r
+)"""
+    )
+    return f"""WITH {", ".join(ctes)}
+SELECT vec_id, code, error,
+       CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY p, e, j)) FROM books{rounds})
+         AS codebooks_sha256
+FROM coded JOIN vectors USING (r)
+"""

@@ -15,9 +15,11 @@ from tristrata.llm import (
     mixing,
     quality,
     repeats,
+    search,
     sharding,
     toxicity,
     urls,
+    warc,
 )
 from tristrata.llm.storage import stored
 
@@ -104,6 +106,20 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = search.build_index(documents(spark, sf_dir))
+    return search.search(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    archives = warc.write_archives(pages)
+    records = stored(warc.read_archives(spark, archives, payload=False), "warc-records")
+    return warc.with_originals(records).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     books = codes.fit(vectors)
@@ -128,6 +144,8 @@ QUERIES: dict[str, Query] = {
     "op8_jaccard": op8_jaccard,
     "op9_mixing": op9_mixing,
     "op10_bpe": op10_bpe,
+    "op11_search": op11_search,
+    "op12_warc": op12_warc,
     "op13_codes": op13_codes,
 }
 
@@ -135,4 +153,7 @@ ORACLE = {
     "op1_quality": quality.judged_sql("documents"),
     "op4_sharding": sharding.placed_sql(SHARDS, SHARD_SLOTS),
     "op9_mixing": mixing.mixed_sql(WEIGHTS),
+    "op11_search": search.ranked_sql(),
+    "op12_warc": warc.resolved_sql(),
+    "op13_codes": codes.coded_sql(),
 }

@@ -119,7 +119,9 @@ def resolved(
     leads = groups.select(*KEY, F.col("best.id").alias("id"), F.col("best.url").alias("url"), "rows")
     leads = leads.withColumn("uid", uid_of(F.lit(0)))
 
-    bodies = long.groupBy(*KEY, "size").agg(F.first("payload").alias("payload"))
+    # grouped by what they are joined by, so that payloads are shuffled once
+    body = [F.first("size").alias("size"), F.first("payload").alias("payload")]
+    bodies = long.groupBy(*KEY).agg(*body)
     responses = (
         leads.join(bodies, KEY)
         .select("id", "url", "digest", "size", "uid", F.lit("response").alias("kind"), "payload")

@@ -1,5 +1,6 @@
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -18,6 +19,33 @@ def test_held_out_accuracy(spark):
     assert n[0, 0] / (n[0, 0] + n.get((0, 1), 0)) > 0.95
 
 
+@pytest.mark.parametrize("sf, recall, precision", [("0.001", 0.5, 0.8), ("0.01", 0.65, 0.8), ("0.1", 0.9, 0.75)])
+def test_recall_and_precision_over_all_folds(sf, recall, precision):
+    """Labels of 11, 51 and 450 toxic texts, each judged by a fit that has not seen it."""
+    connection = duckdb.connect()
+    folder = f"/root/testdata/sf{sf}"
+    texts = connection.execute(f"SELECT doc_id, text FROM '{folder}/documents.parquet'").fetchall()
+    labels = f"SELECT doc_id, max(toxic) FROM '{folder}/labels.parquet' GROUP BY doc_id"
+    labels = dict(connection.execute(labels).fetchall())
+    sets = {
+        key: sorted({f for w in set((text or "").lower().split()) for f in toxicity.features(w)})
+        for key, text in texts
+    }
+    hits = {(mark, guess): 0 for mark in (0, 1) for guess in (False, True)}
+    for k in range(5):
+        held = {key for key in sets if zlib.crc32(str(key).encode()) % 5 == k}
+        train = [key for key in sets if key not in held]
+        marks = [mark for key, mark in labels.items() if key not in held]
+        positive = [sets[key] for key in train if labels.get(key) == 1]
+        unlabelled = [sets[key] for key in train][: toxicity.MOST_UNLABELLED]
+        weights = toxicity.fit(positive, unlabelled, sum(marks) / len(marks))
+        for key in held & labels.keys():
+            score = weights[-1] + sum(weights.get(f, 0.0) for f in sets[key])
+            hits[labels[key], score >= 0] += 1
+    assert hits[1, True] / (hits[1, True] + hits[1, False]) >= recall
+    assert hits[1, True] / (hits[1, True] + hits[0, True]) >= precision
+
+
 def test_unlabelled_positives_do_not_count_as_clean():
     rng = np.random.default_rng(0)
     noise = lambda: sorted(rng.choice(300, 20, replace=False).tolist())

@@ -36,10 +36,9 @@ MOST_POSITIVE = 3_000
 MOST_UNLABELLED = 6_000
 PREFIXES = (3, 4, 5, 6)
 FEATURES = 1 << 22
-LEAST_DOCS = 5
 STEPS = 150
-#: Standard errors by which a feature's shares of positive and unlabelled texts must differ.
-LEAST_Z = 5.0
+#: Standard errors of a difference that says nothing; features shrink towards it.
+CHANCE = 3.0
 RATE = 0.1
 SPARSITY = 2e-5
 #: How many times the rows wanted are picked by hash before the least are taken.
@@ -77,8 +76,13 @@ def rows_times(weights: np.ndarray, index: np.ndarray, bounds: np.ndarray) -> np
     return sums[bounds[1:]] - sums[bounds[:-1]]
 
 
-def screened(positive: list, unlabelled: list) -> np.ndarray:
-    """Features of ``LEAST_DOCS`` positive texts whose share differs between the two sides."""
+def evident(positive: list, unlabelled: list) -> tuple[np.ndarray, np.ndarray]:
+    """Features whose shares of positive and unlabelled texts differ, and what is left of each.
+
+    A feature counts by the standard errors ``z`` between its two shares, as ``(1 - (CHANCE / z)**2)**2``:
+    one that few texts have is held back as far as they leave it uncertain, and whether it is
+    used depends on that alone, not on a number of texts.
+    """
     counts = [
         np.bincount(np.concatenate([np.asarray(x, np.int64) for x in side]), minlength=FEATURES)
         if side
@@ -89,12 +93,14 @@ def screened(positive: list, unlabelled: list) -> np.ndarray:
     both = (counts[0] + counts[1]) / sum(sizes)
     error = np.sqrt(both * (1 - both) * (1 / sizes[0] + 1 / sizes[1])) + 1e-12
     z = np.abs(counts[0] / sizes[0] - counts[1] / sizes[1]) / error
-    return np.flatnonzero((counts[0] >= LEAST_DOCS) & (z >= LEAST_Z))
+    names = np.flatnonzero(z > CHANCE)
+    return names, (1 - (CHANCE / z[names]) ** 2) ** 2
 
 
 def fit(positive: list, unlabelled: list, prior: float) -> dict[int, float]:
     """Weights by feature number; -1 is the constant."""
-    names = screened(positive, unlabelled)
+    names, left = evident(positive, unlabelled)
+    left = np.append(left, 1.0)
 
     def compact(sets: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         sizes = [len(x) for x in sets]
@@ -112,12 +118,12 @@ def fit(positive: list, unlabelled: list, prior: float) -> dict[int, float]:
 
     def gradient(side: int, scale: np.ndarray) -> np.ndarray:
         at, owner, _ = sides[side]
-        out = np.bincount(at, weights=scale[owner], minlength=size)
+        out = np.bincount(at, weights=scale[owner], minlength=size) * left
         out[-1] = scale.sum()
         return out
 
     for step in range(1, STEPS + 1):
-        g = [rows_times(weights, at, bounds) + weights[-1] for at, _, bounds in sides]
+        g = [rows_times(weights * left, at, bounds) + weights[-1] for at, _, bounds in sides]
         up = [1 / (1 + np.exp(-np.clip(x, -50, 50))) for x in g]
         n = [max(1, len(x)) for x in g]
         as_clean = np.logaddexp(0, g[1]).sum() / n[1] - prior * np.logaddexp(0, g[0]).sum() / n[0]
@@ -132,6 +138,7 @@ def fit(positive: list, unlabelled: list, prior: float) -> dict[int, float]:
         weights -= RATE * move
         shrink = RATE * SPARSITY / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
         weights[:-1] = np.sign(weights[:-1]) * np.maximum(np.abs(weights[:-1]) - shrink[:-1], 0)
+    weights = weights * left
     found = np.flatnonzero(weights[:-1])
     return {int(names[k]): float(weights[k]) for k in found} | {-1: float(weights[-1])}
 

@@ -24,22 +24,25 @@ def test_suffixes_are_in_order(symbols, times):
     assert sorted(part) == np.flatnonzero(some).tolist()
 
 
-def brute(texts):
-    seen = collections.Counter(t[p : p + 400] for t in texts for p in range(len(t) - 399))
+def brute(texts, length=400):
+    starts = [range(len(t) - length + 1) for t in texts]
+    seen = collections.Counter(
+        t[p : p + length] for t, places in zip(texts, starts, strict=True) for p in places
+    )
     out = []
-    for t in texts:
+    for t, places in zip(texts, starts, strict=True):
         gone = np.zeros(len(t), bool)
-        for p in range(len(t) - 399):
-            if seen[t[p : p + 400]] > 1:
-                gone[p : p + 400] = True
+        for p in places:
+            if seen[t[p : p + length]] > 1:
+                gone[p : p + length] = True
         edge = np.diff(np.concatenate([[0], gone.astype(int)]))
         left = bytes(np.frombuffer(t, np.uint8)[~gone])
         out.append((len(t), int(gone.sum()), int((edge == 1).sum()), hashlib.sha256(left).hexdigest()))
     return sorted(out)
 
 
-def counts(frame):
-    found = repeats.repeat_counts(frame).collect()
+def counts(frame, **options):
+    found = repeats.repeat_counts(frame, **options).collect()
     return sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found)
 
 
@@ -60,7 +63,12 @@ def test_shared_passages_in_small_and_large_groups(spark, monkeypatch, group):
     texts += [other + noise(500), noise(90) + other, "xy" * 700, "z" * 400, "z" * 399]
     texts += [texts[0], passage[:399] + "Q", noise(1000)]
     frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id int, text string")
-    assert counts(frame) == brute([t.encode() for t in texts])
+    whole = [t.encode() for t in texts]
+    assert counts(frame) == brute(whole)
+    for length in (128, 200, 450, 701):
+        assert counts(frame, length=length) == brute(whole, length)
+    with pytest.raises(ValueError):
+        counts(frame, length=100)
 
 
 def test_texts_without_their_repeats(odd_docs, clashing):

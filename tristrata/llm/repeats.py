@@ -1,21 +1,23 @@
 """Suffix-array deduplication: bytes covered by a long string that also starts elsewhere go.
 
-Every window of ``LENGTH`` bytes belongs to its anchor, the leftmost least hash of 64 bytes in
+Every window of ``length`` bytes belongs to its anchor, the leftmost least hash of ``GRAM`` bytes in
 it, so equal windows have equal anchors and meet by the anchor's value. Consecutive windows
 of one anchor are a run, and a run travels as the stretch of text that it covers.
 
-1. Equal texts are taken once, with their number. Runs are counted by digest of their stretch;
-   one that occurs twice repeats as a whole, and every digest goes on once.
+1. Equal texts are taken once, with their number. Anchors are counted first, as eight bytes each:
+   a run whose anchor occurs once in all texts has no repeat, and most runs end here. The
+   others are counted by digest of their stretch; one that occurs twice repeats as a whole,
+   and every digest goes on once.
 2. Where different stretches share an anchor, their texts are gathered by anchor, in
    sub-groups of ``GROUP`` stretches, so that no anchor gathers without bound. Each task builds
    the suffix array of its stretches by two-stage sorting (``suffixes``); neighbours with a common
-   prefix of ``LENGTH`` or more are repeats.
+   prefix of ``length`` or more are repeats.
 3. An anchor of several sub-groups also sends one digest for each different window; those
    found in two sub-groups repeat as well.
 4. Repeats go back to the texts by digest, and each text drops the bytes they cover.
 
 All is judged on the input texts as UTF-8 bytes; matches within a text and overlapping ones
-count, and none crosses a text. Null and empty texts, and ones shorter than ``LENGTH``, lose
+count, and none crosses a text. Null and empty texts, and ones shorter than ``length``, lose
 nothing. A row that occurs twice repeats itself, so both lose all windows. Extra columns
 stay; columns with the name of an output are replaced. An empty table gives an empty result.
 Digests have 128 bits; within a task stretches are compared by 64-bit polynomial hashes.
@@ -33,7 +35,9 @@ from pyspark.sql import functions as F
 from tristrata.llm.blocks import mixed, rows
 from tristrata.llm.storage import stored
 from tristrata.llm.suffixes import Row, suffix_array
+from tristrata.operators.join import skewed_join
 
+#: Bytes of a string that may not start twice, unless a caller says otherwise.
 LENGTH = 400
 #: Bytes of an anchor, a power of two: so many that texts rarely share them by chance.
 GRAM = 64
@@ -47,8 +51,8 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
-def distinct_texts(docs: DataFrame, text: str) -> DataFrame:
-    """Rows ``t, z, m``: digest, compressed bytes and number of each text of some length."""
+def distinct_texts(docs: DataFrame, text: str, length: int) -> DataFrame:
+    """Rows ``id, t, z, m``: number, digest, compressed bytes and count of each text of some length."""
 
     def squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = zstandard.ZstdCompressor(level=3)
@@ -58,10 +62,11 @@ def distinct_texts(docs: DataFrame, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["t", "z"])
 
     column = F.col(f"`{text}`")
-    long = docs.where(F.octet_length(column) >= LENGTH)
+    long = docs.where(F.octet_length(column) >= length)
     long = long.select(text_key(column).alias("t"), column.alias("x"))
     packed = long.mapInArrow(squeezed, "t binary, z binary")
-    return packed.groupBy("t").agg(F.first("z").alias("z"), F.count("*").alias("m"))
+    once = packed.groupBy("t").agg(F.first("z").alias("z"), F.count("*").alias("m"))
+    return stored(once.withColumn("id", F.monotonically_increasing_id()), "repeat-texts")
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -77,12 +82,12 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     return value
 
 
-def runs_of(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def runs_of(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First window, number of windows and anchor value of each run."""
     gram = gram_hashes(np.frombuffer(text, np.uint8))
     # the leftmost least of each window: half of the hash above, the place below
     v = (gram & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(gram), dtype=np.uint64)
-    width, span = LENGTH - GRAM + 1, 1
+    width, span = length - GRAM + 1, 1
     while 2 * span <= width:
         v = np.minimum(v[:-span], v[span:])
         span *= 2
@@ -95,38 +100,64 @@ def runs_of(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 RUNS = pa.schema(
-    [("t", pa.binary()), ("at", pa.int32()), ("size", pa.int32())]
-    + [("anchor", pa.int64()), ("run", pa.binary()), ("m", pa.int64())]
+    [("id", pa.int64()), ("at", pa.int32()), ("size", pa.int32())]
+    + [("anchor", pa.int64()), ("m", pa.int64())]
 )
 
 
-def runs(texts: DataFrame) -> DataFrame:
-    """Rows ``t, at, size, anchor, run, m`` for the runs of each distinct text."""
+def runs(texts: DataFrame, length: int) -> DataFrame:
+    """Rows ``id, at, size, anchor, m`` for the runs of each distinct text."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = zstandard.ZstdDecompressor()
         for batch in batches:
-            for t, z, m in zip(*(batch.column(c) for c in ("t", "z", "m")), strict=True):
-                text = tool.decompress(z.as_py())
-                at, size, anchor = runs_of(text)
-                ends = at + size - 1 + LENGTH
-                run = [
-                    hashlib.blake2b(text[a:b], digest_size=16).digest()
-                    for a, b in zip(at.tolist(), ends.tolist(), strict=True)
-                ]
+            for t, z, m in zip(*(batch.column(c) for c in ("id", "z", "m")), strict=True):
+                at, size, anchor = runs_of(tool.decompress(z.as_py()), length)
                 n = len(at)
                 yield rows(
                     RUNS,
-                    t=pa.repeat(pa.scalar(t.as_py(), pa.binary()), n),
+                    id=np.full(n, t.as_py(), np.int64),
                     at=at,
                     size=size,
                     anchor=anchor.view(np.int64),
-                    run=run,
                     m=np.full(n, m.as_py(), np.int64),
                 )
 
-    columns = "t binary, at int, size int, anchor long, run binary, m long"
-    return texts.mapInArrow(gathered(found), columns)
+    columns = "id long, at int, size int, anchor long, m long"
+    return texts.select("id", "z", "m").mapInArrow(gathered(found), columns)
+
+
+def named_runs(every: DataFrame, texts: DataFrame, length: int) -> DataFrame:
+    """The runs whose anchor occurs twice, with ``run``, the digest of their stretch."""
+    shared = every.groupBy("anchor").agg(F.sum("m").alias("k")).where("k > 1").select("anchor")
+    fields = ["at", "size", "anchor", "m"]
+    open_runs = skewed_join(every, shared, "anchor")
+    by_text = open_runs.groupBy("id").agg(F.collect_list(F.struct(*fields)).alias("runs"))
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for t, z, mine in zip(*(batch.column(c) for c in ("id", "z", "runs")), strict=True):
+                text = tool.decompress(z.as_py())
+                at, size, anchor, m = (mine.values.field(k).to_numpy() for k in range(4))
+                run = [
+                    hashlib.blake2b(text[a:b], digest_size=16).digest()
+                    for a, b in zip(at.tolist(), (at + size - 1 + length).tolist(), strict=True)
+                ]
+                yield pa.record_batch(
+                    {
+                        "id": pa.array(np.full(len(at), t.as_py(), np.int64)),
+                        "at": pa.array(at),
+                        "size": pa.array(size),
+                        "anchor": pa.array(anchor),
+                        "run": pa.array(run, pa.binary()),
+                        "m": pa.array(m),
+                    }
+                )
+
+    columns = "id long, at int, size int, anchor long, run binary, m long"
+    joined = by_text.join(texts.select("id", "z"), "id")
+    return joined.select("id", "z", "runs").mapInArrow(gathered(named), columns)
 
 
 def gathered(step, most: int = 20_000):
@@ -150,10 +181,10 @@ STRETCHES = "run binary, anchor long, salt int, alone boolean, whole boolean, bo
 FOUND = "run binary, window binary, spots array<int>, repeats boolean"
 
 
-def stretches(wanted: DataFrame, texts: DataFrame) -> DataFrame:
+def stretches(wanted: DataFrame, texts: DataFrame, length: int) -> DataFrame:
     """The text of each wanted run: rows of ``STRETCHES``."""
     fields = ["run", "anchor", "salt", "alone", "whole", "at", "size"]
-    by_text = wanted.groupBy("t").agg(F.collect_list(F.struct(*fields)).alias("runs"))
+    by_text = wanted.groupBy("id").agg(F.collect_list(F.struct(*fields)).alias("runs"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = zstandard.ZstdDecompressor()
@@ -161,7 +192,7 @@ def stretches(wanted: DataFrame, texts: DataFrame) -> DataFrame:
             for z, mine in zip(batch.column("z"), batch.column("runs"), strict=True):
                 text = tool.decompress(z.as_py())
                 mine = mine.as_py()
-                body = [text[r["at"] : r["at"] + r["size"] - 1 + LENGTH] for r in mine]
+                body = [text[r["at"] : r["at"] + r["size"] - 1 + length] for r in mine]
                 columns = {c: [r[c] for r in mine] for c in fields[:5]}
                 yield pa.record_batch(
                     {
@@ -174,11 +205,13 @@ def stretches(wanted: DataFrame, texts: DataFrame) -> DataFrame:
                     }
                 )
 
-    joined = by_text.join(texts.select("t", "z"), "t").select("z", "runs")
+    joined = by_text.join(texts.select("id", "z"), "id").select("z", "runs")
     return joined.mapInArrow(gathered(cut), STRETCHES)
 
 
-def repeated_windows(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def repeated_windows(
+    bodies: list[bytes], length: int = LENGTH
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of a suffix array over the ``bodies``: windows in order, and class of each.
 
     Returns body number, place in the body and class number of every window.
@@ -187,18 +220,18 @@ def repeated_windows(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.nd
     line = np.frombuffer(b"\x00".join([*bodies, b""]), np.uint8).astype(np.uint16) + 1
     starts = np.cumsum(lengths + 1) - (lengths + 1)
     line[starts + lengths] = 0
-    row = Row(line, LENGTH)
+    row = Row(line, length)
     owner = np.repeat(np.arange(len(bodies)), lengths + 1)
     place = np.arange(len(line)) - starts[owner]
-    window = place + LENGTH <= lengths[owner]
+    window = place + length <= lengths[owner]
     order = suffix_array(row, window)
     order = order[window[order]]
-    same = row.alike(order[:-1], order[1:], LENGTH)
+    same = row.alike(order[:-1], order[1:], length)
     label = np.cumsum(np.concatenate([[0], (~same).astype(np.int64)]))
     return owner[order], place[order], label
 
 
-def sorted_repeats(gathered_runs: DataFrame) -> DataFrame:
+def sorted_repeats(gathered_runs: DataFrame, length: int) -> DataFrame:
     """Rows of ``FOUND``: windows of a run that repeat, or that other sub-groups may have.
 
     ``spots`` with ``repeats`` are places of a run that repeat within its sub-group. For an
@@ -212,7 +245,7 @@ def sorted_repeats(gathered_runs: DataFrame) -> DataFrame:
 
     def solve(held: list[dict]) -> pa.RecordBatch:
         bodies = [r["body"] for r in held]
-        body, place, label = repeated_windows(bodies)
+        body, place, label = repeated_windows(bodies, length)
         twice = np.bincount(label)[label] > 1
         out = {"run": [], "window": [], "spots": [], "repeats": []}
         turn = np.argsort(body[twice], kind="stable")
@@ -231,7 +264,7 @@ def sorted_repeats(gathered_runs: DataFrame) -> DataFrame:
             once = np.concatenate([[True], label[1:] != label[:-1]]) & split[body]
             for k in np.flatnonzero(once).tolist():
                 r, p = held[body[k]], int(place[k])
-                digest = hashlib.blake2b(r["body"][p : p + LENGTH], digest_size=16).digest()
+                digest = hashlib.blake2b(r["body"][p : p + length], digest_size=16).digest()
                 out["run"].append(r["run"])
                 out["window"].append(digest)
                 out["spots"].append([p])
@@ -259,22 +292,20 @@ def sorted_repeats(gathered_runs: DataFrame) -> DataFrame:
     )
 
 
-def repeats(texts: DataFrame) -> DataFrame:
-    """Rows ``t, spots``: places of each distinct text where a repeated window starts.
-
-    ``spots`` is a list of ``(first, number)`` of consecutive places, perhaps overlapping.
-    """
-    every = stored(runs(texts), "repeat-runs")
-    distinct = every.groupBy("run").agg(
+def repeats(texts: DataFrame, length: int) -> DataFrame:
+    """Rows ``id, runs``: runs of each distinct text with the places where a repeated window starts."""
+    every = stored(runs(texts, length), "repeat-runs")
+    named = stored(named_runs(every, texts, length), "repeat-named")
+    distinct = named.groupBy("run").agg(
         F.min("anchor").alias("anchor"),
         F.sum("m").alias("m"),
-        F.min(F.struct("t", "at", "size")).alias("where"),
+        F.min(F.struct("id", "at", "size")).alias("where"),
     )
     distinct = stored(distinct, "repeat-stretches")
     shared = distinct.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1")
     groups = F.ceil(F.col("k") / GROUP).cast("int")
     wanted = distinct.join(shared, "anchor").select(
-        "where.t",
+        "where.id",
         "where.at",
         "where.size",
         "run",
@@ -283,7 +314,7 @@ def repeats(texts: DataFrame) -> DataFrame:
         (groups == 1).alias("alone"),
         (F.col("m") > 1).alias("whole"),
     )
-    found = stored(sorted_repeats(stretches(wanted, texts)), "repeat-windows")
+    found = stored(sorted_repeats(stretches(wanted, texts, length), length), "repeat-windows")
     digests = found.where("window is not null")
     across = digests.groupBy("window").agg(F.count("*").alias("k")).where("k > 1").select("window")
     more = digests.where("not repeats").join(across, "window").select("run", "spots")
@@ -294,19 +325,23 @@ def repeats(texts: DataFrame) -> DataFrame:
     whole = distinct.where("m > 1").select("run", F.lit(None).cast("array<int>").alias("spots"))
     marked = whole.unionByName(part.join(whole.select("run"), "run", "left_anti"))
     return (
-        every.select("t", "at", "size", "run")
+        named.select("id", "at", "size", "run")
         .join(marked, "run")
-        .groupBy("t")
+        .groupBy("id")
         .agg(F.collect_list(F.struct("at", "size", "spots")).alias("runs"))
     )
 
 
-def cleaned(docs: DataFrame, text: str = "text", as_text: bool = False) -> DataFrame:
+def cleaned(
+    docs: DataFrame, text: str = "text", as_text: bool = False, length: int = LENGTH
+) -> DataFrame:
     """Rows ``t, n_removed, n_spans, left`` for each distinct text that loses bytes.
 
     ``left`` holds the bytes, or with ``as_text`` the characters that no cut went through.
     """
-    texts = distinct_texts(docs, text)
+    if length < 2 * GRAM:
+        raise ValueError(f"length must be at least {2 * GRAM}, got {length}")
+    texts = distinct_texts(docs, text, length)
 
     def dropped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = zstandard.ZstdDecompressor()
@@ -318,11 +353,11 @@ def cleaned(docs: DataFrame, text: str = "text", as_text: bool = False) -> DataF
                 for r in mine.as_py():
                     if r["spots"] is None:
                         starts[r["at"]] += 1
-                        starts[r["at"] + r["size"] - 1 + LENGTH] -= 1
+                        starts[r["at"] + r["size"] - 1 + length] -= 1
                     else:
                         at = r["at"] + np.asarray(r["spots"])
                         np.add.at(starts, at, 1)
-                        np.add.at(starts, at + LENGTH, -1)
+                        np.add.at(starts, at + length, -1)
                 gone = np.cumsum(starts[:-1]) > 0
                 out["n_removed"].append(int(gone.sum()))
                 out["n_spans"].append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
@@ -337,12 +372,13 @@ def cleaned(docs: DataFrame, text: str = "text", as_text: bool = False) -> DataF
                 }
             )
 
-    joined = repeats(texts).join(texts.select("t", "z"), "t").select("t", "z", "runs")
+    joined = repeats(texts, length).join(texts.select("id", "t", "z"), "id")
+    joined = joined.select("t", "z", "runs")
     kind = "string" if as_text else "binary"
     return joined.mapInArrow(dropped, f"t binary, n_removed long, n_spans long, left {kind}")
 
 
-def repeat_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+def repeat_counts(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
     """``docs`` without ``text``, with ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``."""
     outputs = ("n_bytes", "n_removed", "n_spans", "kept_sha256", text)
     kept = [c for c in docs.columns if c not in outputs]
@@ -353,7 +389,7 @@ def repeat_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         F.octet_length(whole).cast("long").alias("n_bytes"),
         F.sha2(whole.cast("binary"), 256).alias("__sha"),
     )
-    lost = cleaned(docs, text).select(
+    lost = cleaned(docs, text, length=length).select(
         F.col("t").alias("__t"), "n_removed", "n_spans", F.sha2("left", 256).alias("__kept")
     )
     found = keyed.join(lost, "__t", "left")
@@ -366,9 +402,9 @@ def repeat_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
     """``docs`` with the bytes left of each text; characters that a cut went through go too."""
-    lost = cleaned(docs, text, as_text=True).select(
+    lost = cleaned(docs, text, True, length).select(
         F.col("t").alias("__t"), F.col("left").alias("__kept")
     )
     keyed = docs.withColumn("__t", text_key(F.col(f"`{text}`")))

@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import re
 
 import numpy as np
 import pytest
@@ -71,6 +72,46 @@ def test_shared_passages_in_small_and_large_groups(spark, monkeypatch, group):
         counts(frame, length=100)
 
 
+def brute_across(texts, length, words):
+    """What is left of each text: runs of ``words`` words or more that another text starts too."""
+    owners = collections.defaultdict(set)
+    for k, t in enumerate(texts):
+        for p in range(len(t) - length + 1):
+            owners[t[p : p + length]].add(k)
+    out = []
+    for t in texts:
+        gone = np.zeros(len(t) + 2, bool)
+        for p in range(len(t) - length + 1):
+            if len(owners[t[p : p + length]]) > 1:
+                gone[p + 1 : p + 1 + length] = True
+        edges = np.flatnonzero(np.diff(gone.astype(int)))
+        for a, b in zip(edges[::2], edges[1::2], strict=True):
+            starts = [m.span() for m in re.finditer(rb"\S+", t)]
+            if sum(a <= x and y <= b for x, y in starts) < words:
+                gone[a + 1 : b + 1] = False
+        out.append(np.frombuffer(t, np.uint8)[~gone[1:-1]].tobytes().decode(errors="ignore"))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("group", [2, repeats.GROUP])
+def test_passages_of_other_texts_only(spark, monkeypatch, group):
+    monkeypatch.setattr(repeats, "GROUP", group)
+    rng = np.random.default_rng(9)
+
+    def prose(n):
+        return " ".join("".join(rng.choice(list("abcdefgh"), rng.integers(1, 9))) for _ in range(n))
+
+    long, short, own, words = prose(60), "x" * 30 + " " + "y" * 300, prose(70), prose(49)
+    texts = [prose(30) + " " + long + " " + prose(20) for _ in range(7)]
+    texts += [prose(40) + " " + short + " " + prose(9), short, short + prose(5)]
+    texts += [own + " / " + own + " " + prose(10), "was " * 400, long + long, long[3:] + "x" + prose(8)]
+    texts += [words + prose(30), prose(12) + words, texts[0], "is " * 300, "is " * 300, "", "short"]
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id int, text string")
+    for least in (0, 50):
+        left = repeats.remove_repeats(frame, length=200, across=True, words=least).collect()
+        assert sorted(r.text for r in left) == brute_across([t.encode() for t in texts], 200, least)
+
+
 def test_texts_without_their_repeats(odd_docs, clashing):
     left = {r.doc_id: r.text for r in repeats.remove_repeats(odd_docs).collect() if r.doc_id}
     assert left[4] is None and left[7] == "short text"

@@ -16,6 +16,9 @@ of one anchor are a run, and a run travels as the stretch of text that it covers
    found in two sub-groups repeat as well.
 4. Repeats go back to the texts by digest, and each text drops the bytes they cover.
 
+With ``across`` only strings that also start in another text count, and with ``words`` a removed run
+must hold that many whole words.
+
 All is judged on the input texts as UTF-8 bytes; matches within a text and overlapping ones
 count, and none crosses a text. Null and empty texts, and ones shorter than ``length``, lose
 nothing. A row that occurs twice repeats itself, so both lose all windows. Extra columns
@@ -32,7 +35,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tristrata.llm.blocks import mixed, rows
+from tristrata.llm.blocks import mixed, renamed, restored, rows
 from tristrata.llm.storage import stored
 from tristrata.llm.suffixes import Row, suffix_array
 from tristrata.operators.join import skewed_join
@@ -177,13 +180,15 @@ def gathered(step, most: int = 20_000):
     return larger
 
 
-STRETCHES = "run binary, anchor long, salt int, alone boolean, whole boolean, body binary"
-FOUND = "run binary, window binary, spots array<int>, repeats boolean"
+#: ``owner`` is the only text that has a run, or ``MANY``.
+STRETCHES = "run binary, anchor long, salt int, alone boolean, whole boolean, owner long, body binary"
+FOUND = "run binary, window binary, spots array<int>, repeats boolean, owner long"
+MANY = -1
 
 
 def stretches(wanted: DataFrame, texts: DataFrame, length: int) -> DataFrame:
     """The text of each wanted run: rows of ``STRETCHES``."""
-    fields = ["run", "anchor", "salt", "alone", "whole", "at", "size"]
+    fields = ["run", "anchor", "salt", "alone", "whole", "owner", "at", "size"]
     by_text = wanted.groupBy("id").agg(F.collect_list(F.struct(*fields)).alias("runs"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +198,7 @@ def stretches(wanted: DataFrame, texts: DataFrame, length: int) -> DataFrame:
                 text = tool.decompress(z.as_py())
                 mine = mine.as_py()
                 body = [text[r["at"] : r["at"] + r["size"] - 1 + length] for r in mine]
-                columns = {c: [r[c] for r in mine] for c in fields[:5]}
+                columns = {c: [r[c] for r in mine] for c in fields[:6]}
                 yield pa.record_batch(
                     {
                         "run": pa.array(columns["run"], pa.binary()),
@@ -201,6 +206,7 @@ def stretches(wanted: DataFrame, texts: DataFrame, length: int) -> DataFrame:
                         "salt": pa.array(columns["salt"], pa.int32()),
                         "alone": pa.array(columns["alone"], pa.bool_()),
                         "whole": pa.array(columns["whole"], pa.bool_()),
+                        "owner": pa.array(columns["owner"], pa.int64()),
                         "body": pa.array(body, pa.binary()),
                     }
                 )
@@ -231,7 +237,19 @@ def repeated_windows(
     return owner[order], place[order], label
 
 
-def sorted_repeats(gathered_runs: DataFrame, length: int) -> DataFrame:
+def repeated(label: np.ndarray, owner: np.ndarray, across: bool) -> np.ndarray:
+    """Whether each window's class, numbered by ``label`` in order, has another; with ``across``,
+    one of another text."""
+    if not across:
+        return np.bincount(label)[label] > 1
+    first = np.flatnonzero(np.diff(label, prepend=-1)) if len(label) else np.empty(0, np.int64)
+    if not len(first):
+        return np.zeros(0, bool)
+    low, high = np.minimum.reduceat(owner, first), np.maximum.reduceat(owner, first)
+    return ((low != high) | (low == MANY))[label]
+
+
+def sorted_repeats(gathered_runs: DataFrame, length: int, across: bool) -> DataFrame:
     """Rows of ``FOUND``: windows of a run that repeat, or that other sub-groups may have.
 
     ``spots`` with ``repeats`` are places of a run that repeat within its sub-group. For an
@@ -240,14 +258,15 @@ def sorted_repeats(gathered_runs: DataFrame, length: int) -> DataFrame:
     """
     schema = pa.schema(
         [("run", pa.binary()), ("window", pa.binary())]
-        + [("spots", pa.list_(pa.int32())), ("repeats", pa.bool_())]
+        + [("spots", pa.list_(pa.int32())), ("repeats", pa.bool_()), ("owner", pa.int64())]
     )
 
     def solve(held: list[dict]) -> pa.RecordBatch:
         bodies = [r["body"] for r in held]
         body, place, label = repeated_windows(bodies, length)
-        twice = np.bincount(label)[label] > 1
-        out = {"run": [], "window": [], "spots": [], "repeats": []}
+        text = np.array([r["owner"] for r in held], np.int64)[body]
+        twice = repeated(label, text, across)
+        out = {"run": [], "window": [], "spots": [], "repeats": [], "owner": []}
         turn = np.argsort(body[twice], kind="stable")
         owners, places = body[twice][turn], place[twice][turn]
         bounds = np.concatenate([[True], owners[1:] != owners[:-1], [True]])
@@ -259,6 +278,7 @@ def sorted_repeats(gathered_runs: DataFrame, length: int) -> DataFrame:
                 out["window"].append(None)
                 out["spots"].append(np.sort(places[a:b]).astype(np.int32))
                 out["repeats"].append(True)
+                out["owner"].append(r["owner"])
         split = np.array([not r["alone"] for r in held])
         if split.any():
             once = np.concatenate([[True], label[1:] != label[:-1]]) & split[body]
@@ -269,6 +289,7 @@ def sorted_repeats(gathered_runs: DataFrame, length: int) -> DataFrame:
                 out["window"].append(digest)
                 out["spots"].append([p])
                 out["repeats"].append(bool(twice[k]) or r["whole"])
+                out["owner"].append(MANY if twice[k] else r["owner"])
         return rows(schema, **{c: pa.array(v, schema.field(c).type) for c, v in out.items()})
 
     def sort_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,7 +313,7 @@ def sorted_repeats(gathered_runs: DataFrame, length: int) -> DataFrame:
     )
 
 
-def repeats(texts: DataFrame, length: int) -> DataFrame:
+def repeats(texts: DataFrame, length: int, across: bool) -> DataFrame:
     """Rows ``id, runs``: runs of each distinct text with the places where a repeated window starts."""
     every = stored(runs(texts, length), "repeat-runs")
     named = stored(named_runs(every, texts, length), "repeat-named")
@@ -300,11 +321,13 @@ def repeats(texts: DataFrame, length: int) -> DataFrame:
         F.min("anchor").alias("anchor"),
         F.sum("m").alias("m"),
         F.min(F.struct("id", "at", "size")).alias("where"),
+        ((F.min("id") < F.max("id")) | (F.max("m") > 1)).alias("spread"),
     )
+    distinct = distinct.withColumn("whole", F.col("spread") if across else F.col("m") > 1)
     distinct = stored(distinct, "repeat-stretches")
-    shared = distinct.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1")
+    several = distinct.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1")
     groups = F.ceil(F.col("k") / GROUP).cast("int")
-    wanted = distinct.join(shared, "anchor").select(
+    wanted = distinct.join(several, "anchor").select(
         "where.id",
         "where.at",
         "where.size",
@@ -312,17 +335,22 @@ def repeats(texts: DataFrame, length: int) -> DataFrame:
         "anchor",
         F.pmod(F.xxhash64("run"), groups).cast("int").alias("salt"),
         (groups == 1).alias("alone"),
-        (F.col("m") > 1).alias("whole"),
+        "whole",
+        F.when(F.col("spread"), F.lit(MANY)).otherwise(F.col("where.id")).alias("owner"),
     )
-    found = stored(sorted_repeats(stretches(wanted, texts, length), length), "repeat-windows")
+    ways = stretches(wanted, texts, length)
+    found = stored(sorted_repeats(ways, length, across), "repeat-windows")
     digests = found.where("window is not null")
-    across = digests.groupBy("window").agg(F.count("*").alias("k")).where("k > 1").select("window")
-    more = digests.where("not repeats").join(across, "window").select("run", "spots")
+    owners = [F.min("owner").alias("low"), F.max("owner").alias("high")]
+    shared = digests.groupBy("window").agg(F.count("*").alias("k"), *owners)
+    others = "low <> high or low = -1" if across else "k > 1"
+    shared = shared.where(f"k > 1 and ({others})").select("window")
+    more = digests.where("not repeats").join(shared, "window").select("run", "spots")
     part = (
         found.where("window is null").select("run", "spots").union(more)
         .groupBy("run").agg(F.flatten(F.collect_list("spots")).alias("spots"))
     )
-    whole = distinct.where("m > 1").select("run", F.lit(None).cast("array<int>").alias("spots"))
+    whole = distinct.where("whole").select("run", F.lit(None).cast("array<int>").alias("spots"))
     marked = whole.unionByName(part.join(whole.select("run"), "run", "left_anti"))
     return (
         named.select("id", "at", "size", "run")
@@ -332,10 +360,28 @@ def repeats(texts: DataFrame, length: int) -> DataFrame:
     )
 
 
+def long_runs(data: bytes, gone: np.ndarray, words: int) -> np.ndarray:
+    """``gone`` without the runs that hold fewer than ``words`` whole words."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
+    out = gone.copy()
+    for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+        whole = len(data[a:b].split())
+        whole -= a > 0 and bool(data[a - 1 : a].strip()) and bool(data[a : a + 1].strip())
+        whole -= b < len(data) and bool(data[b - 1 : b].strip()) and bool(data[b : b + 1].strip())
+        if whole < words:
+            out[a:b] = False
+    return out
+
+
 def cleaned(
-    docs: DataFrame, text: str = "text", as_text: bool = False, length: int = LENGTH
+    docs: DataFrame,
+    text: str = "text",
+    as_text: bool = False,
+    length: int = LENGTH,
+    across: bool = False,
+    words: int = 0,
 ) -> DataFrame:
-    """Rows ``t, n_removed, n_spans, left`` for each distinct text that loses bytes.
+    """Rows ``t, n_removed, n_spans, left`` for each distinct text with a repeat.
 
     ``left`` holds the bytes, or with ``as_text`` the characters that no cut went through.
     """
@@ -359,6 +405,8 @@ def cleaned(
                         np.add.at(starts, at, 1)
                         np.add.at(starts, at + length, -1)
                 gone = np.cumsum(starts[:-1]) > 0
+                if words:
+                    gone = long_runs(data.tobytes(), gone, words)
                 out["n_removed"].append(int(gone.sum()))
                 out["n_spans"].append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
                 left = data[~gone].tobytes()
@@ -372,7 +420,7 @@ def cleaned(
                 }
             )
 
-    joined = repeats(texts, length).join(texts.select("id", "t", "z"), "id")
+    joined = repeats(texts, length, across).join(texts.select("id", "t", "z"), "id")
     joined = joined.select("t", "z", "runs")
     kind = "string" if as_text else "binary"
     return joined.mapInArrow(dropped, f"t binary, n_removed long, n_spans long, left {kind}")
@@ -382,39 +430,44 @@ def repeat_counts(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
     """``docs`` without ``text``, with ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``."""
     outputs = ("n_bytes", "n_removed", "n_spans", "kept_sha256", text)
     kept = [c for c in docs.columns if c not in outputs]
-    whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    keyed = docs.select(
-        *(F.col(f"`{c}`") for c in kept),
-        text_key(F.col(f"`{text}`")).alias("__t"),
-        F.octet_length(whole).cast("long").alias("n_bytes"),
-        F.sha2(whole.cast("binary"), 256).alias("__sha"),
-    )
-    lost = cleaned(docs, text, length=length).select(
-        F.col("t").alias("__t"), "n_removed", "n_spans", F.sha2("left", 256).alias("__kept")
+    column = F.col(f"`{text}`")
+    whole = F.coalesce(column, F.lit(""))
+    keyed = renamed(
+        docs,
+        kept,
+        t=text_key(column),
+        n_bytes=F.octet_length(whole).cast("long"),
+        own=F.sha2(whole.cast("binary"), 256),
     )
-    found = keyed.join(lost, "__t", "left")
-    return found.select(
-        *(F.col(f"`{c}`") for c in kept),
+    lost = cleaned(docs, text, length=length)
+    lost = lost.select("t", "n_removed", "n_spans", F.sha2("left", 256).alias("sha"))
+    return restored(
+        keyed.join(lost, "t", "left"),
+        kept,
         "n_bytes",
         F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
         F.coalesce("n_spans", F.lit(0)).alias("n_spans"),
-        F.coalesce("__kept", "__sha").alias("kept_sha256"),
+        F.coalesce("sha", "own").alias("kept_sha256"),
     )
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
-    """``docs`` with the bytes left of each text; characters that a cut went through go too."""
-    lost = cleaned(docs, text, True, length).select(
-        F.col("t").alias("__t"), F.col("left").alias("__kept")
-    )
-    keyed = docs.withColumn("__t", text_key(F.col(f"`{text}`")))
-    found = keyed.join(lost, "__t", "left")
+def remove_repeats(
+    docs: DataFrame,
+    text: str = "text",
+    length: int = LENGTH,
+    across: bool = False,
+    words: int = 0,
+) -> DataFrame:
+    """``docs`` with the bytes left of each text; characters that a cut went through go too.
+
+    A text of which nothing is left is empty.
+    """
+    lost = cleaned(docs, text, True, length, across, words).select("t", "left")
+    keyed = renamed(docs, docs.columns, t=text_key(F.col(f"`{text}`")))
+    found = keyed.join(lost, "t", "left")
     return found.select(
         *(
-            F.coalesce("__kept", F.col(f"`{c}`")).alias(c)
-            if c == text
-            else F.col(f"`{c}`")
-            for c in docs.columns
+            (F.coalesce("left", f"k{i}") if c == text else F.col(f"k{i}")).alias(c)
+            for i, c in enumerate(docs.columns)
         )
     )
-

@@ -67,7 +67,7 @@ def test_dedup_trims_before_its_only_shuffle(spark, plan):
 
 def test_gold_is_aggregated_before_its_shuffle(spark, plan):
     text = plan(gold_groups(spark, SF_DIR), "simple")
-    assert "partial_sum(billing_amount" in text
+    assert "partial_sum(" in text
     assert text.count("Exchange hashpartitioning") == 2
 
 

@@ -6,9 +6,12 @@ from pyspark.sql import functions as F
 from tristrata.schema import REQUIRED_FIELDS
 
 
-def null_counts(fields: tuple[str, ...] = REQUIRED_FIELDS) -> list[Column]:
-    """One aggregate per field, for ``agg`` or for observing a write."""
-    return [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in fields]
+def null_counts(
+    fields: tuple[str, ...] = REQUIRED_FIELDS, only: Column | None = None
+) -> list[Column]:
+    """One aggregate per field, for ``agg`` or for observing a write, over rows with ``only``."""
+    counted = F.lit(True) if only is None else only
+    return [F.count_if(counted & F.col(c).isNull()).alias(f"null_{c}") for c in fields]
 
 
 def null_audit(df: DataFrame, fields: tuple[str, ...] = REQUIRED_FIELDS) -> DataFrame:

@@ -20,13 +20,18 @@ def latest_per_key(
     for that. The row-number filter is applied per map task before the shuffle, so even a
     key that holds a third of the rows sends one row per task.
     """
+    newest = Window.partitionBy(*keys).orderBy(*newest_first(df, keys, latest, unique))
+    return df.withColumn("_row", F.row_number().over(newest)).filter("_row = 1").drop("_row")
+
+
+def newest_first(
+    df: DataFrame, keys: tuple[str, ...], latest: tuple[str, ...], unique: bool = False
+) -> list[Column]:
+    """The order of the rows of a key: by ``latest``, then by all other columns of ``df``."""
     order = [c for c in latest if c in df.columns]
     if not unique:
         order += sorted(c for c in df.columns if c not in order and c not in keys)
-    newest = Window.partitionBy(*keys).orderBy(
-        *[_comparable(df, c).desc_nulls_last() for c in order]
-    )
-    return df.withColumn("_row", F.row_number().over(newest)).filter("_row = 1").drop("_row")
+    return [_comparable(df, c).desc_nulls_last() for c in order]
 
 
 def _comparable(df: DataFrame, column: str) -> Column:

@@ -1,5 +1,6 @@
 """Compositions a user runs: the three layer builds, insights, and the full run."""
 
+from tristrata.plans.advance import advance, fold_loads, gold_from_state, take_files
 from tristrata.plans.insights import (
     distribution,
     insight_dict,
@@ -13,10 +14,13 @@ from tristrata.plans.run import RunResult, incremental_run, run
 
 __all__ = [
     "RunResult",
+    "advance",
     "build_gold",
     "build_silver",
     "clean",
     "distribution",
+    "fold_loads",
+    "gold_from_state",
     "incremental_run",
     "ingest_bronze",
     "insight_dict",
@@ -24,6 +28,7 @@ __all__ = [
     "rank_groups",
     "run",
     "summary",
+    "take_files",
     "top_group",
     "total_revenue",
 ]

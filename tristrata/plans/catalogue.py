@@ -27,6 +27,7 @@ from tristrata.operators import (
     sized_write,
     skewed_join,
 )
+from tristrata.plans.advance import advance, take_files
 from tristrata.plans.insights import (
     distribution,
     insight_record,
@@ -48,6 +49,8 @@ from tristrata.plans.visits import (
 from tristrata.schema import BRONZE_SCHEMA, LOADED_AT, SILVER_AT, SOURCE_FILE
 from tristrata.sources import (
     read_bronze,
+    read_malformed,
+    read_rejects,
     read_silver,
     read_visits,
     scratch_path,
@@ -55,6 +58,8 @@ from tristrata.sources import (
     write_bronze,
     write_silver,
 )
+from tristrata.sources.layers import write_layer
+from tristrata.sources.ledger import waiting
 from tristrata.sources.versions import children
 from tristrata.streaming import stream_bronze
 
@@ -94,6 +99,9 @@ WIDE_RUN = dict(latest=NEWEST_VISIT, unique=True, schema=WIDE_SCHEMA, layout="mo
 WIDE_BRONZE = T.StructType(
     [*WIDE_SCHEMA.fields, *(f for f in BRONZE_SCHEMA if f.name not in WIDE_SCHEMA.names)]
 )
+WIDE_SILVER = T.StructType([*WIDE_BRONZE.fields, T.StructField(SILVER_AT, T.TimestampType())])
+#: What a run by changes over such files takes.
+WIDE_ADVANCE = dict(WIDE_RUN, bronze_schema=WIDE_BRONZE, buckets=8)
 
 
 def until_mark(df: DataFrame) -> DataFrame:
@@ -321,22 +329,51 @@ def layer_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two loads; lines with a text for a number are kept beside the layers, by both."""
+    """Two loads; lines with a text for a number and rows that break a rule, of both."""
     seen = visits(spark, sf_dir)
     text = F.col("age").cast("string")
     broken = F.when(F.col("visit_id") % 97 == 0, F.lit("unknown")).otherwise(text)
     seen, root = seen.withColumn("age", broken), scratch_path(spark, "broken")
-    run(spark, write_visit_files(until_mark(seen)), root, quarantine=True, **WIDE_RUN)
-    later = write_visit_files(after(seen, MARK))
-    run(spark, later, root, MARK, fold=True, quarantine=True, **WIDE_RUN)
-    kept = spark.read.parquet(f"{root}/malformed")
-    rejected = spark.read.parquet(f"{root}/quarantine")
+    for since, part in ((None, until_mark(seen)), (MARK, after(seen, MARK))):
+        advance(spark, write_visit_files(part), root, since, **WIDE_ADVANCE)
+    kept = read_malformed(spark, f"{root}/bronze")
+    rejected = read_rejects(spark, f"{root}/silver")
     last = F.regexp_extract("raw_line", r"(\d+)\s*$", 1).cast("long")
     return kept.select(last.alias("visit_id"), F.lit("malformed").alias("why")).union(
         rejected.select("visit_id", F.array_join("reject_reasons", ","))
     )
 
 
+def ingest_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files taken by a run that fails before it notes them, by two more, and with later ones."""
+    seen, root = visits(spark, sf_dir), scratch_path(spark, "twice")
+    files = write_visit_files(until_mark(seen), f"{root}/files")
+    places = (files, f"{root}/bronze", f"{root}/ledger")
+    for load in waiting(spark, places[2], files):  # begun, written in part, never noted
+        half = read_visits(spark, load.files, schema=WIDE_SCHEMA).where("visit_id % 2 = 0")
+        write_layer(
+            half.withColumn("kind", F.lit("visit")),
+            f"{places[1]}/load_id={load.load_id}",
+            "bronze",
+            ["kind", "visit_date"],
+        )
+    for more in (None, None, after(seen, MARK), None):
+        if more is not None:
+            write_visit_files(more, files)
+        take_files(spark, *places, schema=WIDE_SCHEMA, layout="month")
+    return read_bronze(spark, places[1]).select(*COLUMNS)
+
+
+def gold_from_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads; gold follows the visits that came and went, and never reads silver."""
+    seen, root = visits(spark, sf_dir), scratch_path(spark, "changes")
+    later = after(seen, MARK)
+    odd = F.col("patient_id") % 2 == 1
+    for part in (until_mark(seen), later.where(odd), later.where(~odd)):
+        result = advance(spark, write_visit_files(part), root, **WIDE_ADVANCE)
+    return stored_gold(result)
+
+
 def evolution_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Later files have a column more; it goes on into silver by folding."""
     seen, root = visits(spark, sf_dir), scratch_path(spark, "evolved")
@@ -376,11 +413,12 @@ def incremental_days_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A first load, then later visits folded into the silver it left."""
+    """A first load, then later visits folded into the buckets of silver that they touch."""
     seen, root = visits(spark, sf_dir), scratch_path(spark, "fold")
-    run(spark, write_visit_files(until_mark(seen)), root, **WIDE_RUN)
-    later = write_visit_files(after(seen, MARK))
-    return stored_gold(run(spark, later, root, MARK, fold=True, **WIDE_RUN))
+    advance(spark, write_visit_files(until_mark(seen)), root, **WIDE_ADVANCE)
+    advance(spark, write_visit_files(after(seen, MARK)), root, **WIDE_ADVANCE)
+    gold = by_group(read_silver(spark, f"{root}/silver", schema=WIDE_SILVER))
+    return cents(rank_groups(gold).select(*GOLD_COLUMNS, "billing_rank"), "total_billing")
 
 
 def trend_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -439,6 +477,8 @@ QUERIES: dict[str, Query] = {
     "medallion_stored": medallion_stored,
     "incremental_run": incremental_run,
     "incremental_fold": incremental_fold,
+    "ingest_twice": ingest_twice,
+    "gold_from_changes": gold_from_changes,
     "incremental_days_run": incremental_days_run,
     "malformed_lines": malformed_lines,
     "evolution_fold": evolution_fold,

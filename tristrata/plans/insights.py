@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tristrata.operators.aggregate import exact_sum
+
 
 def top_group(gold: DataFrame) -> DataFrame:
     """The group with the highest total billing; ties go to the first name."""
@@ -14,8 +16,8 @@ def top_group(gold: DataFrame) -> DataFrame:
 
 
 def total_revenue(gold: DataFrame) -> DataFrame:
-    """Sum of all totals; 0.0 for an empty gold."""
-    return gold.agg(F.coalesce(F.sum("total_billing"), F.lit(0.0)).alias("total_revenue"))
+    """Sum of all totals, whatever their order; 0.0 for an empty gold."""
+    return gold.agg(F.coalesce(exact_sum("total_billing"), F.lit(0.0)).alias("total_revenue"))
 
 
 def distribution(gold: DataFrame) -> DataFrame:
@@ -28,7 +30,7 @@ def summary(gold: DataFrame) -> DataFrame:
     first = F.struct((-F.col("total_billing")).alias("descending"), "diagnosis")
     billed = F.when(F.col("total_billing").isNotNull(), first)
     top = F.min_by(F.struct("diagnosis", "total_billing"), billed)
-    return gold.agg(top.alias("top"), F.sum("total_billing").alias("revenue")).select(
+    return gold.agg(top.alias("top"), exact_sum("total_billing").alias("revenue")).select(
         F.col("top.diagnosis").alias("top_diagnosis"),
         F.coalesce("top.total_billing", F.lit(0.0)).alias("top_billing"),
         F.coalesce("revenue", F.lit(0.0)).alias("total_revenue"),

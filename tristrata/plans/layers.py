@@ -19,6 +19,7 @@ from tristrata.schema import GOLD_AT, LOADED_AT, SILVER_AT, VISIT_SCHEMA
 from tristrata.sources import versions
 from tristrata.sources.layers import (
     LOAD,
+    RAW_LINE,
     evolve,
     read_bronze,
     read_gold,
@@ -33,7 +34,6 @@ from tristrata.sources.visits_csv import malformed, read_visits
 
 log = logging.getLogger(__name__)
 
-RAW_LINE = "raw_line"
 LATEST = ("visit_date", LOADED_AT)
 
 

@@ -245,6 +245,8 @@ UNION ALL SELECT 'gold read', count(*), TRUE FROM grouped""",
 SELECT event_type, count(*) AS events, count(DISTINCT user_id) AS users
 FROM events GROUP BY event_type""",
     "incremental_fold": _with(*_TO_RANKED, select="SELECT * FROM ranked"),
+    "gold_from_changes": _with(*_TO_RANKED, select="SELECT * FROM ranked"),
+    "ingest_twice": _with(VISITS, select="SELECT * FROM visits"),
     "trend_monthly": _with(
         *_TO_CLEAN,
         select="""

@@ -4,6 +4,8 @@ from tristrata.sources.layers import (
     evolve,
     read_bronze,
     read_gold,
+    read_malformed,
+    read_rejects,
     read_silver,
     write_bronze,
     write_gold,
@@ -17,6 +19,8 @@ __all__ = [
     "malformed",
     "read_bronze",
     "read_gold",
+    "read_malformed",
+    "read_rejects",
     "read_silver",
     "read_visits",
     "scratch_path",

@@ -12,10 +12,16 @@ from pyspark.sql import types as T
 from tristrata.functions.marks import Mark, given, parse_mark
 from tristrata.metrics import StepMetric, observed_write
 from tristrata.schema import BRONZE_SCHEMA, SILVER_SCHEMA
-from tristrata.sources.versions import version_path
+from tristrata.sources.versions import VERSION, Manifest, current, version_path
 
 MONTH = "visit_month"
+RAW_LINE = "raw_line"
 LOAD = "load_id"
+#: Folders of one write: rows that go to several tables carry the table's name in this column.
+KIND = "kind"
+BUCKET = "bucket"
+#: What a write adds to a silver in buckets and no reader of silver sees.
+HIDDEN = (KIND, BUCKET, VERSION, "sign", "reject_reasons")
 
 
 def read_layer(
@@ -59,7 +65,7 @@ def write_layer(
     df: DataFrame,
     path: str,
     operation: str,
-    partition_by: str | None = None,
+    partition_by: str | list[str] | None = None,
     mode: str = "overwrite",
     rebalance: bool = True,
     overwrite: str = "static",
@@ -74,12 +80,13 @@ def write_layer(
     replaces everything, or with ``overwrite="dynamic"`` the partitions present in ``df``;
     the default of the session does not matter.
     """
-    if partition_by and rebalance:
-        df = df.hint("rebalance", partition_by)
+    folders = [partition_by] if isinstance(partition_by, str) else partition_by or []
+    if folders and rebalance:
+        df = df.hint("rebalance", *folders)
 
     def save(rows: DataFrame) -> None:
         writer = rows.write.mode(mode).option("partitionOverwriteMode", overwrite)
-        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+        (writer.partitionBy(*folders) if folders else writer).parquet(path)
 
     return observed_write(operation, df, save, observe)
 
@@ -147,6 +154,8 @@ def read_bronze(
     """Read bronze, optionally an inclusive date range, which prunes folders."""
     types = {"visit_date": T.DateType(), MONTH: T.StringType(), LOAD: T.StringType()}
     df = read_layer(spark, path, types, BRONZE_SCHEMA, schema)
+    if KIND in df.columns:
+        df = df.where(F.col(KIND) == "visit").drop(KIND, RAW_LINE)
     for mark, keep in ((start, Column.__ge__), (end, Column.__le__)):
         if given(mark):
             bound = parse_mark(mark)
@@ -174,10 +183,63 @@ def read_silver(
     schema: T.StructType | None = None,
 ) -> DataFrame:
     """Read silver, its version in use where it has versions; the partition value stays text."""
+    manifest = current(spark, path)
+    if manifest.size:
+        return read_buckets(spark, path, manifest, schema=schema)
     path = version_path(spark, path)
     return read_layer(spark, path, {partition_by: T.StringType()}, SILVER_SCHEMA, schema)
 
 
+def read_buckets(
+    spark: SparkSession,
+    path: str,
+    manifest: Manifest,
+    buckets: list[str] | None = None,
+    schema: T.StructType | None = None,
+) -> DataFrame:
+    """Read a silver in buckets, each in its version in use, or some of its ``buckets``."""
+    wanted = manifest.buckets if buckets is None else buckets
+    paths = [
+        f"{path}/{VERSION}={manifest.buckets[b]}/{KIND}=silver/{BUCKET}={b}"
+        for b in wanted
+        if b in manifest.buckets
+    ]
+    return read_folders(spark, path, paths, schema or SILVER_SCHEMA, schema is not None).drop(*HIDDEN)
+
+
+def read_folders(
+    spark: SparkSession,
+    base: str,
+    paths: list[str],
+    when_empty: T.StructType,
+    known: bool = False,
+) -> DataFrame:
+    """Read some partition folders below ``base``, with merged schemas unless one is ``known``."""
+    if not paths:
+        return spark.createDataFrame([], when_empty)
+    reader = spark.read.option("basePath", base)
+    if known:
+        return reader.schema(when_empty).parquet(*paths)
+    return reader.option("mergeSchema", True).parquet(*paths)
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Rows that broke a rule, with their reasons, of a silver in buckets."""
+    folders = [f"{path}/{VERSION}={v}/{KIND}=rejected" for v in current(spark, path).rejects]
+    empty = T.StructType(
+        [*SILVER_SCHEMA.fields, T.StructField("reject_reasons", T.ArrayType(T.StringType()))]
+    )
+    return read_folders(spark, path, folders, empty).drop(*(c for c in HIDDEN if c != "reject_reasons"))
+
+
+def read_malformed(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of bronze that did not match the schema, where loads were routed by kind."""
+    whole = read_layer(spark, path, {LOAD: T.StringType(), MONTH: T.StringType()}, BRONZE_SCHEMA)
+    if KIND not in whole.columns:
+        return whole.where("false")
+    return whole.where(F.col(KIND) == "malformed").drop(KIND, MONTH)
+
+
 def write_gold(df: DataFrame, path: str) -> StepMetric:
     """Replace gold, unpartitioned: it holds one row per group."""
     return write_layer(df, path, "gold")

@@ -18,12 +18,26 @@ REJECTS = "load"
 
 @dataclass(frozen=True)
 class Manifest:
-    """``folder`` is the version in use; ``pending`` marks (None: all) are not in it yet."""
+    """``folder`` is the version in use; ``pending`` marks (None: all) are not in it yet.
+
+    A layer in buckets has the version of each one instead, the loads that are in it, the
+    version of the aggregates' state, and the folders that the last version replaced.
+    """
 
     number: int = 0
     folder: str | None = None
     pending: list[str | None] = field(default_factory=list)
     rejects: list[str] = field(default_factory=list)
+    size: int = 0
+    buckets: dict[str, str] = field(default_factory=dict)
+    loads: list[str] = field(default_factory=list)
+    state: str | None = None
+    retired: list[str] = field(default_factory=list)
+
+
+CONTENT = ("folder", "pending", "rejects", "size", "buckets", "loads", "state", "retired")
+#: Manifests that stay, so that a reader who has listed them still finds the one it wants.
+KEPT = 2
 
 
 def file_system(spark: SparkSession, path: str):
@@ -59,10 +73,10 @@ def current(spark: SparkSession, path: str) -> Manifest:
 
 
 def publish(spark: SparkSession, path: str, manifest: Manifest) -> Manifest:
-    """Put a manifest in force by renaming a complete file, then drop older ones."""
+    """Put a manifest in force by renaming a complete file, then drop all but the last two."""
     folder, number = f"{path}/{MANIFESTS}", manifest.number + 1
     fs, draft = file_system(spark, f"{folder}/draft-{uuid.uuid4().hex}")
-    content = {k: getattr(manifest, k) for k in ("folder", "pending", "rejects")}
+    content = {k: getattr(manifest, k) for k in CONTENT}
     out = fs.create(draft, False)
     try:
         out.write(bytearray(json.dumps(content).encode()))
@@ -71,9 +85,9 @@ def publish(spark: SparkSession, path: str, manifest: Manifest) -> Manifest:
     name = f"{number:08d}.json"
     if not fs.rename(draft, file_system(spark, f"{folder}/{name}")[1]):
         raise OSError(f"another run has published {name} in {folder}")
-    for old in children(spark, folder):
-        if old != name:
-            remove(spark, f"{folder}/{old}")
+    names = [n for n in children(spark, folder) if n.endswith(".json")]
+    for old in names[:-KEPT]:
+        remove(spark, f"{folder}/{old}")
     return replace(manifest, number=number)
 
 

@@ -226,8 +226,9 @@ def classes(docs: DataFrame, text: str, kept: list[str]) -> tuple[DataFrame, Dat
     )
     both = stored(answers.groupBy("block").applyInArrow(gather, wide), "jaccard-classes")
     members = both.where("is_row").select(*inner, "cid", F.col("n").cast("long").alias("n"))
-    wanted = both.where("not is_row").select("cid", "n", "tokens", "freqs")
-    return members, stored(wanted.dropDuplicates(["cid"]), "jaccard-candidates")
+    wanted = both.where("not is_row").select("cid", "n", "tokens", "freqs").dropDuplicates(["cid"])
+    numbered = wanted.withColumn("num", F.monotonically_increasing_id())
+    return members, stored(numbered, "jaccard-candidates")
 
 
 def pad(column: pa.Array, more: int) -> pa.Array:
@@ -250,13 +251,13 @@ def unpack_entries(payload: bytes) -> list[np.ndarray]:
 
 
 SIGNED = pa.schema(
-    [("sig", pa.int64()), ("cid", pa.binary()), ("n", pa.int32()), ("shared", pa.int32())]
-    + [("odd", pa.float64())]
+    [("sig", pa.int64()), ("num", pa.int64()), ("n", pa.int32()), ("shared", pa.int32())]
+    + [("odd", pa.float32())]
 )
 
 
 def signatures(candidates: DataFrame) -> DataFrame:
-    """Rows ``sig, cid, n, shared, odd``: rare tokens and pairs of frequent ones in the prefixes.
+    """Rows ``sig, num, n, shared, odd``: rare tokens and pairs of frequent ones in the prefixes.
 
     ``n`` is the size of the class and ``shared`` how many of its tokens others have; ``odd``
     is the lower, the more classes have its tokens on average.
@@ -264,20 +265,20 @@ def signatures(candidates: DataFrame) -> DataFrame:
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for cid, n, tokens, freqs in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+            for num, n, tokens, freqs in zip(*(x.to_pylist() for x in batch.columns), strict=True):
                 token, freq = np.frombuffer(tokens, np.uint64), np.frombuffer(freqs, np.uint32)
                 sigs = class_signatures(n, token, freq)
                 yield rows(
                     SIGNED,
                     sig=sigs.view(np.int64),
-                    cid=pa.repeat(pa.scalar(cid, pa.binary()), len(sigs)),
+                    num=np.full(len(sigs), num),
                     n=np.full(len(sigs), n),
                     shared=np.full(len(sigs), len(token)),
                     odd=np.full(len(sigs), -float(freq.sum(dtype=np.int64)) / n),
                 )
 
-    columns = candidates.select("cid", "n", "tokens", "freqs")
-    return columns.mapInArrow(signed, "sig long, cid binary, n int, shared int, odd double")
+    columns = candidates.select("num", "n", "tokens", "freqs")
+    return columns.mapInArrow(signed, "sig long, num long, n int, shared int, odd float")
 
 
 def can_link(an: str, ashared: str, bn: str, bshared: str) -> Column:
@@ -303,42 +304,42 @@ def class_signatures(n: int, tokens: np.ndarray, freqs: np.ndarray) -> np.ndarra
     return np.unique(np.concatenate(out))
 
 
-def verified(pairs: DataFrame, candidates: DataFrame, groups: int) -> DataFrame:
+def verified(pairs: DataFrame, candidates: DataFrame) -> DataFrame:
     """The ``pairs`` (``a, b``) of similarity 3/4 or more.
 
-    Classes fall into ``groups`` by hash, and pairs are compared by the groups of their two
-    sides, so a class travels once for each group it meets, not once for each pair.
+    Pairs are gathered by ``b``, in parts of about ``TOGETHER``: each ``a`` travels once for each
+    pair, each ``b`` once for each part.
     """
-    where = [F.pmod(F.xxhash64(x), F.lit(groups)).cast("int").alias(f"g{x}") for x in "ab"]
-    placed = pairs.select("a", "b", *where)
-    wanted = placed.select("ga", "gb", F.col("a").alias("cid")).union(
-        placed.select("ga", "gb", F.col("b").alias("cid"))
+    sizes = pairs.groupBy("b").agg(F.count("*").alias("k"))
+    sizes = sizes.select("b", F.ceil(F.col("k") / TOGETHER).cast("int").alias("parts"))
+    sets = candidates.select("num", "n", "tokens")
+    dealt = pairs.join(sizes, "b").select(
+        F.col("a").alias("num"), "b", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part")
     )
-    sets = wanted.distinct().join(candidates.select("cid", "n", "tokens"), "cid")
-    both = sets.withColumn("pair", F.lit(False)).unionByName(
-        placed.withColumn("pair", F.lit(True)), allowMissingColumns=True
+    hubs = sizes.select(
+        F.col("b").alias("num"), "b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
     )
+    both = dealt.withColumn("hub", F.lit(0)).unionByName(hubs.withColumn("hub", F.lit(1)))
+    whole = both.join(sets, "num")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, known = None, {}
+        hub = None
         for batch in batches:
             kept = []
             for r in batch.to_pylist():
-                if (r["ga"], r["gb"]) != group:
-                    group, known = (r["ga"], r["gb"]), {}
-                if r["pair"]:
-                    if similar(*known[r["a"]], *known[r["b"]]):
-                        kept.append((r["a"], r["b"]))
-                else:
-                    known[r["cid"]] = (r["n"], np.frombuffer(r["tokens"], np.uint64))
+                tokens = np.frombuffer(r["tokens"], np.uint64)
+                if r["hub"]:
+                    hub = (r["n"], tokens)
+                elif similar(r["n"], tokens, *hub):
+                    kept.append((r["num"], r["b"]))
             yield pa.record_batch(
-                {c: pa.array([x[k] for x in kept], pa.binary()) for k, c in enumerate("ab")}
+                {c: pa.array([x[k] for x in kept], pa.int64()) for k, c in enumerate("ab")}
             )
 
     return (
-        both.repartition("ga", "gb")
-        .sortWithinPartitions("ga", "gb", "pair")
-        .mapInArrow(compared, "a binary, b binary")
+        whole.repartition("b", "part")
+        .sortWithinPartitions("b", "part", F.col("hub").desc())
+        .mapInArrow(compared, "a long, b long")
     )
 
 
@@ -353,42 +354,41 @@ def similar(an: int, a: np.ndarray, bn: int, b: np.ndarray) -> bool:
 
 
 def prefix_tokens(candidates: DataFrame) -> DataFrame:
-    """Rows ``sig, cid``: single tokens of the plain prefixes, which suffice to find all pairs."""
-    schema = pa.schema([("sig", pa.int64()), ("cid", pa.binary())])
+    """Rows ``sig, num``: single tokens of the plain prefixes, which suffice to find all pairs."""
+    schema = pa.schema([("sig", pa.int64()), ("num", pa.int64())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for cid, n, tokens in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+            for num, n, tokens in zip(*(x.to_pylist() for x in batch.columns), strict=True):
                 token = np.frombuffer(tokens, np.uint64)
                 mine = token[: max(0, prefix(n, 0) - (n - len(token)))].view(np.int64)
-                names = pa.repeat(pa.scalar(cid, pa.binary()), len(mine))
-                yield rows(schema, sig=mine, cid=names)
+                yield rows(schema, sig=mine, num=np.full(len(mine), num))
 
-    return candidates.select("cid", "n", "tokens").mapInArrow(cut, "sig long, cid binary")
+    return candidates.select("num", "n", "tokens").mapInArrow(cut, "sig long, num long")
 
 
 def links(candidates: DataFrame) -> DataFrame:
-    """Rows ``node, root``: the components of the classes that link with another."""
-    groups = -(-candidates.count() // TOGETHER) or 1
-    signed = stored(signatures(candidates), "jaccard-signatures")
+    """Rows ``cid, root``: the components of the classes that link with another."""
+    every = stored(signatures(candidates), "jaccard-every")
     # the class nearest to the others, as an original is to its copies, links with most of them
-    first = F.min(F.struct("odd", "cid", "n", "shared"))
-    least = signed.groupBy("sig").agg(first.alias("b"), F.count("*").alias("m")).where("m > 1")
+    first = F.min(F.struct("odd", "num", "n", "shared"))
+    least = every.groupBy("sig").agg(first.alias("b"), F.count("*").alias("m")).where("m > 1")
     least = least.select(
         "sig",
-        F.col("b.cid").alias("b"),
+        F.col("b.num").alias("b"),
         F.col("b.n").alias("bn"),
         F.col("b.shared").alias("bs"),
     )
+    # signatures of one class have gone from here on
+    signed = stored(every.drop("odd").join(least, "sig"), "jaccard-signatures")
     stars = stored(
-        signed.join(least, "sig")
-        .where((F.col("cid") != F.col("b")) & can_link("n", "shared", "bn", "bs"))
-        .groupBy(F.col("cid").alias("a"), "b")
+        signed.where((F.col("num") != F.col("b")) & can_link("n", "shared", "bn", "bs"))
+        .groupBy(F.col("num").alias("a"), "b")
         .agg(F.count("*").alias("common")),
         "jaccard-stars",
     )
     best = stars.groupBy("a").agg(F.max_by("b", F.struct("common", "b")).alias("b"))
-    edges = stored(verified(best, candidates, groups), "jaccard-links")
+    edges = stored(verified(best, candidates), "jaccard-links")
     roots = connected(edges)
 
     def apart(pairs: DataFrame) -> DataFrame:
@@ -398,32 +398,58 @@ def links(candidates: DataFrame) -> DataFrame:
         known = pairs.join(a, "a", "left").join(b, "b", "left")
         return known.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
 
-    rest = apart(stars.select("a", "b")).join(best, ["a", "b"], "left_anti")
-    edges = edges.union(stored(verified(rest, candidates, groups), "jaccard-links"))
+    rest = stored(
+        apart(stars.select("a", "b")).join(best, ["a", "b"], "left_anti"), "jaccard-rest"
+    )
+    edges = edges.union(stored(verified(rest, candidates), "jaccard-links"))
     roots = connected(edges)
     # classes of signatures that still join different components meet by their plain prefixes
-    named = roots.withColumnRenamed("node", "cid")
-    open_classes = stored(mixed_lists(signed, named).dropDuplicates(["cid"]), "jaccard-open")
-    plain = prefix_tokens(candidates.join(open_classes.select("cid"), "cid", "left_semi"))
+    named = roots.withColumnRenamed("node", "num")
+    open_classes = mixed_lists(signed.select("sig", "num"), named).select("num").distinct()
+    open_classes = stored(open_classes, "jaccard-open")
+    plain = prefix_tokens(candidates.join(open_classes, "num", "left_semi"))
     open_lists = stored(mixed_lists(plain, named), "jaccard-lists")
-    last = stored(links_between(open_lists, candidates, groups), "jaccard-links")
-    return connected(edges.union(last))
+    last = stored(links_between(open_lists, candidates), "jaccard-links")
+    roots = connected(edges.union(last))
+    names = candidates.select("num", "cid")
+    of_node = names.withColumnRenamed("num", "node")
+    of_root = names.select(F.col("num").alias("root"), F.col("cid").alias("name"))
+    found = roots.join(of_node, "node").join(of_root, "root")
+    return found.select("cid", F.col("name").alias("root"))
 
 
-def links_between(lists: DataFrame, candidates: DataFrame, groups: int) -> DataFrame:
+def neighbourhoods(lists: DataFrame) -> DataFrame:
+    """``lists`` with ``own``, a group of at most about ``TOGETHER`` classes that share signatures.
+
+    Classes take the least number within two steps over shared signatures, so near copies
+    fall into one group however large the table is; a group of more classes is dealt.
+    """
+    marked = lists.select("sig", "num", F.col("num").alias("label"))
+    for _ in range(2):
+        of_sig = marked.groupBy("sig").agg(F.min("label").alias("low"))
+        of_class = marked.join(of_sig, "sig").groupBy("num").agg(F.min("low").alias("label"))
+        marked = stored(marked.select("sig", "num").join(of_class, "num"), "jaccard-labels")
+    labels = marked.groupBy("num").agg(F.min("label").alias("label"))
+    sizes = labels.groupBy("label").agg(F.ceil(F.count("*") / TOGETHER).alias("parts"))
+    part = F.pmod(F.xxhash64("num"), F.col("parts"))
+    groups = labels.join(sizes, "label").select("num", F.xxhash64("label", part).alias("own"))
+    return lists.join(groups, "num")
+
+
+def links_between(lists: DataFrame, candidates: DataFrame) -> DataFrame:
     """Links of classes with different ``root`` that share a ``sig`` of ``lists``.
 
     A class goes to each group that a class of one of its signatures lies in. There pairs are
     found by their plain prefixes, and compared unless links found there join them already.
     """
-    placed = lists.withColumn("own", F.pmod(F.xxhash64("cid"), F.lit(groups)).cast("int"))
+    placed = stored(neighbourhoods(lists), "jaccard-placed")
     there = placed.select("sig", F.col("own").alias("other")).distinct()
-    meets = placed.select("sig", "cid", "root", "own").join(there, "sig")
+    meets = placed.select("sig", "num", "root", "own").join(there, "sig")
     meets = meets.select(
         F.least("own", "other").alias("ga"), F.greatest("own", "other").alias("gb"),
-        "own", "cid", "root",
+        "own", "num", "root",
     ).distinct()
-    sets = meets.join(candidates.select("cid", "n", "tokens"), "cid")
+    sets = meets.join(candidates.select("num", "n", "tokens"), "num")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, group = [], None
@@ -435,20 +461,20 @@ def links_between(lists: DataFrame, candidates: DataFrame, groups: int) -> DataF
                 held.append(r)
         yield found_links(held)
 
-    columns = ["ga", "gb", "own", "cid", "root", "n", "tokens"]
+    columns = ["ga", "gb", "own", "num", "root", "n", "tokens"]
     return (
         sets.select(columns)
         .repartition("ga", "gb")
-        .sortWithinPartitions("ga", "gb", "cid")
-        .mapInArrow(compared, "a binary, b binary")
+        .sortWithinPartitions("ga", "gb", "num")
+        .mapInArrow(compared, "a long, b long")
     )
 
 
 def found_links(held: list[dict]) -> pa.RecordBatch:
     """Links between the classes of two groups that join different components."""
-    parent: dict[bytes, bytes] = {}
+    parent: dict[int, int] = {}
 
-    def find(x: bytes) -> bytes:
+    def find(x: int) -> int:
         while parent.get(x, x) != x:
             x = parent[x]
         return x
@@ -462,22 +488,22 @@ def found_links(held: list[dict]) -> pa.RecordBatch:
         for token in r["tokens"][: max(0, prefix(r["n"], 0) - (r["n"] - size))].tolist():
             for other in owners.setdefault(token, []):
                 # two groups meet here; within one, only where that one meets itself
-                if other["cid"] in seen or (r["ga"] != r["gb"] and other["own"] == r["own"]):
+                if other["num"] in seen or (r["ga"] != r["gb"] and other["own"] == r["own"]):
                     continue
-                seen.add(other["cid"])
+                seen.add(other["num"])
                 a, b = find(r["root"]), find(other["root"])
                 if a != b and similar(r["n"], r["tokens"], other["n"], other["tokens"]):
                     parent[max(a, b)] = min(a, b)
-                    kept.append((r["cid"], other["cid"]))
+                    kept.append((r["num"], other["num"]))
             owners[token].append(r)
     return pa.record_batch(
-        {c: pa.array([x[k] for x in kept], pa.binary()) for k, c in enumerate("ab")}
+        {c: pa.array([x[k] for x in kept], pa.int64()) for k, c in enumerate("ab")}
     )
 
 
 def mixed_lists(signed: DataFrame, roots: DataFrame) -> DataFrame:
     """Rows of ``signed``, with ``root``, whose signature has classes of different components."""
-    rooted = signed.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    rooted = signed.join(roots, "num", "left").withColumn("root", F.coalesce("root", "num"))
     ends = rooted.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     return rooted.join(ends.where("low <> high").select("sig"), "sig")
 
@@ -485,8 +511,7 @@ def mixed_lists(signed: DataFrame, roots: DataFrame) -> DataFrame:
 def rooted_members(docs: DataFrame, text: str, kept: list[str]) -> DataFrame:
     """Rows with ``kept`` as ``k0, ...``, ``cid``, ``n`` and ``root``, null without words."""
     members, candidates = classes(docs, text, kept)
-    roots = links(candidates).select(F.col("node").alias("cid"), "root")
-    return members.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    return members.join(links(candidates), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
 
 
 def components(

@@ -34,8 +34,11 @@ def tuples(df):
 
 def test_latest_visit_survives(spark):
     kept = latest_per_key(clean(frame(spark, BRONZE, LOADED_DDL))).collect()
-    assert sorted(r.patient_id for r in kept) == [1, 2, 3, 4, 5]
-    assert {r.ingestion_timestamp for r in kept if r.patient_id == 2} == {"2023-06-20 09:30:00"}
+    assert Counter(r.patient_id for r in kept) == Counter([None, 14, 15, 19, 20, 21, 23])
+    by_id = {r.patient_id: r for r in kept}
+    assert by_id[14].ingestion_timestamp == "2023-06-21 08:00:00"
+    assert by_id[None].name == "Bea" and by_id[23].visit_date is None
+    assert (by_id[21].visit_date, by_id[21].billing_amount) == (day(10), 9.5)
 
 
 def test_null_keys_form_one_group_and_null_dates_lose(spark):

@@ -5,7 +5,7 @@ import re
 
 import pytest
 from pyspark.sql import functions as F
-from samples import FOUR_VISITS
+from samples import OPENING
 
 import __spark_entry__ as contract
 from tristrata.operators import sized_join
@@ -137,6 +137,6 @@ def test_a_hot_customer_is_split_over_join_tasks(spark, plan, tmp_path):
 
 
 def test_an_incremental_read_filters_in_the_scan(spark, plan, csv_file):
-    df = read_visits(spark, csv_file(FOUR_VISITS), since="2023-06-11")
+    df = read_visits(spark, csv_file(OPENING), since="2023-06-11")
     [pushed] = re.findall(r"PushedFilters: (.*)", plan(df))
     assert "GreaterThan(visit_date,2023-06-11)" in pushed

@@ -9,16 +9,17 @@ from pyspark.sql import functions as F
 from samples import (
     BRONZE,
     CORRUPT,
-    FOUR_VISITS,
+    OPENING,
     LOADED_DDL,
+    REJECTED,
     SILVER,
-    SIX_VISITS,
-    TEN_VISITS,
+    SEQUEL,
     VISIT_DDL,
     day,
     frame,
     gold_of,
     insights_of,
+    month_of_visits,
 )
 
 from tristrata.operators import by_group
@@ -49,28 +50,29 @@ def gathered(result):
     return insights | {"patient_distribution": patients}
 
 
-def test_ten_visit_sample(spark, csv_file, tmp_path):
-    result = run(spark, csv_file(TEN_VISITS), str(tmp_path / "out"))
+def test_a_month_of_visits(spark, csv_file, tmp_path):
+    text = month_of_visits()
+    result = run(spark, csv_file(text), str(tmp_path / "out"))
     gold = result.gold.select(*GOLD_COLUMNS, "billing_rank").orderBy("billing_rank")
-    assert [tuple(r) for r in gold.collect()] == gold_of(TEN_VISITS)
+    assert [tuple(r) for r in gold.collect()] == gold_of(text)
     assert GOLD_AT in result.gold.columns
-    assert gathered(result) == insights_of(TEN_VISITS)
+    assert gathered(result) == insights_of(text)
 
 
-def test_six_visit_sample(spark, csv_file, tmp_path):
-    result = run(spark, csv_file(SIX_VISITS), str(tmp_path / "out"))
-    assert result.ok and gathered(result) == insights_of(SIX_VISITS)
+def test_two_loads_in_one_file(spark, csv_file, tmp_path):
+    result = run(spark, csv_file(SEQUEL), str(tmp_path / "out"))
+    assert result.ok and gathered(result) == insights_of(SEQUEL)
     given = run(
         spark,
-        csv_file(SIX_VISITS),
+        csv_file(SEQUEL),
         str(tmp_path / "given"),
         bronze_schema=BRONZE_SCHEMA,
         quarantine=True,
     )
-    assert gathered(given) == insights_of(SIX_VISITS)
+    assert gathered(given) == insights_of(SEQUEL)
     assert spark.read.parquet(str(tmp_path / "given/quarantine")).count() == 0
     report = [tuple(r) for r in result.report().collect()]
-    assert report == [("bronze", "success", 6), ("silver", "success", 6), ("gold", "success", 3)]
+    assert report == [("bronze", "success", 8), ("silver", "success", 7), ("gold", "success", 4)]
 
 
 def test_totals_asserted_elsewhere(spark, csv_file, tmp_path):
@@ -84,57 +86,58 @@ def test_totals_asserted_elsewhere(spark, csv_file, tmp_path):
 
 
 def test_incremental_run_takes_only_later_visits(spark, csv_file, tmp_path):
-    result = run(spark, csv_file(SIX_VISITS), str(tmp_path / "out"), since="2023-06-11")
-    assert gathered(result) == insights_of(SIX_VISITS, day(11))
+    result = run(spark, csv_file(SEQUEL), str(tmp_path / "out"), since="2023-06-11")
+    assert gathered(result) == insights_of(SEQUEL, day(11))
 
 
 def test_incremental_load_recomputes_over_all_history(spark, csv_file, tmp_path):
     root = str(tmp_path / "out")
-    run(spark, csv_file(FOUR_VISITS), root)
-    later = run(spark, csv_file(SIX_VISITS, "next.csv"), root, since="2023-06-13")
-    assert later.metrics[0].row_count == 2
-    assert gathered(later) == insights_of(SIX_VISITS)
+    run(spark, csv_file(OPENING), root)
+    later = run(spark, csv_file(SEQUEL, "next.csv"), root, since="2023-06-13")
+    assert later.metrics[0].row_count == 3
+    assert gathered(later) == insights_of(SEQUEL)
 
 
 def test_a_mark_is_one_date_for_the_whole_run(spark, csv_file, tmp_path):
     """A mark that moves whenever it is evaluated, as at midnight."""
     root = str(tmp_path / "out")
-    run(spark, csv_file(FOUR_VISITS), root)
+    run(spark, csv_file(OPENING), root)
     moving = F.date_add(F.lit(day(12)), (F.unix_micros(F.current_timestamp()) % 2).cast("int"))
-    result = run(spark, csv_file(SIX_VISITS, "next.csv"), root, moving, fold=True)
-    assert gathered(result) == insights_of(SIX_VISITS)
+    result = run(spark, csv_file(SEQUEL, "next.csv"), root, moving, fold=True)
+    assert gathered(result) == insights_of(SEQUEL)
 
 
 @pytest.mark.parametrize("options", [{"mode": "replace"}, {"mode": "overwrite"}, {"load_id": "a"}])
 def test_fold_refuses_loads_that_replace(spark, csv_file, tmp_path, options):
     with pytest.raises(ValueError, match="fold"):
-        run(spark, csv_file(SIX_VISITS), str(tmp_path / "out"), fold=True, **options)
+        run(spark, csv_file(SEQUEL), str(tmp_path / "out"), fold=True, **options)
     assert not (tmp_path / "out").exists()
 
 
 def test_a_load_that_did_not_reach_silver_is_folded_later(spark, csv_file, tmp_path, monkeypatch):
     root = str(tmp_path / "out")
-    run(spark, csv_file(FOUR_VISITS), root)
-    lost = SIX_VISITS.replace("2023-06-15", "2023-06-14")
+    run(spark, csv_file(OPENING), root)
+    lost = SEQUEL.replace("2023-06-15", "2023-06-14")
     with monkeypatch.context() as patch:
         patch.setattr(sys.modules["tristrata.plans.run"], "build_silver", lambda *a, **k: 1 / 0)
         failed = run(spark, csv_file(lost), root, "2023-06-13", fold=True, raise_errors=False)
         assert not failed.ok
-    more = EMPTY + "7,Tara,19,Migraine,2023-06-16,990.0\n"
+    late = "777,Rok,19,Burn,2023-06-17,990.0\n"
+    more = EMPTY + late
     result = run(spark, csv_file(more), root, "2023-06-15", fold=True)
-    assert gathered(result) == insights_of(lost + "7,Tara,19,Migraine,2023-06-16,990.0\n")
+    assert gathered(result) == insights_of(lost + late)
 
 
 def test_a_half_written_silver_is_not_read(spark, csv_file, tmp_path, monkeypatch):
     root = str(tmp_path / "out")
-    run(spark, csv_file(FOUR_VISITS), root)
+    run(spark, csv_file(OPENING), root)
     with monkeypatch.context() as patch:  # the files are there, but were never published
         patch.setattr("tristrata.sources.versions.publish", lambda *a: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             build_silver(spark, f"{root}/bronze", f"{root}/silver")
-    assert read_silver(spark, f"{root}/silver").count() == 4
-    result = run(spark, csv_file(SIX_VISITS, "b.csv"), root, "2023-06-13", fold=True)
-    assert gathered(result) == insights_of(SIX_VISITS)
+    assert read_silver(spark, f"{root}/silver").count() == 5
+    result = run(spark, csv_file(SEQUEL, "b.csv"), root, "2023-06-13", fold=True)
+    assert gathered(result) == insights_of(SEQUEL)
     assert len([p for p in Path(root, "silver").iterdir() if p.name.startswith("version=")]) == 1
     assert not list(Path(root, "_scratch").iterdir())
 
@@ -144,16 +147,16 @@ def test_a_run_does_not_need_a_shared_folder_of_the_session(spark, csv_file, tmp
         raise AssertionError("the fallback folder was used")
 
     monkeypatch.setattr("tempfile.mkdtemp", refused)
-    result = run(spark, csv_file(SIX_VISITS), str(tmp_path / "out"))
-    assert gathered(result) == insights_of(SIX_VISITS)
+    result = run(spark, csv_file(SEQUEL), str(tmp_path / "out"))
+    assert gathered(result) == insights_of(SEQUEL)
 
 
 def test_malformed_lines_of_earlier_loads_stay(spark, csv_file, tmp_path):
     root = tmp_path / "out"
     run(spark, csv_file(CORRUPT), str(root), quarantine=True)
-    run(spark, csv_file(SIX_VISITS, "b.csv"), str(root), "2023-06-13", fold=True, quarantine=True)
-    assert spark.read.parquet(str(root / "malformed")).count() == 2
-    bad = EMPTY + "8,Umar,199,Anemia,2023-06-17,65.0\n"
+    run(spark, csv_file(SEQUEL, "b.csv"), str(root), "2023-06-13", fold=True, quarantine=True)
+    assert spark.read.parquet(str(root / "malformed")).count() == 3
+    bad = EMPTY + "8,Quin,151,Burn,2023-06-17,65.0\n"
     run(spark, csv_file(bad, "c.csv"), str(root), "2023-06-15", fold=True, quarantine=True)
     run(spark, csv_file(EMPTY, "d.csv"), str(root), "2023-06-17", fold=True, quarantine=True)
     kept = spark.read.parquet(str(root / "quarantine")).collect()
@@ -192,17 +195,17 @@ def test_folding_equals_rebuilding(spark, tmp_path):
 
 def test_folding_without_a_silver_takes_all_of_bronze(spark, csv_file, tmp_path):
     root = str(tmp_path / "out")
-    write_bronze(read_visits(spark, csv_file(FOUR_VISITS)), f"{root}/bronze")
-    result = run(spark, csv_file(SIX_VISITS, "b.csv"), root, "2023-06-13", fold=True)
-    assert gathered(result) == insights_of(SIX_VISITS)
+    write_bronze(read_visits(spark, csv_file(OPENING)), f"{root}/bronze")
+    result = run(spark, csv_file(SEQUEL, "b.csv"), root, "2023-06-13", fold=True)
+    assert gathered(result) == insights_of(SEQUEL)
     for file in Path(root, "silver").rglob("*.json"):  # as if there had been no manifest
         file.unlink()
     built, _ = build_silver(spark, f"{root}/bronze", f"{root}/silver", since="2023-06-13")
-    assert built.count() == 6
+    assert built.count() == 7
 
 
 def test_days_back_run_is_empty_for_old_visits(spark, csv_file, tmp_path):
-    result = incremental_run(spark, csv_file(SIX_VISITS), str(tmp_path / "out"), days=1)
+    result = incremental_run(spark, csv_file(SEQUEL), str(tmp_path / "out"), days=1)
     assert [m.row_count for m in result.metrics] == [0, 0, 0]
     assert gathered(result) == {
         "top_diagnosis": None,
@@ -233,35 +236,36 @@ def test_a_failure_is_raised_or_returned(spark, tmp_path):
 
 def test_bad_mark_fails_the_run(spark, csv_file, tmp_path):
     with pytest.raises(ValueError):
-        run(spark, csv_file(SIX_VISITS), str(tmp_path / "out"), since="yesterday")
+        run(spark, csv_file(SEQUEL), str(tmp_path / "out"), since="yesterday")
 
 
 @pytest.mark.parametrize("options", [{}, {"mode": "replace"}, {"load_id": "one"}])
 def test_reruns_give_equal_insights(spark, csv_file, tmp_path, options):
-    source, root = csv_file(SIX_VISITS), str(tmp_path / "out")
+    source, root = csv_file(SEQUEL), str(tmp_path / "out")
     first, second = (gathered(run(spark, source, root, **options)) for _ in range(2))
-    assert first == second == insights_of(SIX_VISITS)
+    assert first == second == insights_of(SEQUEL)
 
 
 def test_corrupt_input(spark, csv_file, tmp_path):
     root = tmp_path / "out"
     result = run(spark, csv_file(CORRUPT), str(root), quarantine=True)
     kept = spark.read.parquet(str(root / "malformed")).collect()
-    assert sorted(r.raw_line.split(",")[0] for r in kept) == ["2", "3"]
-    assert result.metrics[1].row_count == 3
+    assert sorted(r.raw_line.split(",")[0] for r in kept) == ["610", "611", "613"]
+    assert result.metrics[1].row_count == 4
     assert result.metrics[1].observed["null_visit_date"] == 1
     silver = {r.patient_id: r for r in read_silver(spark, str(root / "silver")).collect()}
-    assert (silver[2].age, silver[2].billing_amount) == (0, 0.0)
-    assert (silver[3].age, silver[3].visit_date) == (0, None)
+    assert (silver[610].age, silver[610].billing_amount) == (0, 20.0)
+    assert (silver[613].age, silver[613].billing_amount) == (0, 0.0)
+    assert silver[611].visit_date is None
 
 
 def test_silver_build(spark, tmp_path, caplog):
     bronze, silver, rejected = (str(tmp_path / n) for n in ("b", "s", "q"))
-    frame(spark, BRONZE + ",N,1,D,,1.0,\n", LOADED_DDL).write.parquet(bronze)
+    frame(spark, BRONZE, LOADED_DDL).write.parquet(bronze)
     with caplog.at_level(logging.WARNING):
         built, metric = build_silver(spark, bronze, silver, quarantine_path=rejected)
     assert SILVER_AT in built.columns
-    assert metric.row_count == built.count() == 6
+    assert metric.row_count == built.count() == 7
     assert metric.observed == {
         "null_patient_id": 1,
         "null_name": 0,
@@ -269,10 +273,10 @@ def test_silver_build(spark, tmp_path, caplog):
         "null_visit_date": 1,
     }
     assert "null_patient_id" in caplog.text and "null_name" not in caplog.text
-    assert sorted(r.patient_id for r in spark.read.parquet(rejected).collect()) == [6, 7]
+    assert sorted(r.patient_id for r in spark.read.parquet(rejected).collect()) == sorted(REJECTED)
     (version,) = Path(silver).glob("version=*")
     assert {p.name for p in version.iterdir() if p.is_dir()} == {
-        f"diagnosis={d}" for d in ("MIGRAINE", "D", "ASTHMA", "ANEMIA")
+        f"diagnosis={d}" for d in ("BURN", "SPRAIN", "UNKNOWN", "%09")
     }
 
 
@@ -339,10 +343,10 @@ def test_insights_of_any_number_of_groups(spark):
 
 
 def test_ingest_returns_the_frame_and_what_was_written(spark, csv_file, tmp_path):
-    visits, metric = ingest_bronze(spark, csv_file(FOUR_VISITS), str(tmp_path / "b"))
-    assert visits.count() == metric.row_count == 4
+    visits, metric = ingest_bronze(spark, csv_file(OPENING), str(tmp_path / "b"))
+    assert visits.count() == metric.row_count == 5
     assert {"ingestion_timestamp", "source_file"} <= set(visits.columns)
-    assert spark.read.parquet(str(tmp_path / "b")).count() == 4
+    assert spark.read.parquet(str(tmp_path / "b")).count() == 5
 
 
 def test_nan_billing_becomes_zero(spark, tmp_path):

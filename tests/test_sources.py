@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from samples import CORRUPT, FOUR_VISITS, SIX_VISITS, WITH_DOCTOR, day
+from samples import CORRUPT, OPENING, SEQUEL, WITH_DOCTOR, day
 
 from tristrata.schema import BRONZE_SCHEMA, SILVER_SCHEMA, VISIT_SCHEMA
 from tristrata.sources import (
@@ -37,27 +37,27 @@ def test_declared_schema():
 
 
 def test_read_visits_adds_lineage(spark, csv_file):
-    df = read_visits(spark, csv_file(FOUR_VISITS, "patients.csv"))
+    df = read_visits(spark, csv_file(OPENING, "patients.csv"))
     assert [(f.name, f.dataType) for f in df.schema] == [
         (f.name, f.dataType) for f in BRONZE_SCHEMA
     ]
     rows = df.orderBy("patient_id").collect()
-    assert len(rows) == 4
-    assert rows[2].age is None and rows[3].billing_amount is None
+    assert [r.patient_id for r in rows] == [127, 315, 488, 760, 902]
+    assert rows[4].age is None and rows[2].billing_amount is None
     assert {r.source_file for r in rows} == {"patients.csv"}
     assert rows[0].ingestion_timestamp is not None
 
 
 def test_source_file_is_right_for_folders_and_globs(spark, csv_file):
-    folder = Path(csv_file(FOUR_VISITS, "in/a.csv")).parent
-    csv_file(SIX_VISITS, "in/b.csv")
+    folder = Path(csv_file(OPENING, "in/a.csv")).parent
+    csv_file(SEQUEL, "in/b.csv")
     for path in (str(folder), f"{folder}/*.csv"):
         counts = read_visits(spark, path).groupBy("source_file").count()
-        assert {tuple(r) for r in counts.collect()} == {("a.csv", 4), ("b.csv", 6)}
+        assert {tuple(r) for r in counts.collect()} == {("a.csv", 5), ("b.csv", 8)}
 
 
 def test_incremental_read(spark, csv_file):
-    assert read_visits(spark, csv_file(FOUR_VISITS), since="2023-06-11").count() == 2
+    assert read_visits(spark, csv_file(OPENING), since="2023-06-11").count() == 3
 
 
 def test_missing_file_raises(spark):
@@ -67,8 +67,10 @@ def test_missing_file_raises(spark):
 
 def test_malformed_values_become_null(spark, csv_file):
     rows = read_visits(spark, csv_file(CORRUPT)).orderBy("patient_id").collect()
-    assert (rows[1].age, rows[1].billing_amount) == (None, None)
-    assert rows[2].visit_date is None and rows[2].billing_amount == 310.0
+    assert (rows[0].age, rows[0].billing_amount) == (None, 20.0)
+    assert (rows[1].visit_date, rows[1].billing_amount) == (None, 15.5)
+    assert (rows[2].age, rows[2].billing_amount) == (44, 12.25)
+    assert (rows[3].age, rows[3].billing_amount) == (None, None)
 
 
 def test_short_rows_are_padded_and_extra_values_dropped(spark, csv_file):
@@ -89,16 +91,17 @@ def test_header_order_is_checked_on_request(spark, csv_file):
 def test_malformed_lines_can_be_kept(spark, csv_file):
     df = read_visits(spark, csv_file(CORRUPT), corrupt_column="raw_line")
     assert sorted(r.raw_line.split(",")[0] for r in malformed(df, "raw_line").collect()) == [
-        "2",
-        "3",
+        "610",
+        "611",
+        "613",
     ]
 
 
 @pytest.mark.parametrize("layout", ["day", "month"])
 def test_bronze_roundtrip_and_range(spark, csv_file, tmp_path, layout):
     path = str(tmp_path / "bronze")
-    visits = read_visits(spark, csv_file(FOUR_VISITS + "9,Z,1,D,,5\n8,Y,1,D,2024-02-10,5\n"))
-    assert write_bronze(visits, path, layout=layout).row_count == 6
+    visits = read_visits(spark, csv_file(OPENING + "9,Z,1,D,,5\n8,Y,1,D,2024-02-10,5\n"))
+    assert write_bronze(visits, path, layout=layout).row_count == 7
     back = read_bronze(spark, path)
     assert back.schema["visit_date"].dataType == T.DateType()
     assert set(back.columns) == set(BRONZE_SCHEMA.names)
@@ -112,29 +115,29 @@ def test_bronze_roundtrip_and_range(spark, csv_file, tmp_path, layout):
     def ids(**ends):
         return sorted(r.patient_id for r in read_bronze(spark, path, **ends).collect())
 
-    assert ids(start="2023-06-12") == [3, 4, 8]
-    assert ids(start="2023-06-12", end="2023-06-12") == [3]
-    assert ids(end=dt.date(2023, 6, 11)) == [1, 2]
+    assert ids(start="2023-06-12") == [8, 488, 760, 902]
+    assert ids(start="2023-06-12", end="2023-06-12") == [902]
+    assert ids(end=dt.date(2023, 6, 11)) == [127, 315]
     assert ids(start=F.lit("2024-02-01").cast("date")) == [8]
 
 
 def test_append_adds_and_overwrite_replaces(spark, csv_file, tmp_path):
-    path, visits = str(tmp_path / "b"), read_visits(spark, csv_file(FOUR_VISITS))
+    path, visits = str(tmp_path / "b"), read_visits(spark, csv_file(OPENING))
     write_bronze(visits, path)
     write_bronze(visits, path)
-    assert read_bronze(spark, path).count() == 8
+    assert read_bronze(spark, path).count() == 10
     write_bronze(visits, path, mode="overwrite")
-    assert read_bronze(spark, path).count() == 4
+    assert read_bronze(spark, path).count() == 5
 
 
 def test_replace_touches_only_the_dates_present(spark, csv_file, tmp_path):
-    path, visits = str(tmp_path / "b"), read_visits(spark, csv_file(FOUR_VISITS))
+    path, visits = str(tmp_path / "b"), read_visits(spark, csv_file(OPENING))
     write_bronze(visits, path)
     resent = visits.filter("visit_date = '2023-06-11'").withColumn("age", F.lit(99))
     for _ in range(2):
         write_bronze(resent, path, mode="replace")
     ages = {r.patient_id: r.age for r in read_bronze(spark, path).collect()}
-    assert ages == {1: 99, 2: 99, 3: None, 4: 63}
+    assert ages == {127: 99, 315: 99, 488: 7, 760: 0, 902: None}
 
 
 def test_undated_rows_of_other_loads_survive_a_replacement(spark, tmp_path):
@@ -153,7 +156,7 @@ def test_load_ids_stay_text_under_a_given_schema(spark, tmp_path):
 
 
 def test_months_are_not_replaced_for_a_single_date(spark, csv_file, tmp_path):
-    visits = read_visits(spark, csv_file(FOUR_VISITS))
+    visits = read_visits(spark, csv_file(OPENING))
     with pytest.raises(ValueError, match="day"):
         write_bronze(visits, str(tmp_path / "b"), mode="replace", layout="month")
 
@@ -173,37 +176,38 @@ def test_overwriting_does_not_depend_on_the_session_default(spark, tmp_path):
 
 
 def test_a_load_id_makes_reruns_idempotent(spark, csv_file, tmp_path):
-    path, visits = str(tmp_path / "b"), read_visits(spark, csv_file(FOUR_VISITS))
+    path, visits = str(tmp_path / "b"), read_visits(spark, csv_file(OPENING))
     write_bronze(visits, path, load_id="007")
-    write_bronze(visits.filter("patient_id > 2"), path, load_id="008")
-    write_bronze(visits.filter("patient_id > 2"), path, load_id="008")
+    write_bronze(visits.filter("patient_id > 400"), path, load_id="008")
+    write_bronze(visits.filter("patient_id > 400"), path, load_id="008")
     # A rerun with fewer dates leaves nothing of the first run behind.
-    write_bronze(visits.filter("patient_id > 3"), path, load_id="008", mode="replace")
+    write_bronze(visits.filter("patient_id > 500"), path, load_id="008", mode="replace")
     loads = read_bronze(spark, path).groupBy("load_id").count().collect()
-    assert {tuple(r) for r in loads} == {("007", 4), ("008", 1)}
+    assert {tuple(r) for r in loads} == {("007", 5), ("008", 2)}
     with pytest.raises(ValueError, match="load id"):
         write_bronze(visits, path, load_id="a/b")
 
 
 def test_unknown_layout_fails(spark, csv_file, tmp_path):
     with pytest.raises(ValueError, match="layout"):
-        write_bronze(read_visits(spark, csv_file(FOUR_VISITS)), str(tmp_path), layout="year")
+        write_bronze(read_visits(spark, csv_file(OPENING)), str(tmp_path), layout="year")
 
 
 def test_schema_evolution_through_storage(spark, csv_file, tmp_path):
     path = str(tmp_path / "bronze")
-    write_bronze(read_visits(spark, csv_file(FOUR_VISITS)), path)
+    write_bronze(read_visits(spark, csv_file(OPENING)), path)
     newer = read_visits(spark, csv_file(WITH_DOCTOR, "new.csv"), schema=DOCTOR_SCHEMA)
     write_bronze(newer, path)
     doctors = {r.patient_id: r.doctor_id for r in read_bronze(spark, path).collect()}
-    assert doctors == {1: None, 2: None, 3: None, 4: None, 5: "D-7"}
+    assert doctors.pop(551) == "house-3"
+    assert doctors == dict.fromkeys([127, 315, 488, 760, 902])
 
 
 def test_schema_evolution_of_frames(spark, csv_file):
-    old = read_visits(spark, csv_file(FOUR_VISITS))
+    old = read_visits(spark, csv_file(OPENING))
     new = read_visits(spark, csv_file(WITH_DOCTOR, "new.csv"), schema=DOCTOR_SCHEMA)
     merged = evolve([old, new])
-    assert merged.count() == 5
+    assert merged.count() == 6
     assert merged.filter("doctor_id is not null").count() == 1
 
 
@@ -237,12 +241,12 @@ def test_empty_layers_read_as_empty(spark, tmp_path):
 
 
 def test_a_known_schema_replaces_merging(spark, csv_file, tmp_path):
-    path, visits = str(tmp_path / "b"), read_visits(spark, csv_file(FOUR_VISITS))
+    path, visits = str(tmp_path / "b"), read_visits(spark, csv_file(OPENING))
     write_bronze(visits, path)
     narrow = T.StructType([BRONZE_SCHEMA["patient_id"], BRONZE_SCHEMA["visit_date"]])
     df = read_bronze(spark, path, start="2023-06-12", schema=narrow)
     assert df.columns == ["patient_id", "visit_date"]
-    assert sorted(r.patient_id for r in df.collect()) == [3, 4]
+    assert sorted(r.patient_id for r in df.collect()) == [488, 760, 902]
 
 
 def test_few_files_per_partition_value(spark, tmp_path):

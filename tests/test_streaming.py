@@ -1,7 +1,7 @@
 import os
 from pathlib import Path
 
-from samples import FOUR_VISITS, SIX_VISITS
+from samples import OPENING, SEQUEL
 
 from tristrata.sources import read_bronze, read_visits
 from tristrata.streaming import stream_bronze
@@ -16,12 +16,12 @@ def load(spark, root, **options):
 
 
 def test_each_file_is_ingested_once(spark, csv_file, tmp_path):
-    csv_file(FOUR_VISITS, "in/a.csv")
-    assert load(spark, tmp_path).count() == 4
-    assert load(spark, tmp_path).count() == 4  # nothing new
-    csv_file(SIX_VISITS, "in/b.csv")
+    csv_file(OPENING, "in/a.csv")
+    assert load(spark, tmp_path).count() == 5
+    assert load(spark, tmp_path).count() == 5  # nothing new
+    csv_file(SEQUEL, "in/b.csv")
     rows = load(spark, tmp_path)
-    assert rows.count() == 10
+    assert rows.count() == 13
     assert {r.source_file for r in rows.collect()} == {"a.csv", "b.csv"}
     batch = read_visits(spark, f"{tmp_path}/in")
     assert set(rows.columns) == {*batch.columns, "load_id"}
@@ -31,24 +31,24 @@ def test_each_file_is_ingested_once(spark, csv_file, tmp_path):
 
 def test_micro_batches_can_be_bounded(spark, csv_file, tmp_path):
     for i in range(3):
-        csv_file(FOUR_VISITS, f"in/{i}.csv")
-    assert load(spark, tmp_path, max_files=1, layout="month").count() == 12
-    assert read_bronze(spark, f"{tmp_path}/bronze", start="2023-06-12").count() == 6
+        csv_file(OPENING, f"in/{i}.csv")
+    assert load(spark, tmp_path, max_files=1, layout="month").count() == 15
+    assert read_bronze(spark, f"{tmp_path}/bronze", start="2023-06-12").count() == 9
 
 
 def test_files_that_are_older_than_the_newest_are_taken(spark, csv_file, tmp_path):
-    csv_file(FOUR_VISITS, "in/a.csv")
+    csv_file(OPENING, "in/a.csv")
     load(spark, tmp_path)
-    late = csv_file(SIX_VISITS, "in/b.csv")
+    late = csv_file(SEQUEL, "in/b.csv")
     os.utime(late, (1_000_000_000, 1_000_000_000))
-    assert load(spark, tmp_path).count() == 10
+    assert load(spark, tmp_path).count() == 13
 
 
 def test_a_repeated_batch_replaces_itself(spark, csv_file, tmp_path):
-    csv_file(FOUR_VISITS, "in/a.csv")
+    csv_file(OPENING, "in/a.csv")
     load(spark, tmp_path)
     for state in (tmp_path / "checkpoint/commits").iterdir():  # as if it had failed at the end
         state.unlink()
-    assert load(spark, tmp_path).count() == 4
+    assert load(spark, tmp_path).count() == 5
     files = [p for p in Path(tmp_path, "bronze").rglob("*.parquet")]
     assert len(files) == 3  # one for each date

@@ -10,12 +10,16 @@ from tristrata.operators.layout import (
     sized_write,
     write_partitions,
 )
+from tristrata.operators.profiles import add_profile, profile_by_day, united
 from tristrata.operators.rank import global_rank
+from tristrata.operators.trends import calendar_trend
 
 __all__ = [
+    "add_profile",
     "agg_metrics",
     "by_group",
     "cached_view",
+    "calendar_trend",
     "cap_partitions",
     "distinct_keys",
     "global_rank",
@@ -24,8 +28,10 @@ __all__ = [
     "monthly_trend",
     "null_audit",
     "null_counts",
+    "profile_by_day",
     "sized_join",
     "sized_write",
     "skewed_join",
+    "united",
     "write_partitions",
 ]

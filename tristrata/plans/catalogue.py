@@ -5,27 +5,31 @@ because the result reads it lazily. Money sums are rounded to cents, since the o
 a floating-point sum is not fixed.
 """
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tristrata.functions import after, apply_rules, fill_defaults, mark_before_latest, rejects
+from tristrata.functions import after, apply_rules, fill_defaults, rejects
 from tristrata.functions import standardize
-from tristrata.functions.marks import settled
 from tristrata.metrics import measure_evaluation, metrics_frame
 from tristrata.operators import (
+    add_profile,
     agg_metrics,
     by_group,
     cached_view,
+    calendar_trend,
     distinct_keys,
     latest_per_key,
     monthly_trend,
     null_audit,
+    profile_by_day,
     sized_join,
     sized_write,
     skewed_join,
+    united,
 )
 from tristrata.plans.advance import advance, take_files
 from tristrata.plans.insights import (
@@ -48,6 +52,7 @@ from tristrata.plans.visits import (
 )
 from tristrata.schema import BRONZE_SCHEMA, LOADED_AT, SILVER_AT, SOURCE_FILE
 from tristrata.sources import (
+    latest_date,
     read_bronze,
     read_malformed,
     read_rejects,
@@ -128,9 +133,9 @@ def ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_days_back(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The newest date comes from bronze first, so the filter is a literal for its folders."""
+    """The newest date comes from names and footers, so the filter is a literal for folders."""
     path = monthly_bronze(spark, sf_dir)
-    mark = settled(spark, mark_before_latest(read_bronze(spark, path), 30))
+    mark = latest_date(spark, path) - dt.timedelta(30)
     return after(read_bronze(spark, path, mark), mark).select(*COLUMNS)
 
 
@@ -425,6 +430,42 @@ def trend_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cents(monthly_trend(clean(visits(spark, sf_dir))), "total_billing")
 
 
+def trend_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One group is seen in summer only, so most of its months have no visit."""
+    seen = clean(visits(spark, sf_dir))
+    summer = F.month("visit_date").between(6, 8) | (F.col("diagnosis") != "BUILDING")
+    trend = calendar_trend(seen.where(summer))
+    return cents(trend, "total_billing", "trailing_billing", "change_on_year")
+
+
+def profile_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles of two loads, united over three years; estimates are held against exact values."""
+    seen, path = visits(spark, sf_dir), scratch_path(spark, "profiles")
+    for load in (until_mark(seen), after(seen, MARK)):
+        add_profile(profile_by_day(load), path)
+    start, end = "1996-06-15", "1999-06-14"
+    found = united(spark.read.parquet(path), start, end)
+    said = found.first()
+    wanted = seen.where(F.col("visit_date").between(start, end))
+    ranks = [F.avg((F.col("billing_amount") <= F.lit(said[q])).cast("double")).alias(q) for q in ("q10", "q50", "q90")]
+    exact = wanted.agg(F.count_distinct("patient_id").alias("keys"), *ranks).first()
+    near = [abs(said["keys"] - exact["keys"]) <= 0.05 * exact["keys"]]
+    near += [abs(exact[f"q{q}"] - q / 100) <= 0.03 for q in (10, 50, 90)]
+    return found.select(
+        "rows", "null_patient_id", "null_diagnosis", "least", "greatest", F.lit(all(near)).alias("near")
+    )
+
+
+def evolution_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later files have a wider id and ages with a fraction."""
+    seen, path = visits(spark, sf_dir), scratch_path(spark, "types")
+    narrow = until_mark(seen).withColumn("visit_id", F.col("visit_id").cast("int"))
+    half = after(seen, MARK).withColumn("age", F.col("age") + 0.5)
+    for batch in (narrow, half):
+        write_bronze(batch, path, layout="month")
+    return read_bronze(spark, path).select(*COLUMNS)
+
+
 def streamed_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two arrivals of files and a run that finds nothing new."""
     seen, root = visits(spark, sf_dir), scratch_path(spark, "stream")
@@ -487,4 +528,7 @@ QUERIES: dict[str, Query] = {
     "sized_write_of_known_rows": sized_write_of_known_rows,
     "trend_monthly": trend_monthly,
     "stream_bronze": streamed_bronze,
+    "trend_calendar": trend_calendar,
+    "profile_range": profile_range,
+    "evolution_types": evolution_types,
 }

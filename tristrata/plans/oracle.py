@@ -241,6 +241,54 @@ UNION ALL SELECT 'gold read', count(*), TRUE FROM grouped""",
         *_TO_SILVER,
         select="SELECT count(*) AS named, count(*) AS loaded, count(*) AS processed FROM silver",
     ),
+    "trend_calendar": _with(
+        *_TO_CLEAN,
+        """
+kept AS (
+  SELECT * FROM clean WHERE month(visit_date) BETWEEN 6 AND 8 OR diagnosis <> 'BUILDING'
+)""",
+        """
+months AS (
+  SELECT CAST(date_trunc('month', visit_date) AS DATE) AS visit_month, diagnosis,
+         count(*) AS visits, sum(CAST(billing_amount AS DECIMAL(28,6))) AS total
+  FROM kept GROUP BY ALL
+)""",
+        """
+calendar AS (
+  SELECT CAST(unnest(generate_series(min(visit_month), max(visit_month), INTERVAL 1 MONTH))
+              AS DATE) AS visit_month FROM months
+)""",
+        """
+filled AS (
+  SELECT c.visit_month, g.diagnosis, coalesce(visits, 0) AS visits, coalesce(total, 0) AS total
+  FROM calendar AS c CROSS JOIN (SELECT DISTINCT diagnosis FROM months) AS g
+  LEFT JOIN months AS m ON m.visit_month = c.visit_month AND m.diagnosis = g.diagnosis
+)""",
+        select="""
+SELECT visit_month, diagnosis, visits,
+       round(CAST(total AS DOUBLE), 2) AS total_billing,
+       CAST(sum(visits) OVER recent AS BIGINT) AS trailing_visits,
+       round(CAST(sum(total) OVER recent AS DOUBLE), 2) AS trailing_billing,
+       round(CAST(total - lag(total, 12) OVER months AS DOUBLE), 2) AS change_on_year
+FROM filled
+WINDOW months AS (PARTITION BY diagnosis ORDER BY visit_month),
+       recent AS (PARTITION BY diagnosis ORDER BY visit_month ROWS 2 PRECEDING)""",
+    ),
+    "profile_range": _with(
+        VISITS,
+        select="""
+SELECT count(*) AS rows, count(*) FILTER (patient_id IS NULL) AS null_patient_id,
+       count(*) FILTER (diagnosis IS NULL) AS null_diagnosis,
+       min(billing_amount) AS least, max(billing_amount) AS greatest, TRUE AS near
+FROM visits WHERE visit_date BETWEEN DATE '1996-06-15' AND DATE '1999-06-14'""",
+    ),
+    "evolution_types": _with(
+        VISITS,
+        select="""
+SELECT * REPLACE (
+  CASE WHEN visit_date > DATE '1998-01-01' THEN age + 0.5 ELSE age END::DOUBLE AS age)
+FROM visits""",
+    ),
     "sized_write_of_known_rows": """
 SELECT event_type, count(*) AS events, count(DISTINCT user_id) AS users
 FROM events GROUP BY event_type""",

@@ -2,6 +2,7 @@
 
 from tristrata.sources.layers import (
     evolve,
+    latest_date,
     read_bronze,
     read_gold,
     read_malformed,
@@ -16,6 +17,7 @@ from tristrata.sources.visits_csv import malformed, read_visits
 
 __all__ = [
     "evolve",
+    "latest_date",
     "malformed",
     "read_bronze",
     "read_gold",

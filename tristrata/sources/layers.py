@@ -1,10 +1,10 @@
 """Read and write the bronze, silver and gold Parquet layers."""
 
+import datetime as dt
 import re
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 from tristrata.functions.marks import Mark, given, parse_mark
 from tristrata.metrics import StepMetric, observed_write
 from tristrata.schema import BRONZE_SCHEMA, SILVER_SCHEMA
-from tristrata.sources.versions import VERSION, Manifest, current, version_path
+from tristrata.sources.evolution import FAILURES, is_conflict, read_conflicting
+from tristrata.sources.versions import VERSION, Manifest, current, matching, version_path
 
 MONTH = "visit_month"
 RAW_LINE = "raw_line"
@@ -20,6 +21,12 @@ LOAD = "load_id"
 #: Folders of one write: rows that go to several tables carry the table's name in this column.
 KIND = "kind"
 BUCKET = "bucket"
+#: A session in which an aggregate over all rows of Parquet files reads their footers alone.
+FROM_FOOTERS = {
+    "spark.sql.sources.useV1SourceList": "",
+    "spark.sql.parquet.aggregatePushdown": "true",
+    "spark.sql.adaptive.enabled": "false",
+}
 #: What a write adds to a silver in buckets and no reader of silver sees.
 HIDDEN = (KIND, BUCKET, VERSION, "sign", "reject_reasons")
 
@@ -37,14 +44,20 @@ def read_layer(
     and spares that. Values of partition folders are guessed from their text (``042``
     would turn into the number 42); ``partition_types`` puts the declared types back. A
     layer that was written without any row has no data file; ``when_empty`` is its
-    schema then. A path that does not exist raises.
+    schema then. Files whose types differ are read as the least type that holds both exactly
+    (``int`` and ``long``, ``int`` and ``double``); where there is none, and where a path does not
+    exist, reading raises.
     """
     if schema is not None:
         return retyped(spark, path, spark.read.schema(schema).parquet(path), partition_types)
     try:
         merged = spark.read.option("mergeSchema", True).parquet(path)
-    except AnalysisException as e:
-        if when_empty is None or e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+    except FAILURES as e:
+        if is_conflict(e):
+            united = read_conflicting(spark, path, partition_types)
+            if united is not None:
+                return united
+        if when_empty is None or "UNABLE_TO_INFER_SCHEMA" not in str(e):
             raise
         return spark.createDataFrame([], when_empty)
     return retyped(spark, path, merged, partition_types)
@@ -165,6 +178,41 @@ def read_bronze(
     return df.drop(MONTH)
 
 
+def latest_date(spark: SparkSession, path: str) -> dt.date | None:
+    """The newest visit date in bronze, from the names of its folders and the footers of files.
+
+    A layout by day has it in the names. One by month names the newest month, and the footers
+    of the files there have their greatest date; no column is read either way. Dated folders
+    hold a row at least, as only rows make them.
+    """
+    inner = ("", f"{LOAD}=*/", f"{KIND}=visit/", f"{LOAD}=*/{KIND}=visit/")
+    days, months = (
+        [p for way in inner for p in matching(spark, f"{path}/{way}{column}=*")]
+        for column in ("visit_date", MONTH)
+    )
+    dated = [d for d in (p.rsplit("=", 1)[1] for p in days) if re.fullmatch(r"[\d-]+", d)]
+    if dated:
+        return dt.date.fromisoformat(max(dated))
+    newest = max((m for m in (p.rsplit("=", 1)[1] for p in months) if re.fullmatch(r"[\d-]+", m)), default=None)
+    if newest is None:
+        return None
+    folders = [p for p in months if p.endswith(f"={newest}")]
+    found = greatest_date(spark, folders).first()[0]
+    if found is not None and f"{found:%Y-%m}" == newest:
+        return found
+    # footers name columns by place: files of another order of columns answer for another one
+    plain = spark.read.schema("visit_date date").parquet(*folders)
+    return plain.agg(F.max("visit_date")).first()[0]
+
+
+def greatest_date(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """The greatest visit date in some folders; the scan answers it from footers."""
+    session = spark.newSession()
+    for key, value in FROM_FOOTERS.items():
+        session.conf.set(key, value)
+    return session.read.parquet(*folders).agg(F.max("visit_date"))
+
+
 def write_silver(
     df: DataFrame,
     path: str,

@@ -51,6 +51,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern."""
+    fs, where = file_system(spark, pattern)
+    return sorted(s.getPath().toString() for s in fs.globStatus(where) or [])
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, where = file_system(spark, path)
     fs.delete(where, True)

@@ -259,7 +259,7 @@ calendar AS (
               AS DATE) AS visit_month FROM months
 )""",
         """
-filled AS (
+whole AS (
   SELECT c.visit_month, g.diagnosis, coalesce(visits, 0) AS visits, coalesce(total, 0) AS total
   FROM calendar AS c CROSS JOIN (SELECT DISTINCT diagnosis FROM months) AS g
   LEFT JOIN months AS m ON m.visit_month = c.visit_month AND m.diagnosis = g.diagnosis
@@ -270,7 +270,7 @@ SELECT visit_month, diagnosis, visits,
        CAST(sum(visits) OVER recent AS BIGINT) AS trailing_visits,
        round(CAST(sum(total) OVER recent AS DOUBLE), 2) AS trailing_billing,
        round(CAST(total - lag(total, 12) OVER months AS DOUBLE), 2) AS change_on_year
-FROM filled
+FROM whole
 WINDOW months AS (PARTITION BY diagnosis ORDER BY visit_month),
        recent AS (PARTITION BY diagnosis ORDER BY visit_month ROWS 2 PRECEDING)""",
     ),

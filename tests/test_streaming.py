@@ -52,3 +52,13 @@ def test_a_repeated_batch_replaces_itself(spark, csv_file, tmp_path):
     assert load(spark, tmp_path).count() == 5
     files = [p for p in Path(tmp_path, "bronze").rglob("*.parquet")]
     assert len(files) == 3  # one for each date
+
+
+def test_loads_are_named_by_the_checkpoint_or_the_caller(spark, csv_file, tmp_path):
+    csv_file(OPENING, "in/a.csv")
+    [(named,)] = load(spark, tmp_path).select("load_id").distinct().collect()
+    kept = (tmp_path / "checkpoint/load_name").read_text()
+    assert named == f"stream-{kept}-0"
+    csv_file(SEQUEL, "in/b.csv")
+    loads = {r.load_id for r in load(spark, tmp_path, name="evening").collect()}
+    assert loads == {named, "stream-evening-1"}

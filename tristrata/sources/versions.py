@@ -51,6 +51,17 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
 
 
+def write_text(spark: SparkSession, path: str, text: str):
+    """Make a file of ``text``; raises where there is one. Gives its file system and path."""
+    fs, where = file_system(spark, path)
+    out = fs.create(where, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return fs, where
+
+
 def matching(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a glob pattern."""
     fs, where = file_system(spark, pattern)
@@ -81,13 +92,8 @@ def current(spark: SparkSession, path: str) -> Manifest:
 def publish(spark: SparkSession, path: str, manifest: Manifest) -> Manifest:
     """Put a manifest in force by renaming a complete file, then drop all but the last two."""
     folder, number = f"{path}/{MANIFESTS}", manifest.number + 1
-    fs, draft = file_system(spark, f"{folder}/draft-{uuid.uuid4().hex}")
     content = {k: getattr(manifest, k) for k in CONTENT}
-    out = fs.create(draft, False)
-    try:
-        out.write(bytearray(json.dumps(content).encode()))
-    finally:
-        out.close()
+    fs, draft = write_text(spark, f"{folder}/draft-{uuid.uuid4().hex}", json.dumps(content))
     name = f"{number:08d}.json"
     if not fs.rename(draft, file_system(spark, f"{folder}/{name}")[1]):
         raise OSError(f"another run has published {name} in {folder}")

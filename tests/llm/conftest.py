@@ -36,5 +36,7 @@ def clashing(odd_docs):
     names = [
         "score", "kept", "shard", "slot", "copy", "position", "ids", "n_tokens", "block", "part",
         "payload", "n", "cid", "t", "component_id", "k0", "held_out", "predicted", "words", "a.b",
+        "host", "rule", "said", "at", "parts", "num", "own", "failed", "x", "left", "sha",
+        "__host", "__score", "__at", "__slot", "__quality", "__rate", "__t", "__whole",
     ]
     return odd_docs.withColumns({c: F.lit(f"own {c}") for c in names})

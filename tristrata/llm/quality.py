@@ -16,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tristrata.llm.blocks import renamed, restored
+
 WORD_GAP = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]+"
 #: Frequent function words of the four languages, in lower case.
@@ -101,6 +103,18 @@ def repeated_words(words: Column, window: int = 5) -> Column:
     return F.when(F.size(words) > window, counted(words)).otherwise(F.lit(0)).cast("long")
 
 
+MEASURES = (
+    "n_words",
+    "word_chars",
+    "n_symbols",
+    "n_dup_lines",
+    "n_repeat_words",
+    "n_lines",
+    "n_stop_words",
+    "n_marked_words",
+)
+
+
 def measures(text: Column, words: Column, lines: Column) -> dict[str, Column]:
     """Counts of a text: ``words`` its words and ``lines`` its lines that have a word."""
     return {
@@ -124,16 +138,15 @@ def judge(
     rules: tuple[Rule, ...] = RULES,
 ) -> DataFrame:
     """``df`` with the counts, ``base_failed``, the names of ``failed`` rules and ``kept``."""
-    whole = F.coalesce(F.col(text), F.lit(""))
+    outputs = (*MEASURES, "base_failed", "failed", "kept")
+    others = [c for c in df.columns if c not in outputs]
+    whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     words = F.array_remove(F.split(whole, WORD_GAP), "")
     lines = F.filter(F.split(whole, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    inner = "__quality"
-    split = df.select(
-        *(F.col(f"`{c}`") for c in df.columns),
-        F.struct(whole.alias("text"), words.alias("words"), lines.alias("lines")).alias(inner),
-    )
-    found = measures(F.col(f"{inner}.text"), F.col(f"{inner}.words"), F.col(f"{inner}.lines"))
-    counted = split.withColumns(found).drop(inner)
+    parts = F.struct(whole.alias("text"), words.alias("words"), lines.alias("lines"))
+    split = renamed(df, others, parts=parts)
+    found = measures(F.col("parts.text"), F.col("parts.words"), F.col("parts.lines"))
+    counted = split.withColumns(found)
     counts = {"one": F.lit(1)} | {name: F.col(name) for name in found}
     failed = F.array_compact(
         F.array(*(F.when(r.fails(counts), F.lit(r.name)) for r in (*base, *rules)))
@@ -141,9 +154,10 @@ def judge(
     base_failed = F.lit(False)
     for rule in base:
         base_failed = base_failed | rule.fails(counts)
-    return counted.withColumns(
+    judged = counted.withColumns(
         {"base_failed": base_failed, "failed": failed, "kept": F.size(failed) == 0}
     )
+    return restored(judged, others, *outputs)
 
 
 def judged_sql(table: str, text: str = "text") -> str:

@@ -165,27 +165,26 @@ def judge(pages: DataFrame, rules: Rules, url: str = "url") -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule``, ``log_ratio`` and ``verdict``."""
     outputs = ("host", "path", "rule", "log_ratio", "verdict")
     kept = [c for c in pages.columns if c not in outputs]
-    host, path = host_and_path(F.col(f"`{url}`"))
-    rule, said = ruled(F.col("__host"), F.col("__path"), rules)
-    found = (
-        pages.select(*(F.col(f"`{c}`") for c in kept))
-        .withColumns({"__host": host, "__path": path})
-        .withColumns({"__rule": rule, "__said": said})
+    frame = renamed(pages, kept, url=F.col(f"`{url}`"))
+    host, path = host_and_path(F.col("url"))
+    placed = frame.withColumns({"host": host, "path": path})
+    rule, said = ruled(F.col("host"), F.col("path"), rules)
+    found = placed.withColumns({"rule": rule, "said": said})
+    taught = found.where("said is not null").select(
+        "url", (F.col("said") == "allow").alias("accepted")
     )
-    taught = found.where("__said is not null").select(
-        F.col(f"`{url}`").alias("__url"), (F.col("__said") == "allow").alias("__accepted")
-    )
-    apart = F.pmod(F.xxhash64("__url"), F.lit(5)) == 0
-    table = ratio_table(counts(taught.where(~apart), "__url", "__accepted"))
-    calibrated = ratio(taught.where(apart), "__url", table, "__score")
-    bound = threshold(calibrated, "__score", "__accepted")
-    scored = ratio(found, url, table, "__score")
-    verdict = F.coalesce("__said", F.when(F.col("__score") >= bound, "allow").otherwise("block"))
-    return scored.select(
-        *(F.col(f"`{c}`") for c in kept),
-        F.col("__host").alias("host"),
-        F.col("__path").alias("path"),
-        F.col("__rule").alias("rule"),
-        F.col("__score").alias("log_ratio"),
+    apart = F.pmod(F.xxhash64("url"), F.lit(5)) == 0
+    table = ratio_table(counts(taught.where(~apart), "url", "accepted"))
+    calibrated = ratio(taught.where(apart), "url", table, "score")
+    bound = threshold(calibrated, "score", "accepted")
+    scored = ratio(found, "url", table, "score")
+    verdict = F.coalesce("said", F.when(F.col("score") >= bound, "allow").otherwise("block"))
+    return restored(
+        scored,
+        kept,
+        "host",
+        "path",
+        "rule",
+        F.col("score").alias("log_ratio"),
         verdict.alias("verdict"),
     )

@@ -59,8 +59,7 @@ def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = sharding.lookup_table(spark, SHARDS, SHARD_SLOTS)
-    docs = documents(spark, sf_dir).select("doc_id", "text")
-    return sharding.place(docs, table, "doc_id", ("text",), SHARD_SLOTS).drop("text")
+    return sharding.place(documents(spark, sf_dir), table, "doc_id", ("text",), SHARD_SLOTS)
 
 
 def fold(column: str, folds: int = 5) -> Column:

@@ -14,6 +14,8 @@ text. Equal keys go to one shard. Output columns replace input columns of the sa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tristrata.llm.blocks import renamed, restored
+
 #: A prime; a hundred slots for each of up to about forty shards.
 TABLE_SIZE = 4093
 MOST_SLOTS = 1_000_003
@@ -74,15 +76,15 @@ def place(
     """``df`` with the ``slot`` and ``shard`` of each row; ``table`` must come from ``size``."""
     whole = F.coalesce(*(F.md5(F.col(f"`{c}`").cast("string")) for c in fallback), F.lit(""))
     text = F.coalesce(F.col(f"`{key}`").cast("string"), whole)
-    slots = F.broadcast(table.select(F.col("slot").alias("__slot"), F.col("shard").alias("__shard")))
-    placed = df.withColumn("__at", number(text) % size)
-    joined = placed.join(slots, F.col("__at") == F.col("__slot"))
-    kept = [F.col(f"`{c}`") for c in df.columns if c not in ("slot", "shard")]
-    return joined.select(*kept, F.col("__slot").alias("slot"), F.col("__shard").alias("shard"))
+    kept = [c for c in df.columns if c not in ("slot", "shard")]
+    placed = renamed(df, kept, at=number(text) % size)
+    slots = F.broadcast(table.select("slot", "shard"))
+    joined = placed.join(slots, F.col("at") == F.col("slot"))
+    return restored(joined, kept, "slot", "shard")
 
 
 def placed_sql(shards: list[str], size: int = TABLE_SIZE) -> str:
-    """The same for ``documents`` in DuckDB: the claims as a recursion over the turns."""
+    """The same for whole ``documents`` in DuckDB: the claims as a recursion over the turns."""
     names = sorted(set(shards))
     values = ", ".join(f"({k}, '{x}')" for k, x in enumerate(names))
     return f"""
@@ -102,6 +104,6 @@ claims(turn, slot, taken) AS (
 ),
 slots AS (
   SELECT slot, shard FROM claims JOIN walks ON k = turn % {len(names)} WHERE turn >= 0)
-SELECT doc_id, slot, shard
-FROM documents JOIN slots ON slot =
+SELECT documents.*, slots.slot, shard
+FROM documents JOIN slots ON slots.slot =
   ('0x' || substr(md5(coalesce(doc_id::VARCHAR, md5(text), '')), 1, {DIGITS}))::BIGINT % {size}"""

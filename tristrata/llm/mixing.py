@@ -19,7 +19,7 @@ Texts are carried along, null or long. An empty table gives an empty result.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tristrata.llm.blocks import row_digest
+from tristrata.llm.blocks import renamed, row_digest
 from tristrata.llm.storage import stored
 
 PIECE = 8.0
@@ -103,6 +103,16 @@ def mix(
     ``position`` is a number in [0, 1) by which the copies are sorted over all partitions.
     """
     kept = [c for c in df.columns if c not in ("copy", "position")]
+    own = renamed(df, df.columns)
+    copied = mixed(own, weights, *(f"k{df.columns.index(c)}" for c in (source, key)), seed)
+    at = [f"k{df.columns.index(c)}" for c in kept]
+    return copied.select(
+        *(F.col(a).alias(c) for a, c in zip(at, kept, strict=True)), "copy", "position"
+    )
+
+
+def mixed(df: DataFrame, weights: dict[str, float], source: str, key: str, seed: int) -> DataFrame:
+    """:func:`mix` of a frame whose columns have plain names that no inner one has."""
     # stored, so that their size is known before all rows are dealt out for the join
     known = stored(rates(df, source, weights), "rates")
     keyed = drawn_alone(df, key).join(known, F.col(f"`{source}`").eqNullSafe(F.col("__source")))
@@ -125,7 +135,7 @@ def mix(
     at = uniform(F.lit(f"place-{seed}"), F.col("__key"), F.col("__number"))
     return (
         numbered.select(
-            *(F.col(f"`{c}`") for c in kept), F.col("__number").alias("copy"), at.alias("position")
+            *df.columns, F.col("__number").alias("copy"), at.alias("position")
         )
         .repartitionByRange("position")
         .sortWithinPartitions("position")
@@ -133,7 +143,7 @@ def mix(
 
 
 def mixed_sql(weights: dict[str, float], table: str = "documents", seed: int = 7) -> str:
-    """Key, source, copy and position of the same mixture in DuckDB, where keys are unique."""
+    """The same mixture of whole rows in DuckDB, where keys are unique."""
     named = ", ".join(f"('{k}', {v}::DOUBLE)" for k, v in weights.items())
     rest = max(0.0, 1.0 - sum(weights.values()))
     return f"""
@@ -165,7 +175,8 @@ counted AS (
   SELECT doc_id, drawn.source, pieces, piece, list(c ORDER BY k) AS cs, any_value(u) AS u
   FROM drawn JOIN terms ON drawn.source IS NOT DISTINCT FROM terms.source
   GROUP BY doc_id, drawn.source, pieces, piece)
-SELECT doc_id, source, (j * pieces + piece)::INT AS copy,
-  ('0x' || substr(md5('place-{seed}:' || coalesce(doc_id::VARCHAR, '') || ':' || (j * pieces + piece)), 1, {DIGITS}))::BIGINT
+SELECT whole.*, (j * pieces + piece)::INT AS copy,
+  ('0x' || substr(md5('place-{seed}:' || coalesce(whole.doc_id::VARCHAR, '') || ':' || (j * pieces + piece)), 1, {DIGITS}))::BIGINT
     / {UNIT} AS "position"
-FROM counted, unnest(range(0, least({TERMS}, len(list_filter(cs, lambda x: x <= u))))) AS y(j)"""
+FROM counted JOIN {table} AS whole ON whole.doc_id IS NOT DISTINCT FROM counted.doc_id,
+  unnest(range(0, least({TERMS}, len(list_filter(cs, lambda x: x <= u))))) AS y(j)"""

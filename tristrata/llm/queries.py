@@ -88,9 +88,8 @@ def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole documents are mixed and stored; the result names each copy and its place in them."""
-    mixture = stored(mixing.mix(documents(spark, sf_dir), WEIGHTS), "mixture")
-    return mixture.select("doc_id", "source", "copy", "position")
+    """Whole documents, repeated and shuffled, with the number and the place of each copy."""
+    return stored(mixing.mix(documents(spark, sf_dir), WEIGHTS), "mixture")
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,7 +111,7 @@ def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
-    archives = warc.write_archives(pages)
+    archives = warc.write_archives(pages, compression="gzip")
     records = stored(warc.read_archives(spark, archives, payload=False), "warc-records")
     return warc.with_originals(records).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"

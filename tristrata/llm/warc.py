@@ -8,8 +8,8 @@ its single response goes to where the revisits are.
 
 All headers are made anew: ids are UUIDs by the digest of a record, so a repeated task writes the
 same bytes; block and payload lengths and digests are those of what is written; one date is given
-to all. Archives are uncompressed, so Spark's text writer makes them: a record is a line, whose
-end is the two line breaks that end a record. A record begins where the length of the one
+to all. Spark's text writer makes the archives, plain or each file compressed as a whole: a record
+is a line, whose end is the two line breaks that end a record. A record begins where the length of the one
 before says, so a file is read by one task; ``FILE_BYTES`` bounds it by
 the mean payload, and a record is never cut.
 
@@ -20,6 +20,7 @@ for each. An empty table gives no records. Pages should be a stored table.
 """
 
 import base64
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -40,6 +41,7 @@ HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Len
 VERSION = b"WARC/1.1\r\n"
 END = b"\r\n\r\n"
 CRLF = "\r\n"
+GZIP = b"\x1f\x8b"
 
 RECORD = (
     "file string, at long, record_type string, record_id string, refers_to_id string, "
@@ -192,11 +194,15 @@ def write_archives(
     *,
     least: int = 0,
     date: str = "1970-01-01T00:00:00Z",
+    compression: str = "none",
 ) -> str:
     """Write a record for each row of ``pages`` and return the folder of the archives.
 
-    ``date`` is the capture date of all records, as ``2024-01-31T00:00:00Z``.
+    ``date`` is the capture date of all records, as ``2024-01-31T00:00:00Z``, and ``compression`` of
+    the files is ``none`` or ``gzip``.
     """
+    if compression not in ("none", "gzip"):
+        raise ValueError(f"compression is 'none' or 'gzip', got {compression!r}")
     if not re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d{1,9})?Z", date):
         raise ValueError(f"date must look like 2024-01-31T00:00:00Z, got {date!r}")
     path = path or shared_path(pages.sparkSession, "warc")
@@ -206,7 +212,7 @@ def write_archives(
         record_text(date).alias("value")
     )
     each = max(1, int(FILE_BYTES // (mean + 700)))
-    options = {"lineSep": END.decode(), "maxRecordsPerFile": each, "compression": "none"}
+    options = {"lineSep": END.decode(), "maxRecordsPerFile": each, "compression": compression}
     records.write.options(**options).text(path)
     return path
 
@@ -240,7 +246,9 @@ def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataF
             for file, content in zip(batch.column("path"), batch.column("content"), strict=True):
                 name, out = file.as_py(), []
                 size = 0
-                for at, fields, block in parsed(content.as_py()):
+                data = content.as_py()
+                data = gzip.decompress(data) if data.startswith(GZIP) else data
+                for at, fields, block in parsed(data):
                     out.append(record(name, at, fields, block, payload))
                     size += len(block)
                     if size > 4 << 20 or len(out) >= 10_000:

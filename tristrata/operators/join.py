@@ -100,11 +100,9 @@ def skewed_join(
         return light.unionByName(many.join(F.broadcast(few), key, how))
     cells = CELLS_PER_PARTITION * int(large.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     down, across = grid(sum(heavy.values()), few.count(), cells) if how == "inner" else (cells, 1)
-    return light.unionByName(
-        dealt(many, down, across, F.col("_piece") * across + F.col("_other"))
-        .join(dealt(few, across, down, F.col("_other") * across + F.col("_piece")), [key, "_cell"], how)
-        .drop("_cell")
-    )
+    rows = dealt(many, down, across, F.col("_piece") * across + F.col("_other"))
+    others = dealt(few, across, down, F.col("_other") * across + F.col("_piece"))
+    return light.unionByName(rows.join(others, [key, "_cell"], how).drop("_cell"))
 
 
 def grid(rows: int, others: int, cells: int) -> tuple[int, int]:

@@ -68,8 +68,8 @@ def united(
     )
     known = F.col("least").isNotNull()
     values = [
-        F.when(known, F.expr(f"kll_sketch_get_quantile_double(amounts, {q}D)")).alias(f"q{round(100 * q)}")
-        for q in quantiles
+        F.when(known, F.expr(f"kll_sketch_get_quantile_double(amounts, {q}D)")).alias(name)
+        for q, name in ((q, f"q{round(100 * q)}") for q in quantiles)
     ]
     return whole.select(
         "rows",

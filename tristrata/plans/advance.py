@@ -90,7 +90,9 @@ def take_files(
         table, date = by_date_layout(routed(lines, load.since), layout)
         count = [F.count_if(F.col(KIND) == k).alias(k) for k in ("visit", "malformed")]
         path = f"{bronze_path}/{LOAD}={load.load_id}"
-        done = write_layer(table, path, "bronze", [KIND, date], "overwrite", rebalance, observe=count)
+        done = write_layer(
+            table, path, "bronze", [KIND, date], "overwrite", rebalance, observe=count
+        )
         ledger.finish(spark, ledger_path, load)
         rows, seconds = rows + done.observed.get("visit", 0), seconds + done.duration_seconds
         malformed += done.observed.get("malformed", 0)
@@ -201,8 +203,12 @@ def fold_loads(
     names = versions.children(spark, f"{root}/{KIND}=latest")
     touched = [n.removeprefix(f"{BUCKET}=") for n in names if n.startswith(f"{BUCKET}=")]
     replaced = [b for b in touched if b in manifest.buckets]
-    empty = T.StructType([*fresh.drop(BUCKET).schema.fields, T.StructField(SILVER_AT, T.TimestampType())])
-    old = read_buckets(spark, silver_path, manifest, replaced) if replaced else spark.createDataFrame([], empty)
+    if replaced:
+        old = read_buckets(spark, silver_path, manifest, replaced)
+    else:
+        stamp = T.StructField(SILVER_AT, T.TimestampType())
+        fields = fresh.drop(BUCKET).schema.fields
+        old = spark.createDataFrame([], T.StructType([*fields, stamp]))
     merge = with_changes(old.withColumn(BUCKET, bucket_of(keys, size)), fresh, keys, latest, unique)
     kinds = [F.count_if(F.col(KIND) == k).alias(k) for k in ("silver", "change")]
     nulls = null_counts(only=F.col(KIND) == "silver")
@@ -232,7 +238,8 @@ def fold_loads(
         retired=retired,
     )
     after = versions.publish(spark, silver_path, after)
-    for path in [*manifest.retired, *(f"{VERSION}={version}/{KIND}={k}" for k in ("latest", "change"))]:
+    inner = [f"{VERSION}={version}/{KIND}={k}" for k in ("latest", "change")]
+    for path in [*manifest.retired, *inner]:
         versions.remove(spark, f"{silver_path}/{path}")
     rows = metric.observed.get("silver", 0)
     return after, StepMetric("silver", rows, metric.duration_seconds, metric.observed)
@@ -270,7 +277,8 @@ def advance(
     Raises on failure; the next call takes up what is missing.
     """
     root = root.rstrip("/")
-    bronze, book, silver, gold_path = (f"{root}/{n}" for n in ("bronze", "ledger", "silver", "gold"))
+    names = ("bronze", "ledger", "silver", "gold")
+    bronze, book, silver, gold_path = (f"{root}/{n}" for n in names)
     mark = settled(spark, since)
     text = None if mark is None else mark.isoformat()
     options = {"schema": schema, "layout": layout, "rebalance": rebalance}

@@ -447,13 +447,15 @@ def profile_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = united(spark.read.parquet(path), start, end)
     said = found.first()
     wanted = seen.where(F.col("visit_date").between(start, end))
-    ranks = [F.avg((F.col("billing_amount") <= F.lit(said[q])).cast("double")).alias(q) for q in ("q10", "q50", "q90")]
+    ranks = [
+        F.avg((F.col("billing_amount") <= F.lit(said[q])).cast("double")).alias(q)
+        for q in ("q10", "q50", "q90")
+    ]
     exact = wanted.agg(F.count_distinct("patient_id").alias("keys"), *ranks).first()
     near = [abs(said["keys"] - exact["keys"]) <= 0.05 * exact["keys"]]
     near += [abs(exact[f"q{q}"] - q / 100) <= 0.03 for q in (10, 50, 90)]
-    return found.select(
-        "rows", "null_patient_id", "null_diagnosis", "least", "greatest", F.lit(all(near)).alias("near")
-    )
+    counted = ("rows", "null_patient_id", "null_diagnosis", "least", "greatest")
+    return found.select(*counted, F.lit(all(near)).alias("near"))
 
 
 def evolution_types(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -193,9 +193,10 @@ def latest_date(spark: SparkSession, path: str) -> dt.date | None:
     dated = [d for d in (p.rsplit("=", 1)[1] for p in days) if re.fullmatch(r"[\d-]+", d)]
     if dated:
         return dt.date.fromisoformat(max(dated))
-    newest = max((m for m in (p.rsplit("=", 1)[1] for p in months) if re.fullmatch(r"[\d-]+", m)), default=None)
-    if newest is None:
+    named = [m for m in (p.rsplit("=", 1)[1] for p in months) if re.fullmatch(r"[\d-]+", m)]
+    if not named:
         return None
+    newest = max(named)
     folders = [p for p in months if p.endswith(f"={newest}")]
     found = greatest_date(spark, folders).first()[0]
     if found is not None and f"{found:%Y-%m}" == newest:

@@ -77,6 +77,20 @@ def test_heavy_rows_are_broadcast_to_or_dealt(sides, plan):
     assert "RoundRobinPartitioning" in dealt
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_copies_of_dealt_rows_are_never_broadcast(spark, how):
+    """All keys are heavy, so nothing but the dealt rows is joined; both sides look small."""
+    n = F.col("id")
+    large = spark.range(6000).select((n % 3).alias("k"), n.alias("a"))
+    small = spark.range(300).select((n % 3).alias("k"), n.alias("b"))
+    joined = skewed_join(large, small, "k", how=how, max_broadcast_bytes=0)
+    copied = joined.where("k = 1")
+    assert copied.count() == 2000 * 100
+    operators = copied._jdf.queryExecution().executedPlan().toString().splitlines()
+    dealt = [x for x in operators if "_cell" in x and "Join" in x]
+    assert dealt and all("SortMergeJoin" in x for x in dealt)
+
+
 def test_a_grid_copies_fewer_rows_of_the_larger_side():
     assert grid(1000, 1000, 64) == (8, 8)
     down, across = grid(100_000, 10, 64)

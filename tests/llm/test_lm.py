@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tristrata.llm import lm
+from tristrata.llm.storage import stored
 
 
 def model(texts, order):
@@ -70,3 +71,22 @@ def test_other_columns_nothing_to_learn_from_and_empty_tables(clashing):
     assert scores[4] == (pytest.approx(-math.log10(256)), 0)
     assert scores[7][0] == pytest.approx(-11 * math.log10(256), rel=1e-6)
     assert lm.score(clashing.limit(0), F.lit(False)).count() == 0
+
+
+def test_small_partitions_share_blocks_and_levels_are_worked_out_once(spark, monkeypatch):
+    kept = {}
+
+    def store(df, label):
+        kept.setdefault(label, []).append(stored(df, label))
+        return kept[label][-1]
+
+    monkeypatch.setattr(lm, "stored", store)
+    text = F.concat_ws(" ", F.lit("one and the same line"), F.col("id") % 7)
+    docs = spark.range(60).select(F.col("id").alias("doc_id"), text.alias("text"))
+    docs = stored(docs.repartition(20), "docs")
+    scored = lm.score(docs, F.col("doc_id") % 5 == 1)
+    assert scored.count() == 60
+    assert kept["lm-requests"][0].select("block").distinct().count() == 1
+    assert len(kept["lm-level"]) == lm.ORDER
+    level = kept["lm-level"][0]
+    assert level.count() == level.select("g").distinct().count()

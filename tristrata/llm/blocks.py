@@ -53,12 +53,19 @@ def row_digest(columns: list[str]) -> Column:
     )))
 
 
-def parts_for(docs: DataFrame, text: str) -> int:
-    """Buckets for the keys of all texts: one for every ``PART_BYTES``, at least 64."""
-    total = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+def text_bytes(docs: DataFrame, text: str) -> int:
+    return docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+
+
+def parts_of(total: int) -> int:
+    """Buckets for the keys of ``total`` bytes: one for every ``PART_BYTES``, at least 64."""
     return max(LEAST_PARTS, -(-total // PART_BYTES))
 
 
+def parts_for(docs: DataFrame, text: str) -> int:
+    return parts_of(text_bytes(docs, text))
+
+
 def blocks(
     batches: Iterator[pa.RecordBatch], text: str, limit: int = BLOCK_BYTES
 ) -> Iterator[tuple[str, pa.Table, pa.Array]]:

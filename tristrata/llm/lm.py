@@ -37,11 +37,12 @@ from tristrata.llm.blocks import (
     pack,
     pack_numbers,
     pack_strings,
-    parts_for,
+    parts_of,
     renamed,
     restored,
     rows,
     strings,
+    text_bytes,
     unpack,
     unpack_numbers,
     unpack_strings,
@@ -55,6 +56,8 @@ END = 0xFF
 SYMBOLS = 256
 #: Bytes of text whose strings a task counts together; smaller blocks take less memory.
 LM_BLOCK = 5 << 20
+#: Small partitions are read together up to about as much: each would send strings of its own.
+LEAST_BLOCK = LM_BLOCK * 3 // 4
 TEXTS, STRINGS, WORDS = 0, 1, 2
 
 REQUESTS = pa.schema(
@@ -142,8 +145,9 @@ def log_probabilities(counted: DataFrame, order: int) -> DataFrame:
         return F.col("g").bitwiseAND(F.lit((1 << (8 * (j + 1))) - 1))
 
     level = {order: counted.where("n > 0").select("g", "n")}
-    for j in range(order - 1, -1, -1):
-        level[j] = level[j + 1].groupBy(tail(j).alias("g")).agg(F.sum("n").alias("n"))
+    for j in range(order - 1, -1, -1):  # each level is read several times, also by the next
+        sums = level[j + 1].groupBy(tail(j).alias("g")).agg(F.sum("n").alias("n"))
+        level[j] = stored(sums, "lm-level")
     contexts = {}
     for j in range(order, -1, -1):
         here = level[j].withColumn("c", F.shiftright("g", 8))
@@ -203,7 +207,9 @@ def score(
     held_out = F.coalesce(held_out, F.lit(False))
     docs = renamed(docs, kept, held_out=held_out, text=F.col(f"`{text}`"))
     inner = docs.columns[:-1]
-    parts = parts_for(docs, "text")
+    total = text_bytes(docs, "text")
+    parts = parts_of(total)
+    docs = docs.coalesce(max(1, -(-total // LEAST_BLOCK)))
 
     def requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, table, texts in blocks(batches, "text", LM_BLOCK):

@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tristrata.llm import repeats
+from tristrata.llm.storage import stored
 from tristrata.llm.suffixes import Row, suffix_array
 
 
@@ -72,6 +73,36 @@ def test_shared_passages_in_small_and_large_groups(spark, monkeypatch, group):
         counts(frame, length=100)
 
 
+@pytest.mark.parametrize("across", [False, True])
+def test_a_common_passage_sends_few_digests(spark, monkeypatch, across):
+    """Of an anchor in many texts, most windows are not shared and need no digest of their own."""
+    rng = np.random.default_rng(7)
+
+    def noise(n):
+        return "".join(rng.choice(list("abcdefgh "), n))
+
+    passage = noise(600)
+    texts = [noise(380) + passage + noise(370) + "é" for _ in range(120)]
+    texts += [texts[0], texts[1] + noise(30), passage[100:] + noise(420), noise(9) + passage[:450]]
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id int, text string")
+    kept = {}
+
+    def noted(df, label):
+        kept[label] = stored(df, label)
+        return kept[label]
+
+    monkeypatch.setattr(repeats, "GROUP", 30)
+    monkeypatch.setattr(repeats, "stored", noted)
+    whole = [t.encode() for t in texts]
+    if across:
+        left = repeats.remove_repeats(frame, across=True).collect()
+        assert sorted(r.text for r in left) == brute_across(whole, 400, 0)
+    else:
+        assert counts(frame) == brute(whole)
+    # of about 2 * 400 windows in each text that reach over an end of the passage
+    assert kept["repeat-windows"].count() < 40 * len(texts)
+
+
 def brute_across(texts, length, words, ordered=False):
     """What is left of each text: runs of ``words`` words or more that another text starts too."""
     owners = collections.defaultdict(set)

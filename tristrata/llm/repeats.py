@@ -8,13 +8,16 @@ of one anchor are a run, and a run travels as the stretch of text that it covers
    a run whose anchor occurs once in all texts has no repeat, and most runs end here. The
    others are counted by digest of their stretch; one that occurs twice repeats as a whole,
    and every digest goes on once.
-2. Where different stretches share an anchor, their texts are gathered by anchor, in
+2. Runs of an anchor with more than ``GROUP`` different stretches are cut into pieces of up to
+   ``STEP`` windows, aligned to the anchor. The bytes that all windows of a whole piece share become
+   its anchor, so most pieces end as those of step 1 do: theirs occurs once, or they repeat as a whole.
+3. Where different stretches share an anchor, their texts are gathered by anchor, in
    sub-groups of ``GROUP`` stretches, so that no anchor gathers without bound. Each task builds
    the suffix array of its stretches by two-stage sorting (``suffixes``); neighbours with a common
    prefix of ``length`` or more are repeats.
-3. An anchor of several sub-groups also sends one digest for each different window; those
-   found in two sub-groups repeat as well.
-4. Repeats go back to the texts by digest, and each text drops the bytes they cover.
+4. An anchor of several sub-groups, by now one of pieces, also sends one digest for each different
+   window; those found in two sub-groups repeat as well.
+5. Repeats go back to the texts by digest, and each text drops the bytes they cover.
 
 With ``across`` only strings that also start in another text count, and with ``words`` a removed run
 must hold that many whole words.
@@ -38,7 +41,8 @@ from pyspark.sql import functions as F
 from tristrata.llm.blocks import mixed, renamed, restored, rows
 from tristrata.llm.storage import stored
 from tristrata.llm.suffixes import Row, suffix_array
-from tristrata.operators.join import skewed_join
+from tristrata.operators.join import sized_join, skewed_join
+from tristrata.sizes import measure
 
 #: Bytes of a string that may not start twice, unless a caller says otherwise.
 LENGTH = 400
@@ -46,6 +50,8 @@ LENGTH = 400
 GRAM = 64
 #: Stretches of one anchor that are sorted together; about 570 bytes each.
 GROUP = 4000
+#: Windows of a piece of a run.
+STEP = 16
 #: Bytes of stretches for one suffix array, once whole sub-groups are in.
 CHUNK = 1 << 20
 
@@ -186,6 +192,62 @@ FOUND = "run binary, window binary, spots array<int>, repeats boolean, owner lon
 MANY = -1
 
 
+#: A piece of a run: where it starts in the run, the windows it has, and ``id`` and ``at`` of its text.
+PIECES = (
+    "run binary, anchor long, m long, owner long, whole boolean, "
+    "piece binary, start int, id long, at int, size int"
+)
+
+
+def pieces(heavy: DataFrame, texts: DataFrame, length: int) -> DataFrame:
+    """The runs of ``heavy`` in pieces of ``STEP`` windows: rows of ``PIECES``.
+
+    Equal windows hold their anchor at the same distance ``d`` and are in pieces of the same number
+    ``d // STEP``. All windows of that number, in any run, hold the same ``length - STEP + 1`` bytes
+    around the anchor if they are equal; their digest is the anchor of the piece.
+    """
+    schema = pa.schema(
+        [("run", pa.binary()), ("anchor", pa.int64()), ("m", pa.int64()), ("owner", pa.int64())]
+        + [("whole", pa.bool_()), ("piece", pa.binary()), ("start", pa.int32())]
+        + [("id", pa.int64()), ("at", pa.int32()), ("size", pa.int32())]
+    )
+    fields = ["run", "anchor", "m", "owner", "whole", "at", "size"]
+    by_text = heavy.groupBy("id").agg(F.collect_list(F.struct(*fields)).alias("runs"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for t, z, mine in zip(*(batch.column(c) for c in ("id", "z", "runs")), strict=True):
+                text, found = tool.decompress(z.as_py()), []
+                for r in mine.as_py():
+                    at, size = r["at"], r["size"]
+                    gram = gram_hashes(np.frombuffer(text, np.uint8, length, at))
+                    to = int(np.flatnonzero(gram.view(np.int64) == r["anchor"])[0])
+                    for last in range(to % STEP, size + STEP - 1, STEP):
+                        first, end = max(last - STEP + 1, 0), min(last, size - 1)
+                        core = text[at + last : at + last + length - STEP + 1]
+                        core = hashlib.blake2b(core, digest_size=8).digest()
+                        body = text[at + first : at + end + length]
+                        name = hashlib.blake2b(body, digest_size=16, person=b"piece")
+                        found.append(
+                            {
+                                **r,
+                                "anchor": int.from_bytes(core, "little", signed=True),
+                                "piece": name.digest(),
+                                "start": first,
+                                "id": t.as_py(),
+                                "at": at + first,
+                                "size": end - first + 1,
+                            }
+                        )
+                yield pa.RecordBatch.from_pylist(found, schema)
+
+    ids = heavy.select("id").distinct()
+    held = sized_join(texts.select("id", "z"), ids, "id", small_size=measure(ids))
+    joined = by_text.join(held, "id").select("id", "z", "runs")
+    return joined.mapInArrow(gathered(cut), PIECES)
+
+
 def stretches(wanted: DataFrame, texts: DataFrame, length: int) -> DataFrame:
     """The text of each wanted run: rows of ``STRETCHES``."""
     fields = ["run", "anchor", "salt", "alone", "whole", "owner", "at", "size"]
@@ -313,6 +375,25 @@ def sorted_repeats(gathered_runs: DataFrame, length: int, across: bool) -> DataF
     )
 
 
+def sharing(distinct: DataFrame) -> DataFrame:
+    """The ``distinct`` stretches whose anchor others have too; ``k`` of them have it."""
+    several = distinct.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1")
+    owner = F.when(F.col("spread"), F.lit(MANY)).otherwise(F.col("where.id")).alias("owner")
+    return distinct.join(several, "anchor").select(
+        "run", "anchor", "k", "m", "whole", owner, "where.id", "where.at", "where.size"
+    )
+
+
+def of_runs(parts: DataFrame, each: DataFrame, part: DataFrame) -> DataFrame:
+    """Rows ``run, spots`` for the runs that ``parts`` are cut from, of what their pieces repeat."""
+    every = F.sequence(F.lit(0), F.col("where.size") - 1)
+    marked = each.where("whole").select(F.col("run").alias("piece"), every.alias("spots"))
+    marked = marked.union(part.select("run", "spots"))
+    spots = F.transform("spots", lambda x: x + F.col("start")).alias("spots")
+    found = parts.where("not whole").join(marked, "piece").select("run", spots)
+    return found.groupBy("run").agg(F.flatten(F.collect_list("spots")).alias("spots"))
+
+
 def repeats(texts: DataFrame, length: int, across: bool) -> DataFrame:
     """Rows ``id, runs``: runs of each distinct text with the places where a repeated window starts."""
     every = stored(runs(texts, length), "repeat-runs")
@@ -325,18 +406,31 @@ def repeats(texts: DataFrame, length: int, across: bool) -> DataFrame:
     )
     distinct = distinct.withColumn("whole", F.col("spread") if across else F.col("m") > 1)
     distinct = stored(distinct, "repeat-stretches")
-    several = distinct.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1")
+    near = stored(sharing(distinct), "repeat-shared")
+    heavy, parts = near.where(F.col("k") > GROUP), None
+    if not heavy.isEmpty():
+        parts = stored(pieces(heavy, texts, length), "repeat-pieces")
+        low, high = F.min("owner"), F.max("owner")
+        each = parts.groupBy(F.col("piece").alias("run")).agg(
+            F.min("anchor").alias("anchor"),
+            F.sum("m").alias("m"),
+            F.min(F.struct("id", "at", "size")).alias("where"),
+            ((low < high) | (low == MANY)).alias("spread"),
+        )
+        each = each.withColumn("whole", F.col("spread") if across else F.col("m") > 1)
+        each = stored(each, "repeat-each")
+        near = near.where(F.col("k") <= GROUP).unionByName(sharing(each))
     groups = F.ceil(F.col("k") / GROUP).cast("int")
-    wanted = distinct.join(several, "anchor").select(
-        "where.id",
-        "where.at",
-        "where.size",
+    wanted = near.select(
+        "id",
+        "at",
+        "size",
         "run",
         "anchor",
         F.pmod(F.xxhash64("run"), groups).cast("int").alias("salt"),
         (groups == 1).alias("alone"),
         "whole",
-        F.when(F.col("spread"), F.lit(MANY)).otherwise(F.col("where.id")).alias("owner"),
+        "owner",
     )
     ways = stretches(wanted, texts, length)
     found = stored(sorted_repeats(ways, length, across), "repeat-windows")
@@ -350,6 +444,8 @@ def repeats(texts: DataFrame, length: int, across: bool) -> DataFrame:
         found.where("window is null").select("run", "spots").union(more)
         .groupBy("run").agg(F.flatten(F.collect_list("spots")).alias("spots"))
     )
+    if parts is not None:
+        part = part.unionByName(of_runs(parts, each, part))
     whole = distinct.where("whole").select("run", F.lit(None).cast("array<int>").alias("spots"))
     marked = whole.unionByName(part.join(whole.select("run"), "run", "left_anti"))
     return (

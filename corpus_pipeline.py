@@ -15,8 +15,6 @@ from tristrata.llm.queries import VOCABULARY, WEIGHTS
 from tristrata.llm.storage import stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: A passage that goes: fifty whole words or more, 200 bytes or more, in two documents or more.
-PASSAGE = {"length": 200, "across": True, "words": 50}
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +32,7 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that other documents have; a document of nothing else goes."""
     whole = docs.select(COLUMNS).withColumn("__whole", F.length("text"))
-    left = repeats.remove_repeats(whole, **PASSAGE)
+    left = repeats.remove_repeats(whole, **repeats.PASSAGE)
     emptied = (F.col("__whole") > 0) & (F.length("text") == 0)
     found = left.where(~F.coalesce(emptied, F.lit(False)))
     return found.withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)

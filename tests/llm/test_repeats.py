@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tristrata.llm import repeats
+from tristrata.llm import queries, repeats
 from tristrata.llm.storage import stored
 from tristrata.llm.suffixes import Row, suffix_array
 
@@ -143,6 +143,37 @@ def test_passages_of_other_texts_only(spark, monkeypatch, group):
         assert sorted(r.text for r in left) == brute_across([t.encode() for t in texts], 200, least)
 
 
+@pytest.mark.parametrize("group", [2, repeats.GROUP])
+def test_the_query_counts_passages_of_fifty_words_that_it_leaves(spark, monkeypatch, tmp_path, group):
+    """Passages below 400 bytes stay in the text, as they must, but are counted."""
+    monkeypatch.setattr(repeats, "GROUP", group)
+    rng = np.random.default_rng(11)
+
+    def prose(n):
+        return " ".join("".join(rng.choice(list("abcdefgh"), rng.integers(2, 9))) for _ in range(n))
+
+    planted, few, long, own = prose(58)[:390], "w" * 150 + " " + prose(30)[:200], prose(150), prose(60)
+    assert len(planted) < 400 and len(planted.split()) > 50
+    texts = [f"{prose(40)} {planted} {prose(30)}" for _ in range(4)]
+    texts += [f"{prose(9)} {few} {prose(60)}", f"{few} {prose(9)}", prose(300), prose(300), f"{own} / {own}"]
+    texts += [f"{prose(5)} {long} {planted}", f"{long} {prose(60)}", f"{planted} {planted} {prose(3)}"]
+    texts += [texts[6], texts[0], "é " * 300, f"{'é ' * 300}u", None, "", "is " * 66, "is " * 66]
+    rows = [(k, t) for k, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r.doc_id: r for r in queries.op3_repeats(spark, str(tmp_path)).collect()}
+    whole = [(t or "").encode() for t in texts]
+    got = sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found.values())
+    assert got == brute(whole)
+    left = brute_across(whole, 200, 50, ordered=True)
+    lost = [len(t) - len(x.encode()) for t, x in zip(whole, left, strict=True)]
+    assert [found[k].n_passage_bytes for k in range(len(texts))] == lost
+    assert [found[k].n_passages for k in range(12)] == [1, 1, 1, 1, 0, 0, 1, 0, 0, 1, 1, 1]
+    assert all(found[k].n_passages == (lost[k] > 0) for k in range(12, len(texts)))
+    with pytest.raises(ValueError):
+        repeats.repeat_counts(frame, passage={"length": 400, "across": True, "words": 50})
+
+
 def test_texts_without_their_repeats(odd_docs, clashing):
     left = {r.doc_id: r.text for r in repeats.remove_repeats(odd_docs).collect() if r.doc_id}
     assert left[4] is None and left[7] == "short text"

@@ -54,7 +54,8 @@ def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.repeat_counts(documents(spark, sf_dir).select("doc_id", "text"))
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return repeats.repeat_counts(docs, passage=repeats.PASSAGE)
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,9 @@ of one anchor are a run, and a run travels as the stretch of text that it covers
    window; those found in two sub-groups repeat as well.
 5. Repeats go back to the texts by digest, and each text drops the bytes they cover.
 
+Passages below ``length`` bytes may be counted beside: the runs of both lengths share their anchors,
+so texts are cut, hashed and counted once, and steps 2 to 5 follow for each length.
+
 With ``across`` only strings that also start in another text count, and with ``words`` a removed run
 must hold that many whole words.
 
@@ -34,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,10 +52,14 @@ from tristrata.sizes import measure
 LENGTH = 400
 #: Bytes of an anchor, a power of two: so many that texts rarely share them by chance.
 GRAM = 64
+#: A passage of other documents: fifty whole words or more, 200 bytes or more, in two or more of them.
+PASSAGE = {"length": 200, "across": True, "words": 50}
 #: Stretches of one anchor that are sorted together; about 570 bytes each.
 GROUP = 4000
 #: Windows of a piece of a run.
 STEP = 16
+#: Rows of a batch that a task sends on, or little more.
+MOST = 20_000
 #: Bytes of stretches for one suffix array, once whole sub-groups are in.
 CHUNK = 1 << 20
 
@@ -85,91 +93,138 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
         value = value[:-reach] | (value[reach:] << np.uint64(8 * reach))
         reach *= 2
     with np.errstate(over="ignore"):
+        value, factor = mixed(value), 0xD1B54A32D192ED03
         while reach < GRAM:
-            value = mixed(value[:-reach] * np.uint64(0xD1B54A32D192ED03) + mixed(value[reach:]))
-            reach *= 2
-    return value
+            value = value[:-reach] * np.uint64(factor) + value[reach:]
+            reach, factor = 2 * reach, factor * factor % (1 << 64)
+        return mixed(value)
 
 
-def runs_of(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First window, number of windows and anchor value of each run."""
+def runs_of_each(text: bytes, lengths: list[int]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """First window, number of windows and place of the anchor of each run, for ascending
+    ``lengths`` of at most that of the text; then the anchor values of all places."""
     gram = gram_hashes(np.frombuffer(text, np.uint8))
     # the leftmost least of each window: half of the hash above, the place below
     v = (gram & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(gram), dtype=np.uint64)
-    width, span = length - GRAM + 1, 1
-    while 2 * span <= width:
-        v = np.minimum(v[:-span], v[span:])
-        span *= 2
-    if span < width:
-        v = np.minimum(v[: len(v) - (width - span)], v[width - span :])
-    place = (v & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    size = np.diff(np.concatenate([first, [len(place)]]))
-    return first, size, gram[place[first]]
+    span, out = 1, []
+    for length in lengths:
+        width = length - GRAM + 1
+        while 2 * span <= width:
+            v = np.minimum(v[:-span], v[span:])
+            span *= 2
+        least = np.minimum(v[: len(v) - (width - span)], v[width - span :])
+        place = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+        out.append((first, np.diff(np.concatenate([first, [len(place)]])), place[first]))
+    return out, gram
+
+
+def runs_of(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First window, number of windows and anchor value of each run."""
+    [(first, size, place)], gram = runs_of_each(text, [length])
+    return first, size, gram[place]
 
 
 RUNS = pa.schema(
     [("id", pa.int64()), ("at", pa.int32()), ("size", pa.int32())]
     + [("anchor", pa.int64()), ("m", pa.int64())]
 )
+#: Where the run of longer windows with the same anchor starts, and how many it has, or 0.
+LONGER = pa.schema([("long_at", pa.int32()), ("long_size", pa.int32())])
+
+
+def joined_rows(schema: pa.Schema, held: list[list[np.ndarray]]) -> pa.RecordBatch:
+    """The columns of many texts, put together."""
+    columns = (np.concatenate(c) for c in zip(*held, strict=True))
+    return rows(schema, **dict(zip(schema.names, columns, strict=True)))
 
 
-def runs(texts: DataFrame, length: int) -> DataFrame:
-    """Rows ``id, at, size, anchor, m`` for the runs of each distinct text."""
+def runs(texts: DataFrame, length: int, longer: int | None = None) -> DataFrame:
+    """Rows ``id, at, size, anchor, m`` for the runs of each distinct text.
+
+    Anchors of ``longer`` windows are anchors of those of ``length`` bytes too, so the runs of both
+    are one row, with ``long_at`` and ``long_size``.
+    """
+    schema = pa.schema([*RUNS, *(LONGER if longer else [])])
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = zstandard.ZstdDecompressor()
         for batch in batches:
-            for t, z, m in zip(*(batch.column(c) for c in ("id", "z", "m")), strict=True):
-                at, size, anchor = runs_of(tool.decompress(z.as_py()), length)
-                n = len(at)
-                yield rows(
-                    RUNS,
-                    id=np.full(n, t.as_py(), np.int64),
-                    at=at,
-                    size=size,
-                    anchor=anchor.view(np.int64),
-                    m=np.full(n, m.as_py(), np.int64),
-                )
+            held, n = [], 0
+            for t, z, m in zip(*(batch.column(c).to_pylist() for c in ("id", "z", "m")), strict=True):
+                text = tool.decompress(z)
+                both = longer and len(text) >= longer
+                [(at, size, place), *long], gram = runs_of_each(text, [length, longer] if both else [length])
+                k = len(at)
+                columns = [np.full(k, t), at, size, gram[place].view(np.int64), np.full(k, m)]
+                if longer:
+                    columns += [np.zeros(k, np.int32), np.zeros(k, np.int32)]
+                for long_at, long_size, anchored in long:
+                    same = np.searchsorted(place, anchored)
+                    columns[-2][same], columns[-1][same] = long_at, long_size
+                held.append(columns)
+                n += k
+                if n >= MOST:
+                    yield joined_rows(schema, held)
+                    held, n = [], 0
+            if held:
+                yield joined_rows(schema, held)
 
     columns = "id long, at int, size int, anchor long, m long"
-    return texts.select("id", "z", "m").mapInArrow(gathered(found), columns)
+    columns += ", long_at int, long_size int" if longer else ""
+    return texts.select("id", "z", "m").mapInArrow(found, columns)
+
 
+def named_runs(
+    every: DataFrame, texts: DataFrame, length: int, longer: int | None = None
+) -> DataFrame:
+    """The runs whose anchor occurs twice, with ``run``, the digest of their stretch.
 
-def named_runs(every: DataFrame, texts: DataFrame, length: int) -> DataFrame:
-    """The runs whose anchor occurs twice, with ``run``, the digest of their stretch."""
+    With ``longer`` also ``long_run``, that of the run of longer windows.
+    """
     shared = every.groupBy("anchor").agg(F.sum("m").alias("k")).where("k > 1").select("anchor")
-    fields = ["at", "size", "anchor", "m"]
+    fields = ["at", "size", "anchor", "m", *(LONGER.names if longer else [])]
     open_runs = skewed_join(every, shared, "anchor")
     by_text = open_runs.groupBy("id").agg(F.collect_list(F.struct(*fields)).alias("runs"))
 
+    def digests(text: bytes, at: np.ndarray, size: np.ndarray, length: int) -> pa.Array:
+        ends = np.where(size > 0, at + size - 1 + length, 0)
+        run = [
+            hashlib.blake2b(text[a:b], digest_size=16).digest() if b else None
+            for a, b in zip(at.tolist(), ends.tolist(), strict=True)
+        ]
+        return pa.array(run, pa.binary())
+
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = zstandard.ZstdDecompressor()
         for batch in batches:
             for t, z, mine in zip(*(batch.column(c) for c in ("id", "z", "runs")), strict=True):
                 text = tool.decompress(z.as_py())
-                at, size, anchor, m = (mine.values.field(k).to_numpy() for k in range(4))
-                run = [
-                    hashlib.blake2b(text[a:b], digest_size=16).digest()
-                    for a, b in zip(at.tolist(), (at + size - 1 + length).tolist(), strict=True)
-                ]
+                at, size, anchor, m, *long = (
+                    mine.values.field(k).to_numpy() for k in range(len(fields))
+                )
+                more = {c: pa.array(x) for c, x in zip(LONGER.names, long)}
+                if longer:
+                    more["long_run"] = digests(text, *long, longer)
                 yield pa.record_batch(
                     {
                         "id": pa.array(np.full(len(at), t.as_py(), np.int64)),
                         "at": pa.array(at),
                         "size": pa.array(size),
                         "anchor": pa.array(anchor),
-                        "run": pa.array(run, pa.binary()),
+                        "run": digests(text, at, size, length),
                         "m": pa.array(m),
+                        **more,
                     }
                 )
 
     columns = "id long, at int, size int, anchor long, run binary, m long"
+    columns += ", long_at int, long_size int, long_run binary" if longer else ""
     joined = by_text.join(texts.select("id", "z"), "id")
     return joined.select("id", "z", "runs").mapInArrow(gathered(named), columns)
 
 
-def gathered(step, most: int = 20_000):
+def gathered(step, most: int = MOST):
     """``step`` with its small batches put together."""
 
     def larger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,20 +313,11 @@ def stretches(wanted: DataFrame, texts: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             for z, mine in zip(batch.column("z"), batch.column("runs"), strict=True):
                 text = tool.decompress(z.as_py())
-                mine = mine.as_py()
-                body = [text[r["at"] : r["at"] + r["size"] - 1 + length] for r in mine]
-                columns = {c: [r[c] for r in mine] for c in fields[:6]}
-                yield pa.record_batch(
-                    {
-                        "run": pa.array(columns["run"], pa.binary()),
-                        "anchor": pa.array(columns["anchor"], pa.int64()),
-                        "salt": pa.array(columns["salt"], pa.int32()),
-                        "alone": pa.array(columns["alone"], pa.bool_()),
-                        "whole": pa.array(columns["whole"], pa.bool_()),
-                        "owner": pa.array(columns["owner"], pa.int64()),
-                        "body": pa.array(body, pa.binary()),
-                    }
-                )
+                columns = {c: mine.values.field(k) for k, c in enumerate(fields)}
+                at, size = columns.pop("at").to_numpy(), columns.pop("size").to_numpy()
+                ends = (at + size - 1 + length).tolist()
+                body = [text[a:b] for a, b in zip(at.tolist(), ends, strict=True)]
+                yield pa.record_batch(columns | {"body": pa.array(body, pa.binary())})
 
     joined = by_text.join(texts.select("id", "z"), "id").select("z", "runs")
     return joined.mapInArrow(gathered(cut), STRETCHES)
@@ -376,8 +422,12 @@ def sorted_repeats(gathered_runs: DataFrame, length: int, across: bool) -> DataF
 
 
 def sharing(distinct: DataFrame) -> DataFrame:
-    """The ``distinct`` stretches whose anchor others have too; ``k`` of them have it."""
-    several = distinct.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1")
+    """The ``distinct`` stretches whose anchor others have too; ``k`` of them have it.
+
+    Those of an anchor whose stretches all repeat as a whole have nothing left to find.
+    """
+    several = distinct.groupBy("anchor").agg(F.count("*").alias("k"), F.every("whole").alias("done"))
+    several = several.where("k > 1 and not done").select("anchor", "k")
     owner = F.when(F.col("spread"), F.lit(MANY)).otherwise(F.col("where.id")).alias("owner")
     return distinct.join(several, "anchor").select(
         "run", "anchor", "k", "m", "whole", owner, "where.id", "where.at", "where.size"
@@ -394,10 +444,8 @@ def of_runs(parts: DataFrame, each: DataFrame, part: DataFrame) -> DataFrame:
     return found.groupBy("run").agg(F.flatten(F.collect_list("spots")).alias("spots"))
 
 
-def repeats(texts: DataFrame, length: int, across: bool) -> DataFrame:
+def repeats(named: DataFrame, texts: DataFrame, length: int, across: bool) -> DataFrame:
     """Rows ``id, runs``: runs of each distinct text with the places where a repeated window starts."""
-    every = stored(runs(texts, length), "repeat-runs")
-    named = stored(named_runs(every, texts, length), "repeat-named")
     distinct = named.groupBy("run").agg(
         F.min("anchor").alias("anchor"),
         F.sum("m").alias("m"),
@@ -469,6 +517,24 @@ def long_runs(data: bytes, gone: np.ndarray, words: int) -> np.ndarray:
     return out
 
 
+def covered(n: int, found: pa.ListScalar, length: int) -> np.ndarray:
+    """Whether each of ``n`` bytes is in a repeated window."""
+    if not found.is_valid:
+        return np.zeros(n, bool)
+    at, size = (found.values.field(c).to_numpy() for c in ("at", "size"))
+    spots = found.values.field("spots")
+    whole = spots.is_null().to_numpy(zero_copy_only=False)
+    several = pc.fill_null(pc.list_value_length(spots), 0).to_numpy(zero_copy_only=False)
+    single = np.repeat(at, several) + spots.flatten().to_numpy()
+    first = np.concatenate([at[whole], single])
+    end = np.concatenate([(at + size - 1)[whole], single]) + length
+    return np.cumsum(np.bincount(first, minlength=n + 1) - np.bincount(end, minlength=n + 1))[:-1] > 0
+
+
+def n_spans(gone: np.ndarray) -> int:
+    return int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
+
+
 def cleaned(
     docs: DataFrame,
     text: str = "text",
@@ -476,55 +542,83 @@ def cleaned(
     length: int = LENGTH,
     across: bool = False,
     words: int = 0,
+    passage: dict | None = None,
 ) -> DataFrame:
     """Rows ``t, n_removed, n_spans, left`` for each distinct text with a repeat.
 
-    ``left`` holds the bytes, or with ``as_text`` the characters that no cut went through.
+    ``left`` holds the bytes, or with ``as_text`` the characters that no cut went through. A
+    ``passage`` with its own ``length``, below the other, ``across`` and ``words`` is not removed: with
+    it there are also ``n_passage_bytes`` and ``n_passages``, what it alone would remove.
     """
-    if length < 2 * GRAM:
-        raise ValueError(f"length must be at least {2 * GRAM}, got {length}")
-    texts = distinct_texts(docs, text, length)
+    least = passage["length"] if passage else length
+    if least < 2 * GRAM:
+        raise ValueError(f"length must be at least {2 * GRAM}, got {least}")
+    if passage and least >= length:
+        raise ValueError(f"passages must be shorter than {length}, got {least}")
+    texts = distinct_texts(docs, text, least)
+    longer = length if passage else None
+    every = stored(runs(texts, least, longer), "repeat-runs")
+    named = stored(named_runs(every, texts, least, longer), "repeat-named")
+    columns = ["id", "at", "size", "anchor", "run", "m"]
+    if passage:
+        short = repeats(named.select(columns), texts, least, passage["across"])
+        long = named.where("long_size > 0").select(
+            "id",
+            F.col("long_at").alias("at"),
+            F.col("long_size").alias("size"),
+            "anchor",
+            F.col("long_run").alias("run"),
+            "m",
+        )
+        long = repeats(long, texts, length, across)
+        found = long.join(short.withColumnRenamed("runs", "short"), "id", "full")
+    else:
+        found = repeats(named, texts, length, across).withColumn("short", F.lit(None).cast("int"))
+    counts = ["n_removed", "n_spans"] + (["n_passage_bytes", "n_passages"] if passage else [])
 
     def dropped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = zstandard.ZstdDecompressor()
         for batch in batches:
-            out = {"n_removed": [], "n_spans": [], "left": []}
-            for z, mine in zip(batch.column("z"), batch.column("runs"), strict=True):
+            out = {c: [] for c in [*counts, "left"]}
+            columns = (batch.column(c) for c in ("z", "runs", "short"))
+            for z, mine, short in zip(*columns, strict=True):
                 data = np.frombuffer(tool.decompress(z.as_py()), np.uint8)
-                starts = np.zeros(len(data) + 1, np.int32)
-                for r in mine.as_py():
-                    if r["spots"] is None:
-                        starts[r["at"]] += 1
-                        starts[r["at"] + r["size"] - 1 + length] -= 1
-                    else:
-                        at = r["at"] + np.asarray(r["spots"])
-                        np.add.at(starts, at, 1)
-                        np.add.at(starts, at + length, -1)
-                gone = np.cumsum(starts[:-1]) > 0
+                gone = covered(len(data), mine, length)
                 if words:
                     gone = long_runs(data.tobytes(), gone, words)
                 out["n_removed"].append(int(gone.sum()))
-                out["n_spans"].append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
+                out["n_spans"].append(n_spans(gone))
                 left = data[~gone].tobytes()
                 out["left"].append(left.decode(errors="ignore") if as_text else left)
+                if passage:
+                    said = covered(len(data), short, least)
+                    said = long_runs(data.tobytes(), said, passage["words"])
+                    out["n_passage_bytes"].append(int(said.sum()))
+                    out["n_passages"].append(n_spans(said))
+            kind = pa.string() if as_text else pa.binary()
             yield pa.record_batch(
-                {
-                    "t": batch.column("t"),
-                    "n_removed": pa.array(out["n_removed"], pa.int64()),
-                    "n_spans": pa.array(out["n_spans"], pa.int64()),
-                    "left": pa.array(out["left"], pa.string() if as_text else pa.binary()),
-                }
+                {"t": batch.column("t")}
+                | {c: pa.array(out[c], pa.int64()) for c in counts}
+                | {"left": pa.array(out["left"], kind)}
             )
 
-    joined = repeats(texts, length, across).join(texts.select("id", "t", "z"), "id")
-    joined = joined.select("t", "z", "runs")
+    joined = found.join(texts.select("id", "t", "z"), "id")
+    joined = joined.select("t", "z", "runs", "short")
     kind = "string" if as_text else "binary"
-    return joined.mapInArrow(dropped, f"t binary, n_removed long, n_spans long, left {kind}")
+    numbers = "".join(f"{c} long, " for c in counts)
+    return joined.mapInArrow(dropped, f"t binary, {numbers}left {kind}")
+
 
+def repeat_counts(
+    docs: DataFrame, text: str = "text", length: int = LENGTH, passage: dict | None = None
+) -> DataFrame:
+    """``docs`` without ``text``, with ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``.
 
-def repeat_counts(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
-    """``docs`` without ``text``, with ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``."""
-    outputs = ("n_bytes", "n_removed", "n_spans", "kept_sha256", text)
+    With a ``passage``, say ``PASSAGE``, also with ``n_passages`` and ``n_passage_bytes``: the passages
+    that other documents have, counted and not removed.
+    """
+    more = ["n_passages", "n_passage_bytes"] if passage else []
+    outputs = ("n_bytes", "n_removed", "n_spans", "kept_sha256", *more, text)
     kept = [c for c in docs.columns if c not in outputs]
     column = F.col(f"`{text}`")
     whole = F.coalesce(column, F.lit(""))
@@ -535,8 +629,8 @@ def repeat_counts(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
         n_bytes=F.octet_length(whole).cast("long"),
         own=F.sha2(whole.cast("binary"), 256),
     )
-    lost = cleaned(docs, text, length=length)
-    lost = lost.select("t", "n_removed", "n_spans", F.sha2("left", 256).alias("sha"))
+    lost = cleaned(docs, text, length=length, passage=passage)
+    lost = lost.select("t", "n_removed", "n_spans", *more, F.sha2("left", 256).alias("sha"))
     return restored(
         keyed.join(lost, "t", "left"),
         kept,
@@ -544,6 +638,7 @@ def repeat_counts(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
         F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
         F.coalesce("n_spans", F.lit(0)).alias("n_spans"),
         F.coalesce("sha", "own").alias("kept_sha256"),
+        *(F.coalesce(c, F.lit(0)).alias(c) for c in more),
     )
 
 

@@ -1,7 +1,9 @@
+import tracemalloc
 import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,6 +95,47 @@ def test_sample_of_the_fit_is_bounded_and_even(spark, monkeypatch, key):
     assert sizes.value == 600 + 10_000 * 300 and abs(hot.value - 200) < 60
 
 
+@pytest.mark.parametrize("kind", [np.ndarray.tolist, lambda x: x.astype(toxicity.NUMBER)])
+def test_memory_of_the_fit(kind):
+    """The fit takes a few bytes for a feature number, and no table of floats over all numbers."""
+    rng = np.random.default_rng(1)
+    draw = lambda mark: kind(np.unique(np.append(rng.integers(0, toxicity.FEATURES, 500), mark)))
+    positive, unlabelled = [draw([5]) for _ in range(300)], [draw([]) for _ in range(600)]
+    tracemalloc.start()
+    try:
+        weights = toxicity.fit(positive, unlabelled, 0.2)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert weights[5] > 0 and peak < 100e6
+
+
+def test_sets_travel_as_bytes_in_the_order_of_their_numbers(spark):
+    texts = ["b a a", "alphabet", "", None, "Alphabet soup", "a"]
+    frame = spark.createDataFrame([(t, True, 1) for t in texts], "text string, mark boolean, turn long")
+    rows = toxicity.feature_sets(frame, "text", "mark", "turn").collect()
+    got = [np.frombuffer(r.features, toxicity.NUMBER).tolist() for r in rows]
+    wanted = [
+        sorted({f for w in (t or "").lower().split() for f in toxicity.features(w)}) for t in texts
+    ]
+    assert sorted(got) == sorted(wanted)
+    ordered = sorted(bytes(r.features) for r in rows)
+    assert [np.frombuffer(x, toxicity.NUMBER).tolist() for x in ordered] == sorted(wanted)
+
+
+def test_logits_sum_the_distinct_features_of_a_text():
+    texts = ["", "no such", "bad bad badly BAD", "a bad  end", " \n", "badge"]
+    model = {f: 0.1 * k for k, f in enumerate(sorted({*toxicity.features("badly"), *toxicity.features("end")}), 1)}
+    model[-1] = -0.7
+    for few in (texts, texts[:1], []):
+        got = toxicity.logits(pa.array(few, pa.string()), model)
+        wanted = [
+            sum((model.get(f, 0.0) for f in sorted({f for w in t.lower().split() for f in toxicity.features(w)})), -0.7)
+            for t in few
+        ]
+        assert got.tolist() == wanted
+
+
 def test_rules_and_parts(spark):
     rows = [
         (1, "HTTPS://A.Example.ORG/es/1?x#y"),

@@ -9,10 +9,10 @@ read. With class prior ``p`` the risk is
 so toxic texts among the unlabelled ones do not count as clean ones. Where the bracket falls
 below zero the fit steps back along it instead of gaining from it.
 
-The fit sees ``MOST_POSITIVE`` and ``MOST_UNLABELLED`` rows at most, as sets of feature numbers;
-it is one task over that bounded sample. A hash of key, text and the row's number in the input
-picks them, so rows with one key, or none, are picked apart. Scoring covers whole
-texts, row by row, without a shuffle.
+The fit sees ``MOST_POSITIVE`` and ``MOST_UNLABELLED`` rows at most, as sets of feature numbers
+of four bytes each; it is one task over that bounded sample. A hash of key, text and the row's
+number in the input picks them, so rows with one key, or none, are picked apart. Scoring covers
+whole texts, row by row, without a shuffle.
 
 Null and empty texts have no features and get the score of the constant alone. Rows without
 a key or label are unlabelled. Repeated rows get the same score. Without any positive row
@@ -21,7 +21,8 @@ columns with the name of an output are replaced.
 """
 
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -44,72 +45,95 @@ SPARSITY = 2e-5
 #: How many times the rows wanted are picked by hash before the least are taken.
 SPARE = 1.2
 PICKED = 1 << 40
+#: How feature numbers travel; bytes of sorted numbers compare as these do.
+NUMBER = ">u4"
+#: How many sets the fit turns into indices at once, and how much text is scored at once.
+TOGETHER = 256
+SCORED_BYTES = 2 << 20
 
 
 def features(word: str) -> list[int]:
     """Numbers of a word and of its beginnings."""
-    parts = [word + " ", *(word[:k] for k in PREFIXES if len(word) >= k)]
-    return [zlib.crc32(x.encode("utf-8", "surrogatepass")) % FEATURES for x in parts]
+    whole = word.encode("utf-8", "surrogatepass")
+    if len(whole) == len(word):
+        starts = [whole[:k] for k in PREFIXES if len(word) >= k]
+    else:
+        starts = [word[:k].encode("utf-8", "surrogatepass") for k in PREFIXES if len(word) >= k]
+    return [zlib.crc32(x) % FEATURES for x in (whole + b" ", *starts)]
 
 
 def feature_sets(df: DataFrame, text: str, label: str, turn: str) -> DataFrame:
-    """Rows ``positive, features, turn`` with the distinct feature numbers of each text."""
+    """Rows ``positive, features, turn``: the distinct numbers of a text, ascending, as ``NUMBER``."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             whole = pc.ascii_lower(pc.fill_null(batch.column(text), ""))
             found = [
-                sorted({f for w in set(x.split()) for f in features(w)})
-                for x in whole.to_pylist()
+                np.array(sorted({f for w in words for f in features(w)}), NUMBER).tobytes()
+                for words in (set(x.as_py().split()) for x in whole)
             ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(label), pa.array(found, pa.list_(pa.int32())), batch.column(turn)],
+                [batch.column(label), pa.array(found, pa.binary()), batch.column(turn)],
                 names=["positive", "features", "turn"],
             )
 
-    columns = "positive boolean, features array<int>, turn long"
+    columns = "positive boolean, features binary, turn long"
     return df.select(label, text, turn).mapInArrow(sets, columns)
 
 
 def rows_times(weights: np.ndarray, index: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    sums = np.concatenate([[0.0], np.cumsum(weights[index])])
+    sums = np.zeros(len(index) + 1)
+    sums[1:] = weights[index]
+    np.cumsum(sums[1:], out=sums[1:])
     return sums[bounds[1:]] - sums[bounds[:-1]]
 
 
-def evident(positive: list, unlabelled: list) -> tuple[np.ndarray, np.ndarray]:
+def joined(sets: Sequence) -> Iterator[tuple[int, np.ndarray]]:
+    """The numbers of ``TOGETHER`` sets after another, and where these sets begin."""
+    for start in range(0, len(sets), TOGETHER):
+        few = sets[start : start + TOGETHER]
+        yield start, np.concatenate([np.asarray(x, np.int64) for x in few])
+
+
+def evident(positive: Sequence, unlabelled: Sequence) -> tuple[np.ndarray, np.ndarray]:
     """Features whose shares of positive and unlabelled texts differ, and what is left of each.
 
     A feature counts by the standard errors ``z`` between its two shares, as ``(1 - (CHANCE / z)**2)**2``:
     one that few texts have is held back as far as they leave it uncertain, and whether it is
     used depends on that alone, not on a number of texts.
     """
-    counts = [
-        np.bincount(np.concatenate([np.asarray(x, np.int64) for x in side]), minlength=FEATURES)
-        if side
-        else np.zeros(FEATURES, np.int64)
-        for side in (positive, unlabelled)
-    ]
+    counts = np.zeros((2, FEATURES), np.int32)
+    for side, sets in enumerate((positive, unlabelled)):
+        for _, flat in joined(sets):
+            np.add.at(counts[side], flat, 1)
+    seen = np.flatnonzero(counts.any(axis=0))
+    counts = counts[:, seen]
     sizes = [max(1, len(positive)), max(1, len(unlabelled))]
     both = (counts[0] + counts[1]) / sum(sizes)
     error = np.sqrt(both * (1 - both) * (1 / sizes[0] + 1 / sizes[1])) + 1e-12
     z = np.abs(counts[0] / sizes[0] - counts[1] / sizes[1]) / error
-    names = np.flatnonzero(z > CHANCE)
-    return names, (1 - (CHANCE / z[names]) ** 2) ** 2
+    used = z > CHANCE
+    return seen[used], (1 - (CHANCE / z[used]) ** 2) ** 2
 
 
-def fit(positive: list, unlabelled: list, prior: float) -> dict[int, float]:
-    """Weights by feature number; -1 is the constant."""
+def fit(positive: Sequence, unlabelled: Sequence, prior: float) -> dict[int, float]:
+    """Weights by feature number; -1 is the constant. Sets of numbers may be lists or arrays."""
     names, left = evident(positive, unlabelled)
     left = np.append(left, 1.0)
-
-    def compact(sets: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        sizes = [len(x) for x in sets]
-        flat = np.concatenate([np.asarray(x, np.int64) for x in sets] or [np.empty(0, np.int64)])
-        owner = np.repeat(np.arange(len(sets)), sizes)
-        at = np.searchsorted(names, flat)
-        known = np.isin(flat, names)
-        owner, at = owner[known], at[known]
-        return at, owner, np.searchsorted(owner, np.arange(len(sets) + 1))
+    place = np.full(FEATURES, -1, np.int32)
+    place[names] = np.arange(len(names))
+
+    def compact(sets: Sequence) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        found, sizes = [np.empty(0, np.int64)], np.zeros(len(sets), np.int64)
+        for start, flat in joined(sets):
+            few = sets[start : start + TOGETHER]
+            at = place[flat]
+            known = np.flatnonzero(at >= 0)
+            ends = np.cumsum([len(x) for x in few])
+            within = np.searchsorted(known, np.concatenate([[0], ends]))
+            sizes[start : start + len(few)] = np.diff(within)
+            found.append(at[known].astype(np.int64))
+        return np.concatenate(found), sizes, np.concatenate([[0], np.cumsum(sizes)])
 
     sides = [compact(positive), compact(unlabelled)]
     size = len(names) + 1
@@ -117,8 +141,8 @@ def fit(positive: list, unlabelled: list, prior: float) -> dict[int, float]:
     weights[-1] = np.log(prior / (1 - prior))
 
     def gradient(side: int, scale: np.ndarray) -> np.ndarray:
-        at, owner, _ = sides[side]
-        out = np.bincount(at, weights=scale[owner], minlength=size) * left
+        at, sizes, _ = sides[side]
+        out = np.bincount(at, weights=np.repeat(scale, sizes), minlength=size) * left
         out[-1] = scale.sum()
         return out
 
@@ -169,13 +193,12 @@ def learn(
     sample = sampled(train, text, positive, turn, n, p)
 
     def fitted(table: pa.Table) -> pa.Table:
-        sets = table.column("features").to_pylist()
-        marks = table.column("positive").to_pylist()
-        weights = fit(
-            sorted(x for x, y in zip(sets, marks, strict=True) if y),
-            sorted(x for x, y in zip(sets, marks, strict=True) if not y),
-            prior,
-        )
+        marks = table.column("positive")
+        sides = [
+            [np.frombuffer(x, NUMBER) for x in sorted(table["features"].filter(side).to_pylist())]
+            for side in (marks, pc.invert(marks))
+        ]
+        weights = fit(*sides, prior)
         return pa.table(
             {
                 "feature": pa.array(list(weights), pa.int32()),
@@ -188,31 +211,50 @@ def learn(
     return {r.feature: r.weight for r in model.collect()}
 
 
+def logits(texts: pa.Array, model: dict[int, float]) -> np.ndarray:
+    """The constant of ``model`` and the weights of the distinct features of each text, summed."""
+    counts, words = words_of(pc.ascii_lower(texts))
+    hits, sizes = array("q"), array("q")
+    for w in words.dictionary.to_pylist():
+        known = [f for f in features(w) if f in model]
+        hits.extend(known)
+        sizes.append(len(known))
+    numbers, sizes = np.array(hits, np.int64), np.array(sizes, np.int64)
+    number = words.indices.to_numpy()
+    at = np.flatnonzero(sizes[number])
+    owner = np.searchsorted(np.cumsum(counts), at, side="right")
+    said = np.unique(owner * len(sizes) + number[at])
+    owner, number = said // max(1, len(sizes)), said % max(1, len(sizes))
+    each = sizes[number]
+    skipped = np.cumsum(sizes)[number] - np.cumsum(each)
+    spots = np.arange(each.sum()) + np.repeat(skipped, each)
+    pairs = np.unique(np.repeat(owner, each) * FEATURES + numbers[spots])
+    names, place = np.unique(pairs % FEATURES, return_inverse=True)
+    weights = np.array([model[f] for f in names.tolist()], np.float64)
+    out = np.full(len(texts), model[-1])
+    np.add.at(out, pairs // FEATURES, weights[place])
+    return out
+
+
 def score(
     df: DataFrame, weights: dict[int, float], text: str = "text", output: str = "score"
 ) -> DataFrame:
     """``df`` with the probability of toxicity in ``output``."""
     kept = [c for c in df.columns if c != output]
-    frame = renamed(df, kept, text=F.col(f"`{text}`"))
+    other = {} if text in kept else {"text": F.col(f"`{text}`")}
+    read = "text" if other else f"k{kept.index(text)}"  # a kept text goes to Python once
+    frame = renamed(df, kept, **other)
+    fields = frame.schema.fields[: len(kept)]
     shared = df.sparkSession.sparkContext.broadcast(weights)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for _, table, texts in blocks(batches, "text"):
-            counts, words = words_of(pc.ascii_lower(texts))
-            hits = [[f for f in features(w) if f in model] for w in words.dictionary.to_pylist()]
-            sizes = np.array([len(x) for x in hits], np.int64)
-            number = words.indices.to_numpy()
-            at = np.flatnonzero(sizes[number])
-            owner = np.searchsorted(np.cumsum(counts), at, side="right")
-            spots = zip(owner.tolist(), number[at].tolist(), strict=True)
-            logit = np.full(len(texts), model[-1])
-            for row, f in sorted({(row, f) for row, k in spots for f in hits[k]}):
-                logit[row] += model[f]
-            out = 1 / (1 + np.exp(-np.clip(logit, -700, 700)))
-            yield from table.drop_columns("text").append_column("score", pa.array(out)).to_batches()
-
-    schema = T.StructType([*frame.schema.fields[:-1], T.StructField("score", T.DoubleType())])
+        for _, table, texts in blocks(batches, read, SCORED_BYTES):
+            out = 1 / (1 + np.exp(-np.clip(logits(texts, model), -700, 700)))
+            found = table.select(range(len(fields))).append_column("score", pa.array(out))
+            yield from found.to_batches()
+
+    schema = T.StructType([*fields, T.StructField("score", T.DoubleType())])
     return restored(frame.mapInArrow(scored, schema), kept, F.col("score").alias(output))
 
 

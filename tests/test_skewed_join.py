@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tristrata.operators import heavy_keys, skewed_join
-from tristrata.operators.join import grid
+from tristrata.operators.join import grid, grids
 
 
 def counted(df):
@@ -98,6 +98,60 @@ def test_a_grid_copies_fewer_rows_of_the_larger_side():
     assert grid(0, 0, 64)[0] >= 1
 
 
+def shuffled_mb(spark, df):
+    sc = spark.sparkContext._jsc.sc()
+
+    def written():
+        sc.listenerBus().waitUntilEmpty()
+        return sc.statusStore().executorSummary("driver").totalShuffleWrite() / 1e6
+
+    before = written()
+    df.write.format("noop").mode("overwrite").save()
+    return written() - before
+
+
+def test_disk_follows_the_rows_whatever_the_partitions(spark):
+    """Copies of 25 heavy keys, one with a third of the rows, at few and many partitions."""
+    n = F.col("id")
+    key = F.when(n % 3 == 0, 0).otherwise(n % 25).cast("int").alias("k")
+
+    def moved(partitions):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            large = spark.range(30_000).select(key, n.alias("a"))
+            small = spark.range(3000).select(key, n.alias("b"))
+            return shuffled_mb(spark, skewed_join(large, small, "k", max_broadcast_bytes=0))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+    few, many = moved("8"), moved("160")
+    plain = shuffled_mb(spark, spark.range(33_000).select(key, n.alias("a")).repartition(8, "k"))
+    assert many <= 2 * few and few <= 8 * plain
+
+
+def test_cells_are_shared_out_by_pairs():
+    of_equals = grids(dict.fromkeys(range(64), 1000), dict.fromkeys(range(64), 1000), 16)
+    assert {down * across for down, across in of_equals.values()} == {2}
+    one_in_front = grids({"a": 1000, "b": 10}, {"a": 1000, "b": 10}, 8)
+    assert one_in_front == {"a": (8, 8)}
+    down, across = grids({"a": 1000, "b": 10}, {"a": 1000, "b": 10}, 8, "left")["a"]
+    assert (down, across) == (64, 1)
+    rows_without_pairs = grids({"a": 10, "b": 1000}, {"a": 100_000}, 8)
+    assert rows_without_pairs["b"][0] >= 8
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_keys_with_grids_of_several_shapes(spark, how):
+    """Heavy keys of unlike size, one without a partner, beside light and NULL ones."""
+    n = F.col("id")
+    key = F.when(n % 2 == 0, "a").when(n % 5 == 0, "b").when(n % 7 == 0, "c").when(n % 11 == 0, "d")
+    large = spark.range(3000).select(key.alias("k"), n.alias("a"))
+    key = F.when(n % 3 == 0, "a").when(n % 5 < 3, "b").when(n % 7 == 0, "d").otherwise("e")
+    small = spark.range(400).select(key.alias("k"), (n % 40).alias("b"))
+    joined = skewed_join(large, small, "k", how=how, max_broadcast_bytes=0)
+    assert counted(joined) == counted(large.join(small, "k", how))
+
+
 def test_other_ways_to_join_raise(sides):
     with pytest.raises(ValueError):
         skewed_join(*sides, "k", how="outer")
